@@ -13,7 +13,7 @@ codegen. Three texts are used:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A string no real payload contains; text holding it is rejected.
@@ -24,24 +24,27 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strict_json(text: Column | str) -> Column:
-    """Parse like Python's ``json.loads``: VARIANT, or NULL when invalid.
+def with_json(df: DataFrame, src: str | Column, out: str) -> DataFrame:
+    """Parse like Python's ``json.loads`` into VARIANT column ``out`` (NULL
+    when invalid).
 
     ``try_parse_json`` alone accepts a valid prefix and drops the rest
     (``[1] x``). Parsing ``[text,"<sentinel>"]`` and requiring the sentinel
     at index 1 and nothing at index 2 rejects any tail, any extra element
-    and any early close. ``NaN``/``Infinity`` are rejected (Python accepts
-    them; settled deviation).
+    and any early close. The text is parsed once, in its own projection;
+    later checks read that column. ``NaN``/``Infinity`` are rejected (Python
+    accepts them; settled deviation).
     """
-    text = _c(text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + _SENTINEL + '"]')))
+    text = _c(src)
+    w, t = f"_{out}_w", f"_{out}_t"
+    df = df.withColumn(t, text)
+    df = df.withColumn(w, F.try_parse_json(F.concat(F.lit("["), F.col(t), F.lit(',"' + _SENTINEL + '"]'))))
     ok = (
-        text.isNotNull()
-        & ~text.contains(_SENTINEL)
-        & (F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_SENTINEL))
-        & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
+        ~F.col(t).contains(_SENTINEL)
+        & (F.try_variant_get(F.col(w), "$[1]", "string") == F.lit(_SENTINEL))
+        & F.try_variant_get(F.col(w), "$[2]", "variant").isNull()
     )
-    return F.when(ok, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return df.withColumn(out, F.when(ok, F.try_variant_get(F.col(w), "$[0]", "variant"))).drop(w, t)
 
 
 def parse_empty_list() -> Column:
@@ -68,28 +71,32 @@ def as_object(v: Column | str) -> Column:
     return _c(v).try_cast("map<string,variant>")
 
 
+def _type_word(v: Column | str) -> Column:
+    # OBJECT<...> / ARRAY<...> / VOID / BOOLEAN / STRING / BIGINT / DECIMAL(p,s) / DOUBLE ...
+    return F.substring_index(F.schema_of_variant(_c(v)), "<", 1)
+
+
 def is_array(v: Column | str) -> Column:
-    return as_array(v).isNotNull()
+    return F.coalesce(F.schema_of_variant(_c(v)).startswith("ARRAY"), F.lit(False))
 
 
 def is_object(v: Column | str) -> Column:
-    return as_object(v).isNotNull()
+    return F.coalesce(F.schema_of_variant(_c(v)).startswith("OBJECT"), F.lit(False))
+
+
+def _kinds_map() -> Column:
+    return F.create_map(
+        F.lit("OBJECT"), F.lit("object"), F.lit("ARRAY"), F.lit("array"), F.lit("VOID"), F.lit("null"),
+        F.lit("BOOLEAN"), F.lit("boolean"), F.lit("STRING"), F.lit("string"),
+    )
 
 
 def kind(v: Column | str) -> Column:
     """Python-level kind of a JSON value: array, object, null, boolean,
-    number or string; NULL for SQL NULL (absent)."""
-    v = _c(v)
-    scalar = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(is_array(v), F.lit("array"))
-        .when(is_object(v), F.lit("object"))
-        .when(scalar == "VOID", F.lit("null"))
-        .when(scalar == "BOOLEAN", F.lit("boolean"))
-        .when(scalar == "STRING", F.lit("string"))
-        .otherwise(F.lit("number"))
-    )
+    number or string; NULL for SQL NULL (absent). One schema probe, one
+    map lookup (no branch re-evaluates the value)."""
+    return F.coalesce(F.element_at(_kinds_map(), _type_word(v)),
+                      F.when(_c(v).isNotNull(), F.lit("number")))
 
 
 def get(v: Column | str, key: str) -> Column:
@@ -119,33 +126,32 @@ def size(v: Column | str) -> Column:
     return F.coalesce(F.size(as_array(v)), F.size(as_object(v)))
 
 
-def truthy(v: Column | str) -> Column:
-    """Python truthiness of a parsed JSON value (NULL counts as None)."""
-    v = _c(v)
-    k = kind(v)
+def truthy(v: Column | str, k: Column | str) -> Column:
+    """Python truthiness of a parsed JSON value ``v`` of kind ``k`` (a
+    column from ``kind``; NULL counts as None)."""
+    v, k = _c(v), _c(k)
     return (
-        F.when(v.isNull(), F.lit(False))
-        .when(k.isin("array", "object"), size(v) > 0)
-        .when(k == "null", F.lit(False))
+        F.when(k.isNull() | (k == "null"), F.lit(False))
+        .when(k == "array", F.size(as_array(v)) > 0)
+        .when(k == "object", F.size(as_object(v)) > 0)
         .when(k == "boolean", v.try_cast("boolean"))
         .when(k == "string", F.length(v.try_cast("string")) > 0)
         .otherwise(v.try_cast("double") != 0)
     )
 
 
-def py_str(v: Column | str, missing: str = "") -> Column:
-    """Python ``str()`` of a JSON value, as far as names need it: strings
-    as they are, NULL (absent) as ``missing``, null as ``None``, booleans
-    as ``True``/``False``, integers as digits, anything else as its JSON
-    text marked so it cannot equal a real string name."""
-    v = _c(v)
-    k = kind(v)
-    sch = F.schema_of_variant(v)
+def py_str(v: Column | str, k: Column | str, missing: str = "") -> Column:
+    """Python ``str()`` of a JSON value ``v`` of kind ``k``, as far as names
+    need it: strings as they are, NULL (absent) as ``missing``, null as
+    ``None``, booleans as ``True``/``False``, integers as digits, anything
+    else as its JSON text marked so it cannot equal a real string name."""
+    v, k = _c(v), _c(k)
     return (
-        F.when(v.isNull(), F.lit(missing))
+        F.when(k.isNull(), F.lit(missing))
         .when(k == "string", v.try_cast("string"))
         .when(k == "null", F.lit("None"))
         .when(k == "boolean", F.when(v.try_cast("boolean"), F.lit("True")).otherwise(F.lit("False")))
-        .when(sch.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), v.try_cast("string"))
+        .when((k == "number") & F.schema_of_variant(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT"),
+              v.try_cast("string"))
         .otherwise(F.concat(F.lit("\u0000"), canon(v)))
     )

@@ -25,19 +25,20 @@ def parse_outputs(outputs: DataFrame, text_col: str = "raw_response") -> DataFra
       scalar gives none (O6).
     """
     text = F.col(text_col)
-    body = X.tag_body(text, "tool_call", ignore_case=True)
     df = outputs.select(
         "*",
         X.has_tag(text, "thought", ignore_case=True).alias("has_thought"),
-        body.isNotNull().alias("has_tool_call"),
-        X.strip_fence(X.py_strip(body)).alias("tool_call_body"),
+        X.tag_body(text, "tool_call", ignore_case=True).alias("_body"),
         F.coalesce(F.upper(text).contains("[ABORT:"), F.lit(False)).alias("is_abort"),
     )
-    df = df.withColumn("parsed_json", J.strict_json("tool_call_body"))
+    df = df.withColumn("_b1", X.py_strip("_body"))
+    df = df.withColumn("tool_call_body", X.strip_fence("_b1"))
+    df = J.with_json(df, "tool_call_body", "parsed_json")
     return df.withColumns({
+        "has_tool_call": F.col("_body").isNotNull(),
         "is_valid_json": F.col("parsed_json").isNotNull(),
         "predicted_calls": predicted_calls(F.col("parsed_json")),
-    })
+    }).drop("_body", "_b1")
 
 
 def predicted_calls(parsed: Column) -> Column:
@@ -57,12 +58,10 @@ def conformance(outputs: DataFrame, text_col: str = "raw_response") -> DataFrame
     array grammar form: it opens with ``[`` and a newline, closes on the
     final ``]`` with nothing after it, and parses as a JSON array."""
     text = F.col(text_col)
-    ok = (
-        text.startswith("[\n")
-        & text.endswith("]")
-        & J.is_array(J.strict_json(text))
-    )
-    return outputs.withColumn("is_conformant", F.coalesce(ok, F.lit(False)))
+    shaped = text.startswith("[\n") & text.endswith("]")
+    df = J.with_json(outputs, F.when(shaped, text), "_conf_v")
+    ok = shaped & J.is_array("_conf_v")
+    return df.withColumn("is_conformant", F.coalesce(ok, F.lit(False))).drop("_conf_v")
 
 
 def conformance_rate(outputs: DataFrame, by: list[str], text_col: str = "raw_response") -> DataFrame:

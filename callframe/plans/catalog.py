@@ -96,3 +96,34 @@ QUERIES: dict[str, Query] = {
     "failure_table": q_failure_table,
     "score_by_tool": q_score_by_tool,
 }
+
+
+# -- N: record normalisation ----------------------------------------------
+
+from callframe.operators import normalize as N  # noqa: E402
+
+
+def q_normalize_conversations(spark, sf_dir):
+    turns = fixture(configure(spark), sf_dir, "turns")
+    records, _ = N.split(N.normalize_turns(turns))
+    return records
+
+
+def _flat(spark, sf_dir):
+    rows = fixture(configure(spark), sf_dir, "flat_rows")
+    return N.split(N.normalize_flat(rows, id_col="row_id"))
+
+
+def q_normalize_flat(spark, sf_dir):
+    return _flat(spark, sf_dir)[0]
+
+
+def q_quarantine_records(spark, sf_dir):
+    return _flat(spark, sf_dir)[1].select("record_id", "error")
+
+
+QUERIES.update({
+    "normalize_conversations": q_normalize_conversations,
+    "normalize_flat": q_normalize_flat,
+    "quarantine_records": q_quarantine_records,
+})

@@ -166,3 +166,91 @@ SELECT tool,
 FROM (SELECT *, CASE WHEN truth_truthy THEN g_name ELSE '(none)' END AS tool FROM scored)
 GROUP BY ROLLUP (tool)""",
 }
+
+
+# -- N: record normalisation ----------------------------------------------
+
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _jt(s: str) -> str:
+    """json_type that is NULL for invalid text."""
+    return f"json_type(CASE WHEN json_valid({s}) THEN {s} END)"
+
+
+def _jv(s: str) -> str:
+    return f"json(CASE WHEN json_valid({s}) THEN {s} END)::VARCHAR"
+
+
+def _has_name(s: str) -> str:
+    return f"coalesce(json_exists(CASE WHEN json_valid({s}) THEN {s} END, '$.name'), false)"
+
+
+def _norm_answers(c: str) -> str:
+    s = f"trim({c}, {_WS})"
+    f = f"replace({s}, '''', '\"')"
+    return f"""(CASE WHEN {c} IS NULL OR {c} = '' THEN '[]'
+  WHEN {_jt(s)} = 'ARRAY' THEN {_jv(s)}
+  WHEN {_jt(s)} = 'OBJECT' AND {_has_name(s)} THEN '[' || {_jv(s)} || ']'
+  WHEN {_jt(f)} = 'ARRAY' THEN {_jv(f)}
+  WHEN {_jt(f)} = 'OBJECT' AND {_has_name(f)} THEN '[' || {_jv(f)} || ']'
+  ELSE '[]' END)"""
+
+
+_TAG = r"'(?s)<tool_call>\s*(.*?)\s*</tool_call>'"
+
+
+def _fence(r: str) -> str:
+    r1 = f"(CASE WHEN starts_with({r}, '```json') THEN {r}[8:] WHEN starts_with({r}, '```') THEN {r}[4:] ELSE {r} END)"
+    return f"trim(CASE WHEN ends_with({r1}, '```') THEN {r1}[1:length({r1}) - 3] ELSE {r1} END, {_WS})"
+
+
+def _extract_answers(c: str) -> str:
+    body = f"trim(regexp_extract({c}, {_TAG}, 1), {_WS})"
+    g = f"regexp_extract({c}, '(?s)\\[.*\\]', 0)"
+    first = f"json_extract(CASE WHEN json_valid({g}) THEN {g} END, '$[0]')"
+    return f"""(CASE WHEN {c} IS NULL OR {c} = '' THEN '[]'
+  WHEN regexp_matches({c}, {_TAG}) THEN {_norm_answers(_fence(body))}
+  WHEN {_jt(g)} = 'ARRAY' AND json_array_length(CASE WHEN json_valid({g}) THEN {g} END) > 0
+       AND json_type({first}) = 'OBJECT' AND json_exists({first}, '$.name') THEN {_jv(g)}
+  ELSE '[]' END)"""
+
+
+ORACLE["normalize_conversations"] = fixture_cte("turns") + f"""
+, t AS (
+  SELECT conv_id, turn, content,
+    CASE WHEN lower(role) IN ('user', 'human') THEN 'query'
+         WHEN lower(role) IN ('function_call', 'tool_call', 'tool') THEN 'call'
+         WHEN lower(role) IN ('assistant', 'gpt', 'model') THEN 'assistant' END AS kind
+  FROM turns),
+t2 AS (
+  SELECT conv_id, turn, kind, content,
+    CASE WHEN kind = 'call' THEN {_norm_answers('content')}
+         WHEN kind = 'assistant' THEN {_extract_answers('content')} END AS norm
+  FROM t),
+stage AS (
+  SELECT conv_id, coalesce(arg_max(content, turn) FILTER (WHERE kind = 'query'), '') AS query,
+         max(turn) FILTER (WHERE kind = 'call') AS last_call
+  FROM t2 GROUP BY conv_id),
+chosen AS (
+  SELECT s.conv_id, arg_min(c.norm, c.turn) AS answers
+  FROM stage s JOIN t2 c ON c.conv_id = s.conv_id
+  WHERE c.kind IN ('call', 'assistant') AND c.norm <> '[]' AND (s.last_call IS NULL OR c.turn >= s.last_call)
+  GROUP BY s.conv_id)
+SELECT s.conv_id AS record_id, s.query, coalesce(c.answers, '[]') AS answers, '[]' AS tools
+FROM stage s LEFT JOIN chosen c ON c.conv_id = s.conv_id"""
+
+_FLAT_ERROR = f"""CASE WHEN tools IS NULL THEN 'tools_missing'
+    WHEN NOT json_valid(tools) THEN 'tools_not_json'
+    WHEN query IS NULL THEN 'query_not_string'
+    WHEN {_jt('tools')} <> 'ARRAY' THEN 'tools_not_list'
+    WHEN list_bool_or(list_transform(json_extract(CASE WHEN json_valid(tools) THEN tools END, '$[*]'),
+                                     lambda x: json_type(x) <> 'OBJECT')) THEN 'tool_not_object' END"""
+
+ORACLE["normalize_flat"] = fixture_cte("flat_rows") + f"""
+SELECT row_id AS record_id, query, {_jv('tools')} AS tools, coalesce(answers, '[]') AS answers
+FROM flat_rows WHERE ({_FLAT_ERROR}) IS NULL"""
+
+ORACLE["quarantine_records"] = fixture_cte("flat_rows") + f"""
+SELECT row_id AS record_id, error FROM (SELECT row_id, {_FLAT_ERROR} AS error FROM flat_rows)
+WHERE error IS NOT NULL"""

@@ -41,6 +41,9 @@ def get_session(master: str | None = None, app: str = "callframe",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver is the only JVM
+        builder = builder.config("spark.driver.memory", os.environ.get("CALLFRAME_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
