@@ -127,3 +127,40 @@ QUERIES.update({
     "normalize_flat": q_normalize_flat,
     "quarantine_records": q_quarantine_records,
 })
+
+
+# -- T / V4: training corpus --------------------------------------------------
+
+from callframe.operators import corpus as T  # noqa: E402
+
+
+def _unified_records(spark, sf_dir):
+    """The `records` fixture read as flat rows and normalised."""
+    truth, _ = _truth_and_outputs(spark, sf_dir)
+    records, _ = N.split(N.normalize_flat(truth))
+    return records
+
+
+def _corpus(spark, sf_dir):
+    return T.training_text(_unified_records(spark, sf_dir))
+
+
+def q_sft_corpus(spark, sf_dir):
+    return _corpus(spark, sf_dir).select("record_id", "text")
+
+
+def q_corpus_profile(spark, sf_dir):
+    checked = T.corpus_check(_corpus(spark, sf_dir))
+    return checked.select("record_id", "is_positive_case", "has_thought_tags", "has_tool_call_tags",
+                          "has_abort", "has_unknown_token", "prompt_length_chars", "status")
+
+
+def q_corpus_summary(spark, sf_dir):
+    return T.corpus_summary(T.corpus_check(_corpus(spark, sf_dir)))
+
+
+QUERIES.update({
+    "sft_corpus": q_sft_corpus,
+    "corpus_profile": q_corpus_profile,
+    "corpus_summary": q_corpus_summary,
+})

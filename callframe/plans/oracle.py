@@ -254,3 +254,80 @@ FROM flat_rows WHERE ({_FLAT_ERROR}) IS NULL"""
 ORACLE["quarantine_records"] = fixture_cte("flat_rows") + f"""
 SELECT row_id AS record_id, error FROM (SELECT row_id, {_FLAT_ERROR} AS error FROM flat_rows)
 WHERE error IS NOT NULL"""
+
+
+# -- T / V4: training corpus --------------------------------------------------
+
+from callframe.operators.corpus import SYSTEM_PROMPT  # noqa: E402
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_NL = "chr(10)"
+_CORPUS = fixture_cte("records") + f"""
+, p AS (
+  SELECT record_id, query, tools, answers, json(tools)::VARCHAR AS tools_text,
+    coalesce(nullif(array_to_string(list_transform(json_extract(tools, '$[*]'), lambda t:
+      coalesce(CASE WHEN json_type(t, '$.function') = 'OBJECT' THEN json_extract_string(t, '$.function.name')
+                    ELSE json_extract_string(t, '$.name') END, 'unknown')), ', '), ''), 'None') AS tool_list,
+    answers IN ('', '[]') OR NOT json_valid(answers) OR json_array_length(CASE WHEN json_valid(answers) THEN answers END) = 0 AS is_negative
+  FROM records),
+p2 AS (
+  SELECT *,
+    CASE WHEN NOT is_negative THEN json_extract_string(answers, '$[0].name') END AS target,
+    CASE WHEN NOT is_negative THEN json_extract(answers, '$[0].arguments')::VARCHAR END AS params,
+    CASE WHEN NOT is_negative THEN json(answers)::VARCHAR END AS calls
+  FROM p),
+p3 AS (
+  SELECT *, list_filter(json_extract(tools, '$[*]'), lambda t: json_extract_string(t, '$.name') = target)[1] AS tool
+  FROM p2),
+p4 AS (
+  SELECT *,
+    CASE WHEN json_type(tool, '$.parameters') = 'OBJECT' AND json_exists(tool, '$.parameters.required') THEN json_extract(tool, '$.parameters.required')
+         WHEN json_exists(tool, '$.required') THEN json_extract(tool, '$.required') END AS req
+  FROM p3),
+corpus AS (
+  SELECT record_id,
+    '<|im_start|>system' || {_NL} || {_lit(SYSTEM_PROMPT)} || '<|im_end|>' || {_NL}
+    || '<|im_start|>user' || {_NL} || 'Available tools:' || {_NL} || tools_text || {_NL} || {_NL} || 'User Query: ' || query
+    || '<|im_end|>' || {_NL} || '<|im_start|>assistant' || {_NL}
+    || CASE WHEN is_negative THEN
+         '<thought>' || {_NL} || '1. Tool Assessment: The available tools are: ' || tool_list || '.' || {_NL}
+         || '2. Intent Matching: The user''s query is ''' || query || '''. None of the available tools match this intent.' || {_NL}
+         || '3. Parameter Extraction: N/A' || {_NL} || '4. Validation: [ABORT: No matching tool]' || {_NL} || '</thought>' || {_NL}
+         || 'I''m sorry, but I don''t have the tools to help you with that request.'
+       ELSE
+         '<thought>' || {_NL} || '1. Tool Assessment: The available tools are: ' || tool_list || '.' || {_NL}
+         || '2. Intent Matching: The user''s query is ''' || query || '''. The tool ''' || target || ''' matches this intent.' || {_NL}
+         || '3. Parameter Extraction: The required parameters are '
+         || CASE WHEN req IS NOT NULL AND json_array_length(req) > 0 THEN req::VARCHAR ELSE 'None defined' END
+         || '. Values extracted: ' || params || '.' || {_NL}
+         || '4. Validation: All required parameters are present. Proceeding with tool call.' || {_NL} || '</thought>' || {_NL}
+         || '<tool_call>' || {_NL} || calls || {_NL} || '</tool_call>'
+       END || '<|im_end|>' || {_NL} AS text
+  FROM p4),
+checked AS (
+  SELECT record_id, text,
+    contains(text, '<thought>') AND contains(text, '</thought>') AS has_thought_tags,
+    contains(text, '<tool_call>') AND contains(text, '</tool_call>') AS has_tool_call_tags,
+    contains(text, '[ABORT:') AS has_abort,
+    contains(text, '"unknown"') OR contains(lower(text), ': unknown') AS has_unknown_token,
+    CAST(length(text) AS INTEGER) AS prompt_length_chars
+  FROM corpus)
+"""
+
+ORACLE["sft_corpus"] = _CORPUS + "SELECT record_id, text FROM corpus"
+ORACLE["corpus_profile"] = _CORPUS + """
+SELECT record_id, NOT (has_abort AND NOT has_tool_call_tags) AS is_positive_case, has_thought_tags,
+  has_tool_call_tags, has_abort, has_unknown_token, prompt_length_chars,
+  CASE WHEN has_unknown_token THEN 'WARNING' ELSE 'OK' END AS status
+FROM checked"""
+ORACLE["corpus_summary"] = _CORPUS + """
+SELECT count(*) AS samples_checked,
+  count(*) FILTER (WHERE NOT (has_abort AND NOT has_tool_call_tags)) AS positive_cases,
+  count(*) FILTER (WHERE has_unknown_token) AS warnings,
+  count(*) FILTER (WHERE NOT has_thought_tags) AS missing_thought_tags,
+  min(prompt_length_chars) AS min_chars, max(prompt_length_chars) AS max_chars
+FROM checked"""
