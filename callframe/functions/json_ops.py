@@ -155,3 +155,8 @@ def py_str(v: Column | str, k: Column | str, missing: str = "") -> Column:
               v.try_cast("string"))
         .otherwise(F.concat(F.lit("\u0000"), canon(v)))
     )
+
+
+def is_variant_null(v: Column | str) -> Column:
+    """The value is JSON ``null`` (not SQL NULL)."""
+    return F.coalesce(F.is_variant_null(_c(v)), F.lit(False))

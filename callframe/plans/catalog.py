@@ -164,3 +164,120 @@ QUERIES.update({
     "corpus_profile": q_corpus_profile,
     "corpus_summary": q_corpus_summary,
 })
+
+
+# -- V / P / D: checks, selection, derived jobs -----------------------------
+
+from callframe.operators import quality as V  # noqa: E402
+from callframe.operators import toolexec as C  # noqa: E402
+
+DATASET_LIMIT = 60000      # first rows used for training (the base profile)
+EVAL_SAMPLES = 100         # evaluation rows taken from the end of the split
+
+
+def q_dataset_profile(spark, sf_dir):
+    return V.dataset_profile(fixture(configure(spark), sf_dir, "records"))
+
+
+def q_dataset_examples(spark, sf_dir):
+    return V.head_examples(fixture(configure(spark), sf_dir, "records"), 3)
+
+
+def _flat_checked(spark, sf_dir):
+    rows = fixture(configure(spark), sf_dir, "flat_rows")
+    return V.adapter_check(N.normalize_flat(rows, id_col="row_id"))
+
+
+def q_adapter_check(spark, sf_dir):
+    return _flat_checked(spark, sf_dir)
+
+
+def q_adapter_summary(spark, sf_dir):
+    return V.adapter_summary(_flat_checked(spark, sf_dir))
+
+
+def q_divergence(spark, sf_dir):
+    return V.divergence(fixture(configure(spark), sf_dir, "loss_log"))
+
+
+def q_item_rules(spark, sf_dir):
+    return V.item_rules(fixture(configure(spark), sf_dir, "items"))
+
+
+def q_train_limit(spark, sf_dir):
+    return V.first_rows(_unified_records(spark, sf_dir), DATASET_LIMIT).select("record_id", "query")
+
+
+def q_eval_tail(spark, sf_dir):
+    return V.last_rows(_unified_records(spark, sf_dir), EVAL_SAMPLES).select("record_id", "query")
+
+
+def q_overlap(spark, sf_dir):
+    recs = _unified_records(spark, sf_dir)
+    train = V.first_rows(recs, DATASET_LIMIT)
+    evaluation = V.last_rows(recs, EVAL_SAMPLES)
+    return V.overlap(train.select("query"), evaluation.select("record_id", "query"))
+
+
+def q_tool_catalogue(spark, sf_dir):
+    rows = fixture(configure(spark), sf_dir, "flat_rows")
+    records, _ = N.split(N.normalize_flat(rows, id_col="row_id"))
+    return V.tool_catalogue(records)
+
+
+# -- C / A6: tool execution ---------------------------------------------------
+
+def _calls_items(spark, sf_dir):
+    spark = configure(spark)
+    return fixture(spark, sf_dir, "inventory_calls"), fixture(spark, sf_dir, "items")
+
+
+def q_inventory_value(spark, sf_dir):
+    calls, items = _calls_items(spark, sf_dir)
+    return C.inventory_value(C.explode_calls(calls), items)
+
+
+def q_item_by_name(spark, sf_dir):
+    calls, items = _calls_items(spark, sf_dir)
+    return C.item_by_name(C.explode_calls(calls), items)
+
+
+def q_chained_calls(spark, sf_dir):
+    calls, items = _calls_items(spark, sf_dir)
+    return C.chained_calls(calls, items)
+
+
+def q_inventory_total(spark, sf_dir):
+    _, items = _calls_items(spark, sf_dir)
+    return C.inventory_total(items, 1.0)
+
+
+def q_vector_sum(spark, sf_dir):
+    pairs = C.vector_sum(fixture(configure(spark), sf_dir, "vector_pairs"))
+    return pairs.select("vec_id", F.posexplode("vsum").alias("pos", "value")).select(
+        "vec_id", "pos", F.round("value", 6).alias("value"))
+
+
+def q_dot_product(spark, sf_dir):
+    pairs = C.dot_product(fixture(configure(spark), sf_dir, "vector_pairs"))
+    return pairs.select("vec_id", F.round("dot", 6).alias("dot"), "error")
+
+
+QUERIES.update({
+    "dataset_profile": q_dataset_profile,
+    "dataset_examples": q_dataset_examples,
+    "adapter_check": q_adapter_check,
+    "adapter_summary": q_adapter_summary,
+    "divergence": q_divergence,
+    "item_rules": q_item_rules,
+    "train_limit": q_train_limit,
+    "eval_tail": q_eval_tail,
+    "overlap": q_overlap,
+    "tool_catalogue": q_tool_catalogue,
+    "inventory_value": q_inventory_value,
+    "item_by_name": q_item_by_name,
+    "chained_calls": q_chained_calls,
+    "inventory_total": q_inventory_total,
+    "vector_sum": q_vector_sum,
+    "dot_product": q_dot_product,
+})

@@ -331,3 +331,158 @@ SELECT count(*) AS samples_checked,
   count(*) FILTER (WHERE NOT has_thought_tags) AS missing_thought_tags,
   min(prompt_length_chars) AS min_chars, max(prompt_length_chars) AS max_chars
 FROM checked"""
+
+
+# -- V / P / D ------------------------------------------------------------------
+
+_RECORD_COLS = ("record_id", "query", "tools", "answers", "raw_response", "latency_ms", "generated_tokens")
+_SPARK_TYPE = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' "
+               "WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof({c})) END")
+
+ORACLE["dataset_profile"] = fixture_cte("records") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({i + 1} AS INTEGER) AS position, "
+    f"any_value({_SPARK_TYPE.format(c=c)}) AS data_type, count(*) - count({c}) AS null_count, count(*) AS total_rows "
+    f"FROM records" for i, c in enumerate(_RECORD_COLS))
+
+ORACLE["dataset_examples"] = fixture_cte("records") + "\nSELECT * FROM records ORDER BY record_id LIMIT 3"
+
+_ADAPTER = fixture_cte("flat_rows") + f"""
+, n AS (
+  SELECT row_id AS record_id, query, tools, coalesce(answers, '[]') AS answers, {_FLAT_ERROR} AS error
+  FROM flat_rows),
+c AS (
+  SELECT *, answers NOT IN ('', '[]') AS needs,
+    list_transform(list_filter(json_extract(CASE WHEN error IS NULL THEN tools END, '$[*]'),
+                               lambda t: json_type(t) = 'OBJECT'), lambda t: json_extract(t, '$.name')) AS names_j
+  FROM n),
+c2 AS (
+  SELECT *, needs AND NOT json_valid(answers) AS perr,
+    coalesce(list_bool_or(list_transform(names_j, lambda x: x IS NULL OR json_type(x) = 'NULL'
+        OR (json_type(x) = 'VARCHAR' AND json_extract_string(x, '$') = 'unknown'))), false) AS has_null
+  FROM c),
+checked AS (
+  SELECT record_id,
+    CASE WHEN error IS NOT NULL THEN 'ERROR' WHEN has_null OR perr THEN 'WARNING' ELSE 'OK' END AS status,
+    CASE WHEN error IS NULL THEN substring(query, 1, 200) END AS query,
+    CASE WHEN error IS NULL THEN CAST(json_array_length(tools) AS INTEGER) END AS tool_count,
+    CASE WHEN error IS NULL THEN to_json(list_transform(names_j, lambda x:
+        CASE WHEN json_type(x) = 'VARCHAR' THEN json_extract_string(x, '$') END))::VARCHAR END AS tool_names,
+    CASE WHEN error IS NULL THEN has_null END AS has_null_tools,
+    CASE WHEN error IS NULL THEN coalesce(substring(answers, 1, 300), '') END AS answers_raw,
+    CASE WHEN error IS NULL THEN CAST(CASE WHEN needs AND {_jt('answers')} = 'ARRAY'
+        THEN json_array_length(answers) ELSE 0 END AS INTEGER) END AS answers_parsed_count,
+    CASE WHEN error IS NULL THEN
+      CASE WHEN needs AND {_jt('answers')} = 'ARRAY'
+           THEN to_json(list_transform(list_filter(json_extract(CASE WHEN json_valid(answers) THEN answers END, '$[*]'),
+                  lambda a: json_type(a) = 'OBJECT'), lambda a: json_extract_string(a, '$.name')))::VARCHAR
+           ELSE '[]' END END AS answer_tool_names,
+    CASE WHEN error IS NULL THEN perr END AS answers_parse_error,
+    error
+  FROM c2)
+"""
+ORACLE["adapter_check"] = _ADAPTER + "SELECT * FROM checked"
+ORACLE["adapter_summary"] = _ADAPTER + """
+SELECT count(*) AS samples_checked, coalesce(bool_and(status = 'OK'), true) AS all_passed,
+  count(*) FILTER (WHERE has_null_tools) AS null_tool_name_count,
+  count(*) FILTER (WHERE answers_parse_error) AS answer_parse_error_count
+FROM checked"""
+
+ORACLE["divergence"] = fixture_cte("loss_log") + """
+SELECT run_id, min(step) AS first_bad_step,
+  CASE WHEN isnan(arg_min(loss, step)) THEN 'NaN' WHEN arg_min(loss, step) > 0 THEN 'Infinity'
+       ELSE '-Infinity' END AS first_bad_loss,
+  count(*) AS n_bad_steps
+FROM loss_log WHERE isnan(loss) OR isinf(loss) GROUP BY run_id"""
+
+ORACLE["item_rules"] = fixture_cte("items") + """
+SELECT r.rule, CAST(r.violations AS BIGINT) AS violations, r.items FROM (
+  SELECT 'item_code_length' AS rule, count(*) FILTER (WHERE NOT coalesce(length(item_code) BETWEEN 3 AND 20, false)) AS violations, count(*) AS items FROM items
+  UNION ALL SELECT 'name_length', count(*) FILTER (WHERE NOT coalesce(length(name) BETWEEN 2 AND 50, false)), count(*) FROM items
+  UNION ALL SELECT 'cost_positive', count(*) FILTER (WHERE NOT coalesce(cost > 0, false)), count(*) FROM items
+  UNION ALL SELECT 'quantity_non_negative', count(*) FILTER (WHERE NOT coalesce(quantity >= 0, false)), count(*) FROM items) r"""
+
+ORACLE["train_limit"] = fixture_cte("records") + "\nSELECT record_id, query FROM records ORDER BY record_id LIMIT 60000"
+ORACLE["eval_tail"] = fixture_cte("records") + "\nSELECT record_id, query FROM records ORDER BY record_id DESC LIMIT 100"
+ORACLE["overlap"] = fixture_cte("records") + """
+, tr AS (SELECT query FROM records ORDER BY record_id LIMIT 60000),
+ev AS (SELECT record_id, query FROM records ORDER BY record_id DESC LIMIT 100)
+SELECT query, record_id FROM ev WHERE query IN (SELECT query FROM tr)"""
+
+ORACLE["tool_catalogue"] = fixture_cte("flat_rows") + f"""
+, ok AS (SELECT tools FROM flat_rows WHERE ({_FLAT_ERROR}) IS NULL),
+t AS (SELECT unnest(json_extract(tools, '$[*]')) AS t FROM ok),
+f AS (SELECT CASE WHEN json_type(t, '$.function') = 'OBJECT' THEN json_extract(t, '$.function') ELSE t END AS t
+      FROM t WHERE json_type(t) = 'OBJECT')
+SELECT CASE WHEN json_type(t, '$.name') = 'VARCHAR' THEN json_extract_string(t, '$.name') END AS name,
+  count(*) AS uses, count(DISTINCT json(t)::VARCHAR) AS n_schemas
+FROM f GROUP BY 1"""
+
+
+# -- C / A6: tool execution ------------------------------------------------------
+
+_MONEY = "DECIMAL(20,6)"
+_CALLS = fixture_cte("inventory_calls", "items") + f"""
+, ex AS (
+  SELECT call_id, i AS pos, json_extract(calls, '$[' || i || ']') AS c
+  FROM (SELECT call_id, calls, unnest(range(CAST(json_array_length(calls) AS BIGINT))) AS i FROM inventory_calls)),
+by_code AS (SELECT item_code, sum(CAST(cost AS {_MONEY}) * quantity) AS v FROM items GROUP BY item_code),
+first_by_name AS (SELECT name AS item_name, arg_min(item_code, item_order) AS item_code FROM items GROUP BY name)
+"""
+
+ORACLE["inventory_value"] = _CALLS + f"""
+, inv AS (
+  SELECT call_id, pos, json_extract(c, '$.arguments') AS args FROM ex
+  WHERE json_extract_string(c, '$.name') = 'inventory_check'),
+inv2 AS (
+  SELECT call_id, pos, json_type(args, '$.item_codes') AS ck, json_extract(args, '$.item_codes') AS codes,
+    CASE WHEN json_type(args, '$.conversion_rate') IN ('BIGINT', 'UBIGINT', 'DOUBLE')
+         THEN CAST(json_extract(args, '$.conversion_rate') AS {_MONEY}) END AS rate
+  FROM inv),
+inv3 AS (
+  SELECT *, CASE WHEN ck IS NULL OR ck NOT IN ('NULL', 'ARRAY') OR rate IS NULL THEN 'bad_arguments' ELSE 'ok' END AS status,
+    ck = 'NULL' OR (ck = 'ARRAY' AND json_array_length(codes) = 0) AS all_items
+  FROM inv2),
+listed AS (
+  SELECT x.call_id, x.pos, sum(b.v) AS v
+  FROM (SELECT DISTINCT call_id, pos, unnest(json_extract_string(codes, '$[*]')) AS code
+        FROM inv3 WHERE status = 'ok' AND NOT all_items) x
+  JOIN by_code b ON b.item_code = x.code GROUP BY x.call_id, x.pos)
+SELECT i.call_id, CAST(i.pos AS INTEGER) AS pos, i.status, i.all_items,
+  CASE WHEN i.status = 'ok' THEN CAST(round(CASE WHEN i.all_items
+      THEN (SELECT sum(CAST(cost AS {_MONEY}) * quantity) FROM items) ELSE coalesce(l.v, 0) END * i.rate, 2) AS DOUBLE) END AS value
+FROM inv3 i LEFT JOIN listed l ON l.call_id = i.call_id AND l.pos = i.pos"""
+
+ORACLE["item_by_name"] = _CALLS + """
+, fetched AS (
+  SELECT call_id, pos, json_extract_string(c, '$.arguments.item_name') AS item_name FROM ex
+  WHERE json_extract_string(c, '$.name') = 'fetch_item_by_name')
+SELECT f.call_id, CAST(f.pos AS INTEGER) AS pos, f.item_name, n.item_code,
+  CASE WHEN n.item_code IS NULL THEN 'not_found' ELSE 'found' END AS status
+FROM fetched f LEFT JOIN first_by_name n ON n.item_name = f.item_name"""
+
+ORACLE["chained_calls"] = _CALLS + f"""
+, ch AS (
+  SELECT call_id, json_extract_string(calls, '$[0].arguments.item_name') AS item_name,
+    CAST(json_extract(calls, '$[1].arguments.conversion_rate') AS {_MONEY}) AS rate
+  FROM inventory_calls
+  WHERE json_extract_string(calls, '$[0].name') = 'fetch_item_by_name'
+    AND json_extract_string(calls, '$[1].name') = 'inventory_check')
+SELECT ch.call_id, ch.item_name, n.item_code,
+  CASE WHEN n.item_code IS NULL THEN 'not_found' ELSE 'ok' END AS status,
+  CASE WHEN n.item_code IS NOT NULL THEN CAST(round(coalesce(b.v, 0) * ch.rate, 2) AS DOUBLE) END AS value
+FROM ch LEFT JOIN first_by_name n ON n.item_name = ch.item_name
+LEFT JOIN by_code b ON b.item_code = n.item_code"""
+
+ORACLE["inventory_total"] = fixture_cte("items") + f"""
+SELECT CAST(round(sum(CAST(cost AS {_MONEY}) * quantity) * CAST(1.0 AS {_MONEY}), 2) AS DOUBLE) AS total_value,
+  count(*) AS items FROM items"""
+
+ORACLE["vector_sum"] = fixture_cte("vector_pairs") + """
+SELECT vec_id, CAST(i AS INTEGER) AS pos, round(CAST(a[i + 1] AS DOUBLE) + CAST(b[i + 1] AS DOUBLE), 6) AS value
+FROM (SELECT vec_id, a, b, unnest(range(len(a))) AS i FROM vector_pairs WHERE len(a) = len(b))"""
+
+ORACLE["dot_product"] = fixture_cte("vector_pairs") + """
+SELECT vec_id,
+  CASE WHEN len(a) = len(b) THEN round(list_reduce(list_transform(range(len(a)), lambda i: CAST(a[i + 1] AS DOUBLE) * CAST(b[i + 1] AS DOUBLE)), lambda x, y: x + y), 6) END AS dot,
+  CASE WHEN len(a) <> len(b) THEN 'Vectors must be of the same length' END AS error
+FROM vector_pairs"""
