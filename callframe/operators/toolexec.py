@@ -172,18 +172,42 @@ def call_id(record_id: Column, pos: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", record_id.cast("string"), pos.cast("string")), 256), 1, 9)
 
 
+def executed_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id",
+                   calls_col: str = "calls") -> DataFrame:
+    """Each call of each record with its result text, for C7: ``call_id,
+    pos, name, args_text, result``. ``inventory_check`` gives its value
+    (2 decimals), ``fetch_item_by_name`` the item code or ``null``."""
+    base = calls.select(F.col(id_col).alias("call_id"), F.col(calls_col).alias("calls"))
+    ex = explode_calls(base, "call_id", "calls")
+    values = inventory_value(ex, items).select("call_id", "pos", "value")
+    found = item_by_name(ex, items).select("call_id", "pos", "item_code")
+    # the call's arguments as compact text, key order kept
+    args_text = F.expr("get_json_object(calls, concat('$[', CAST(pos AS STRING), '].arguments'))")
+    out = (ex.select("call_id", "pos", "name")
+           .join(base, "call_id")
+           .join(values, ["call_id", "pos"], "left")
+           .join(found, ["call_id", "pos"], "left"))
+    result = (
+        F.when(F.col("name") == "inventory_check", F.format_string("%.2f", F.col("value")))
+        .when(F.col("name") == "fetch_item_by_name", F.col("item_code"))
+    )
+    return out.select("call_id", "pos", "name", args_text.alias("args_text"),
+                      result.alias("result"))
+
+
 def transcripts(executed: DataFrame, questions: DataFrame) -> DataFrame:
     """Per record, user turn with context, then per executed call an
     assistant turn with the call (id, name, arguments) and a tool turn with
     its result, then ``Answer:``. ``executed``: ``call_id, pos, name,
     args_text, result``; ``questions``: ``call_id, question``. Messages
     are rendered with ChatML markers; the per-record group is bounded by the
-    number of calls in that record."""
+    number of calls in that record (one row's array)."""
     turns = executed.select(
         "call_id", "pos",
         F.concat(
             F.lit("<|im_start|>assistant\n<tool_call>\n{\"id\":\""), call_id(F.col("call_id"), F.col("pos")),
-            F.lit("\",\"name\":\""), F.col("name"), F.lit("\",\"arguments\":"), F.col("args_text"),
+            F.lit("\",\"name\":\""), F.coalesce(F.col("name"), F.lit("")), F.lit("\",\"arguments\":"),
+            F.coalesce(F.col("args_text"), F.lit("null")),
             F.lit("}\n</tool_call><|im_end|>\n<|im_start|>tool\n"), F.coalesce(F.col("result"), F.lit("null")),
             F.lit("<|im_end|>\n"),
         ).alias("turn_text"),

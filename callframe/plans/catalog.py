@@ -281,3 +281,49 @@ QUERIES.update({
     "vector_sum": q_vector_sum,
     "dot_product": q_dot_product,
 })
+
+
+# Fixed value: the question of the notebook's second round trip.
+TRANSCRIPT_QUESTION = "How much is the total inventory cost of the items in this request?"
+
+
+def q_transcripts(spark, sf_dir):
+    calls, items = _calls_items(spark, sf_dir)
+    executed = C.executed_calls(calls, items)
+    questions = calls.select("call_id", F.lit(TRANSCRIPT_QUESTION).alias("question"))
+    return C.transcripts(executed, questions)
+
+
+# -- W: streaming -------------------------------------------------------------
+
+from callframe.session import scratch_path  # noqa: E402
+from callframe.streaming import jobs as W  # noqa: E402
+
+
+def q_stream_score(spark, sf_dir):
+    """W1 driven to completion (AvailableNow); returns the trace sink."""
+    spark = configure(spark)
+    truth, outputs = _truth_and_outputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-score")
+    outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
+    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=2)
+    W.run_append(W.score_stream(stream, truth), f"{base}/trace", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/trace")
+
+
+def q_stream_divergence(spark, sf_dir):
+    """W2 driven to completion (AvailableNow); returns the result table."""
+    spark = configure(spark)
+    logs = fixture(spark, sf_dir, "loss_log").withColumn("ts", F.col("ts").cast("timestamp"))
+    base = scratch_path(spark, "stream-divergence")
+    logs.repartition(8).write.mode("overwrite").parquet(f"{base}/logs")
+    stream = W.read_stream(spark, f"{base}/logs", logs.schema, max_files_per_trigger=2)
+    W.run_complete(W.divergence_stream(stream), f"{base}/result", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/result")
+
+
+QUERIES.update({
+    "transcripts": q_transcripts,
+    "stream_score": q_stream_score,
+    "stream_divergence": q_stream_divergence,
+})

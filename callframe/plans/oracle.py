@@ -429,7 +429,7 @@ by_code AS (SELECT item_code, sum(CAST(cost AS {_MONEY}) * quantity) AS v FROM i
 first_by_name AS (SELECT name AS item_name, arg_min(item_code, item_order) AS item_code FROM items GROUP BY name)
 """
 
-ORACLE["inventory_value"] = _CALLS + f"""
+_INV_CTES = f"""
 , inv AS (
   SELECT call_id, pos, json_extract(c, '$.arguments') AS args FROM ex
   WHERE json_extract_string(c, '$.name') = 'inventory_check'),
@@ -447,10 +447,12 @@ listed AS (
   FROM (SELECT DISTINCT call_id, pos, unnest(json_extract_string(codes, '$[*]')) AS code
         FROM inv3 WHERE status = 'ok' AND NOT all_items) x
   JOIN by_code b ON b.item_code = x.code GROUP BY x.call_id, x.pos)
-SELECT i.call_id, CAST(i.pos AS INTEGER) AS pos, i.status, i.all_items,
+"""
+_INV_SELECT = f"""SELECT i.call_id, CAST(i.pos AS INTEGER) AS pos, i.status, i.all_items,
   CASE WHEN i.status = 'ok' THEN CAST(round(CASE WHEN i.all_items
       THEN (SELECT sum(CAST(cost AS {_MONEY}) * quantity) FROM items) ELSE coalesce(l.v, 0) END * i.rate, 2) AS DOUBLE) END AS value
 FROM inv3 i LEFT JOIN listed l ON l.call_id = i.call_id AND l.pos = i.pos"""
+ORACLE["inventory_value"] = _CALLS + _INV_CTES + _INV_SELECT
 
 ORACLE["item_by_name"] = _CALLS + """
 , fetched AS (
@@ -486,3 +488,30 @@ SELECT vec_id,
   CASE WHEN len(a) = len(b) THEN round(list_reduce(list_transform(range(len(a)), lambda i: CAST(a[i + 1] AS DOUBLE) * CAST(b[i + 1] AS DOUBLE)), lambda x, y: x + y), 6) END AS dot,
   CASE WHEN len(a) <> len(b) THEN 'Vectors must be of the same length' END AS error
 FROM vector_pairs"""
+
+ORACLE["stream_score"] = ORACLE["score_trace"]
+ORACLE["stream_divergence"] = ORACLE["divergence"]
+
+# Executed calls rendered as transcripts.
+_Q = "How much is the total inventory cost of the items in this request?"
+_CTX = ("You are a super helpful AI assistant.' || chr(10) || 'You are asked to answer a question based on the "
+        "following context information.' || chr(10) || 'Question:' || chr(10) || '")
+ORACLE["transcripts"] = _CALLS + _INV_CTES + """
+, vals AS (""" + _INV_SELECT + f"""),
+named AS (
+  SELECT e.call_id, e.pos, json_extract_string(e.c, '$.name') AS name, json_extract(e.c, '$.arguments')::VARCHAR AS args_text,
+    n.item_code
+  FROM ex e LEFT JOIN first_by_name n
+    ON json_extract_string(e.c, '$.name') = 'fetch_item_by_name' AND n.item_name = json_extract_string(e.c, '$.arguments.item_name')),
+turns AS (
+  SELECT n.call_id, n.pos,
+    '<|im_start|>assistant' || chr(10) || '<tool_call>' || chr(10) || '{{"id":"' || substring(sha256(CAST(n.call_id AS VARCHAR) || ':' || CAST(n.pos AS VARCHAR)), 1, 9)
+    || '","name":"' || coalesce(n.name, '') || '","arguments":' || coalesce(n.args_text, 'null') || '}}' || chr(10) || '</tool_call><|im_end|>' || chr(10)
+    || '<|im_start|>tool' || chr(10)
+    || coalesce(CASE WHEN n.name = 'inventory_check' THEN printf('%.2f', v.value) WHEN n.name = 'fetch_item_by_name' THEN n.item_code END, 'null')
+    || '<|im_end|>' || chr(10) AS turn_text
+  FROM named n LEFT JOIN vals v ON v.call_id = n.call_id AND v.pos = n.pos)
+SELECT call_id,
+  '<|im_start|>user' || chr(10) || '{_CTX}{_Q}' || '<|im_end|>' || chr(10)
+  || string_agg(turn_text, '' ORDER BY pos) || '<|im_start|>assistant' || chr(10) || 'Answer:' || chr(10) AS transcript
+FROM turns GROUP BY call_id"""
