@@ -254,13 +254,17 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
     ``'`` replaced by ``"`` and is parsed (N2); rows where that fails, or
     whose tools are not JSON, are quarantined."""
     cols = dict(df.dtypes)
+    work = df
 
     def as_messages(name: str) -> tuple[Column, Column]:
+        nonlocal work
         c = F.col(name)
         if cols[name] == "string":
-            fixed = F.replace(c, F.lit("'"), F.lit('"'))
-            parsed = F.from_json(fixed, MESSAGE_SCHEMA)
-            return parsed, c.isNotNull() & parsed.isNull()
+            fixed, parsed = f"_{name}_fixed", f"_{name}_v"
+            work = work.withColumn(fixed, F.replace(c, F.lit("'"), F.lit('"')))
+            work = J.with_json(work, fixed, parsed)
+            msgs = F.when(J.is_array(parsed), F.from_json(F.col(fixed), MESSAGE_SCHEMA))
+            return msgs, c.isNotNull() & msgs.isNull()
         return c, F.lit(False)
 
     msgs, bad = as_messages(messages)
@@ -269,7 +273,7 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
         use_fb = msgs.isNull() | (F.size(msgs) == 0)
         msgs = F.when(use_fb, fb).otherwise(msgs)
         bad = F.when(use_fb, fb_bad).otherwise(bad)
-    base = df.select(F.col(id_col).alias("record_id"), msgs.alias("_msgs"), bad.alias("_bad"),
+    base = work.select(F.col(id_col).alias("record_id"), msgs.alias("_msgs"), bad.alias("_bad"),
                      *([F.col(tools).alias("_tools")] if tools and tools in cols else []))
     exploded = base.select("record_id", F.posexplode("_msgs").alias("turn", "m")).select(
         "record_id", "turn",
