@@ -71,6 +71,12 @@ def as_object(v: Column | str) -> Column:
     return _c(v).try_cast("map<string,variant>")
 
 
+def as_array_of_objects(v: Column | str) -> Column:
+    """ARRAY<MAP<STRING, VARIANT>> when the value is an array whose
+    elements are objects or nulls (nulls stay NULL elements), else NULL."""
+    return _c(v).try_cast("array<map<string,variant>>")
+
+
 def _type_word(v: Column | str) -> Column:
     # OBJECT<...> / ARRAY<...> / VOID / BOOLEAN / STRING / BIGINT / DECIMAL(p,s) / DOUBLE ...
     return F.substring_index(F.schema_of_variant(_c(v)), "<", 1)

@@ -155,14 +155,16 @@ def normalize_flat(df: DataFrame, id_col: str = "record_id", query: str = "query
     base = df.select(F.col(id_col).alias("record_id"), F.col(query).alias("query"),
                      t.alias("_t"), a.alias("_a"))
     base = J.with_json(base, "_t", "_tv")
-    base = _stage(base, _arr=J.as_array("_tv"))
+    base = _stage(base, _arr=J.as_array("_tv"), _objs=J.as_array_of_objects("_tv"))
+    # every element an object: the typed cast succeeds and holds no NULL
+    base = _stage(base, _all_obj=F.coalesce(F.size(F.array_compact("_objs")) == F.size("_objs"), F.lit(False)))
     arr = F.col("_arr")
     error = (
         F.when(F.col("_t").isNull(), F.lit("tools_missing"))
         .when(F.col("_tv").isNull(), F.lit("tools_not_json"))
         .when(F.col("query").isNull(), F.lit("query_not_string"))
         .when(arr.isNull(), F.lit("tools_not_list"))
-        .when(F.exists(arr, lambda x: ~J.is_object(x)), F.lit("tool_not_object"))
+        .when(~F.col("_all_obj"), F.lit("tool_not_object"))
     )
     return base.select(
         "record_id", "query",
@@ -301,10 +303,23 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
     )
 
 
+def keep_filters_above(df: DataFrame) -> DataFrame:
+    """Adds ``_pid`` (the partition id). A projection holding a
+    non-deterministic column is a boundary predicate pushdown does not
+    cross, so a filter on a derived column (``error``) is evaluated on
+    that column instead of re-deriving it (JSON parse and all) inside the
+    scan's filter."""
+    return df.withColumn("_pid", F.spark_partition_id())
+
+
 def split(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid records and quarantined rows (with ``error`` reasons)."""
-    records = normalized.filter(F.col("error").isNull()).drop("error")
-    quarantine = normalized.filter(F.col("error").isNotNull())
+    """Valid records and quarantined rows (with ``error`` reasons).
+    To write both in one pass, write ``normalized`` partitioned by
+    ``error IS NULL`` instead."""
+    df = keep_filters_above(normalized)
+    live = F.col("_pid") >= 0
+    records = df.filter(F.col("error").isNull() & live).drop("error", "_pid")
+    quarantine = df.filter(F.col("error").isNotNull() & live).drop("_pid")
     return records, quarantine
 
 

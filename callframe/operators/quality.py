@@ -192,10 +192,16 @@ def overlap(train: DataFrame, evaluation: DataFrame, key: str = "query") -> Data
 
 
 def tool_catalogue(records: DataFrame) -> DataFrame:
-    """Per tool name across all records: uses, distinct schemas (by
-    canonical text) and records whose tool has no name."""
+    """Per tool name across all records: uses and distinct schemas (by
+    canonical text). Tools are exploded first, then each one is flattened
+    (a nested ``function`` object replaces its wrapper) as a plain
+    projection; partial aggregation keeps a hot name to one row per map
+    task and schema."""
     df = J.with_json(records.select("tools"), "tools", "_tv")
-    tools = df.select(F.explode(flatten_tools(F.col("_tv"))).alias("t"))
+    tools = df.select(F.explode(J.as_array("_tv")).alias("t"))
+    tools = tools.withColumn("_fn", J.get("t", "function"))
+    tools = tools.filter(J.is_object("t")).select(
+        F.when(J.is_object("_fn"), F.col("_fn")).otherwise(F.col("t")).alias("t"))
     tools = tools.select(J.as_string(J.get("t", "name")).alias("name"), J.canon("t").alias("schema"))
     return tools.groupBy("name").agg(
         F.count(F.lit(1)).alias("uses"),
