@@ -145,15 +145,17 @@ def flatten_tools(tools_v: Column) -> Column:
 
 
 def normalize_flat(df: DataFrame, id_col: str = "record_id", query: str = "query",
-                   tools: str = "tools", answers: str = "answers") -> DataFrame:
+                   tools: str = "tools", answers: str = "answers",
+                   keep: list[str] | None = None) -> DataFrame:
     """N8 (+N9): flat rows. ``tools`` JSON text is parsed and must be a list
     of objects (not flattened); ``answers`` NULL gives ``[]``, text is kept
     unchanged. Adds ``error`` (NULL when the row is a valid record)."""
     dtypes = dict(df.dtypes)
     t = F.col(tools) if dtypes[tools] == "string" else F.to_json(F.col(tools))
     a = F.col(answers) if dtypes[answers] == "string" else F.to_json(F.col(answers))
+    keep = [c for c in (keep or []) if c not in (id_col, query, tools, answers)]
     base = df.select(F.col(id_col).alias("record_id"), F.col(query).alias("query"),
-                     t.alias("_t"), a.alias("_a"))
+                     t.alias("_t"), a.alias("_a"), *keep)
     base = J.with_json(base, "_t", "_tv")
     base = _stage(base, _arr=J.as_array("_tv"), _objs=J.as_array_of_objects("_tv"))
     # every element an object: the typed cast succeeds and holds no NULL
@@ -170,6 +172,7 @@ def normalize_flat(df: DataFrame, id_col: str = "record_id", query: str = "query
         "record_id", "query",
         J.compact("_t").alias("tools"),
         F.coalesce(F.col("_a"), F.lit(EMPTY)).alias("answers"),
+        *keep,
         error.alias("error"),
     )
 
