@@ -306,8 +306,10 @@ def q_stream_score(spark, sf_dir):
     truth, outputs = _truth_and_outputs(spark, sf_dir)
     base = scratch_path(spark, "stream-score")
     outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
-    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=2)
-    W.run_append(W.score_stream(stream, truth), f"{base}/trace", f"{base}/_checkpoint")
+    W.write_prepared_truth(truth, f"{base}/truth")
+    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
+    scored = W.score_stream(stream, spark.read.parquet(f"{base}/truth"), prepared=True)
+    W.run_append(scored, f"{base}/trace", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/trace")
 
 
@@ -317,7 +319,7 @@ def q_stream_divergence(spark, sf_dir):
     logs = fixture(spark, sf_dir, "loss_log").withColumn("ts", F.col("ts").cast("timestamp"))
     base = scratch_path(spark, "stream-divergence")
     logs.repartition(8).write.mode("overwrite").parquet(f"{base}/logs")
-    stream = W.read_stream(spark, f"{base}/logs", logs.schema, max_files_per_trigger=2)
+    stream = W.read_stream(spark, f"{base}/logs", logs.schema, max_files_per_trigger=4)
     W.run_complete(W.divergence_stream(stream), f"{base}/result", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/result")
 

@@ -32,12 +32,21 @@ from callframe.operators import score as S
 from callframe.operators.outputs import parse_outputs
 
 
-def score_stream(outputs_stream: DataFrame, truth: DataFrame, on: str = "record_id") -> DataFrame:
+def score_stream(outputs_stream: DataFrame, truth: DataFrame, on: str = "record_id",
+                 prepared: bool = False) -> DataFrame:
     """A streaming frame of scored rows (same columns as the batch
-    trace). ``truth`` is static."""
-    prepared = S.prepare_truth(truth)
+    trace). ``truth`` is static; pass ``prepared=True`` when it already went
+    through ``score.prepare_truth`` (e.g. written once with
+    ``write_prepared_truth``) so micro-batches do not re-parse it."""
+    truth = truth if prepared else S.prepare_truth(truth)
     parsed = parse_outputs(outputs_stream)
-    return S.trace(S.decide(parsed.join(prepared, on, "inner")))
+    return S.trace(S.decide(parsed.join(truth, on, "inner")))
+
+
+def write_prepared_truth(truth: DataFrame, path: str) -> None:
+    """Parse the static truth once into Parquet (VARIANT columns included);
+    every micro-batch then joins a plain scan of it."""
+    S.prepare_truth(truth).write.mode("overwrite").parquet(path)
 
 
 def outcome_windows(scored_stream: DataFrame, ts_col: str, window: str = "1 hour",
