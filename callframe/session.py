@@ -21,6 +21,10 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows here are small but costly (JSON, regex): keep post-shuffle
+    # partitions from being merged below 128 KB so CPU work stays spread.
+    # Large inputs are far above this and unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "131072",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
