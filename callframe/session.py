@@ -60,13 +60,18 @@ def get_session(master: str | None = None, app: str = "callframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one under the local temp folder.
-    """
+    A cluster names it in ``spark.checkpoint.dir``. Only a local-mode
+    session (tests, the bench) without one gets a folder under the local
+    temp directory; on a cluster a missing setting is an error, because a
+    machine-local folder would not survive a lost executor."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        path = jdir.get() if jdir.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for streaming checkpoints "
+                               "and intermediate tables")
         path = tempfile.mkdtemp(prefix="callframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
