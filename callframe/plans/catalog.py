@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callframe.functions import json_ops as J
+from callframe.operators import corpus as T
 from callframe.operators import metrics as M
+from callframe.operators import normalize as N
 from callframe.operators import outputs as O
+from callframe.operators import quality as V
 from callframe.operators import score as S
-from callframe.session import configure
+from callframe.operators import toolexec as C
+from callframe.session import configure, scratch_path
 from callframe.sources.fixtures import fixture
+from callframe.sources.tables import read_table
+from callframe.streaming import jobs as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,8 +106,6 @@ QUERIES: dict[str, Query] = {
 
 # -- N: record normalisation ----------------------------------------------
 
-from callframe.operators import normalize as N  # noqa: E402
-
 
 def q_normalize_conversations(spark, sf_dir):
     turns = fixture(configure(spark), sf_dir, "turns")
@@ -131,8 +135,6 @@ QUERIES.update({
 
 # -- T / V4: training corpus --------------------------------------------------
 
-from callframe.operators import corpus as T  # noqa: E402
-
 
 def _unified_records(spark, sf_dir):
     """The `records` fixture read as flat rows and normalised."""
@@ -168,8 +170,6 @@ QUERIES.update({
 
 # -- V / P / D: checks, selection, derived jobs -----------------------------
 
-from callframe.operators import quality as V  # noqa: E402
-from callframe.operators import toolexec as C  # noqa: E402
 
 DATASET_LIMIT = 60000      # first rows used for training (the base profile)
 EVAL_SAMPLES = 100         # evaluation rows taken from the end of the split
@@ -296,9 +296,6 @@ def q_transcripts(spark, sf_dir):
 
 # -- W: streaming -------------------------------------------------------------
 
-from callframe.session import scratch_path  # noqa: E402
-from callframe.streaming import jobs as W  # noqa: E402
-
 
 def q_stream_score(spark, sf_dir):
     """W1 driven to completion (AvailableNow); returns the trace sink."""
@@ -329,3 +326,26 @@ QUERIES.update({
     "stream_score": q_stream_score,
     "stream_divergence": q_stream_divergence,
 })
+
+
+def q_stream_outcome_windows(spark, sf_dir):
+    """W1 windows: outcome counts per hour of the records' event time, from
+    the scored stream. Complete mode: state is one row per (window,
+    outcome)."""
+    spark = configure(spark)
+    truth, outputs = _truth_and_outputs(spark, sf_dir)
+    events = read_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "stream-windows")
+    stamped = truth.join(events.select(F.col("event_id").alias("record_id"),
+                                       F.col("ts").cast("timestamp").alias("event_time")), "record_id")
+    W.write_prepared_truth(stamped, f"{base}/truth")
+    outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
+    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
+    prepared = spark.read.parquet(f"{base}/truth")
+    scored = S.decide(O.parse_outputs(stream).join(prepared, "record_id", "inner"))
+    W.run_complete(W.outcome_windows(scored, "event_time"), f"{base}/windows", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/windows").select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "n")
+
+
+QUERIES["stream_outcome_windows"] = q_stream_outcome_windows

@@ -8,6 +8,7 @@ Where DuckDB's JSON text keeps key order we compare extracted values.
 
 from __future__ import annotations
 
+from callframe.operators.corpus import SYSTEM_PROMPT
 from callframe.sources.fixtures import fixture_cte
 
 _NUM = "('BIGINT','UBIGINT','DOUBLE','BOOLEAN')"
@@ -258,7 +259,6 @@ WHERE error IS NOT NULL"""
 
 # -- T / V4: training corpus --------------------------------------------------
 
-from callframe.operators.corpus import SYSTEM_PROMPT  # noqa: E402
 
 
 def _lit(s: str) -> str:
@@ -515,3 +515,9 @@ SELECT call_id,
   '<|im_start|>user' || chr(10) || '{_CTX}{_Q}' || '<|im_end|>' || chr(10)
   || string_agg(turn_text, '' ORDER BY pos) || '<|im_start|>assistant' || chr(10) || 'Answer:' || chr(10) AS transcript
 FROM turns GROUP BY call_id"""
+
+ORACLE["stream_outcome_windows"] = _with_scored() + """
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, s.outcome,
+  count(*) AS n
+FROM scored s JOIN events e ON e.event_id = s.record_id
+GROUP BY 1, 2"""

@@ -51,8 +51,9 @@ def write_prepared_truth(truth: DataFrame, path: str) -> None:
 
 def outcome_windows(scored_stream: DataFrame, ts_col: str, window: str = "1 hour",
                     watermark: str = "1 hour") -> DataFrame:
-    """Outcome counts per event-time window, append mode under a
-    watermark."""
+    """Outcome counts per event-time window. In append mode the
+    watermark closes windows (rows later than it are dropped); in complete
+    mode (``run_complete``) every window is kept and rewritten."""
     return (
         scored_stream.withWatermark(ts_col, watermark)
         .groupBy(F.window(ts_col, window).alias("w"), "outcome")
