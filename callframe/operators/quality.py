@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callframe.functions import json_ops as J
-from callframe.operators.normalize import flatten_tools
 
 # -- P1-P3: selection --------------------------------------------------------
 

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callframe.operators import corpus as T
-from callframe.operators import metrics as M
 from callframe.operators import normalize as N
 from callframe.operators import quality as V
 from callframe.operators import score as S

@@ -5,7 +5,6 @@ nested = long form, flat rows and quarantine."""
 import json
 import re
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -13,21 +12,6 @@ from callframe.operators import normalize as N
 from tests.conftest import SF0001, rows
 
 
-def _py_normalize(content):
-    """Ordered-fold reference written from the survey's description."""
-    if not content:
-        return "[]"
-    content = content.strip()
-    for text in (content, content.replace("'", '"')):
-        try:
-            v = json.loads(text)
-        except ValueError:
-            continue
-        if isinstance(v, list) or (isinstance(v, dict) and "name" in v):
-            return "list" if isinstance(v, list) else "dict"
-    return "[]"
-
-
 TEXT_CASES = [
     ("", "[]"),
     ('[{"name":"f","arguments":{"n":1}}]', '[{"name":"f","arguments":{"n":1}}]'),
