@@ -297,15 +297,20 @@ def q_transcripts(spark, sf_dir):
 # -- W: streaming -------------------------------------------------------------
 
 
+def _table_name(base: str) -> str:
+    """A session table name for a scratch folder."""
+    return "cf_" + base.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+
+
 def q_stream_score(spark, sf_dir):
     """W1 driven to completion (AvailableNow); returns the trace sink."""
     spark = configure(spark)
     truth, outputs = _truth_and_outputs(spark, sf_dir)
     base = scratch_path(spark, "stream-score")
     outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
-    W.write_prepared_truth(truth, f"{base}/truth")
+    static = W.write_prepared_truth(truth, f"{base}/truth", table=_table_name(base))
     stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
-    scored = W.score_stream(stream, spark.read.parquet(f"{base}/truth"), prepared=True)
+    scored = W.score_stream(stream, static, prepared=True)
     W.run_append(scored, f"{base}/trace", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/trace")
 
@@ -338,10 +343,9 @@ def q_stream_outcome_windows(spark, sf_dir):
     base = scratch_path(spark, "stream-windows")
     stamped = truth.join(events.select(F.col("event_id").alias("record_id"),
                                        F.col("ts").cast("timestamp").alias("event_time")), "record_id")
-    W.write_prepared_truth(stamped, f"{base}/truth")
+    prepared = W.write_prepared_truth(stamped, f"{base}/truth", table=_table_name(base))
     outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
     stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
-    prepared = spark.read.parquet(f"{base}/truth")
     scored = S.decide(O.parse_outputs(stream).join(prepared, "record_id", "inner"))
     W.run_complete(W.outcome_windows(scored, "event_time"), f"{base}/windows", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/windows").select(

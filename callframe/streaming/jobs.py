@@ -43,10 +43,24 @@ def score_stream(outputs_stream: DataFrame, truth: DataFrame, on: str = "record_
     return S.trace(S.decide(parsed.join(truth, on, "inner")))
 
 
-def write_prepared_truth(truth: DataFrame, path: str) -> None:
-    """Parse the static truth once into Parquet (VARIANT columns included);
-    every micro-batch then joins a plain scan of it."""
-    S.prepare_truth(truth).write.mode("overwrite").parquet(path)
+def write_prepared_truth(truth: DataFrame, path: str, table: str | None = None,
+                         buckets: int | None = None, key: str = "record_id") -> DataFrame:
+    """Parse the static truth once into Parquet (VARIANT columns included)
+    and return it as a table for the stream-static join.
+
+    With ``table`` the data is bucketed (and sorted) by ``key``: streaming
+    micro-batches run without AQE, and a plain static side would be
+    re-shuffled in every batch; a bucketed side is read in place and only
+    the new stream rows are shuffled to match it."""
+    spark = truth.sparkSession
+    prepared = S.prepare_truth(truth)
+    if not table:
+        prepared.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (prepared.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, key).sortBy(key).saveAsTable(table))
+    return spark.table(table)
 
 
 def outcome_windows(scored_stream: DataFrame, ts_col: str, window: str = "1 hour",
