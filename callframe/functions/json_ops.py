@@ -37,14 +37,17 @@ def with_json(df: DataFrame, src: str | Column, out: str) -> DataFrame:
     """
     text = _c(src)
     w, t = f"_{out}_w", f"_{out}_t"
-    df = df.withColumn(t, text)
-    df = df.withColumn(w, F.try_parse_json(F.concat(F.lit("["), F.col(t), F.lit(',"' + _SENTINEL + '"]'))))
+    keep = [c for c in df.columns if c != out]
+    df = df.withColumns({
+        t: text,
+        w: F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + _SENTINEL + '"]'))),
+    })
     ok = (
         ~F.col(t).contains(_SENTINEL)
         & (F.try_variant_get(F.col(w), "$[1]", "string") == F.lit(_SENTINEL))
         & F.try_variant_get(F.col(w), "$[2]", "variant").isNull()
     )
-    return df.withColumn(out, F.when(ok, F.try_variant_get(F.col(w), "$[0]", "variant"))).drop(w, t)
+    return df.select(*keep, F.when(ok, F.try_variant_get(F.col(w), "$[0]", "variant")).alias(out))
 
 
 def parse_empty_list() -> Column:
