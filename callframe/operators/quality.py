@@ -63,11 +63,12 @@ def dataset_profile(df: DataFrame) -> DataFrame:
 # -- V2/V3: adapter check ------------------------------------------------------
 
 
-def adapter_check(normalized: DataFrame) -> DataFrame:
+def adapter_check(normalized: DataFrame, sample: int | None = None) -> DataFrame:
     """V2 per row over a normalised frame (with its ``error`` column):
     OK / WARNING (a tool name null or ``unknown``, answers not parseable)
-    / ERROR (the row is not a record)."""
-    df = J.with_json(normalized, "tools", "_tv")
+    / ERROR (the row is not a record). ``sample`` checks only the first
+    rows by ``record_id`` (the reference looks at 5); default: all."""
+    df = J.with_json(first_rows(normalized, sample), "tools", "_tv")
     a = F.col("answers")
     df = df.withColumn("_needs", a.isNotNull() & (a != "") & (a != "[]"))
     df = J.with_json(df, F.when(F.col("_needs"), a), "_av")

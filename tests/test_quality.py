@@ -44,3 +44,13 @@ def test_tool_catalogue_flattens(spark):
                                 ('[{"name":"a","description":"other"}]',)], "tools string")
     got = {r["name"]: r for r in rows(V.tool_catalogue(df))}
     assert got["a"]["uses"] == 2 and got["a"]["n_schemas"] == 2 and got["b"]["uses"] == 1
+
+
+def test_adapter_check_sample(spark):
+    import __spark_entry__ as E
+    from callframe.operators import normalize as N
+    from callframe.sources.fixtures import fixture
+    rows_ = fixture(spark, SF0001, "flat_rows")
+    checked = V.adapter_check(N.normalize_flat(rows_, id_col="row_id"), sample=5)
+    assert sorted(r["record_id"] for r in rows(checked)) == [0, 1, 2, 3, 4]
+    assert E.queries()["adapter_check"](spark, SF0001).count() == 1000

@@ -78,3 +78,33 @@ def test_perf_guards_zero_latency(spark):
     df = spark.createDataFrame([(1, 0.0, 5)], "record_id long, latency_ms double, generated_tokens long")
     got = rows(M.perf(df))[0]
     assert got["tokens_per_second"] == 0.0 and got["avg_latency_ms"] == 0.0
+
+
+# -- property: argument equality is reflexive and blind to key order ---------
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_SCALARS = st.one_of(st.integers(-5, 5), st.booleans(), st.none(), st.text("ab", max_size=2),
+                     st.sampled_from([1.5, 100.0, 0.0]))
+_VALUES = st.recursive(_SCALARS, lambda inner: st.one_of(
+    st.lists(inner, max_size=2), st.dictionaries(st.sampled_from("xyz"), inner, max_size=2)), max_leaves=4)
+_ARGS = st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), _VALUES, min_size=1, max_size=4)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_ARGS, min_size=1, max_size=8))
+def test_equal_arguments_in_any_key_order_are_true_positives(spark, args_list):
+    import json
+    data = []
+    for i, args in enumerate(args_list):
+        truth = json.dumps([{"name": "f", "arguments": args}])
+        reordered = dict(reversed(list(args.items())))
+        out = "<tool_call>" + json.dumps([{"arguments": reordered, "name": "f"}]) + "</tool_call>"
+        data.append((i, "q", TOOLS, truth, out, 1.0, 1))
+    df = spark.createDataFrame(data, "record_id long, query string, tools string, answers string, "
+                                     "raw_response string, latency_ms double, generated_tokens long")
+    scored = S.score(df.select("record_id", "query", "tools", "answers"),
+                     df.select("record_id", "raw_response", "latency_ms", "generated_tokens"))
+    outcomes = {r["outcome"] for r in scored.select("outcome").collect()}
+    assert outcomes == {"True Positive"}
