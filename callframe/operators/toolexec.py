@@ -24,12 +24,18 @@ MONEY = "decimal(20,6)"
 
 def explode_calls(df: DataFrame, id_col: str = "call_id", calls_col: str = "calls") -> DataFrame:
     """One row per call with its position: ``call_id, pos, name,
-    args (VARIANT)``. Rows whose calls are not a JSON list give none."""
+    args (VARIANT), args_text`` (compact, key order kept). Rows whose calls
+    are not a JSON list give none. Each element's text comes from the same
+    row (``from_json`` to ``array<string>``, zipped with the parsed array),
+    so no join is needed to print a call as it was written."""
     base = df.select(F.col(id_col).alias("call_id"), F.col(calls_col).alias("_calls"))
     base = J.with_json(base, "_calls", "_cv")
-    ex = base.select("call_id", F.posexplode(J.as_array("_cv")).alias("pos", "call"))
-    return ex.select("call_id", "pos", J.as_string(J.get("call", "name")).alias("name"),
-                     J.get("call", "arguments").alias("args"))
+    texts = F.from_json(F.col("_calls"), "array<string>")
+    zipped = F.arrays_zip(J.as_array("_cv").alias("call"), texts.alias("text"))
+    ex = base.select("call_id", F.posexplode(zipped).alias("pos", "z"))
+    return ex.select("call_id", "pos", J.as_string(J.get("z.call", "name")).alias("name"),
+                     J.get("z.call", "arguments").alias("args"),
+                     F.get_json_object(F.col("z.text"), "$.arguments").alias("args_text"))
 
 
 def _item_value(items: DataFrame) -> Column:
@@ -56,7 +62,7 @@ def _money(v: Column) -> Column:
     return F.round(v, 2).cast("double")
 
 
-def inventory_value(calls: DataFrame, items: DataFrame) -> DataFrame:
+def inventory_value(calls: DataFrame, items: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """C2 on exploded calls named ``inventory_check``: value of the items
     whose code is listed, times the rate; codes NULL or empty mean all
     items. ``status``: ok, or bad_arguments (no ``item_codes`` key, codes
@@ -86,18 +92,20 @@ def inventory_value(calls: DataFrame, items: DataFrame) -> DataFrame:
     return out.select(
         "call_id", "pos", "status", "all_items",
         F.when(F.col("status") == "ok", _money(value * F.col("rate"))).alias("value"),
+        *(keep or []),
     )
 
 
-def item_by_name(calls: DataFrame, items: DataFrame) -> DataFrame:
+def item_by_name(calls: DataFrame, items: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """C3 on exploded calls named ``fetch_item_by_name``: the first item
     with that name, or none (``status = not_found``)."""
     fetch = calls.filter(F.col("name") == "fetch_item_by_name").select(
-        "call_id", "pos", J.as_string(J.get("args", "item_name")).alias("item_name"))
+        "call_id", "pos", J.as_string(J.get("args", "item_name")).alias("item_name"), *(keep or []))
     found = fetch.join(first_item_by_name(items), "item_name", "left")
     return found.select(
         "call_id", "pos", "item_name", "item_code",
         F.when(F.col("item_code").isNull(), F.lit("not_found")).otherwise(F.lit("found")).alias("status"),
+        *(keep or []),
     )
 
 
@@ -177,22 +185,16 @@ def executed_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id",
     """Each call of each record with its result text, for C7: ``call_id,
     pos, name, args_text, result``. ``inventory_check`` gives its value
     (2 decimals), ``fetch_item_by_name`` the item code or ``null``."""
-    base = calls.select(F.col(id_col).alias("call_id"), F.col(calls_col).alias("calls"))
-    ex = explode_calls(base, "call_id", "calls")
-    values = inventory_value(ex, items).select("call_id", "pos", "value")
-    found = item_by_name(ex, items).select("call_id", "pos", "item_code")
-    # the call's arguments as compact text, key order kept
-    args_text = F.expr("get_json_object(calls, concat('$[', CAST(pos AS STRING), '].arguments'))")
-    out = (ex.select("call_id", "pos", "name")
-           .join(base, "call_id")
-           .join(values, ["call_id", "pos"], "left")
-           .join(found, ["call_id", "pos"], "left"))
-    result = (
-        F.when(F.col("name") == "inventory_check", F.format_string("%.2f", F.col("value")))
-        .when(F.col("name") == "fetch_item_by_name", F.col("item_code"))
-    )
-    return out.select("call_id", "pos", "name", args_text.alias("args_text"),
-                      result.alias("result"))
+    ex = explode_calls(calls, id_col, calls_col)
+    keep = ["name", "args_text"]
+    cols = ["call_id", "pos", "name", "args_text", "result"]
+    # each tool's results carry the call's own columns: a union, no join back
+    checks = inventory_value(ex, items, keep).select(
+        *cols[:-1], F.format_string("%.2f", F.col("value")).alias("result"))
+    fetches = item_by_name(ex, items, keep).select(*cols[:-1], F.col("item_code").alias("result"))
+    others = ex.filter(~F.coalesce(F.col("name").isin("inventory_check", "fetch_item_by_name"), F.lit(False))) \
+        .select(*cols[:-1], F.lit(None).cast("string").alias("result"))
+    return checks.unionByName(fetches).unionByName(others)
 
 
 def transcripts(executed: DataFrame, questions: DataFrame) -> DataFrame:
