@@ -179,11 +179,14 @@ def normalize_flat(df: DataFrame, id_col: str = "record_id", query: str = "query
 
 def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: str = "conv_id",
                     turn_col: str = "turn", role_col: str = "role", content_col: str = "content",
-                    call_roles: tuple[str, ...] = CALL_ROLES) -> DataFrame:
+                    call_roles: tuple[str, ...] = CALL_ROLES, carry: list[str] | None = None) -> DataFrame:
     """N1 (long form): one record per conversation.
 
     ``tools``: optional ``(id_col, tools)`` frame with JSON text per
-    conversation; flattened (N7). Without it every record has ``[]``."""
+    conversation; flattened (N7). Without it every record has ``[]``.
+    ``carry``: per-conversation columns repeated on every turn; one value
+    per conversation is kept by the first aggregate (no join)."""
+    carry = carry or []
     role = F.lower(F.col(role_col))
     kind = (
         F.when(role.isin(*QUERY_ROLES), F.lit("query"))
@@ -196,12 +199,14 @@ def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: st
         F.col(role_col).isNull().alias("role_missing"),
         kind.alias("kind"),
         F.col(content_col).alias("content"),
+        *carry,
     )
     q = F.col("kind") == "query"
     stage1 = t.groupBy("record_id").agg(
         F.max(F.when(q, F.struct("turn", "content"))).alias("_last_user"),
         F.max(F.when(F.col("kind") == "call", F.col("turn"))).alias("_last_call"),
         F.count_if(F.col("role_missing")).alias("_n_role_missing"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
     cand = t.filter(F.col("kind").isin("call", "assistant")).select("record_id", "turn", "kind", "content")
     cand = with_turn_answers(cand.withColumn("_is_call", F.col("kind") == "call"), "_is_call", "content", "norm")
@@ -222,7 +227,10 @@ def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: st
         F.coalesce(F.col("_first.norm"), F.lit(EMPTY)).alias("answers"),
         F.when(F.col("_n_role_missing") > 0, F.lit("role_missing"))
         .when(query.isNull(), F.lit("query_not_string")).alias("error"),
+        *carry,
     )
+    if carry:
+        return out.withColumn("tools", F.lit(EMPTY))
     return _attach_tools(out, tools, id_col)
 
 
@@ -254,8 +262,9 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
     """Nested form (one row per conversation, an array of messages).
 
     Messages are exploded with their position (narrow) and folded by the
-    same set rule as the long form; the conversation's tools are flattened
-    in-row and joined back by id. A message list given as a string has every
+    same set rule as the long form; the conversation's own columns (tools,
+    parse flag) ride along and are kept once per conversation by the first
+    aggregate, so the input is read once and nothing is joined back. A message list given as a string has every
     ``'`` replaced by ``"`` and is parsed (N2); rows where that fails, or
     whose tools are not JSON, are quarantined."""
     cols = dict(df.dtypes)
@@ -278,24 +287,25 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
         use_fb = msgs.isNull() | (F.size(msgs) == 0)
         msgs = F.when(use_fb, fb).otherwise(msgs)
         bad = F.when(use_fb, fb_bad).otherwise(bad)
+    has_tools = bool(tools and tools in cols)
     base = work.select(F.col(id_col).alias("record_id"), msgs.alias("_msgs"), bad.alias("_bad"),
-                     *([F.col(tools).alias("_tools")] if tools and tools in cols else []))
-    exploded = base.select("record_id", F.posexplode("_msgs").alias("turn", "m")).select(
-        "record_id", "turn",
+                       *([F.col(tools).alias("_tools")] if has_tools else []))
+    carry = ["_bad"] + (["_tools"] if has_tools else [])
+    # posexplode_outer keeps conversations without messages (query "", []).
+    exploded = base.select("record_id", *carry, F.posexplode_outer("_msgs").alias("turn", "m")).select(
+        "record_id", "turn", *carry,
         F.coalesce(F.col("m.role"), F.col("m.from"), F.lit("")).alias("role"),
         F.coalesce(F.col("m.content"), F.col("m.value"), F.lit("")).alias("content"),
     )
-    records = normalize_turns(exploded, id_col="record_id", call_roles=call_roles)
-    meta = base.select("record_id", "_bad", *(["_tools"] if "_tools" in base.columns else []))
-    if "_tools" in meta.columns:
+    rec = normalize_turns(exploded, id_col="record_id", call_roles=call_roles, carry=carry)
+    if has_tools:
         t = F.col("_tools") if cols[tools] == "string" else F.to_json(F.col("_tools"))
-        meta = J.with_json(_stage(meta, _tnull=t.isNull()), t, "_tv")
-        meta = _stage(meta, _tools_text=F.to_json(flatten_tools(F.col("_tv"))),
-                      _terr=~F.col("_tnull") & F.col("_tv").isNull())
+        rec = J.with_json(rec.withColumn("_tnull", t.isNull()).withColumn("_traw", t), "_traw", "_tv")
+        rec = _stage(rec, _tools_text=F.to_json(flatten_tools(F.col("_tv"))),
+                     _terr=~F.col("_tnull") & F.col("_tv").isNull())
     else:
-        meta = _stage(meta, _tools_text=F.lit(EMPTY), _terr=F.lit(False))
-    out = meta.join(records.drop("tools"), "record_id", "left")
-    return out.select(
+        rec = _stage(rec, _tools_text=F.lit(EMPTY), _terr=F.lit(False))
+    return rec.select(
         "record_id",
         F.coalesce(F.col("query"), F.lit("")).alias("query"),
         F.coalesce(F.col("_tools_text"), F.lit(EMPTY)).alias("tools"),
