@@ -264,7 +264,7 @@ def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages:
     Messages are exploded with their position (narrow) and folded by the
     same set rule as the long form; the conversation's own columns (tools,
     parse flag) ride along and are kept once per conversation by the first
-    aggregate, so the input is read once and nothing is joined back. A message list given as a string has every
+    aggregate, so nothing is joined back by id. A message list given as a string has every
     ``'`` replaced by ``"`` and is parsed (N2); rows where that fails, or
     whose tools are not JSON, are quarantined."""
     cols = dict(df.dtypes)

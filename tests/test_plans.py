@@ -26,3 +26,12 @@ def test_scoring_udf_sees_only_residual_rows(spark):
     import __spark_entry__ as E
     plan = _plan(E.queries()["confusion"](spark, SF0001))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_conversation_fold_is_skew_safe(spark):
+    """No window and no collect over a conversation: per-conversation
+    state is aggregated (partial + final), never buffered."""
+    import __spark_entry__ as E
+    plan = _plan(E.queries()["normalize_conversations"](spark, SF0001))
+    assert "Window" not in plan and "collect_list" not in plan
+    assert "partial_max" in plan or "HashAggregate" in plan or "ObjectHashAggregate" in plan

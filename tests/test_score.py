@@ -108,3 +108,18 @@ def test_equal_arguments_in_any_key_order_are_true_positives(spark, args_list):
                      df.select("record_id", "raw_response", "latency_ms", "generated_tokens"))
     outcomes = {r["outcome"] for r in scored.select("outcome").collect()}
     assert outcomes == {"True Positive"}
+
+
+def test_json_equal_helper(spark):
+    df = spark.createDataFrame([
+        (1, '{"a":1,"b":[1,2]}', '{"b":[1,2],"a":1.0}'),
+        (2, '{"a":1e2}', '{"a":100}'),
+        (3, '{"a":"1"}', '{"a":1}'),
+        (4, '[1,2]', '[1]'),
+        (5, 'true', '1'),
+    ], "i int, x string, y string")
+    got = {r["i"]: (r["eq"], r["eq_same_type"]) for r in S.with_json_equal(df, "x", "y", "eq").collect()}
+    assert got[1] == (True, True) and got[2] == (True, True)
+    assert got[3] == (False, False)
+    assert got[4] == (False, True)      # lists zip to the shorter
+    assert got[5] == (True, True)       # bool counts as a number
