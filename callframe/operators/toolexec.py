@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callframe.functions import json_ops as J
+from callframe.operators.normalize import keep_filters_above
 
 MONEY = "decimal(20,6)"
 
@@ -117,9 +118,13 @@ def chained_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id", c
     base = calls.select(F.col(id_col).alias("call_id"), F.col(calls_col).alias("_c"))
     base = J.with_json(base, "_c", "_cv")
     base = base.withColumns({"_c0": J.at("_cv", 0), "_c1": J.at("_cv", 1)})
+    # the filter reads the parsed calls; keep it from being pushed below
+    # (and re-parsing) the JSON projection
+    base = keep_filters_above(base)
     chained = base.filter(
         (J.as_string(J.get("_c0", "name")) == "fetch_item_by_name")
         & (J.as_string(J.get("_c1", "name")) == "inventory_check")
+        & (F.col("_pid") >= 0)
     ).select(
         "call_id",
         J.as_string(J.get(J.get("_c0", "arguments"), "item_name")).alias("item_name"),
