@@ -353,3 +353,15 @@ def q_stream_outcome_windows(spark, sf_dir):
 
 
 QUERIES["stream_outcome_windows"] = q_stream_outcome_windows
+
+
+def q_score_by_day(spark, sf_dir):
+    """A5 by day: confusion counts per event date with a grand total
+    (rollup). The date comes from the events behind each record."""
+    s = scored(spark, sf_dir)
+    days = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("record_id"), F.date_format("ts", "yyyy-MM-dd").alias("_day"))
+    return M.by_dimension(s.join(days, "record_id"), F.col("_day"), "day")
+
+
+QUERIES["score_by_day"] = q_score_by_day

@@ -521,3 +521,15 @@ SELECT strftime(time_bucket(INTERVAL 1 HOUR, e.ts), '%Y-%m-%d %H:%M:%S') AS wind
   count(*) AS n
 FROM scored s JOIN events e ON e.event_id = s.record_id
 GROUP BY 1, 2"""
+
+ORACLE["score_by_day"] = _with_scored() + """
+SELECT day,
+  count(*) AS total_samples,
+  count(*) FILTER (WHERE outcome = 'True Positive') AS true_positives,
+  count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
+  count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives,
+  count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid,
+  CAST(grouping(day) AS BIGINT) AS level
+FROM (SELECT s.outcome, strftime(e.ts, '%Y-%m-%d') AS day FROM scored s JOIN events e ON e.event_id = s.record_id)
+GROUP BY ROLLUP (day)"""
