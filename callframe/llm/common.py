@@ -31,3 +31,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
+              carry: list[str] = ()) -> DataFrame:
+    """Run a text function over Arrow batches.
+
+    ``rows`` has the id first, then the carried columns, then the text. In each
+    task ``task()`` builds the function once (tokenizer, tables). It gets (ids,
+    carried columns, texts) of a batch and yields lists of output columns: the
+    id, the carried ones and ``columns``."""
+    first, text = rows.columns[0], rows.columns[-1]
+    kinds = dict(rows.dtypes)
+    out = [(c, kinds[c]) for c in [first, *carry]] + list(columns)
+    schema = ", ".join(f"`{n}` {t}" for n, t in out)
+    names = [n for n, _ in out]
+
+    def run(batches):
+        import pyarrow as pa
+        function = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            function = function or task()
+            for cols in function(batch.column(0), [batch.column(1 + i) for i in range(len(carry))],
+                                 batch.column(batch.num_columns - 1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(c) if not isinstance(c, pa.Array) else c for c in cols],
+                                                 names)
+
+    return rows.select(first, *carry, text).mapInArrow(run, schema)

@@ -6,21 +6,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from callframe.llm.common import read_docs
+from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
+from callframe.llm.packing import pack
+from callframe.llm.token_counts import count_tokens
 from callframe.llm.winnowing import edited_fingerprints
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_docs(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_docs(spark, sf_dir), keep="largest")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_docs(spark, sf_dir))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_docs(spark, sf_dir))
 
 
+def op8_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_docs(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
+    "op8_encoding": op8_encoding,
 }
 
 ORACLE = {
