@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from callframe.session import scratch_path
 
@@ -45,7 +47,7 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
     kinds = dict(rows.dtypes)
     out = [(c, kinds[c]) for c in [first, *carry]] + list(columns)
     schema = ", ".join(f"`{n}` {t}" for n, t in out)
-    names = [n for n, _ in out]
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         import pyarrow as pa
@@ -56,7 +58,7 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
             function = function or task()
             for cols in function(batch.column(0), [batch.column(1 + i) for i in range(len(carry))],
                                  batch.column(batch.num_columns - 1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(c) if not isinstance(c, pa.Array) else c for c in cols],
-                                                 names)
+                yield pa.RecordBatch.from_arrays(
+                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, arrow)], arrow.names)
 
     return rows.select(first, *carry, text).mapInArrow(run, schema)

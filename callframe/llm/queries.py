@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from callframe.llm.common import read_docs
 from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
+from callframe.llm.language_id import identify
 from callframe.llm.packing import pack
 from callframe.llm.token_counts import count_tokens
+from callframe.llm.toxicity import detect
 from callframe.llm.winnowing import edited_fingerprints
 
 
@@ -29,6 +31,14 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_docs(spark, sf_dir))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_docs(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "labels"))
+
+
 def op8_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_docs(spark, sf_dir))
 
@@ -38,6 +48,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_encoding": op8_encoding,
 }
 
