@@ -22,7 +22,7 @@ Ties go to the language first in order. Repeated rows give repeated rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -77,22 +77,24 @@ class LanguageModel:
     def __init__(self, counts: list[tuple[str, str, int]]):
         self.languages = sorted({lang for lang, _, _ in counts})
         column = {lang: i for i, lang in enumerate(self.languages)}
-        totals: dict[str, np.ndarray] = {}
-        per_gram = [dict() for _ in range(MAX_N + 1)]
+        totals: dict[str, list[int]] = defaultdict(lambda: [0] * len(column))
+        per_gram: list[dict[str, list[int]]] = [defaultdict(lambda: [0] * len(column)) for _ in range(MAX_N + 1)]
         for lang, word, n in counts:
-            totals.setdefault(word, np.zeros(len(column)))[column[lang]] += n
+            totals[word][column[lang]] += n
             for size in range(1, MAX_N + 1):
+                table = per_gram[size]
                 for g in grams(word, size):
-                    per_gram[size].setdefault(g, np.zeros(len(column)))[column[lang]] += n
-        self.prior = sum(totals.values(), np.zeros(len(column)))
+                    table[g][column[lang]] += n
         self.words = self._logs(totals)
-        self.grams = [self._logs(dict(sorted(t.items(), key=lambda x: -x[1].sum())[:MAX_GRAMS])) for t in per_gram]
+        self.prior = np.array(list(totals.values()), float).reshape(-1, len(column)).sum(0)
+        self.grams = [self._logs(dict(sorted(t.items(), key=lambda x: (-sum(x[1]), x[0]))[:MAX_GRAMS]))
+                      for t in per_gram]
 
     @staticmethod
-    def _logs(table: dict[str, np.ndarray]):
+    def _logs(table: dict[str, list[int]]):
         if not table:
             return {}, np.zeros((0, 0), np.float32)
-        m = np.stack(list(table.values()))
+        m = np.array(list(table.values()), float)
         logs = np.log((m + SMOOTHING) / (m.sum(0) + SMOOTHING * (len(m) + 1)))
         return {k: i for i, k in enumerate(table)}, logs.astype(np.float32)
 

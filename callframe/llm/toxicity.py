@@ -46,8 +46,9 @@ MAX_TERMS = 2048
 STEMS = (4, 5)
 SKETCHES = 3
 SHINGLE = 3
-MIN_WITNESSES = 2.0
-MIN_RATIO_TEST = 12.0
+#: a term needs so many witnesses, and this share of the toxic ones
+MIN_WITNESSES, MIN_SHARE = 3.0, 0.01
+MIN_RATIO_TEST = 20.0
 NEIGHBOURS = 15
 SHRINKAGE = 1.0
 BLOCK = 64
@@ -102,15 +103,18 @@ class ExampleIndex:
         bounds = sum(w * self.maxima[t].astype(np.float64) for t, w in query)
         best: list[tuple[float, int, int]] = []
         for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
+            worst = best[-1][0] if len(best) == k else 0.0
+            if bounds[b] <= 0 or bounds[b] < worst - 1e-9:
                 break
             sums = np.zeros(BLOCK)
             for t, w in query:
                 if t in self.postings[b]:
                     at, weights = self.postings[b][t]
                     sums[at] += w * weights
-            found = [(float(sums[i]), b * BLOCK + i) for i in np.flatnonzero(sums).tolist()]
-            best = sorted([*best, *((s, int(self.ids[e]), e) for s, e in found)], key=lambda x: (-round(x[0], 9), x[1]))[:k]
+            found = [(float(sums[i]), b * BLOCK + i) for i in np.flatnonzero(sums > max(worst - 1e-9, 0)).tolist()]
+            if found:
+                best = sorted([*best, *((s, int(self.ids[e]), e) for s, e in found)],
+                              key=lambda x: (-round(x[0], 9), x[1]))[:k]
         return [(s, e) for s, _, e in best]
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
@@ -133,7 +137,7 @@ class Scorer:
         hits, terms = self.hits, self.index.terms
         if len(hits) > CACHE:
             hits.clear()
-        for w in set(words) - hits.keys():
+        for w in [w for w in set(words) if w not in hits]:
             hits[w] = tuple(i for t in terms_of(w) if (i := terms.get(t)) is not None)
         return dict(sorted(Counter(i for found in map(hits.__getitem__, words) if found for i in found).items()))
 
@@ -185,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = map_texts(rows, counting, [("term", "string"), ("pos", "double"), ("neg", "double")], carry=["label"])
     counted = counted.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     chosen = [r.term for r in counted.filter(
-        (F.col("pos") >= MIN_WITNESSES) & (F.col("pos") * (total - toxic) > F.col("neg") * toxic))
+        (F.col("pos") >= max(MIN_WITNESSES, MIN_SHARE * toxic)) & (F.col("pos") * (total - toxic) > F.col("neg") * toxic))
         .withColumn("g2", ratio_test(F.col("pos"), F.col("neg"), toxic, total - toxic))
         .filter(F.col("g2") >= MIN_RATIO_TEST).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()]
     index = ExampleIndex(sorted(chosen), [], 0.0, len(known))
