@@ -9,6 +9,7 @@ from callframe.llm.common import read_docs
 from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
 from callframe.llm.language_id import identify
+from callframe.llm.lm_scoring import score_documents
 from callframe.llm.packing import pack
 from callframe.llm.token_counts import count_tokens
 from callframe.llm.toxicity import detect
@@ -43,6 +44,10 @@ def op8_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_docs(spark, sf_dir))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_docs(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
@@ -51,6 +56,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_encoding": op8_encoding,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE = {
