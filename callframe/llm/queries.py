@@ -10,6 +10,7 @@ from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
 from callframe.llm.language_id import identify
 from callframe.llm.lm_scoring import score_documents
+from callframe.llm.near_dedup import near_dedup
 from callframe.llm.packing import pack
 from callframe.llm.token_counts import count_tokens
 from callframe.llm.toxicity import detect
@@ -32,6 +33,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_docs(spark, sf_dir))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read_docs(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_docs(spark, sf_dir))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
+    "op5_near_dedup": op5_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_encoding": op8_encoding,
