@@ -345,3 +345,10 @@ def json_piece_table(path: str, **kw) -> PieceTable:
     special = added[0] if added else {"content": None, "id": None}
     return PieceTable(encoder(json_tokenizer(path, regex=False)), encoder(json_tokenizer(path, regex=True)),
                       special_id=special["id"], special=special["content"], **kw)
+
+
+@functools.lru_cache(maxsize=1)
+def shared_piece_table(path: str) -> PieceTable:
+    """One table for all tasks of a Python worker, so that a second pass over
+    the texts finds most pieces known."""
+    return json_piece_table(path)

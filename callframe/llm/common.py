@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from callframe.session import scratch_path
 
@@ -26,6 +26,13 @@ def bucket_of(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def whole_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(_row, _text): each row as one struct beside its text, so that a filter
+    can carry all columns, whatever their names, through a text function."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       text_of(text_col).alias("_text"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to a fresh folder below the shared
     checkpoint folder and read it back. Every executor can read it again
@@ -42,23 +49,30 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
     ``rows`` has the id first, then the carried columns, then the text. In each
     task ``task()`` builds the function once (tokenizer, tables). It gets (ids,
     carried columns, texts) of a batch and yields lists of output columns: the
-    id, the carried ones and ``columns``."""
+    id, the carried ones and ``columns``. Its attribute ``finish``, if any, is
+    called after the last batch and yields more."""
     first, text = rows.columns[0], rows.columns[-1]
-    kinds = dict(rows.dtypes)
-    out = [(c, kinds[c]) for c in [first, *carry]] + list(columns)
-    schema = ", ".join(f"`{n}` {t}" for n, t in out)
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    schema = StructType([rows.schema[c] for c in [first, *carry]]
+                        + [StructField(n, _parse_datatype_string(t)) for n, t in columns])
+    schema = StructType([StructField(f.name, f.dataType) for f in schema])
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         import pyarrow as pa
         function = None
+
+        def out(cols):
+            return pa.RecordBatch.from_arrays(
+                [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, arrow)], arrow.names)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            function = function or task()
-            for cols in function(batch.column(0), [batch.column(1 + i) for i in range(len(carry))],
-                                 batch.column(batch.num_columns - 1).to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, arrow)], arrow.names)
+            if batch.num_rows:
+                function = function or task()
+                for cols in function(batch.column(0), [batch.column(1 + i) for i in range(len(carry))],
+                                     batch.column(batch.num_columns - 1).to_pylist()):
+                    yield out(cols)
+        if hasattr(function, "finish"):
+            for cols in function.finish():
+                yield out(cols)
 
     return rows.select(first, *carry, text).mapInArrow(run, schema)

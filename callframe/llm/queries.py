@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from callframe.llm.binary_output import materialise
 from callframe.llm.common import read_docs
 from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
@@ -49,6 +50,10 @@ def op8_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_docs(spark, sf_dir))
 
 
+def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(read_docs(spark, sf_dir))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_docs(spark, sf_dir))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_encoding": op8_encoding,
+    "op9_binary_output": op9_binary_output,
     "op10_lm_scoring": op10_lm_scoring,
 }
 
