@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callframe.llm.common import text_of
+from callframe.llm.common import text_of, written
 
 K = 16
 W = 64
@@ -49,12 +49,16 @@ def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
         return F.transform(F.sequence(F.lit(1), n), lambda i: F.shiftleft(
             F.hash(F.substring(b, i, F.lit(k))).cast("bigint"), 31) - i)
 
+    def doubled(span):
+        def body(v):
+            later = F.slice(v, F.lit(span + 1), F.greatest(F.size(v) - span, F.lit(0)))
+            return F.zip_with(v, later, lambda x, y: F.least(x, y))
+
+        return body
+
     minima = _let(text.cast("binary"), grams)
-    span = 1
-    while span < w:
-        minima = _let(minima, lambda v, s=span: F.zip_with(
-            v, F.slice(v, F.lit(s + 1), F.greatest(F.size(v) - s, F.lit(0))), lambda x, y: F.least(x, y)))
-        span *= 2
+    for level in range(w.bit_length() - 1):
+        minima = _let(minima, doubled(1 << level))
     full = _let(minima, lambda v: F.array_distinct(
         F.slice(v, F.lit(1), F.greatest(F.size(v) - (w - 1), F.lit(1)))))
     return F.when(F.octet_length(text) > 0, full).otherwise(F.array().cast("array<bigint>"))
@@ -88,68 +92,68 @@ def winnow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col), fingerprint(text_of(text_col), k, w).alias("entries"))
 
 
-def _bucketed(docs: DataFrame, id_col: str) -> DataFrame:
-    """Add (bucket, sub), ascending with the id, of about BUCKET_ROWS rows.
+def _buckets(docs: DataFrame, id_col: str):
+    """(bucket, sub) columns that ascend with the id, about BUCKET_ROWS rows each.
 
-    Quantiles of the ids (INTERVALS numbers, however long the table is) set
-    the buckets; each interval is then cut evenly into as many sub-buckets as
-    its share of the rows needs. Null ids come first."""
+    Quantiles of the ids (INTERVALS numbers, however long the table is) set the
+    buckets; each interval is cut evenly into as many sub-buckets as its share
+    of the rows needs. Null ids have buckets of their own, by their text."""
     cuts = [i / INTERVALS for i in range(INTERVALS + 1)]
-    n, bounds = docs.agg(F.count(id_col), F.percentile_approx(id_col, cuts, 10000)).first()
+    rows, n, bounds = docs.agg(F.count(F.lit(1)), F.count(id_col),
+                               F.percentile_approx(id_col, cuts, 10000)).first()
     bounds = sorted(set(bounds or []))
     parts = max(1, -(-n // (INTERVALS * BUCKET_ROWS)))
-    if not bounds:
-        return docs.withColumn("bucket", F.lit(0)).withColumn("sub", F.lit(0).cast("bigint"))
-    edge = F.array(*[F.lit(int(b)) for b in bounds])
-    docs = docs.withColumn("bucket", F.coalesce(
-        F.size(F.filter(edge, lambda b: b <= F.col(id_col))), F.lit(-1)))
-    docs = docs.withColumn("bucket", F.when(F.col(id_col).isNull(), -1).otherwise(F.col("bucket")))
-    low, high = F.get(edge, F.col("bucket") - 1), F.get(edge, F.col("bucket"))
-    return docs.withColumn("sub", F.coalesce(F.floor(
-        (F.col(id_col) - low).cast("double") / (high - low) * parts), F.lit(0)).cast("bigint"))
-
-
-def with_next(docs: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
-    """Add ``next_<c>`` for each carried column: the value of the following
-    row by ascending id (ties by the first carried column); the first row
-    follows the last.
-
-    Rows meet their neighbour inside a bucket of about a thousand rows. Only
-    the last row of a bucket is joined to the first of the next bucket, so
-    texts are shuffled once and no task sees the whole order."""
-    rows = _bucketed(docs, id_col)
-    order = Window.partitionBy("bucket", "sub").orderBy(F.col(id_col).asc_nulls_first(), carry[0])
-    rows = rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in carry})
-    rows = rows.withColumns({"_nth": F.row_number().over(order),
-                             "_follows": F.lead(F.lit(True)).over(order)})
-    inner = rows.filter("_follows")
-    first = rows.filter("_nth = 1").select("bucket", "sub", *carry)
-    # the next bucket of each: within its interval, else the next interval's first
-    starts = first.groupBy("bucket").agg(F.min("sub").alias("s"))
-    by_interval = Window.orderBy("bucket")
-    head = starts.select(F.first("bucket").over(by_interval).alias("b0"), F.first("s").over(by_interval).alias("s0"),
-                         "bucket", F.lead("bucket").over(by_interval).alias("b1"),
-                         F.lead("s").over(by_interval).alias("s1"))
-    head = head.select("bucket", F.coalesce("b1", "b0").alias("b1"), F.coalesce("s1", "s0").alias("s1"))
+    null_parts = max(1, -(-(rows - n) // BUCKET_ROWS))
+    edge = F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>")
+    bucket = F.when(F.col(id_col).isNull(), -1).otherwise(F.size(F.filter(edge, lambda b: b <= F.col(id_col))))
+    low, high = F.get(edge, bucket - 1), F.get(edge, bucket)
+    sub = F.when(F.col(id_col).isNull(), F.pmod(F.xxhash64("text"), F.lit(null_parts))).otherwise(
+        F.coalesce(F.floor((F.col(id_col) - low).cast("double") / (high - low) * parts), F.lit(0)))
+    return bucket.alias("bucket"), sub.cast("bigint").alias("sub")
+
+
+def with_next(docs: DataFrame, id_col: str, derived: dict[str, Column]) -> DataFrame:
+    """(id, text, derived columns) of every row, and ``next_<c>`` of each: the
+    value of the following row by ascending id (ties by text); the first row
+    follows the last. ``docs`` has the id and ``text``.
+
+    Rows meet their neighbour inside a bucket of about a thousand rows, so no
+    task sees the whole order. The first row of a bucket also goes, as a guest,
+    to the bucket before it. These first ids come from the id column alone; the
+    texts are shuffled once. Rows without an id follow each other in rings."""
+    bucket, sub = _buckets(docs, id_col)
+    placed = docs.select(F.col(id_col).alias("id"), "text", bucket, sub)
+    first = placed.filter("id is not null").groupBy("bucket", "sub").agg(F.min("id").alias("id"))
     in_interval = Window.partitionBy("bucket").orderBy("sub")
-    hop = (first.select("bucket", "sub", F.lead("sub").over(in_interval).alias("s")).join(head, "bucket")
-           .select("bucket", "sub", F.when(F.col("s").isNull(), F.col("b1")).otherwise(F.col("bucket")).alias("nb"),
-                   F.coalesce("s", "s1").alias("ns")))
-    heads = first.select(F.col("bucket").alias("nb"), F.col("sub").alias("ns"),
-                         *[F.col(c).alias(f"next_{c}") for c in carry])
-    last = (rows.filter("_follows is null").drop(*[f"next_{c}" for c in carry])
-            .join(hop, ["bucket", "sub"]).join(heads, ["nb", "ns"]))
-    keep = [*docs.columns, *[f"next_{c}" for c in carry]]
-    return inner.select(*keep).unionByName(last.select(*keep))
+    starts = first.withColumn("before", F.lag("sub").over(in_interval))
+    ends = first.groupBy("bucket").agg(F.max("sub").alias("last"))  # one row per interval
+    order = Window.orderBy("bucket")
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = ends.select("bucket", F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(every)).alias("b0"),
+                       F.coalesce(F.lag("last").over(order), F.last("last").over(every)).alias("s0"))
+    guests = written(starts.join(ends, "bucket").select(
+        "id", F.when(F.col("before").isNull(), F.col("b0")).otherwise(F.col("bucket")).alias("bucket"),
+        F.coalesce("before", "s0").alias("sub")), "bucket-starts")
+    plain = docs.select(F.col(id_col).alias("id"), "text")
+    rows = (placed.select("bucket", "sub", F.lit(False).alias("guest"), "id", "text", *derived_columns(derived))
+            .unionByName(plain.join(guests, "id").select("bucket", "sub", F.lit(True).alias("guest"), "id", "text",
+                                                         *derived_columns(derived))))
+    around = Window.partitionBy("bucket", "sub").orderBy("guest", "id", "text")
+    carry = ["text", *derived]
+    rows = rows.withColumns({f"next_{c}": F.coalesce(F.lead(c).over(around), F.first(c).over(around)) for c in carry})
+    return rows.filter("not guest").select(F.col("id").alias(id_col), *carry, *[f"next_{c}" for c in carry])
+
+
+def derived_columns(derived: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in derived.items()]
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         k: int = K, w: int = W) -> DataFrame:
     """Each document's fingerprint beside that of its edited text (the last
     quarter of its code points replaced by the start of the next document)."""
-    rows = docs.select(F.col(id_col), text_of(text_col).alias("text")).withColumn(
-        "entries", fingerprint(F.col("text"), k, w))
-    rows = with_next(rows, id_col, ["text", "entries"])
+    rows = docs.select(F.col(id_col), text_of(text_col).alias("text"))
+    rows = with_next(rows, id_col, {"entries": fingerprint(F.col("text"), k, w)})
     rows = rows.withColumn("n_chars", F.char_length("text").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(
