@@ -86,7 +86,7 @@ class LanguageModel:
                 for g in grams(word, size):
                     table[g][column[lang]] += n
         self.words = self._logs(totals)
-        self.prior = np.array(list(totals.values()), float).reshape(-1, len(column)).sum(0)
+        self.prior = np.array([sum(c) for c in zip(*totals.values())], float)
         self.grams = [self._logs(dict(sorted(t.items(), key=lambda x: (-sum(x[1]), x[0]))[:MAX_GRAMS]))
                       for t in per_gram]
 
