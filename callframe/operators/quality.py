@@ -3,8 +3,8 @@
 All checks run over the whole table in one pass (projection + partial /
 final aggregate); nothing is collected. Limits appear only where the
 limit is the feature (first N rows of a split, last N for evaluation,
-the head examples of a profile) and always with an explicit order column
-(``TakeOrderedAndProject``: a per-partition top-k, bounded by N).
+the head examples of a profile) and always with an explicit order column;
+only the counted range that holds the cut is sorted (``_cut``).
 """
 
 from __future__ import annotations
@@ -17,16 +17,48 @@ from callframe.functions import json_ops as J
 # -- P1-P3: selection --------------------------------------------------------
 
 
+#: ranges of the order column that are counted to find a limit's cut
+RANGES = 256
+
+
 def first_rows(df: DataFrame, limit: int | None, order_col: str = "record_id") -> DataFrame:
     """``dataset_limit`` first rows; a falsy limit keeps everything."""
-    if not limit:
-        return df
-    return df.orderBy(F.col(order_col).asc()).limit(int(limit))
+    return _cut(df, int(limit), order_col, ascending=True) if limit else df
 
 
 def last_rows(df: DataFrame, n: int, order_col: str = "record_id") -> DataFrame:
     """The last ``n`` rows in order (the evaluation fallback split)."""
-    return df.orderBy(F.col(order_col).desc()).limit(max(int(n), 0))
+    return _cut(df, max(int(n), 0), order_col, ascending=False)
+
+
+def _cut(df: DataFrame, n: int, order_col: str, ascending: bool) -> DataFrame:
+    """The ``n`` rows at one end of a numeric order column (nulls are the
+    lowest values).
+
+    Quantiles of the column bound RANGES ranges whose rows are counted (one
+    small aggregate each, no row moves). All rows of the ranges inside the
+    cut are kept by a plain filter; only the range that holds the cut is
+    sorted, for what is still missing from it."""
+    key = F.coalesce(F.col(order_col).cast("double"), F.lit(float("-inf")))
+    if n == 0:
+        return df.limit(0)
+    bounds = df.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 100 * RANGES)).first()[0]
+    edges = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
+    place = F.size(F.filter(edges, lambda b: b < key))
+    counts = dict(df.groupBy(place.alias("place")).count().collect())
+    wanted, inside = n, []
+    for at in sorted(counts, reverse=not ascending):
+        if counts[at] > wanted:
+            order = F.col(order_col).asc_nulls_first() if ascending else F.col(order_col).desc_nulls_last()
+            rest = df.filter(place == at).orderBy(order).limit(wanted)
+            limit = sorted(set(bounds))
+            low = key <= limit[at - 1] if ascending and at else key > limit[at] if not ascending and at < len(limit) else None
+            return rest if low is None else df.filter(low).unionByName(rest)
+        wanted -= counts[at]
+        inside.append(at)
+        if not wanted:
+            return df.filter(place <= at if ascending else place >= at)
+    return df
 
 
 def head_examples(df: DataFrame, k: int = 3, order_col: str = "record_id", cut: int = 500) -> DataFrame:
@@ -38,7 +70,7 @@ def head_examples(df: DataFrame, k: int = 3, order_col: str = "record_id", cut:
             cols.append(F.substring(F.to_json(F.col(name)), 1, cut).alias(name))
         else:
             cols.append(F.col(name))
-    return first_rows(df, k, order_col).select(*cols)
+    return df.orderBy(F.col(order_col).asc()).limit(int(k)).select(*cols)  # a few rows per task
 
 
 # -- V1: dataset profile -----------------------------------------------------

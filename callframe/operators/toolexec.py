@@ -8,8 +8,9 @@ never moves more than one row per map task. The "all items" branch reads a
 scalar subquery (exactly one row) instead of joining every item.
 
 Money is summed in DECIMAL so totals do not depend on partitioning or
-order; results are rounded to 2 places (Spark rounds half up on the decimal
-value, Python's ``round`` works on the binary float: settled deviation).
+order; a sum is multiplied by its rate last, in double, so the rate keeps its
+digits. Results are rounded to 2 places (Spark rounds half up on the decimal
+text, Python's ``round`` works on the binary float: settled deviation).
 """
 
 from __future__ import annotations
@@ -63,19 +64,25 @@ def _money(v: Column) -> Column:
     return F.round(v, 2).cast("double")
 
 
+def _times_rate(v: Column, rate: Column) -> Column:
+    """A decimal sum times a rate that keeps all its digits (double),
+    rounded last."""
+    return _money(v.cast("double") * rate)
+
+
 def inventory_value(calls: DataFrame, items: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """C2 on exploded calls named ``inventory_check``: value of the items
     whose code is listed, times the rate; codes NULL or empty mean all
     items. ``status``: ok, or bad_arguments (no ``item_codes`` key, codes
-    not a list, or a rate that is not a number)."""
+    not a list, or a rate that is missing or not a number)."""
     inv = calls.filter(F.col("name") == "inventory_check")
     inv = inv.withColumns({"_codes": J.get("args", "item_codes"), "_rate_v": J.get("args", "conversion_rate")})
     inv = inv.withColumns({"_codes_k": J.kind("_codes"), "_rate_k": J.kind("_rate_v")})
     inv = inv.withColumns({
         "_codes_arr": J.as_array("_codes"),
-        "rate": F.when(F.col("_rate_k") == "number", F.col("_rate_v").try_cast(MONEY)),
+        "rate": F.when(F.col("_rate_k") == "number", F.col("_rate_v").try_cast("double")),
         "status": F.when(F.col("_codes").isNull() | ~F.col("_codes_k").isin("null", "array")
-                         | (F.col("_rate_k") != "number"), F.lit("bad_arguments")).otherwise(F.lit("ok")),
+                         | ~F.coalesce(F.col("_rate_k") == "number", F.lit(False)), F.lit("bad_arguments")).otherwise(F.lit("ok")),
     })
     inv = inv.withColumn("all_items", (F.col("_codes_k") == "null") | (F.size("_codes_arr") == 0))
     codes = (
@@ -92,7 +99,7 @@ def inventory_value(calls: DataFrame, items: DataFrame, keep: list[str] | None =
     value = F.when(F.col("all_items"), total).otherwise(F.coalesce(F.col("listed_value"), F.lit(0)))
     return out.select(
         "call_id", "pos", "status", "all_items",
-        F.when(F.col("status") == "ok", _money(value * F.col("rate"))).alias("value"),
+        F.when(F.col("status") == "ok", _times_rate(value, F.col("rate"))).alias("value"),
         *(keep or []),
     )
 
@@ -128,21 +135,24 @@ def chained_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id", c
     ).select(
         "call_id",
         J.as_string(J.get(J.get("_c0", "arguments"), "item_name")).alias("item_name"),
-        J.get(J.get("_c1", "arguments"), "conversion_rate").try_cast(MONEY).alias("rate"),
+        J.get(J.get("_c1", "arguments"), "conversion_rate").try_cast("double").alias("rate"),
     )
-    found = chained.join(first_item_by_name(items).select("item_name", "item_code"), "item_name", "left")
-    valued = found.join(value_by_code(items), "item_code", "left")
+    # name -> code -> value meet on the items' side, so the calls are joined once
+    # and the rows without an item never share a null key
+    priced = (first_item_by_name(items).select("item_name", "item_code")
+              .join(value_by_code(items), "item_code", "left"))
+    valued = chained.join(priced, "item_name", "left")
     return valued.select(
         "call_id", "item_name", "item_code",
         F.when(F.col("item_code").isNull(), F.lit("not_found")).otherwise(F.lit("ok")).alias("status"),
-        F.when(F.col("item_code").isNotNull(), _money(F.coalesce(F.col("value"), F.lit(0)) * F.col("rate")))
+        F.when(F.col("item_code").isNotNull(), _times_rate(F.coalesce(F.col("value"), F.lit(0)), F.col("rate")))
         .alias("value"),
     )
 
 
 def inventory_total(items: DataFrame, rate: float = 1.0) -> DataFrame:
     """``round(sum(cost * quantity * rate), 2)`` over all items."""
-    return items.agg(_money(F.sum(_item_value(items)) * F.lit(rate).cast(MONEY)).alias("total_value"),
+    return items.agg(_times_rate(F.sum(_item_value(items)), F.lit(float(rate))).alias("total_value"),
                      F.count(F.lit(1)).alias("items"))
 
 
@@ -195,7 +205,7 @@ def executed_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id",
     cols = ["call_id", "pos", "name", "args_text", "result"]
     # each tool's results carry the call's own columns: a union, no join back
     checks = inventory_value(ex, items, keep).select(
-        *cols[:-1], F.format_string("%.2f", F.col("value")).alias("result"))
+        *cols[:-1], F.when(F.col("value").isNotNull(), F.format_string("%.2f", F.col("value"))).alias("result"))
     fetches = item_by_name(ex, items, keep).select(*cols[:-1], F.col("item_code").alias("result"))
     others = ex.filter(~F.coalesce(F.col("name").isin("inventory_check", "fetch_item_by_name"), F.lit(False))) \
         .select(*cols[:-1], F.lit(None).cast("string").alias("result"))
@@ -204,30 +214,35 @@ def executed_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id",
 
 def transcripts(executed: DataFrame, questions: DataFrame) -> DataFrame:
     """Per record, user turn with context, then per executed call an
-    assistant turn with the call (id, name, arguments) and a tool turn with
-    its result, then ``Answer:``. ``executed``: ``call_id, pos, name,
-    args_text, result``; ``questions``: ``call_id, question``. Messages
-    are rendered with ChatML markers; the per-record group is bounded by the
-    number of calls in that record (one row's array)."""
+    assistant turn with the call (id, type, function name and arguments) and a
+    tool turn with the tool's name and result, then ``Answer:``. A record
+    without calls has only the first and the last turn. ``executed``:
+    ``call_id, pos, name, args_text, result``; ``questions``: ``call_id,
+    question``. Messages are rendered with ChatML markers; the per-record
+    group is bounded by the number of calls in that record (one row's
+    array)."""
+    name = F.coalesce(F.col("name"), F.lit(""))
+    # JSON text of the name alone, quotes and escapes included
+    quoted = F.regexp_extract(F.to_json(F.struct(name.alias("n"))), r'(?s)^\{"n":(.*)\}$', 1)
     turns = executed.select(
         "call_id", "pos",
         F.concat(
-            F.lit("<|im_start|>assistant\n<tool_call>\n{\"id\":\""), call_id(F.col("call_id"), F.col("pos")),
-            F.lit("\",\"name\":\""), F.coalesce(F.col("name"), F.lit("")), F.lit("\",\"arguments\":"),
+            F.lit('<|im_start|>assistant\n<tool_call>\n{"id":"'), call_id(F.col("call_id"), F.col("pos")),
+            F.lit('","type":"function","function":{"name":'), quoted, F.lit(',"arguments":'),
             F.coalesce(F.col("args_text"), F.lit("null")),
-            F.lit("}\n</tool_call><|im_end|>\n<|im_start|>tool\n"), F.coalesce(F.col("result"), F.lit("null")),
-            F.lit("<|im_end|>\n"),
+            F.lit("}}\n</tool_call><|im_end|>\n<|im_start|>tool\n"), name, F.lit("\n"),
+            F.coalesce(F.col("result"), F.lit("null")), F.lit("<|im_end|>\n"),
         ).alias("turn_text"),
     )
     grouped = turns.groupBy("call_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "turn_text"))).alias("_turns"))
-    joined = questions.join(grouped, "call_id")
-    prompt = F.concat(F.lit(CONTEXT_PROMPT.split("{question}")[0]), F.col("question"))
+    joined = questions.join(grouped, "call_id", "left")
+    prompt = F.concat(F.lit(CONTEXT_PROMPT.split("{question}")[0]), F.coalesce(F.col("question"), F.lit("")))
     return joined.select(
         "call_id",
         F.concat(
             F.lit("<|im_start|>user\n"), prompt, F.lit("<|im_end|>\n"),
-            F.array_join(F.transform("_turns", lambda t: t["turn_text"]), ""),
+            F.coalesce(F.array_join(F.transform("_turns", lambda t: t["turn_text"]), ""), F.lit("")),
             F.lit("<|im_start|>assistant\n" + ANSWER_PREFIX),
         ).alias("transcript"),
     )

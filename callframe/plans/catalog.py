@@ -171,7 +171,7 @@ QUERIES.update({
 # -- V / P / D: checks, selection, derived jobs -----------------------------
 
 
-DATASET_LIMIT = 60000      # first rows used for training (the base profile)
+DATASET_LIMIT = 2000       # first rows used for training (a profile's setting)
 EVAL_SAMPLES = 100         # evaluation rows taken from the end of the split
 
 
@@ -205,18 +205,22 @@ def q_item_rules(spark, sf_dir):
 
 
 def q_train_limit(spark, sf_dir):
-    return V.first_rows(_unified_records(spark, sf_dir), DATASET_LIMIT).select("record_id", "query")
+    truth, _ = _truth_and_outputs(spark, sf_dir)
+    records, _ = N.split(N.normalize_flat(V.first_rows(truth, DATASET_LIMIT)))
+    return records.select("record_id", "query")
 
 
 def q_eval_tail(spark, sf_dir):
-    return V.last_rows(_unified_records(spark, sf_dir), EVAL_SAMPLES).select("record_id", "query")
+    truth, _ = _truth_and_outputs(spark, sf_dir)
+    records, _ = N.split(N.normalize_flat(V.last_rows(truth, EVAL_SAMPLES)))
+    return records.select("record_id", "query")
 
 
 def q_overlap(spark, sf_dir):
-    recs = _unified_records(spark, sf_dir)
-    train = V.first_rows(recs, DATASET_LIMIT)
-    evaluation = V.last_rows(recs, EVAL_SAMPLES)
-    return V.overlap(train.select("query"), evaluation.select("record_id", "query"))
+    """Rows of one whole table whose query also occurs in another."""
+    train, _ = _truth_and_outputs(spark, sf_dir)
+    evaluation = fixture(spark, sf_dir, "flat_rows").select(F.col("row_id").alias("record_id"), "query")
+    return V.overlap(train.select("query"), evaluation)
 
 
 def q_tool_catalogue(spark, sf_dir):
@@ -254,8 +258,8 @@ def q_inventory_total(spark, sf_dir):
 
 def q_vector_sum(spark, sf_dir):
     pairs = C.vector_sum(fixture(configure(spark), sf_dir, "vector_pairs"))
-    return pairs.select("vec_id", F.posexplode("vsum").alias("pos", "value")).select(
-        "vec_id", "pos", F.round("value", 6).alias("value"))
+    return pairs.select("vec_id", "error", F.posexplode_outer("vsum").alias("pos", "value")).select(
+        "vec_id", "pos", F.round("value", 6).alias("value"), "error")
 
 
 def q_dot_product(spark, sf_dir):
@@ -307,9 +311,9 @@ def q_stream_score(spark, sf_dir):
     spark = configure(spark)
     truth, outputs = _truth_and_outputs(spark, sf_dir)
     base = scratch_path(spark, "stream-score")
-    outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
+    outputs.write.mode("overwrite").parquet(f"{base}/outputs")
     static = W.write_prepared_truth(truth, f"{base}/truth", table=_table_name(base))
-    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
+    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema)
     scored = W.score_stream(stream, static, prepared=True)
     W.run_append(scored, f"{base}/trace", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/trace")
@@ -320,8 +324,8 @@ def q_stream_divergence(spark, sf_dir):
     spark = configure(spark)
     logs = fixture(spark, sf_dir, "loss_log").withColumn("ts", F.col("ts").cast("timestamp"))
     base = scratch_path(spark, "stream-divergence")
-    logs.repartition(8).write.mode("overwrite").parquet(f"{base}/logs")
-    stream = W.read_stream(spark, f"{base}/logs", logs.schema, max_files_per_trigger=4)
+    logs.write.mode("overwrite").parquet(f"{base}/logs")
+    stream = W.read_stream(spark, f"{base}/logs", logs.schema)
     W.run_complete(W.divergence_stream(stream), f"{base}/result", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/result")
 
@@ -344,8 +348,8 @@ def q_stream_outcome_windows(spark, sf_dir):
     stamped = truth.join(events.select(F.col("event_id").alias("record_id"),
                                        F.col("ts").cast("timestamp").alias("event_time")), "record_id")
     prepared = W.write_prepared_truth(stamped, f"{base}/truth", table=_table_name(base))
-    outputs.repartition(8).write.mode("overwrite").parquet(f"{base}/outputs")
-    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema, max_files_per_trigger=4)
+    outputs.write.mode("overwrite").parquet(f"{base}/outputs")
+    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema)
     scored = S.decide(O.parse_outputs(stream).join(prepared, "record_id", "inner"))
     W.run_complete(W.outcome_windows(scored, "event_time"), f"{base}/windows", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/windows").select(

@@ -15,7 +15,7 @@ Actions happen only here. Paths are on shared storage (the caller's).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callframe.operators import corpus as T
@@ -34,59 +34,89 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
         raise PipelineError(f"cannot read {path}: {e}") from e
 
 
-def precheck_first_row(normalized: DataFrame, order_col: str = "record_id") -> None:
-    """The first row must form a record before the job runs."""
-    first = normalized.orderBy(order_col).select("error").limit(1).collect()
+def normalized_rows(raw: DataFrame, dataset_name: str = "", fmt: str | None = None, order_col: str = "record_id",
+                    **normalize_kw) -> DataFrame:
+    """The input's rows as records, by format or dataset name. The
+    columns of flat and nested inputs travel with the record."""
+    fmt = fmt or N.format_for(dataset_name)
+    if fmt == "xlam":
+        return N.normalize_flat(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
+    if fmt == "sharegpt":
+        return N.normalize_conversations(raw, id_col=order_col, **normalize_kw)
+    return N.normalize_turns(raw, **normalize_kw)
+
+
+def precheck_first_row(raw: DataFrame, normalize, order_col: str = "record_id") -> None:
+    """The first row must form a record before the job runs. Only that
+    row is normalised."""
+    first = normalize(raw.orderBy(order_col).limit(1)).select("error").collect()
     if first and first[0]["error"] is not None:
         raise SchemaValidationError(f"first row is not a record: {first[0]['error']}")
 
 
+def _write_counted(df: DataFrame, path: str) -> int:
+    """Write and count in one pass."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    return seen.get["n"]
+
+
 def build_corpus(spark: SparkSession, input_path: str, output_path: str, quarantine_path: str | None = None,
                  dataset_name: str = "", fmt: str | None = None, input_format: str = "parquet",
                  limit: int | None = None, order_col: str = "record_id", on_error: str = "quarantine",
                  template: T.ChatTemplate = T.CHATML, style: str = "compact", **normalize_kw) -> dict:
-    """Process phase. Returns counts of written and quarantined rows."""
+    """Process phase. Returns counts of written and quarantined rows. A row
+    that is no record, or whose text cannot be built, goes to the quarantine
+    with its reason and is never written to the corpus."""
     spark = configure(spark)
     raw = V.first_rows(_read(spark, input_path, input_format), limit, order_col)
-    fmt = fmt or N.format_for(dataset_name)
-    if fmt == "xlam":
-        # The input's own columns travel with the record (no re-join)
-        normalized = N.normalize_flat(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
-    elif fmt == "sharegpt":
-        normalized = N.normalize_conversations(raw, id_col=order_col, **normalize_kw)
-    else:
-        normalized = N.normalize_turns(raw, **normalize_kw)
-    precheck_first_row(normalized)
-    records, quarantine = N.split(normalized)
-    if on_error == "fail" and quarantine.limit(1).count():
+
+    def normalize(rows: DataFrame) -> DataFrame:
+        return normalized_rows(rows, dataset_name, fmt, order_col, **normalize_kw)
+
+    if (fmt or N.format_for(dataset_name)) != "turns" and order_col in raw.columns:
+        precheck_first_row(raw, normalize, order_col)
+    records, quarantine = N.split(normalize(raw))
+    corpus = N.keep_filters_above(T.training_text(records, template, style))
+    good = corpus.filter(F.col("corpus_error").isNull() & (F.col("_pid") >= 0)).drop("_pid")
+    broken = corpus.filter(F.col("corpus_error").isNotNull() & (F.col("_pid") >= 0))
+    rejected = quarantine.select("record_id", "error").unionByName(
+        broken.select("record_id", F.col("corpus_error").alias("error")))
+    if on_error == "fail" and not rejected.isEmpty():
         raise SchemaValidationError("rows that are not records: see the quarantine")
-    corpus = T.training_text(records, template, style)
-    write_table(corpus, output_path)
-    written = spark.read.parquet(output_path).count()
-    bad = 0
-    if quarantine_path and on_error == "quarantine":
-        write_table(quarantine, quarantine_path)
-        bad = spark.read.parquet(quarantine_path).count()
+    written = _write_counted(good, output_path)
+    bad = _write_counted(rejected, quarantine_path) if quarantine_path and on_error == "quarantine" else 0
     return {"written": written, "quarantined": bad}
 
 
 def evaluate(spark: SparkSession, truth_path: str, outputs_path: str, reports_dir: str,
              num_samples: int | None = None, order_col: str = "record_id", fmt: str = "parquet",
-             by: list[str] | None = None) -> dict:
-    """Evaluate phase: trace (JSON lines) and the metrics report (JSON)."""
+             by: list[str] | None = None, dataset_name: str = "xlam", record_format: str | None = None,
+             test_split: bool = False) -> dict:
+    """Evaluate phase: trace (JSON lines) and the metrics report (JSON).
+    ``num_samples`` takes the first rows of a test split, else the last rows
+    of the training split. With ``by`` the report has one row per group and
+    the number of groups is returned."""
     spark = configure(spark)
     truth = _read(spark, truth_path, fmt)
     if num_samples:
-        truth = V.last_rows(truth, num_samples, order_col)          # P2
-    records, _ = N.split(N.normalize_flat(truth, id_col=order_col))  # rows that do not parse are skipped (P5)
+        truth = V.first_rows(truth, num_samples, order_col) if test_split else V.last_rows(truth, num_samples, order_col)
+    # rows that do not parse are skipped (P5)
+    records, _ = N.split(normalized_rows(truth, dataset_name, record_format, order_col))
+    records = records.select("record_id", "query", "tools", "answers")
     outputs = _read(spark, outputs_path, fmt).withColumnRenamed(order_col, "record_id")
     scored = S.score(records, outputs)
     trace_path = f"{reports_dir.rstrip('/')}/trace"
     write_table(S.trace(scored), trace_path, fmt="json")             # S5
     trace = spark.read.schema(_TRACE_SCHEMA).json(trace_path)
+    metrics_path = f"{reports_dir.rstrip('/')}/metrics"
     report = report_frame(trace, by)
-    write_table(report.coalesce(1), f"{reports_dir.rstrip('/')}/metrics", fmt="json")  # S6, one row
-    return report.first().asDict(recursive=True)
+    if by:
+        write_table(report, metrics_path, fmt="json")
+        return {"groups": spark.read.json(metrics_path).count()}
+    row = report.first()                                              # one row
+    write_table(spark.createDataFrame([row], report.schema), metrics_path, fmt="json")  # S6
+    return row.asDict(recursive=True)
 
 
 _TRACE_SCHEMA = ("sample_id bigint, query string, available_tools string, answers_str_raw string, "
@@ -117,11 +147,12 @@ def report_frame(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def smoke_check(spark: SparkSession, input_path: str, report_path: str, input_format: str = "parquet",
-                order_col: str = "record_id", examples: int = 3, **normalize_kw) -> bool:
+                order_col: str = "record_id", examples: int = 3, dataset_name: str = "xlam",
+                fmt: str | None = None, **normalize_kw) -> bool:
     """Smoke phase over the whole split; returns the gate (V5)."""
     spark = configure(spark)
     raw = _read(spark, input_path, input_format)
-    normalized = N.normalize_flat(raw, id_col=order_col, **normalize_kw)
+    normalized = normalized_rows(raw, dataset_name, fmt, order_col, **normalize_kw)
     checked = V.adapter_check(normalized)
     summary = V.adapter_summary(checked).first().asDict()
     records, _ = N.split(normalized)

@@ -401,12 +401,10 @@ SELECT r.rule, CAST(r.violations AS BIGINT) AS violations, r.items FROM (
   UNION ALL SELECT 'cost_positive', count(*) FILTER (WHERE NOT coalesce(cost > 0, false)), count(*) FROM items
   UNION ALL SELECT 'quantity_non_negative', count(*) FILTER (WHERE NOT coalesce(quantity >= 0, false)), count(*) FROM items) r"""
 
-ORACLE["train_limit"] = fixture_cte("records") + "\nSELECT record_id, query FROM records ORDER BY record_id LIMIT 60000"
+ORACLE["train_limit"] = fixture_cte("records") + "\nSELECT record_id, query FROM records ORDER BY record_id LIMIT 2000"
 ORACLE["eval_tail"] = fixture_cte("records") + "\nSELECT record_id, query FROM records ORDER BY record_id DESC LIMIT 100"
-ORACLE["overlap"] = fixture_cte("records") + """
-, tr AS (SELECT query FROM records ORDER BY record_id LIMIT 60000),
-ev AS (SELECT record_id, query FROM records ORDER BY record_id DESC LIMIT 100)
-SELECT query, record_id FROM ev WHERE query IN (SELECT query FROM tr)"""
+ORACLE["overlap"] = fixture_cte("records", "flat_rows") + """
+SELECT query, row_id AS record_id FROM flat_rows WHERE query IN (SELECT query FROM records)"""
 
 ORACLE["tool_catalogue"] = fixture_cte("flat_rows") + f"""
 , ok AS (SELECT tools FROM flat_rows WHERE ({_FLAT_ERROR}) IS NULL),
@@ -421,10 +419,18 @@ FROM f GROUP BY 1"""
 # -- C / A6: tool execution ------------------------------------------------------
 
 _MONEY = "DECIMAL(20,6)"
+
+
+def _rounded(v: str) -> str:
+    """Two places, half up on the double's decimal text (as Spark rounds)."""
+    return f"CAST(round(CAST(CAST({v} AS VARCHAR) AS DECIMAL(38,10)), 2) AS DOUBLE)"
+
+
 _CALLS = fixture_cte("inventory_calls", "items") + f"""
 , ex AS (
   SELECT call_id, i AS pos, json_extract(calls, '$[' || i || ']') AS c
-  FROM (SELECT call_id, calls, unnest(range(CAST(json_array_length(calls) AS BIGINT))) AS i FROM inventory_calls)),
+  FROM (SELECT call_id, calls, unnest(range(CAST(json_array_length(calls) AS BIGINT))) AS i
+        FROM inventory_calls WHERE json_valid(calls))),
 by_code AS (SELECT item_code, sum(CAST(cost AS {_MONEY}) * quantity) AS v FROM items GROUP BY item_code),
 first_by_name AS (SELECT name AS item_name, arg_min(item_code, item_order) AS item_code FROM items GROUP BY name)
 """
@@ -436,7 +442,7 @@ _INV_CTES = f"""
 inv2 AS (
   SELECT call_id, pos, json_type(args, '$.item_codes') AS ck, json_extract(args, '$.item_codes') AS codes,
     CASE WHEN json_type(args, '$.conversion_rate') IN ('BIGINT', 'UBIGINT', 'DOUBLE')
-         THEN CAST(json_extract(args, '$.conversion_rate') AS {_MONEY}) END AS rate
+         THEN CAST(json_extract(args, '$.conversion_rate') AS DOUBLE) END AS rate
   FROM inv),
 inv3 AS (
   SELECT *, CASE WHEN ck IS NULL OR ck NOT IN ('NULL', 'ARRAY') OR rate IS NULL THEN 'bad_arguments' ELSE 'ok' END AS status,
@@ -449,8 +455,7 @@ listed AS (
   JOIN by_code b ON b.item_code = x.code GROUP BY x.call_id, x.pos)
 """
 _INV_SELECT = f"""SELECT i.call_id, CAST(i.pos AS INTEGER) AS pos, i.status, i.all_items,
-  CASE WHEN i.status = 'ok' THEN CAST(round(CASE WHEN i.all_items
-      THEN (SELECT sum(CAST(cost AS {_MONEY}) * quantity) FROM items) ELSE coalesce(l.v, 0) END * i.rate, 2) AS DOUBLE) END AS value
+  CASE WHEN i.status = 'ok' THEN {_rounded(f"CAST(CASE WHEN i.all_items THEN (SELECT sum(CAST(cost AS {_MONEY}) * quantity) FROM items) ELSE coalesce(l.v, 0) END AS DOUBLE) * i.rate")} END AS value
 FROM inv3 i LEFT JOIN listed l ON l.call_id = i.call_id AND l.pos = i.pos"""
 ORACLE["inventory_value"] = _CALLS + _INV_CTES + _INV_SELECT
 
@@ -465,23 +470,25 @@ FROM fetched f LEFT JOIN first_by_name n ON n.item_name = f.item_name"""
 ORACLE["chained_calls"] = _CALLS + f"""
 , ch AS (
   SELECT call_id, json_extract_string(calls, '$[0].arguments.item_name') AS item_name,
-    CAST(json_extract(calls, '$[1].arguments.conversion_rate') AS {_MONEY}) AS rate
-  FROM inventory_calls
+    CAST(json_extract(calls, '$[1].arguments.conversion_rate') AS DOUBLE) AS rate
+  FROM (SELECT call_id, CASE WHEN json_valid(calls) THEN calls END AS calls FROM inventory_calls)
   WHERE json_extract_string(calls, '$[0].name') = 'fetch_item_by_name'
     AND json_extract_string(calls, '$[1].name') = 'inventory_check')
 SELECT ch.call_id, ch.item_name, n.item_code,
   CASE WHEN n.item_code IS NULL THEN 'not_found' ELSE 'ok' END AS status,
-  CASE WHEN n.item_code IS NOT NULL THEN CAST(round(coalesce(b.v, 0) * ch.rate, 2) AS DOUBLE) END AS value
+  CASE WHEN n.item_code IS NOT NULL THEN {_rounded("CAST(coalesce(b.v, 0) AS DOUBLE) * ch.rate")} END AS value
 FROM ch LEFT JOIN first_by_name n ON n.item_name = ch.item_name
 LEFT JOIN by_code b ON b.item_code = n.item_code"""
 
 ORACLE["inventory_total"] = fixture_cte("items") + f"""
-SELECT CAST(round(sum(CAST(cost AS {_MONEY}) * quantity) * CAST(1.0 AS {_MONEY}), 2) AS DOUBLE) AS total_value,
+SELECT {_rounded(f"CAST(sum(CAST(cost AS {_MONEY}) * quantity) AS DOUBLE) * 1.0")} AS total_value,
   count(*) AS items FROM items"""
 
 ORACLE["vector_sum"] = fixture_cte("vector_pairs") + """
-SELECT vec_id, CAST(i AS INTEGER) AS pos, round(CAST(a[i + 1] AS DOUBLE) + CAST(b[i + 1] AS DOUBLE), 6) AS value
-FROM (SELECT vec_id, a, b, unnest(range(len(a))) AS i FROM vector_pairs WHERE len(a) = len(b))"""
+SELECT vec_id, CAST(i AS INTEGER) AS pos, round(CAST(a[i + 1] AS DOUBLE) + CAST(b[i + 1] AS DOUBLE), 6) AS value,
+  CAST(NULL AS VARCHAR) AS error
+FROM (SELECT vec_id, a, b, unnest(range(len(a))) AS i FROM vector_pairs WHERE len(a) = len(b))
+UNION ALL SELECT vec_id, NULL, NULL, 'Vectors must be of the same length' FROM vector_pairs WHERE len(a) <> len(b)"""
 
 ORACLE["dot_product"] = fixture_cte("vector_pairs") + """
 SELECT vec_id,
@@ -506,15 +513,15 @@ named AS (
 turns AS (
   SELECT n.call_id, n.pos,
     '<|im_start|>assistant' || chr(10) || '<tool_call>' || chr(10) || '{{"id":"' || substring(sha256(CAST(n.call_id AS VARCHAR) || ':' || CAST(n.pos AS VARCHAR)), 1, 9)
-    || '","name":"' || coalesce(n.name, '') || '","arguments":' || coalesce(n.args_text, 'null') || '}}' || chr(10) || '</tool_call><|im_end|>' || chr(10)
-    || '<|im_start|>tool' || chr(10)
+    || '","type":"function","function":{{"name":' || CAST(to_json(coalesce(n.name, '')) AS VARCHAR) || ',"arguments":' || coalesce(n.args_text, 'null') || '}}}}' || chr(10) || '</tool_call><|im_end|>' || chr(10)
+    || '<|im_start|>tool' || chr(10) || coalesce(n.name, '') || chr(10)
     || coalesce(CASE WHEN n.name = 'inventory_check' THEN printf('%.2f', v.value) WHEN n.name = 'fetch_item_by_name' THEN n.item_code END, 'null')
     || '<|im_end|>' || chr(10) AS turn_text
   FROM named n LEFT JOIN vals v ON v.call_id = n.call_id AND v.pos = n.pos)
-SELECT call_id,
+SELECT c.call_id,
   '<|im_start|>user' || chr(10) || '{_CTX}{_Q}' || '<|im_end|>' || chr(10)
-  || string_agg(turn_text, '' ORDER BY pos) || '<|im_start|>assistant' || chr(10) || 'Answer:' || chr(10) AS transcript
-FROM turns GROUP BY call_id"""
+  || coalesce(string_agg(t.turn_text, '' ORDER BY t.pos), '') || '<|im_start|>assistant' || chr(10) || 'Answer:' || chr(10) AS transcript
+FROM inventory_calls c LEFT JOIN turns t ON t.call_id = c.call_id GROUP BY c.call_id"""
 
 ORACLE["stream_outcome_windows"] = _with_scored() + """
 SELECT strftime(time_bucket(INTERVAL 1 HOUR, e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, s.outcome,

@@ -21,10 +21,6 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rows here are small but costly (JSON, regex): keep post-shuffle
-    # partitions from being merged below 128 KB so CPU work stays spread.
-    # Large inputs are far above this and unaffected.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "131072",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -47,7 +43,7 @@ def get_session(master: str | None = None, app: str = "callframe",
     builder = builder.config("spark.ui.enabled", "false")
     if master and master.startswith("local"):
         # local mode: the driver is the only JVM
-        builder = builder.config("spark.driver.memory", os.environ.get("CALLFRAME_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("CALLFRAME_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

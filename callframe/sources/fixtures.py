@@ -79,13 +79,17 @@ FROM @part
 INVENTORY_CALLS = """
 SELECT event_id AS call_id,
   CASE
-    WHEN event_id % 40 = 0 THEN '[{"name":"inventory_check","arguments":{"item_codes":null,"conversion_rate":0.5}}]'
-    WHEN event_id % 40 = 10 THEN '[{"name":"inventory_check","arguments":{"item_codes":[],"conversion_rate":0.25}}]'
-    WHEN event_id % 40 = 20 THEN '[{"name":"inventory_check","arguments":{"item_codes":["ITEM-'||lpad(CAST(user_id AS STRING), 7, '0')||'","ITEM-0000007","ITEM-0000007"],"conversion_rate":2}}]'
-    ELSE '[{"name":"fetch_item_by_name","arguments":{"item_name":"'||CASE WHEN event_id % 80 = 30 THEN 'blue bolt' ELSE 'no such item' END||'"}},{"name":"inventory_check","arguments":{"item_codes":null,"conversion_rate":0.5}}]'
+    WHEN event_id % 23 = 0 THEN '[]'
+    WHEN event_id % 23 = 1 THEN 'not json'
+    WHEN event_id % 23 = 2 THEN '[{"name":"inventory_check","arguments":{"item_codes":null}}]'
+    WHEN event_id % 23 = 3 THEN '[{"name":"inventory_check","arguments":{"item_codes":null,"conversion_rate":0.1234567}}]'
+    WHEN event_id % 23 = 4 THEN '[{"name":"say '||chr(92)||'"hi'||chr(92)||'"","arguments":{"n":1}}]'
+    WHEN event_id % 4 = 0 THEN '[{"name":"inventory_check","arguments":{"item_codes":null,"conversion_rate":0.5}}]'
+    WHEN event_id % 4 = 1 THEN '[{"name":"inventory_check","arguments":{"item_codes":[],"conversion_rate":0.25}}]'
+    WHEN event_id % 4 = 2 THEN '[{"name":"inventory_check","arguments":{"item_codes":["ITEM-'||lpad(CAST(user_id AS STRING), 7, '0')||'","ITEM-0000007","ITEM-0000007"],"conversion_rate":2}}]'
+    ELSE '[{"name":"fetch_item_by_name","arguments":{"item_name":"'||CASE WHEN event_id % 8 = 3 THEN 'blue bolt' ELSE 'no such item' END||'"}},{"name":"inventory_check","arguments":{"item_codes":null,"conversion_rate":0.5}}]'
   END AS calls
 FROM @events
-WHERE event_id % 10 = 0
 """
 
 # Training log (FIXTURES.md "loss_log").
@@ -118,9 +122,11 @@ SELECT event_id AS row_id,
 FROM @events
 """
 
-# Pairs of embeddings: each vector with its successor.
+# Pairs of embeddings: each vector with its successor; some successors have
+# one value more.
 VECTOR_PAIRS = """
-SELECT a.vec_id AS vec_id, a.embedding AS a, b.embedding AS b
+SELECT a.vec_id AS vec_id, a.embedding AS a,
+  CASE WHEN a.vec_id % 13 = 5 THEN array_append(b.embedding, CAST(0 AS FLOAT)) ELSE b.embedding END AS b
 FROM @embeddings a JOIN @embeddings b ON b.vec_id = a.vec_id + 1
 """
 

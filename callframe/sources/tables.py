@@ -9,24 +9,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+#: session setting: deal small tables out to this many partitions when read
+#: (for a bench whose tables are one Parquet row group each); unset by default
+READ_PARTITIONS = "spark.callframe.readPartitions"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table. Columns are pruned and filters pushed into the
     Parquet scan by the optimizer, so readers never select early."""
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A small table stored as one Parquet row group is a single task, which
-    would run all row-wise JSON and regex work on one core. Large inputs
-    have far more splits than cores and pass through unchanged (no
-    shuffle). The round-robin exchange sits above the scan, so column
-    pruning and filter pushdown still reach the Parquet reader."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    wanted = spark.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -58,7 +58,8 @@ def write_prepared_truth(truth: DataFrame, path: str, table: str | None = None,
         prepared.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (prepared.write.mode("overwrite").format("parquet").option("path", path)
+    # one task per bucket writes it, so a bucket is one file
+    (prepared.repartition(n, key).write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(n, key).sortBy(key).saveAsTable(table))
     return spark.table(table)
 

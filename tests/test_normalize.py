@@ -1,9 +1,7 @@
 """Record normalisation: answer normalisation, extraction from text, the
-conversation fold as a set rule (property test against an ordered fold),
-nested = long form, flat rows and quarantine."""
+conversation fold (table of turns and results, one property), nested = long form, flat rows and quarantine."""
 
 import json
-import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,53 +47,51 @@ def test_extract_answers(spark):
         assert got[i] == expected, text
 
 
-def _fold(turns):
-    """The reference's ordered loop over (role, content), as described."""
-    query, answers = "", "[]"
-    for role, content in turns:
-        if role == "user":
-            query = content
-        elif role == "function_call":
-            answers = _norm_call(content)
-        elif role == "assistant" and answers == "[]":
-            answers = _norm_text(content)
-    return query, answers
-
-
-def _norm_call(c):
-    try:
-        v = json.loads(c.strip())
-    except ValueError:
-        return "[]"
-    return json.dumps(v, separators=(",", ":")) if isinstance(v, list) else "[]"
-
-
-def _norm_text(c):
-    m = re.search(r"<tool_call>\s*(.*?)\s*</tool_call>", c, re.DOTALL)
-    if m:
-        return _norm_call(m.group(1))
-    return "[]"
+U1, U2 = ("user", "q1"), ("user", "q2")
+CALL, BAD, NONE = ("function_call", '[{"name":"a"}]'), ("function_call", "oops"), ("function_call", "[]")
+PLAIN, TAG_B, TAG_C = ("assistant", "plain"), ("assistant", '<tool_call>[{"name":"b"}]</tool_call>'), (
+    "assistant", '<tool_call>[{"name":"c"}]</tool_call>')
+A, B, C = '[{"name":"a"}]', '[{"name":"b"}]', '[{"name":"c"}]'
+
+# turns of a conversation -> (query, answers)
+FOLD_CASES = [
+    ([("system", "sys")], ("", "[]")),
+    ([U1], ("q1", "[]")),
+    ([U1, U2], ("q2", "[]")),
+    ([U1, PLAIN], ("q1", "[]")),
+    ([U1, CALL], ("q1", A)),
+    ([CALL, U1], ("q1", A)),
+    ([U1, TAG_B], ("q1", B)),
+    ([U1, TAG_B, TAG_C], ("q1", B)),            # the first text with calls counts
+    ([U1, PLAIN, TAG_C, TAG_B], ("q1", C)),
+    ([U1, CALL, TAG_B], ("q1", A)),             # a call outweighs a later text
+    ([U1, TAG_B, CALL], ("q1", A)),             # and an earlier one
+    ([U1, TAG_B, BAD], ("q1", "[]")),           # an unreadable call clears
+    ([U1, TAG_B, BAD, TAG_C], ("q1", C)),       # and a later text fills again
+    ([U1, CALL, NONE], ("q1", "[]")),
+    ([U1, CALL, NONE, PLAIN, TAG_B, U2], ("q2", B)),
+    ([U1, BAD, CALL, TAG_C], ("q1", A)),
+]
 
 
-TURN = st.sampled_from([
-    ("user", "q1"), ("user", "q2"),
-    ("function_call", '[{"name":"a"}]'), ("function_call", "oops"), ("function_call", "[]"),
-    ("assistant", "plain"), ("assistant", '<tool_call>[{"name":"b"}]</tool_call>'),
-    ("assistant", '<tool_call>[{"name":"c"}]</tool_call>'), ("system", "sys"),
-])
+def test_fold_by_table(spark):
+    data = [(cid, t, role, content) for cid, (turns, _) in enumerate(FOLD_CASES)
+            for t, (role, content) in enumerate(turns)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, content string")
+    got = {r["record_id"]: (r["query"], r["answers"]) for r in rows(N.normalize_turns(df))}
+    for cid, (turns, expected) in enumerate(FOLD_CASES):
+        assert got[cid] == expected, turns
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(TURN, min_size=0, max_size=7), min_size=1, max_size=6))
-def test_fold_equals_set_rule(spark, convs):
-    data = [(cid, t, role, content) for cid, turns in enumerate(convs) for t, (role, content) in enumerate(turns)]
-    if not data:
-        return
-    df = spark.createDataFrame(data, "conv_id long, turn long, role string, content string")
-    got = {r["record_id"]: (r["query"], r["answers"]) for r in rows(N.normalize_turns(df))}
-    for cid, turns in enumerate(convs):
-        if turns:
-            assert got[cid] == _fold(turns), turns
+@given(st.lists(st.sampled_from([U1, U2, CALL, BAD, NONE, PLAIN, TAG_B, TAG_C]), min_size=1, max_size=7),
+       st.lists(st.sampled_from([CALL, BAD, NONE, PLAIN, TAG_B, TAG_C]), max_size=4))
+def test_a_last_readable_call_decides(spark, before, after):
+    """Whatever came before, a readable call followed only by texts wins."""
+    turns = [*before, *after, CALL, TAG_B, PLAIN]
+    df = spark.createDataFrame([(1, t, r, c) for t, (r, c) in enumerate(turns)],
+                               "conv_id long, turn long, role string, content string")
+    assert rows(N.normalize_turns(df))[0]["answers"] == A
 
 
 def test_nested_equals_long(spark):

@@ -32,9 +32,15 @@ def test_profile_types_from_schema(spark):
 
 def test_limits_and_overlap(spark):
     df = spark.createDataFrame([(i, f"q{i % 3}") for i in range(10)], "record_id long, query string")
-    assert [r["record_id"] for r in rows(V.first_rows(df, 3))] == [0, 1, 2]
+    assert sorted(r["record_id"] for r in rows(V.first_rows(df, 3))) == [0, 1, 2]
     assert V.first_rows(df, 0).count() == 10
-    assert [r["record_id"] for r in rows(V.last_rows(df, 2))] == [9, 8]
+    assert sorted(r["record_id"] for r in rows(V.last_rows(df, 2))) == [8, 9]
+    big = spark.range(5000).selectExpr("pmod(id * 7919, 5000) AS record_id", "id")
+    for n in (1, 777, 4999, 5000, 6000):
+        assert sorted(r["record_id"] for r in rows(V.first_rows(big, n))) == list(range(min(n, 5000)))
+        assert sorted(r["record_id"] for r in rows(V.last_rows(big, n))) == list(range(max(0, 5000 - n), 5000))
+    ties = spark.createDataFrame([(i // 4, i) for i in range(40)], "record_id long, id long")
+    assert sorted(r["record_id"] for r in rows(V.last_rows(ties, 6))) == [8, 8, 9, 9, 9, 9]
     ov = V.overlap(V.first_rows(df, 3), V.last_rows(df, 2))
     assert sorted(r["record_id"] for r in rows(ov)) == [8, 9]
 
