@@ -153,22 +153,27 @@ def signatures(rows: DataFrame) -> DataFrame:
     return map_texts(rows.select("key", "id", "text"), task, [("bands", "array<bigint>")], carry=["id"])
 
 
-def verified(pairs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose shingle sets share at least ``similarity`` of
-    their union. Only texts of some candidate are shingled and moved."""
-    pairs = written(pairs, "near-pairs")
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def shingle_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, s) of the texts named by ``keys``: their shingles' 32-bit hashes.
 
+    Copies are reduced to one text per task before anything moves, and each
+    remaining text is moved once. The keys grow with the corpus, so they are
+    merged, never broadcast."""
     def task():
         def batch(keys, _, texts):
             yield [keys, [(shingles(t)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist() for t in texts]]
 
         return batch
 
-    texts = rows.join(ends, "key", "left_semi").dropDuplicates(["key"]).select("key", "text")
-    sets = written(map_texts(texts, task, [("s", "array<int>")]), "near-sets")
-    both = (pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b"))
+    texts = rows.groupBy("key").agg(F.first("text").alias("text"))
+    return map_texts(texts.join(keys.hint("merge"), "key", "left_semi"), task, [("s", "array<int>")])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose shingle sets share at least ``similarity`` of
+    their union."""
+    both = (pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")).hint("merge"), "a")
+            .join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")).hint("merge"), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.filter(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
@@ -199,8 +204,10 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
     member = written(bands.select("key", F.explode("bands").alias("bucket")), "near-members")
     leaders = written(member.groupBy("bucket").agg(F.min("key").alias("a"), F.count("key").alias("n"))
                       .filter("n > 1"), "near-leaders")
-    pairs = member.join(leaders, "bucket").select("a", F.col("key").alias("b")).filter("a <> b").distinct()
-    links = written(verified(pairs, rows, similarity), "near-verified")
+    shared = member.join(leaders, "bucket")
+    sets = written(shingle_sets(rows, shared.select("key").distinct()), "near-sets")
+    pairs = shared.select("a", F.col("key").alias("b")).filter("a <> b").distinct()
+    links = written(verified(pairs, sets, similarity), "near-verified")
     labels = components(links)
     for sweep in range(sweeps):
         placed = (member.join(leaders.select("bucket", "n"), "bucket").join(labels, "key", "left")
@@ -213,7 +220,7 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
             .filter("l0 <> l1").select("bucket", "part", F.col("h.key").alias("a"), F.col("h.label").alias("la")), "near-heads")
         cross = (placed.join(head, ["bucket", "part"]).filter("label <> la")
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct())
-        more = written(verified(cross, rows, similarity), "near-verified")
+        more = written(verified(cross, sets, similarity), "near-verified")
         if more.isEmpty():
             continue
         links = written(links.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

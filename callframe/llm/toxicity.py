@@ -49,6 +49,8 @@ SHINGLE = 3
 #: a term needs so many witnesses, and this share of the toxic ones
 MIN_WITNESSES, MIN_SHARE = 3.0, 0.01
 MIN_RATIO_TEST = 20.0
+#: a term is at least so many times as often toxic as a training text is
+MIN_LIFT = 3.0
 NEIGHBOURS = 15
 SHRINKAGE = 1.0
 BLOCK = 64
@@ -189,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = map_texts(rows, counting, [("term", "string"), ("pos", "double"), ("neg", "double")], carry=["label"])
     counted = counted.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     chosen = [r.term for r in counted.filter(
-        (F.col("pos") >= max(MIN_WITNESSES, MIN_SHARE * toxic)) & (F.col("pos") * (total - toxic) > F.col("neg") * toxic))
+        (F.col("pos") >= max(MIN_WITNESSES, MIN_SHARE * toxic))
+        & (F.col("pos") * total >= min(MIN_LIFT * toxic, (total + toxic) / 2) * (F.col("pos") + F.col("neg"))))
         .withColumn("g2", ratio_test(F.col("pos"), F.col("neg"), toxic, total - toxic))
         .filter(F.col("g2") >= MIN_RATIO_TEST).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()]
     index = ExampleIndex(sorted(chosen), [], 0.0, len(known))
