@@ -129,12 +129,6 @@ def as_string(v: Column | str) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
 
 
-def size(v: Column | str) -> Column:
-    """len() of an array or object; NULL for scalars."""
-    v = _c(v)
-    return F.coalesce(F.size(as_array(v)), F.size(as_object(v)))
-
-
 def truthy(v: Column | str, k: Column | str) -> Column:
     """Python truthiness of a parsed JSON value ``v`` of kind ``k`` (a
     column from ``kind``; NULL counts as None)."""

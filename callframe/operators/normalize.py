@@ -20,6 +20,8 @@ stage 2.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ CALL_ROLES = ("function_call", "tool_call", "tool")
 ASSISTANT_ROLES = ("assistant", "gpt", "model")
 
 EMPTY = "[]"
+#: turns of one conversation that one group of the first fold stage may hold
+RANGE_TURNS = 512
 
 
 def _c(col: Column | str) -> Column:
@@ -201,31 +205,42 @@ def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: st
         F.col(content_col).alias("content"),
         *carry,
     )
-    q = F.col("kind") == "query"
-    stage1 = t.groupBy("record_id").agg(
-        F.max(F.when(q, F.struct("turn", "content"))).alias("_last_user"),
-        F.max(F.when(F.col("kind") == "call", F.col("turn"))).alias("_last_call"),
-        F.count_if(F.col("role_missing")).alias("_n_role_missing"),
+    t = t.withColumns({
+        "_is_call": F.coalesce(F.col("kind") == "call", F.lit(False)),
+        "_said": F.when(F.col("kind").isin("call", "assistant"), F.col("content")),
+    })
+    t = with_turn_answers(t, "_is_call", "_said", "norm")
+    # Stage A, one row per range of RANGE_TURNS turns: the last user turn and
+    # the few turns that can decide the answers (calls, texts holding some).
+    decides = F.col("_is_call") | (F.col("kind").isin("assistant") & (F.col("norm") != EMPTY))
+    ranges = t.groupBy("record_id", F.floor(F.col("turn") / RANGE_TURNS).alias("range")).agg(
+        F.max(F.when(F.col("kind") == "query", F.struct("turn", "content"))).alias("user"),
+        F.array_sort(F.collect_list(F.when(decides, F.struct("turn", "_is_call", "norm")))).alias("turns"),
+        F.count_if(F.col("role_missing")).alias("missing"),
         *[F.any_value(c).alias(c) for c in carry],
     )
-    cand = t.filter(F.col("kind").isin("call", "assistant")).select("record_id", "turn", "kind", "content")
-    cand = with_turn_answers(cand.withColumn("_is_call", F.col("kind") == "call"), "_is_call", "content", "norm")
-    # No filter on ``norm``: predicate pushdown would inline the whole
-    # normaliser into the scan's filter; the aggregate skips ``[]`` instead.
-    candidates = cand.select("record_id", "turn", "norm")
-    chosen = (
-        candidates.join(stage1.select("record_id", "_last_call"), "record_id")
-        .filter(F.col("_last_call").isNull() | (F.col("turn") >= F.col("_last_call")))
-        .groupBy("record_id")
-        .agg(F.min(F.when(F.col("norm") != EMPTY, F.struct("turn", "norm"))).alias("_first"))
+    ranges = ranges.withColumn("call", F.array_max(F.transform(
+        F.filter("turns", lambda x: x["_is_call"]), lambda x: x["turn"])))
+    ranges = ranges.withColumn("first", F.get(F.filter("turns", lambda x: (
+        F.col("call").isNull() | (x["turn"] >= F.col("call"))) & (x["norm"] != EMPTY)), 0)["norm"])
+    # Stage B merges a conversation's ranges in order: only ranges from the one
+    # with the last call on count, and the first of them that has answers.
+    rec = ranges.groupBy("record_id").agg(
+        F.max("user").alias("user"),
+        F.array_sort(F.collect_list(F.struct("range", "call", "first"))).alias("parts"),
+        F.sum("missing").alias("missing"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
-    rec = stage1.join(chosen, "record_id", "left")
-    query = F.when(F.col("_last_user").isNull(), F.lit("")).otherwise(F.col("_last_user.content"))
+    rec = rec.withColumn("last", F.array_max(F.transform(
+        F.filter("parts", lambda x: x["call"].isNotNull()), lambda x: x["range"])))
+    answers = F.get(F.filter("parts", lambda x: (
+        F.col("last").isNull() | (x["range"] >= F.col("last"))) & x["first"].isNotNull()), 0)["first"]
+    query = F.when(F.col("user").isNull(), F.lit("")).otherwise(F.col("user.content"))
     out = rec.select(
         "record_id",
         query.alias("query"),
-        F.coalesce(F.col("_first.norm"), F.lit(EMPTY)).alias("answers"),
-        F.when(F.col("_n_role_missing") > 0, F.lit("role_missing"))
+        F.coalesce(answers, F.lit(EMPTY)).alias("answers"),
+        F.when(F.col("missing") > 0, F.lit("role_missing"))
         .when(query.isNull(), F.lit("query_not_string")).alias("error"),
         *carry,
     )
@@ -336,24 +351,19 @@ def split(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, quarantine
 
 
+#: further input formats by name: (rows, id_col=..., **options) -> records with ``error``
+FORMATS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def register_format(name: str, normalizer: Callable[..., DataFrame]) -> None:
+    """add an input format; datasets whose name holds ``name`` use it."""
+    FORMATS[name.lower()] = normalizer
+
+
 def format_for(dataset_name: str) -> str:
     """The parser is chosen by the dataset's name."""
-    return "sharegpt" if "sharegpt" in dataset_name.lower() else "xlam"
-
-
-def normalize(df: DataFrame, fmt: str, on_error: str = "quarantine", **kw) -> tuple[DataFrame, DataFrame]:
-    """Dispatch by format name (P4): ``xlam`` (flat), ``sharegpt`` (nested)
-    or ``turns`` (long form). ``on_error='skip'`` drops bad rows (P5);
-    ``'fail'`` is enforced by the caller's action (see plans.process)."""
-    if fmt == "xlam":
-        n = normalize_flat(df, **kw)
-    elif fmt == "sharegpt":
-        n = normalize_conversations(df, **kw)
-    elif fmt == "turns":
-        n = normalize_turns(df, **kw)
-    else:
-        raise ValueError(f"unknown format {fmt!r}")
-    records, quarantine = split(n)
-    if on_error == "skip":
-        quarantine = quarantine.limit(0)
-    return records, quarantine
+    low = dataset_name.lower()
+    for name in FORMATS:
+        if name in low:
+            return name
+    return "sharegpt" if "sharegpt" in low else "xlam"

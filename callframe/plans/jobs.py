@@ -39,6 +39,8 @@ def normalized_rows(raw: DataFrame, dataset_name: str = "", fmt: str | None = No
     """The input's rows as records, by format or dataset name. The
     columns of flat and nested inputs travel with the record."""
     fmt = fmt or N.format_for(dataset_name)
+    if fmt in N.FORMATS:
+        return N.FORMATS[fmt](raw, id_col=order_col, **normalize_kw)
     if fmt == "xlam":
         return N.normalize_flat(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
     if fmt == "sharegpt":

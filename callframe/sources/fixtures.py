@@ -33,7 +33,7 @@ c AS (
   FROM b)
 SELECT event_id AS record_id,
   'Log '||event_type||' for user '||uid AS query,
-  '[{"name":"click"},{"name":"view"},{"name":"purchase","parameters":{"type":"object","required":["user_id","cents"]}},{"name":"signup"},{"name":"error"}]' AS tools,
+  '[{"name":"click"},{"name":"view"},{"name":"purchase","parameters":{"type":"object","required":["user_id","cents"]}},{"name":"signup"},{"name":"error"},{"name":"aux_'||uid||'"}]' AS tools,
   CASE WHEN neg = 0 THEN '[]' ELSE head||tail||'}}]' END AS answers,
   CASE
     WHEN v <= 4 THEN '<thought>t</thought>'||chr(10)||'<tool_call>'||chr(10)||head||tail||'}}]'||chr(10)||'</tool_call>'

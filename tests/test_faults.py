@@ -81,3 +81,24 @@ def test_evaluate_by_group_and_first_rows(spark, tmp_path):
     first = P.evaluate(spark, str(tmp_path / "t"), str(tmp_path / "o"), str(tmp_path / "f"), num_samples=2, test_split=True)
     assert first["total_samples"] == 2
     assert sorted(r["sample_id"] for r in spark.read.json(str(tmp_path / "f/trace")).collect()) == [0, 1]
+
+
+def test_a_registered_format_is_used(spark):
+    from callframe.operators import normalize as N
+    N.register_format("pairs", lambda rows, id_col, **kw: N.normalize_flat(
+        rows.selectExpr(f"{id_col} AS record_id", "q AS query", "'[]' AS tools", "'[]' AS answers")))
+    try:
+        raw = spark.createDataFrame([(1, "hi")], "record_id long, q string")
+        got = rows(P.normalized_rows(raw, "org/my-pairs-1"))
+        assert got[0]["query"] == "hi" and got[0]["error"] is None
+    finally:
+        N.FORMATS.pop("pairs")
+
+
+def test_no_tool_schema_crosses_the_join(spark):
+    truth = spark.createDataFrame([(1, "q", '[{"name":"f","parameters":{}},{"function":{"name":"g"}}]', CALL)],
+                                  "record_id long, query string, tools string, answers string")
+    prepared = S.prepare_truth(truth)
+    assert not {"tools", "tools_v"} & set(prepared.columns)
+    assert rows(prepared.select("available_str", "flat_names")) == [
+        {"available_str": ["f", "g"], "flat_names": '["f",null]'}]

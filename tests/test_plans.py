@@ -28,10 +28,25 @@ def test_scoring_udf_sees_only_residual_rows(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_conversation_fold_is_skew_safe(spark):
-    """No window and no collect over a conversation: per-conversation
-    state is aggregated (partial + final), never buffered."""
+def test_conversation_fold_is_one_scan_without_joins(spark):
+    """Turns are scanned once and never joined; a conversation is folded per
+    range of turns first, so its size never lands in one group."""
     import __spark_entry__ as E
     plan = _plan(E.queries()["normalize_conversations"](spark, SF0001))
-    assert "Window" not in plan and "collect_list" not in plan
-    assert "partial_max" in plan or "HashAggregate" in plan or "ObjectHashAggregate" in plan
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_giant_conversation_is_split_by_range(spark):
+    from callframe.operators import normalize as N
+    from pyspark.sql import functions as F
+    n = 5000
+    turns = spark.range(n).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 700, "function_call").when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.when(F.col("id") == 700, "oops").when(F.col("id") % 1500 == 1, F.concat(
+            F.lit('<tool_call>[{"name":"f'), F.col("id").cast("string"), F.lit('"}]</tool_call>')))
+        .otherwise(F.col("id").cast("string")).alias("content"))
+    got = N.normalize_turns(turns).collect()
+    # the unreadable call at 700 clears what came before; 1501 is the first text with calls after it
+    assert len(got) == 1 and got[0]["query"] == str(n - 2) and got[0]["answers"] == '[{"name":"f1501"}]'
