@@ -327,7 +327,7 @@ def q_stream_divergence(spark, sf_dir):
     logs.write.mode("overwrite").parquet(f"{base}/logs")
     stream = W.read_stream(spark, f"{base}/logs", logs.schema)
     W.run_complete(W.divergence_stream(stream), f"{base}/result", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/result")
+    return W.read_complete(spark, f"{base}/result")
 
 
 QUERIES.update({
@@ -352,7 +352,7 @@ def q_stream_outcome_windows(spark, sf_dir):
     stream = W.read_stream(spark, f"{base}/outputs", outputs.schema)
     scored = S.decide(O.parse_outputs(stream).join(prepared, "record_id", "inner"))
     W.run_complete(W.outcome_windows(scored, "event_time"), f"{base}/windows", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/windows").select(
+    return W.read_complete(spark, f"{base}/windows").select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "n")
 
 

@@ -4,7 +4,8 @@ Both read an append-only folder of Parquet files (``readStream``), apply the
 same functions as the batch jobs, and write through a checkpointed sink, so
 a restarted or partly failed run resumes where it stopped. Folders live
 under the session's ``spark.checkpoint.dir`` (the cluster's shared
-storage); nothing is kept on a machine-local disk.
+storage); only a local-mode session without that setting, as in tests, gets a
+temporary one.
 
 * W1 ``score_stream``: outputs stream ⋈ static truth (stream-static join,
   the truth side is re-read per micro-batch), scored by ``score.decide``;
@@ -14,8 +15,8 @@ storage); nothing is kept on a machine-local disk.
   re-counted).
 * W2 ``divergence_stream``: non-finite loss rows per run; the first step
   per run is a streaming aggregate whose state is one row per run. Each
-  micro-batch rewrites the small result table (complete mode through
-  ``foreachBatch``).
+  micro-batch writes the small result table anew (complete mode through
+  ``foreachBatch``, a folder per batch).
 
 ``run_*`` helpers drive a query to completion with ``Trigger.AvailableNow``
 (tests and the registered queries); on a cluster pass another trigger.
@@ -101,11 +102,13 @@ def run_append(stream: DataFrame, sink: str, checkpoint: str, available_now: boo
 
 
 def run_complete(stream: DataFrame, sink: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Complete-mode aggregate written as a whole table per micro-batch
-    (the table is small: one row per group)."""
+    """Complete-mode aggregate, written as a whole table per micro-batch (the
+    table is small: one row per group). Each batch has a folder of its own, so
+    a crash never leaves readers without the last whole result
+    (``read_complete``); a repeated batch replaces only its own folder."""
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
     writer = (stream.writeStream.outputMode("complete").foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
@@ -113,3 +116,10 @@ def run_complete(stream: DataFrame, sink: str, checkpoint: str, available_now: b
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_complete(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest whole result of ``run_complete``."""
+    every = spark.read.parquet(sink)
+    last = every.agg(F.max("epoch")).first()[0]
+    return every.filter(F.col("epoch") == last).drop("epoch")
