@@ -113,6 +113,13 @@ def q_normalize_conversations(spark, sf_dir):
     return records
 
 
+def q_normalize_nested(spark, sf_dir):
+    """Conversations as strings, nested tools flattened."""
+    n = N.normalize_conversations(fixture(configure(spark), sf_dir, "nested_rows"))
+    valid = F.col("error").isNull()
+    return n.select("record_id", "error", *[F.when(valid, F.col(c)).alias(c) for c in ("query", "tools", "answers")])
+
+
 def _flat(spark, sf_dir):
     rows = fixture(configure(spark), sf_dir, "flat_rows")
     return N.split(N.normalize_flat(rows, id_col="row_id"))
@@ -128,6 +135,7 @@ def q_quarantine_records(spark, sf_dir):
 
 QUERIES.update({
     "normalize_conversations": q_normalize_conversations,
+    "normalize_nested": q_normalize_nested,
     "normalize_flat": q_normalize_flat,
     "quarantine_records": q_quarantine_records,
 })
@@ -161,7 +169,13 @@ def q_corpus_summary(spark, sf_dir):
     return T.corpus_summary(T.corpus_check(_corpus(spark, sf_dir)))
 
 
+def q_rejected_counts(spark, sf_dir):
+    """How many rows each reason keeps out of the records."""
+    return _flat(spark, sf_dir)[1].groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES.update({
+    "rejected_counts": q_rejected_counts,
     "sft_corpus": q_sft_corpus,
     "corpus_profile": q_corpus_profile,
     "corpus_summary": q_corpus_summary,

@@ -540,3 +540,17 @@ SELECT day,
   CAST(grouping(day) AS BIGINT) AS level
 FROM (SELECT s.outcome, strftime(e.ts, '%Y-%m-%d') AS day FROM scored s JOIN events e ON e.event_id = s.record_id)
 GROUP BY ROLLUP (day)"""
+
+ORACLE["normalize_nested"] = fixture_cte("nested_rows") + """
+, n AS (SELECT e.event_id AS record_id,
+    CASE WHEN e.event_id % 7 = 0 THEN 'messages_not_json' WHEN e.event_id % 11 = 0 THEN 'tools_not_json' END AS error,
+    e.event_type, e.user_id FROM events e JOIN nested_rows r ON r.record_id = e.event_id)
+SELECT record_id, error,
+  CASE WHEN error IS NULL THEN CASE WHEN record_id % 7 = 2 THEN 'again'
+       ELSE 'Log ' || event_type || ' for user ' || CAST(user_id AS VARCHAR) END END AS query,
+  CASE WHEN error IS NULL THEN CASE WHEN record_id % 11 = 1 THEN '[]'
+       ELSE '[{"name":"' || event_type || '"},{"name":"lookup"}]' END END AS tools,
+  CASE WHEN error IS NULL THEN '[]' END AS answers
+FROM n"""
+
+ORACLE["rejected_counts"] = f"SELECT error, count(*) AS n FROM ({ORACLE['quarantine_records']}) GROUP BY error"

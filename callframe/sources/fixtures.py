@@ -122,6 +122,20 @@ SELECT event_id AS row_id,
 FROM @events
 """
 
+# Nested rows: messages as the string form of a list (backticks stand for
+# apostrophes here), tools nested and flat; some lists or tools are no JSON.
+NESTED_ROWS = """
+SELECT event_id AS record_id,
+  CASE WHEN event_id % 7 = 0 THEN 'not a list'
+       ELSE replace('[{`from`: `human`, `value`: `Log '||event_type||' for user '||CAST(user_id AS STRING)||'`}, {`from`: `gpt`, `value`: `ok`}'
+         ||CASE WHEN event_id % 7 = 1 THEN ', {`from`: `function_call`, `value`: `oops`}'
+                WHEN event_id % 7 = 2 THEN ', {`role`: `user`, `content`: `again`}' ELSE '' END||']', '`', chr(39)) END AS conversations,
+  CASE WHEN event_id % 11 = 0 THEN 'no json'
+       WHEN event_id % 11 = 1 THEN NULL
+       ELSE '[{"type":"function","function":{"name":"'||event_type||'"}},{"name":"lookup"},3]' END AS tools
+FROM @events
+"""
+
 # Pairs of embeddings: each vector with its successor; some successors have
 # one value more.
 VECTOR_PAIRS = """
@@ -137,6 +151,7 @@ FIXTURES = {
     "inventory_calls": INVENTORY_CALLS,
     "loss_log": LOSS_LOG,
     "flat_rows": FLAT_ROWS,
+    "nested_rows": NESTED_ROWS,
     "vector_pairs": VECTOR_PAIRS,
 }
 
