@@ -77,16 +77,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The documents that stay, with all their columns and exactly one row
-    per text (of rows repeating both id and text, one)."""
+    per text (of rows repeating both id and text, one).
+
+    The rows that go are known by id and digest, so a very frequent text is
+    spread by its ids. Their number grows with the corpus: they are merged,
+    never broadcast, and each text is moved once."""
+    gone = exact_dedup(docs, id_col, text_col, keep).filter("not kept").select(
+        F.col(id_col).alias("id"), F.unhex("text_sha256").alias("digest"))
+    gone = written(gone, "exact-gone").select(F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(id_col).alias("id"),
-                       F.unhex(F.sha2(text_of(text_col).cast("binary"), 256)).alias("digest"),
-                       F.octet_length(text_of(text_col)).alias("n_bytes"),
-                       F.xxhash64(text_of(text_col)).alias("check"))
-    groups = written(merge_runs(digests(docs, id_col, text_col), keep).filter("group_size > 1"),
-                     "exact-groups")
-    joined = rows.join(groups, list(_KEY), "left").filter(
-        F.col("group_size").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
-    single = joined.filter(F.col("group_size").isNull()).select("row.*")
-    return single.unionByName(joined.filter(F.col("group_size").isNotNull())
-                              .dropDuplicates(list(_KEY)).select("row.*"))
+                       F.unhex(F.sha2(text_of(text_col).cast("binary"), 256)).alias("digest"))
+    same = (F.col("digest") == F.col("gone_digest")) & F.col("id").eqNullSafe(F.col("gone_id"))
+    return rows.join(gone.hint("merge"), same, "left_anti").dropDuplicates(["id", "digest"]).select("row.*")
