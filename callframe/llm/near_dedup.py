@@ -209,10 +209,13 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
     pairs = shared.select("a", F.col("key").alias("b")).filter("a <> b").distinct()
     links = written(verified(pairs, sets, similarity), "near-verified")
     labels = components(links)
+    # a power of two: the parts of a group's buckets nest, whatever their sizes,
+    # so its bands mostly choose the same leaders and repeat the same pairs
+    parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.ceil(F.col("n") / PART)))).cast("bigint")
     for sweep in range(sweeps):
         placed = (member.join(leaders.select("bucket", "n"), "bucket").join(labels, "key", "left")
                   .select("bucket", "key", F.coalesce("label", "key").alias("label"),
-                          F.pmod(F.xxhash64("key", F.lit(sweep)), F.ceil(F.col("n") / PART)).alias("part"),
+                          F.pmod(F.xxhash64("key", F.lit(sweep)), parts).alias("part"),
                           F.xxhash64(F.lit(sweep), "key").alias("turn")))
         placed = written(placed, "near-placed")
         head = written(placed.groupBy("bucket", "part").agg(
@@ -251,7 +254,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that name their class, with all their columns; of rows
     that repeat an id, one stays."""
-    keep = near_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept")).distinct()
+    keep = written(near_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept")).distinct(),
+                   "near-kept").hint("merge")
     columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(columns.alias("row"), F.col(id_col).alias("_id")).join(
         keep, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
