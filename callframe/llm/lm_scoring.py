@@ -40,11 +40,11 @@ from callframe.llm.common import bucket_of, map_texts, text_of, written
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 5
-MAX_GRAMS = 1 << 20
+MAX_GRAMS = 1 << 19
 MAX_FREQUENT = 1 << 17
 END = b"\xff"
 STEP = 1 << 20
-FLUSH = 1 << 19
+FLUSH = 1 << 18
 
 
 def mask(n_bytes: int) -> int:
@@ -119,14 +119,22 @@ class ContextTree:
 
     @staticmethod
     def _nodes(keys: np.ndarray, counts: np.ndarray):
-        """(sorted decision keys, zeros, ones): context above the bits read."""
-        byte, context = keys & 255, keys >> 8
-        node = np.concatenate([context << 8 | 1 << j | byte >> 8 - j for j in range(8)])
-        bit = np.concatenate([byte >> 7 - j & 1 for j in range(8)])
-        found, at = np.unique(node, return_inverse=True)
-        weight = np.tile(counts, 8).astype(float)
-        one = np.bincount(at, weight * bit, len(found))
-        return found, np.bincount(at, weight, len(found)) - one, one
+        """(sorted decision keys, zeros, ones): context above the bits read.
+        In sorted keys the grams of a decision are neighbours."""
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order].astype(float)
+        found, totals, ones = [], [], []
+        for j in range(8):
+            group = keys >> 8 - j
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            group = group[starts]
+            found.append(group >> j << 8 | 1 << j | group & (1 << j) - 1)
+            for out, values in ((totals, counts), (ones, counts * (keys >> 7 - j & 1))):
+                out.append(np.add.reduceat(values, starts) if len(starts) else values)
+        node = np.concatenate(found)
+        order = np.argsort(node)
+        one = np.concatenate(ones)[order]
+        return node[order], np.concatenate(totals)[order] - one, one
 
     @staticmethod
     def _parent(node: np.ndarray, d: int) -> np.ndarray:
@@ -215,7 +223,7 @@ def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         def batch(ids, _, texts):
             words, grams, held = Counter(), [], 0
-            for part in steps([t.encode().lower() for t in texts]):
+            for part in steps(t.encode().lower() for t in texts):
                 for t in part:
                     words.update(tokens_of(t))
                 keys = gram_keys(part, depth)[0]
@@ -234,7 +242,7 @@ def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
     return found.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def steps(texts: list[bytes]):
+def steps(texts):
     """Runs of texts of about STEP bytes."""
     run, size = [], 0
     for t in texts:
@@ -273,8 +281,8 @@ def fit_tree(counts: DataFrame, depth: int = DEPTH, max_grams: int = MAX_GRAMS)
     least = threshold([(r.e, r.k) for r in contexts.filter("d > 0").groupBy(_exponent("total").alias("e"))
                       .agg(F.sum("kinds").alias("k")).collect()], max_grams)
     kept = every.join(contexts.filter((F.col("total") >= least) | (F.col("d") == 0)).select("d", "context"),
-                      ["d", "context"]).select("d", "key", "n").toPandas()
-    return ContextTree(kept.d.to_numpy(np.int64), kept.key.to_numpy(np.int64), kept.n.to_numpy(np.int64), depth)
+                      ["d", "context"]).select("d", "key", "n").toArrow()
+    return ContextTree(*(kept.column(c).to_numpy().astype(np.int64) for c in ("d", "key", "n")), depth)
 
 
 def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str = "text",
@@ -291,7 +299,9 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
     norm = math.log10(tokens + (kinds + 1))
     least = threshold([(r.e, r.k) for r in words.groupBy(_exponent("n").alias("e")).agg(F.count("n").alias("k"))
                       .collect()], MAX_FREQUENT)
-    frequent = {bytes(r.word): math.log10(r.n + 1) for r in words.filter(F.col("n") >= least).collect()}
+    common = words.filter(F.col("n") >= least).toArrow()
+    frequent = dict(zip(common.column("word").to_pylist(),
+                        np.log10(common.column("n").to_numpy() + 1.0).tolist()))
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((frequent, fit_tree(counts, depth)))
     end_known, end_log = int(documents > 0), math.log10(documents + 1)
@@ -300,8 +310,9 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
         known_words, tree = shared.value
 
         def batch(ids, rest, texts):
-            out = [[] for _ in range(7)]
-            for part in steps([t.encode().lower() for t in texts]):
+            first = 0
+            for part in steps(t.encode().lower() for t in texts):
+                out = [[] for _ in range(7)]
                 keys, offsets = gram_keys(part, depth)
                 codes, distinct = pd.factorize(keys)
                 scores = np.add.reduceat(tree.log10(distinct)[codes], offsets[:-1]) if len(keys) else []
@@ -320,7 +331,8 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
                     for c, v in zip(out, (len(words) + 1, n_known, logs, rare, times)):
                         c.append(v)
                     out[6].append(len(data) + 1)
-            yield [ids, *rest, *out]
+                yield [c.slice(first, len(part)) for c in (ids, *rest)] + out
+                first += len(part)
 
         return batch
 
