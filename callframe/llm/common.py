@@ -8,11 +8,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from callframe.session import scratch_path
+from callframe.sources.tables import read_table
 
 
 def read_docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """One input table through Spark's own reader."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def text_of(col: str = "text") -> Column:
