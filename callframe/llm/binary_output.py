@@ -93,7 +93,7 @@ def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str
 
         def batch(ids, _, texts):
             nonlocal total
-            total += sum(int(offsets[-1]) for _, _, offsets in table.run(texts)) + len(texts)
+            total += sum(int(offsets[-1]) for _, _, offsets in table.run(texts, with_ids=False)) + len(texts)
             return ()
 
         batch.finish = lambda: [[[None], [TaskContext.get().partitionId()], [total]]]

@@ -36,7 +36,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 _NONE_BEFORE, _NONE_AFTER = 255, 254
 #: code points in one step, and the longest segment of one text
-STEP = 1 << 21
+STEP = 1 << 20
 #: fixed values: code points with the White_Space property
 WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 _CUT = re.compile(r"\S(?=\s)")
@@ -224,9 +224,10 @@ class PieceTable:
         numbers = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[codes]
         return numbers, np.searchsorted(begin, np.append(begins, len(points)))
 
-    def run(self, texts: list[str]):
+    def run(self, texts: list[str], with_ids: bool = True):
         """Yield (index of the first text, ids or None, offsets) for runs of
         texts of bounded size; offsets has each text's first id and the end."""
+        with_ids = with_ids and not self.counts_only
         at = 0
         while at < len(texts):
             stop, size = at, 0
@@ -244,7 +245,7 @@ class PieceTable:
                 counts = self.size[numbers]
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 sizes.append(np.diff(ends[begins]))
-                if not self.counts_only:
+                if with_ids:
                     total = int(ends[-1])
                     ids.append(self.flat[np.repeat(self.begin[numbers] - ends[:-1], counts) + np.arange(total)])
                 group.clear()
@@ -262,7 +263,7 @@ class PieceTable:
                     held += len(part)
             flush()
             offsets = np.cumsum(np.concatenate(sizes))[first]
-            yield at, (None if self.counts_only else np.concatenate(ids) if ids else np.zeros(0, np.uint32)), offsets
+            yield at, (None if not with_ids else np.concatenate(ids) if ids else np.zeros(0, np.uint32)), offsets
             at = stop
 
 
