@@ -13,8 +13,12 @@ termination): after a few rounds only few shingles are still sending.
 bucket. First every member is compared with its bucket's leader, the smallest
 digest; then, in ``SWEEPS`` sweeps, buckets that still hold several classes are
 dealt at random into parts of about ``PART`` members, and members of other
-classes are compared with their part's leader. So a bucket costs one pair per
-member and sweep, never all pairs, and no task needs a whole bucket. Every
+classes are compared with their part's leader. These cheap links join most of a bucket at
+one pair per member and sweep. The rest is settled exactly: the members of
+buckets that still hold several classes are joined on the rarest shingles of
+their sets (prefix, length and position filters, which lose no pair at
+``SIMILARITY``), and all pairs of different classes that remain are candidates.
+So every two texts of one bucket that are near copies end in one class. Every
 candidate pair is verified on the shingle sets of the whole texts: at least
 ``SIMILARITY`` of their union is shared. Classes are the connected components
 of verified links, found in rounds of large and small stars, each written to
@@ -43,6 +47,8 @@ REGISTERS = BANDS * ROWS
 SWEEPS = 2
 PART = 64
 STEP = 1 << 20
+#: slots in which shingles are counted to find an order, rarest first
+SLOTS = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _POLY = 0xD1342543DE82EF95
 
@@ -199,6 +205,72 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("v").alias("key"), F.col("v").alias("label")).distinct())
 
 
+def prefixes(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(key, label, size, x, pos, short) of the sets (key, label, s): the
+    shingles x among which a set shares one with every set at ``similarity``.
+
+    Shingles are ordered by the count of their slot (any order gives the same
+    pairs; rare ones first give few candidates). Of n shingles the first
+    n - t n + 1 meet all sets that are not larger, and already the first
+    n - 2 t n / (1 + t) + 1 (``short``) all that are not smaller. A shingle
+    alone in its slot is in no other set."""
+    spark = sets.sparkSession
+    counted = (sets.select(F.explode("s").alias("x")).groupBy(F.pmod("x", F.lit(SLOTS)).alias("slot"))
+               .agg(F.count("x").alias("n")).toArrow())
+    counts = np.zeros(SLOTS, np.int64)
+    counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+
+    def run(batches):
+        import pyarrow as pa
+        for whole in batches:
+            for batch in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
+                size = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                x = batch.column(2).flatten().to_numpy()
+                owner = np.repeat(np.arange(len(size)), size)
+                count = shared.value[x & (SLOTS - 1)]
+                order = np.lexsort((x, count, owner))
+                x, count = x[order], count[order]
+                pos = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size)
+                n = size[owner]
+                long = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+                short = n - np.ceil(2 * similarity / (1 + similarity) * n - 1e-9).astype(np.int64) + 1
+                at = np.flatnonzero((pos < long) & (count > 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(owner[at])), batch.column(1).take(pa.array(owner[at])),
+                     pa.array(n[at], pa.int32()), pa.array(x[at], pa.int32()), pa.array(pos[at], pa.int32()),
+                     pa.array(pos[at] < short[at])], ["key", "label", "size", "x", "pos", "short"])
+
+    return sets.select("key", "label", "s").mapInArrow(
+        run, "key binary, label binary, size int, x int, pos int, short boolean")
+
+
+def open_pairs(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Candidates (a, b) among the sets (key, label, s): all pairs of different
+    labels that can share ``similarity`` of their union.
+
+    The rows of a shingle's largest class meet only those of other classes, so
+    a large class never meets itself."""
+    rows = written(prefixes(sets, similarity), "near-prefixes")
+    top = (rows.groupBy("x", "label").agg(F.count("x").alias("n"), F.max("short").alias("short"))
+           .groupBy("x").agg(F.max(F.struct("n", "label")).alias("top"), F.count("label").alias("classes"),
+                             F.max("short").alias("any")).filter("classes > 1 and any")
+           .select("x", F.col("top.label").alias("top")))
+    rows = written(rows.join(top.hint("merge"), "x").withColumn("top", F.col("label") == F.col("top")), "near-prefixes")
+    a = rows.filter("short").select("x", *[F.col(c).alias(f"a_{c}") for c in ("key", "label", "size", "pos", "top")])
+    b = rows.select("x", *[F.col(c).alias(f"b_{c}") for c in ("key", "label", "size", "pos", "top")])
+    near = (F.expr("a_label <> b_label and (a_size < b_size or a_size = b_size and a_key < b_key)")
+            & (F.col("a_size") >= similarity * F.col("b_size") - 1e-9)
+            & (F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
+               >= similarity / (1 + similarity) * (F.col("a_size") + F.col("b_size")) - 1e-9))
+
+    def met(a, b):
+        return (a.join(b.hint("merge"), (a["x"] == b["x"]) & near)
+                .select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")))
+
+    return met(a.filter("not a_top"), b).unionByName(met(a.filter("a_top"), b.filter("not b_top"))).distinct()
+
+
 def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similarity: float = SIMILARITY):
     """(links, labels): verified links between nodes and the classes' labels."""
     member = written(bands.select("key", F.explode("bands").alias("bucket")), "near-members")
@@ -229,6 +301,17 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
         links = written(links.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct(), "near-verified")
         labels = components(links)
+    placed = written(member.join(leaders.select("bucket"), "bucket").join(labels, "key", "left")
+                     .select("bucket", "key", F.coalesce("label", "key").alias("label")), "near-placed")
+    mixed = (placed.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+             .filter("l0 <> l1").select("bucket"))
+    unsettled = placed.join(mixed.hint("merge"), "bucket", "left_semi").select("key", "label").distinct()
+    unsettled = written(sets.join(unsettled.hint("merge"), "key"), "near-open")
+    more = written(verified(open_pairs(unsettled, similarity), sets, similarity), "near-verified")
+    if not more.isEmpty():
+        links = written(links.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                        .distinct(), "near-verified")
+        labels = components(links)
     return links, labels
 
 

@@ -124,6 +124,23 @@ def test_near_classes_by_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_near_copies_inside_a_template_group(spark):
+    """Pairs at 0.82 among texts that are all 0.78 like each other."""
+    rng = random.Random(9)
+    template = [f"t{i}" for i in range(404)]
+    texts = []
+    for kin in range(150):
+        for one in range(2):
+            words = list(template)
+            for k in range(10):
+                words[20 + 38 * k] = f"k{kin}x{k}" if k < 2 else f"u{kin}x{one}x{k}"
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    got = {r.doc_id: r for r in near_dedup.near_dedup(documents(spark, texts)).collect()}
+    assert [got[i].class_id for i in range(len(texts))] == brute_classes(texts)
+    assert all(r.class_size == 2 and r.links == 1 for r in got.values())
+
+
 def test_signature_agreement_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     a, b = rng.integers(1, 2 ** 62, 300).astype(np.uint64), rng.integers(1, 2 ** 62, 100).astype(np.uint64)
