@@ -3,7 +3,7 @@ packed training sequences. Each stage calls one operator of ``callframe.llm``,
 works on all that its predecessor kept, and is written before the next reads.
 
 Toxicity learns from the table ``labels`` and drops documents whose score
-reaches ``TOXIC``. Language identification learns from the documents' own
+reaches ``TOXIC``, the operator's own threshold. Language identification learns from the documents' own
 ``lang`` and drops those it cannot determine or trusts below ``LANGUAGE``. Of
 equal texts the largest id stays, of near copies the smallest. The last stage
 gives the pieces of the packed sequences."""
@@ -19,7 +19,7 @@ from callframe.llm.exact_dedup import drop_copies
 from callframe.llm.near_dedup import drop_near_copies
 from callframe.llm.packing import pack
 
-TOXIC = 0.5
+TOXIC = toxicity.THRESHOLD
 LANGUAGE = 0.5
 
 

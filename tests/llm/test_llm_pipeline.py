@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from callframe.llm import language_id, near_dedup, toxicity
@@ -85,5 +86,16 @@ def test_stages_by_brute_force(spark, tmp_path):
     assert near_dedup.SIMILARITY == 0.8
 
 
+def test_toxicity_stage_drops_what_the_operator_predicts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)], "doc_id long, text string")
+    scores = {f"text {i}": s for i, s in enumerate((0.29, 0.3, 0.4, 0.6))}
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: toxicity.ExampleIndex([], [], 0.0, 0))
+    monkeypatch.setattr(toxicity, "score", lambda rows, index, *a, **k: rows.withColumn("score", F.coalesce(
+        *[F.when(F.col("_text" if "_text" in rows.columns else "text") == t, s) for t, s in scores.items()])))
+    predicted = {r.doc_id for r in toxicity.detect(docs, docs.withColumn("toxic", F.lit(0))).collect() if r.predicted}
+    kept = {r.doc_id for r in P.drop_toxic(spark, docs, SF).collect()}
+    assert predicted == {1, 2, 3} and kept == {0}
+
+
 def test_run_gives_the_last_stage(spark):
     assert P.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
