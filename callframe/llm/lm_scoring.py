@@ -9,11 +9,16 @@ tree then predicts a bit by mixing the estimates of all depths on the path of
 the current context, each with its posterior weight. The log10 probability of a
 text is the sum over all bits, so the code length per byte follows from it.
 
-Training counts every (DEPTH + 1)-gram of all training documents in Spark. The
-tree keeps the contexts that occur at least as often as a threshold (a power of
-two), the smallest one at which at most ``MAX_GRAMS`` grams remain; what falls
-below is one child of its context. So the counts grow with the corpus and the
-model that is broadcast has a fixed bound.
+Training counts every (DEPTH + 1)-gram of all training documents in Spark, and
+the tree keeps them all. Grams are dealt by the last ``CUT`` bytes of their
+context, so every task holds whole subtrees and weighs them; the driver gets
+only the sums at contexts of ``CUT`` - 1 bytes, whose number the alphabet bounds,
+and weighs the few levels above. A second pass over the subtrees gives the log
+probability of every distinct gram of all documents, trained or not.
+
+The grams with the largest counts, at most ``MAX_GRAMS``, are looked up in the
+scoring pass; the other grams of a document leave it as (row, gram, times) and
+meet their probabilities in a join. Which are looked up changes no score.
 
 Word counts of the training documents (for the unigram base) grow with the
 corpus and are never broadcast whole. The words with the largest counts, at
@@ -45,6 +50,8 @@ MAX_FREQUENT = 1 << 17
 END = b"\xff"
 STEP = 1 << 20
 FLUSH = 1 << 18
+CUT = 3
+FOREST = 1 << 17
 
 
 def mask(n_bytes: int) -> int:
@@ -141,11 +148,12 @@ class ContextTree:
         """The same decision in the context of d bytes."""
         return (node >> 8 & mask(d)) << 8 | node & 255
 
-    def _weights(self, nodes) -> list[np.ndarray]:
-        """Posterior weight of stopping at each decision's node."""
+    def _weights(self, nodes, first: int = 0) -> list[np.ndarray]:
+        """Posterior weight of stopping at each decision's node of the depths
+        from ``first`` on."""
         out: list[np.ndarray] = [np.zeros(0)] * (self.depth + 1)
         below = None
-        for d in range(self.depth, -1, -1):
+        for d in range(self.depth, first - 1, -1):
             node, zero, one = nodes[d]
             own = log_kt(zero, one)
             if below is None or not len(below[0]):
@@ -159,6 +167,7 @@ class ContextTree:
                 weighted = np.where(inner, np.logaddexp(own, split) - math.log(2), own)
                 out[d] = np.where(inner, np.exp(own - math.log(2) - weighted), 1.0)
             below = (node, weighted, zero, one)
+        self.roots = below
         return out
 
     @staticmethod
@@ -207,10 +216,112 @@ class ContextTree:
         return total
 
 
-def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(word, gram, n): one kind of key per row, counted over all texts.
-    ``train`` has the columns id and text. The number of documents is the count
-    of the row whose keys are both null."""
+class Top:
+    """The levels above ``CUT``: per depth the decisions' nodes, their mixed
+    probability, and what a child inherits (above, reach)."""
+
+    def __init__(self, node: np.ndarray, split: np.ndarray, zero: np.ndarray, one: np.ndarray, deepest: int):
+        levels = []
+        for d in range(deepest, -1, -1):
+            own = log_kt(zero, one)
+            weighted = np.logaddexp(own, split) - math.log(2)
+            levels.insert(0, (node, (one + 0.5) / (zero + one + 1.0), np.exp(own - math.log(2) - weighted)))
+            if d:
+                node, at = np.unique(ContextTree._parent(node, d - 1), return_inverse=True)
+                split, zero, one = (np.bincount(at, x, len(node)) for x in (weighted, zero, one))
+        self.node_keys, self.ones = [], []
+        for d, (node, p, weight) in enumerate(levels):
+            above, reach = np.zeros(len(node)), np.ones(len(node))
+            if d:
+                parent = np.searchsorted(self.node_keys[-1], ContextTree._parent(node, d - 1))
+                above, reach = self.above[parent], self.reach[parent]
+            self.node_keys.append(node)
+            self.ones.append(above + reach * p)
+            self.above, self.reach = above + reach * weight * p, reach * (1 - weight)
+
+
+class Forest(ContextTree):
+    """Whole subtrees below contexts of ``CUT`` bytes, unpruned."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, depth: int = DEPTH):
+        self.depth, self.first = depth, min(CUT, depth)
+        self.nodes = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))] * self.first
+        for d in range(self.first, depth + 1):
+            own, at = np.unique(keys & mask(d + 1), return_inverse=True)
+            self.nodes.append(self._nodes(own, np.bincount(at, counts, len(own))))
+        self.weights = self._weights(self.nodes, self.first)
+
+    def sums(self) -> tuple[np.ndarray, ...]:
+        """(node, split, zeros, ones) of the contexts one byte shorter."""
+        node, weighted, zero, one = self.roots
+        parent, at = np.unique(self._parent(node, self.first - 1), return_inverse=True)
+        return parent, *(np.bincount(at, x, len(parent)) for x in (weighted, zero, one))
+
+    def scores(self, top: Top, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of each key: every decision by its deepest node."""
+        self.node_keys, self.ones = list(top.node_keys), list(top.ones)
+        above, reach = top.above, top.reach
+        for d in range(self.first, self.depth + 1):
+            node, zero, one = self.nodes[d]
+            parent = np.searchsorted(self.node_keys[-1], self._parent(node, d - 1))
+            p = (one + 0.5) / (zero + one + 1.0)
+            above, reach = above[parent], reach[parent]
+            self.node_keys.append(node)
+            self.ones.append(above + reach * p)
+            above, reach = above + reach * self.weights[d] * p, reach * (1 - self.weights[d])
+        return self._by_decision(keys, self.depth)
+
+
+def forests(batches, depth: int):
+    """(keys, counts) of whole subtrees from batches (gram, n, sub) in the
+    order of sub, about ``FOREST`` grams at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(tuple(c.to_numpy() for c in batch.columns))
+        size += batch.num_rows
+        if size >= FOREST:
+            gram, n, sub = (np.concatenate(c) for c in zip(*held))
+            end = int(np.searchsorted(sub, sub[-1]))
+            if end:
+                yield gram[:end], n[:end]
+            held, size = [(gram[end:], n[end:], sub[end:])], len(sub) - end if end else 0
+    if held:
+        yield tuple(np.concatenate(c) for c in list(zip(*held))[:2])
+
+
+def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, n, p): the log10 probability of every counted gram under the
+    tree of all grams with n > 0."""
+    first = min(CUT, depth)
+    dealt = (counts.filter("gram is not null")
+             .select("gram", "n", F.shiftright("gram", 8).bitwiseAND(F.lit(mask(first))).alias("sub"))
+             .repartition("sub").sortWithinPartitions("sub"))
+
+    def weigh(batches):
+        import pyarrow as pa
+        for keys, n in forests(batches, depth):
+            found = Forest(keys[n > 0], n[n > 0], depth).sums()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["node", "split", "zero", "one"])
+
+    sums = (dealt.mapInArrow(weigh, "node bigint, split double, zero double, one double").groupBy("node")
+            .agg(F.sum("split").alias("split"), F.sum("zero").alias("zero"), F.sum("one").alias("one"))
+            .orderBy("node").toArrow())
+    top = counts.sparkSession.sparkContext.broadcast(Top(*(sums.column(c).to_numpy() for c in range(4)), first - 1))
+
+    def final(batches):
+        import pyarrow as pa
+        for keys, n in forests(batches, depth):
+            p = Forest(keys[n > 0], n[n > 0], depth).scores(top.value, keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), pa.array(p)], ["gram", "n", "p"])
+
+    return dealt.mapInArrow(final, "gram bigint, n bigint, p double")
+
+
+def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(word, gram, n): one kind of key per row, counted over the training
+    texts; grams that only other texts have count 0. ``docs`` has the columns
+    id, train and text. The number of training documents is the count of the
+    row whose keys are both null."""
     def task():
         def emit(words, grams):
             keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -218,27 +329,30 @@ def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
                 keys, at = np.unique(np.concatenate([g[0] for g in grams]), return_inverse=True)
                 sums = np.bincount(at, np.concatenate([g[1] for g in grams])).astype(np.int64)
             n = len(words) + len(keys)
-            return [[None] * n, [*words, *[None] * len(keys)], [*[None] * len(words), *keys.tolist()],
+            return [[None] * n, [None] * n, [*words, *[None] * len(keys)], [*[None] * len(words), *keys.tolist()],
                     [*words.values(), *sums.tolist()]]
 
-        def batch(ids, _, texts):
+        def batch(ids, rest, texts):
             words, grams, held = Counter(), [], 0
-            for part in steps(t.encode().lower() for t in texts):
-                for t in part:
-                    words.update(tokens_of(t))
-                keys = gram_keys(part, depth)[0]
-                codes, distinct = pd.factorize(keys)
-                grams.append((distinct, np.bincount(codes)))
-                held += len(distinct)
-                if held + len(words) > FLUSH:
-                    yield emit(words, grams)
-                    words, grams, held = Counter(), [], 0
+            chosen = rest[0].to_pylist()
+            for train in (True, False):
+                for part in steps(t.encode().lower() for t, c in zip(texts, chosen) if bool(c) == train):
+                    if train:
+                        for t in part:
+                            words.update(tokens_of(t))
+                    keys = gram_keys(part, depth)[0]
+                    codes, distinct = pd.factorize(keys)
+                    grams.append((distinct, np.bincount(codes) * train))
+                    held += len(distinct)
+                    if held + len(words) > FLUSH:
+                        yield emit(words, grams)
+                        words, grams, held = Counter(), [], 0
             yield emit(words, grams)
-            yield [[None], [None], [None], [len(texts)]]
+            yield [[None], [None], [None], [None], [sum(map(bool, chosen))]]
 
         return batch
 
-    found = map_texts(train, task, [("word", "binary"), ("gram", "bigint"), ("n", "bigint")])
+    found = map_texts(docs, task, [("word", "binary"), ("gram", "bigint"), ("n", "bigint")], carry=["_train"])
     return found.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -270,28 +384,13 @@ def _exponent(col: str):
     return F.floor(F.log2(F.col(col))).cast("int")
 
 
-def fit_tree(counts: DataFrame, depth: int = DEPTH, max_grams: int = MAX_GRAMS) -> ContextTree:
-    """The tree of all gram counts, pruned to at most ``max_grams`` grams."""
-    every = counts.filter("gram is not null").select(
-        F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col("gram").bitwiseAND(F.lit(mask(d + 1))).alias("key"))
-                            for d in range(depth + 1)])).alias("g"), "n")
-    every = written(every.groupBy("g.d", "g.key").agg(F.sum("n").alias("n"))
-                    .withColumn("context", F.shiftright("key", 8)), "ctw-grams")
-    contexts = every.groupBy("d", "context").agg(F.sum("n").alias("total"), F.count("key").alias("kinds"))
-    least = threshold([(r.e, r.k) for r in contexts.filter("d > 0").groupBy(_exponent("total").alias("e"))
-                      .agg(F.sum("kinds").alias("k")).collect()], max_grams)
-    kept = every.join(contexts.filter((F.col("total") >= least) | (F.col("d") == 0)).select("d", "context"),
-                      ["d", "context"]).select("d", "key", "n").toArrow()
-    return ContextTree(*(kept.column(c).to_numpy().astype(np.int64) for c in ("d", "key", "n")), depth)
-
-
 def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str = "text",
           carry: list[str] = (), depth: int = DEPTH) -> DataFrame:
     """One row per document: id, carried columns, n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte."""
     rows = docs.select(F.col(id_col), *carry, text_of(text_col).alias("_text"))
-    train = docs.filter(train_filter).select(F.col(id_col), text_of(text_col).alias("_text"))
-    counts = written(corpus_counts(train, depth), "lm-counts")
+    every = docs.select(F.col(id_col), train_filter.alias("_train"), text_of(text_col).alias("_text"))
+    counts = written(corpus_counts(every, depth), "lm-counts")
     words = counts.filter("word is not null").select("word", "n")
     documents = counts.filter("word is null and gram is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
@@ -303,20 +402,31 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
     frequent = dict(zip(common.column("word").to_pylist(),
                         np.log10(common.column("n").to_numpy() + 1.0).tolist()))
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((frequent, fit_tree(counts, depth)))
+    grams = written(gram_scores(counts, depth), "lm-grams")
+    least_gram = threshold([(r.e, r.k) for r in grams.filter("n > 0").groupBy(_exponent("n").alias("e"))
+                           .agg(F.count("n").alias("k")).collect()], MAX_GRAMS)
+    top = grams.filter(F.col("n") >= least_gram).select("gram", "p").toArrow()
+    order = np.argsort(top.column("gram").to_numpy())
+    shared = context.broadcast((frequent, *(top.column(c).to_numpy()[order] for c in ("gram", "p"))))
     end_known, end_log = int(documents > 0), math.log10(documents + 1)
 
     def task():
-        known_words, tree = shared.value
+        known_words, known_grams, known_logs = shared.value
 
         def batch(ids, rest, texts):
             first = 0
             for part in steps(t.encode().lower() for t in texts):
-                out = [[] for _ in range(7)]
+                out = [[] for _ in range(9)]
                 keys, offsets = gram_keys(part, depth)
                 codes, distinct = pd.factorize(keys)
-                scores = np.add.reduceat(tree.log10(distinct)[codes], offsets[:-1]) if len(keys) else []
-                out[5].extend(np.asarray(scores).tolist())
+                at = ContextTree._find(known_grams, distinct)
+                logs_of = np.zeros(len(distinct))
+                logs_of[at >= 0] = known_logs[at[at >= 0]]
+                out[5].extend(np.add.reduceat(logs_of[codes], offsets[:-1]).tolist())
+                left = np.flatnonzero((at < 0)[codes])
+                for own in np.split(keys[left], np.searchsorted(left, offsets[1:-1])):
+                    for c, v in zip(out[7:], np.unique(own, return_counts=True)):
+                        c.append(v)
                 for data in part:
                     words = tokens_of(data)
                     n_known, logs, rare, times = end_known, end_log, [], []
@@ -338,14 +448,20 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
 
     scored = map_texts(rows, task, [("n_tokens", "bigint"), ("n_known", "bigint"), ("logs", "double"),
                                     ("rare", "array<binary>"), ("times", "array<bigint>"), ("score", "double"),
-                                    ("n_bytes", "bigint")], carry=list(carry))
+                                    ("n_bytes", "bigint"), ("grams", "array<bigint>"),
+                                    ("gram_times", "array<bigint>")], carry=list(carry))
     scored = written(scored.withColumn("_row", F.monotonically_increasing_id()), "lm-rows")
     rare = scored.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "_row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     rare = (rare.join(words.filter(F.col("n") < least), "word", "inner").groupBy("_row")
             .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")))
+    left = scored.select("_row", F.explode(F.arrays_zip("grams", "gram_times")).alias("r")).select(
+        "_row", F.col("r.grams").alias("gram"), F.col("r.gram_times").alias("times"))
+    left = (left.join(grams.filter(F.col("n") < least_gram).select("gram", "p").hint("merge"), "gram")
+            .groupBy("_row").agg(F.sum(F.col("times") * F.col("p")).alias("more_score")))
     zero = F.lit(0)
-    return (scored.drop("rare", "times").join(rare, "_row", "left")
+    return (scored.drop("rare", "times", "grams", "gram_times").join(rare, "_row", "left").join(left, "_row", "left")
+            .withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
             .select(id_col, *carry, "n_tokens", (F.col("n_known") + F.coalesce("more", zero)).alias("n_known"),
                     F.lit(tokens).cast("bigint").alias("train_tokens"),
                     (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"),

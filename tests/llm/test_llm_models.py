@@ -248,3 +248,20 @@ def test_rare_words_give_the_same_base(corpus, monkeypatch):
     monkeypatch.setattr(lm_scoring, "MAX_FREQUENT", 3)
     for r in lm_scoring.score_documents(corpus.limit(60)).collect():
         assert abs(r.base_score - whole[r.doc_id].base_score) < 1e-9 * abs(r.base_score) and r.n_known == whole[r.doc_id].n_known
+
+
+def test_scores_use_every_gram(spark, corpus, monkeypatch):
+    """Small lookup tables and steps change no score: the whole tree counts."""
+    rows = sorted(corpus.select("doc_id", "text").limit(40).collect())
+    monkeypatch.setattr(lm_scoring, "MAX_GRAMS", 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(docs).collect()}
+    train = [r.text.encode().lower() for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]
+    assert len(train) < len(rows)
+    keys = lm_scoring.gram_keys(train)[0]
+    levels = [np.unique(keys & lm_scoring.mask(d + 1), return_counts=True) for d in range(lm_scoring.DEPTH + 1)]
+    tree = lm_scoring.ContextTree(np.repeat(np.arange(len(levels)), [len(k) for k, _ in levels]),
+                                  *(np.concatenate(c) for c in zip(*levels)))
+    for r in rows:
+        want = tree.log10(lm_scoring.gram_keys([r.text.encode().lower()])[0]).sum()
+        assert abs(got[r.doc_id] - want) < 1e-6 * abs(want)
