@@ -10,6 +10,7 @@ from callframe.llm.common import read_docs
 from callframe.llm.encoding import round_trip
 from callframe.llm.exact_dedup import exact_dedup
 from callframe.llm.language_id import identify
+from callframe.llm.lexical_search import search
 from callframe.llm.lm_scoring import score_documents
 from callframe.llm.near_dedup import near_dedup
 from callframe.llm.packing import pack
@@ -58,6 +59,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_docs(spark, sf_dir))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +74,7 @@ QUERIES = {
     "op8_encoding": op8_encoding,
     "op9_binary_output": op9_binary_output,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE = {
@@ -76,4 +82,23 @@ ORACLE = {
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
        doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))""",
+    "op13_lexical_search": r"""
+WITH lowered AS (SELECT 'd' AS side, doc_id AS id, text FROM documents
+                 UNION ALL SELECT 'i', item_id, text FROM benchmark),
+     term AS (SELECT side, id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM lowered),
+     tf AS (SELECT id AS doc_id, t, count(*) AS tf FROM term WHERE side = 'd' GROUP BY ALL),
+     size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+     total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+     weight AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+                FROM tf, total GROUP BY t, n_docs),
+     item AS (SELECT DISTINCT id AS item_id, t FROM term WHERE side = 'i'),
+     score AS (SELECT item_id, doc_id,
+                      CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+               FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN size USING (doc_id), total
+               GROUP BY item_id, doc_id),
+     ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                       doc_id, score FROM score WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10""",
 }
