@@ -14,6 +14,7 @@ from callframe.llm.lexical_search import search
 from callframe.llm.lm_scoring import score_documents
 from callframe.llm.near_dedup import near_dedup
 from callframe.llm.packing import pack
+from callframe.llm.spelling import spelling_variants
 from callframe.llm.token_counts import count_tokens
 from callframe.llm.toxicity import detect
 from callframe.llm.winnowing import edited_fingerprints
@@ -59,6 +60,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_docs(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_docs(spark, sf_dir))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "benchmark"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_encoding": op8_encoding,
     "op9_binary_output": op9_binary_output,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_lexical_search": op13_lexical_search,
 }
 
