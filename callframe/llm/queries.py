@@ -14,6 +14,7 @@ from callframe.llm.lexical_search import search
 from callframe.llm.lm_scoring import score_documents
 from callframe.llm.near_dedup import near_dedup
 from callframe.llm.packing import pack
+from callframe.llm.run_index import long_repeats
 from callframe.llm.spelling import spelling_variants
 from callframe.llm.token_counts import count_tokens
 from callframe.llm.toxicity import detect
@@ -60,6 +61,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_docs(spark, sf_dir))
 
 
+def op11_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return long_repeats(read_docs(spark, sf_dir)).drop("spans")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_docs(spark, sf_dir))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_encoding": op8_encoding,
     "op9_binary_output": op9_binary_output,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_long_repeats": op11_long_repeats,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_lexical_search": op13_lexical_search,
 }
@@ -88,6 +94,22 @@ ORACLE = {
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
        doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))""",
+    "op11_long_repeats": """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+     place AS (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 199)) AS p FROM doc),
+     win AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 400)) AS w FROM place),
+     hit AS (SELECT doc_id, p, lag(p) OVER d AS before FROM win
+             WHERE w IN (SELECT w FROM win GROUP BY w HAVING count(*) > 1) WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+     part AS (SELECT doc_id, p, sum(CASE WHEN p - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM hit),
+     span AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM part GROUP BY doc_id, k),
+     gap AS (SELECT doc_id, coalesce(lag(b) OVER d, 0) AS a, a AS b FROM span WINDOW d AS (PARTITION BY doc_id ORDER BY a)
+             UNION ALL SELECT doc_id, max(b), NULL FROM span GROUP BY doc_id),
+     kept AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, len(x) // 2) - a)), '' ORDER BY a) AS kept
+              FROM gap JOIN doc USING (doc_id) GROUP BY doc_id),
+     removed AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM doc LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op13_lexical_search": r"""
 WITH lowered AS (SELECT 'd' AS side, doc_id AS id, text FROM documents
                  UNION ALL SELECT 'i', item_id, text FROM benchmark),
