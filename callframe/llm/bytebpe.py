@@ -7,10 +7,12 @@ Pieces repeat, so a batch is handled by distinct pieces:
 * ``piece_starts`` finds all piece borders of a batch at once. The pattern only
   looks one code point back and up to two ahead, so borders are comparisons of
   shifted arrays.
-* ``PieceTable`` numbers the distinct pieces of a batch by a 64-bit hash over
-  their code points and asks the tokenizer only for pieces not met before.
-  It is a cache: when it holds ``max_pieces`` pieces or ``max_ids`` ids it starts
-  again, so a task's memory does not grow with its input.
+* ``PieceTable`` numbers the distinct pieces of a batch and asks the tokenizer
+  only for pieces not met before. A 64-bit hash sorts a batch's pieces; every
+  piece is then compared with the one it is taken for, code point by code point,
+  and pieces known from earlier batches are looked up by their text. It is a
+  cache: when it holds ``max_pieces`` pieces or ``max_ids`` ids it starts again,
+  so a task's memory does not grow with its input.
 
 Code points that Python's Unicode tables do not know yet may have another
 class in the tokenizer's own tables: segments holding one go to the tokenizer
@@ -123,6 +125,31 @@ def piece_hashes(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.n
     return h ^ (h >> np.uint64(32))
 
 
+def distinct_pieces(points: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray,
+                    whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each piece, a place of each number) of the distinct pieces.
+    Pieces share a number only if their code points agree."""
+    codes, values = pd.factorize(hashes)
+    at = np.full(len(values), -1, np.int64)
+    at[codes[::-1]] = np.arange(len(codes))[::-1]
+    size, like = end - begin, at[codes]
+    wrong = (size != size[like]) | (whole != whole[like])
+    shift = np.repeat(np.where(wrong, 0, begin[like] - begin), size)
+    differ = np.flatnonzero(points != points[np.arange(len(points)) + shift])
+    wrong[np.searchsorted(begin, differ, "right") - 1] = True
+    if wrong.any():  # equal hashes of different pieces
+        number: dict[tuple[bytes, bool], int] = {}
+        more = []
+        for i in np.flatnonzero(wrong).tolist():
+            key = points[begin[i]:end[i]].tobytes(), bool(whole[i])
+            if key not in number:
+                number[key] = len(at) + len(more)
+                more.append(i)
+            codes[i] = number[key]
+        at = np.concatenate([at, more])
+    return codes, at
+
+
 def segments(texts: list[str], special: str | None):
     """(texts cut to segments, first segment of each text, special positions).
     A None segment stands for the special token."""
@@ -159,13 +186,13 @@ class PieceTable:
         self._reset()
 
     def _reset(self):
-        self.number: dict[int, int] = {}
+        self.number: dict[str | tuple[str], int] = {}
         self.size = np.zeros(1 << 12, np.int64)
         self.begin = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 12, np.uint32)
         self.used = 0
 
-    def _add(self, hashes: list[int], results: list) -> None:
+    def _add(self, keys: list, results: list) -> None:
         n = len(self.number)
         sizes = np.fromiter(results if self.counts_only else map(len, results), np.int64, len(results))
         while len(self.size) < n + len(results):
@@ -179,7 +206,7 @@ class PieceTable:
             self.begin[n:n + len(results)] = self.used + np.cumsum(sizes) - sizes
             self.flat[self.used:self.used + total] = np.fromiter((x for r in results for x in r), np.uint32, total)
             self.used += total
-        self.number.update(zip(hashes, range(n, n + len(hashes))))
+        self.number.update(zip(keys, range(n, n + len(keys))))
 
     def _step(self, parts: list[str]):
         """Numbers of all pieces of some segments, and each segment's first piece."""
@@ -201,26 +228,24 @@ class PieceTable:
         begin = np.flatnonzero(starts)
         end = np.append(begin[1:], len(points))
         hashes = piece_hashes(points, begin, end)
+        whole = np.zeros(len(begin), bool)
         if len(odd):
             whole = np.isin(begin, first[odd])
             hashes[whole] ^= np.uint64(_POLY)
-        codes, distinct = pd.factorize(hashes)
-        keys = distinct.tolist()
+        codes, at = distinct_pieces(points, begin, end, hashes, whole)
+        text = "".join(parts)
+        # a piece that goes to the tokenizer whole is another key than its text
+        keys = [(text[a:b],) if w else text[a:b]
+                for a, b, w in zip(begin[at].tolist(), end[at].tolist(), whole[at].tolist())]
         if len(self.number) + len(keys) > self.max_pieces or self.used > self.max_ids:
             self._reset()
         known = self.number
-        missing = [i for i, h in enumerate(keys) if h not in known]
-        if missing:
-            at = np.full(len(keys), -1, np.int64)
-            at[codes[::-1]] = np.arange(len(codes))[::-1]  # some place of each distinct piece
-            plain, strange = [], []
-            for i in missing:
-                a = begin[at[i]]
-                (strange if len(odd) and whole[at[i]] else plain).append(
-                    (keys[i], points[a:end[at[i]]].tobytes().decode("utf-32-le", "surrogatepass")))
-            for found, encode in ((plain, self.encode), (strange, self.encode_whole)):
-                if found:
-                    self._add([h for h, _ in found], encode([s for _, s in found]))
+        missing = [k for k in keys if k not in known]
+        plain, strange = [k for k in missing if type(k) is str], [k for k in missing if type(k) is tuple]
+        if plain:
+            self._add(plain, self.encode(plain))
+        if strange:
+            self._add(strange, self.encode_whole([k[0] for k in strange]))
         numbers = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[codes]
         return numbers, np.searchsorted(begin, np.append(begins, len(points)))
 

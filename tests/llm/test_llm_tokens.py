@@ -154,3 +154,34 @@ def test_shards_hold_every_id_once_and_resume(spark, tmp_path, library):
     assert sum(r.n_tokens for r in rows) == sum(len(e.ids) + 1 for e in library.encode_batch(texts, add_special_tokens=False))
     for a, b in zip(binary_output.read_slots(folder, 10, 9, length=64, per_shard=7), read[10:19]):
         assert (a == b).all()
+
+
+# ---- equal hashes of different pieces ---------------------------------------
+
+def equal_hash_words():
+    """Two words of 2,048 letters that agree in every polynomial modulo 2^64."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_of_equal_hash_keep_their_own_ids(spark):
+    import hashlib
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    a, b = equal_hash_words()
+    points = bytebpe.code_points(a + b)
+    begin, end = np.array([0, 2048]), np.array([2048, 4096])
+    hashes = bytebpe.piece_hashes(points, begin, end)
+    assert hashes[0] == hashes[1] and a != b
+    texts = [a, b, f"{a} {b} {a} {b}", f"x {b} {a}", b]
+    docs = documents(spark, texts).coalesce(1)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [r.n_tokens for r in sorted(token_counts.count_tokens(docs).collect())] == list(map(len, ids))
+    got = sorted(encoding.round_trip(docs).collect())
+    assert [r.decoded_sha256 for r in got] == [hashlib.sha256(x.encode()).hexdigest() for x in texts]
+    pieces = sorted(packing.pack(docs, with_ids=True).collect(), key=lambda r: (r.doc_id, r.start))
+    for i, want in enumerate(ids):
+        assert np.frombuffer(b"".join(r.ids for r in pieces if r.doc_id == i), "<u4").tolist() == [*want, 0]
