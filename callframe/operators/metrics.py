@@ -5,22 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callframe.operators.score import CATEGORIES, FN, FP, INVALID, TN, TP
+from callframe.operators.score import CATEGORIES, FN, FP, INVALID, NO_OUTPUT, NO_TRUTH, TN, TP
 
 
 def _n(cond: Column) -> Column:
     return F.count_if(cond)
 
 
+def answered() -> Column:
+    """The row pairs a record with an output: what the samples count."""
+    return ~F.col("outcome").isin(NO_OUTPUT, NO_TRUTH)
+
+
 def confusion_aggs() -> list[Column]:
+    """Samples are rows with an output; the four counts and ``invalid`` add up
+    to them. Records without an output are counted beside them."""
     o = F.col("outcome")
     return [
-        F.count(F.lit(1)).alias("total_samples"),
+        _n(answered()).alias("total_samples"),
         _n(o == TP).alias("true_positives"),
         _n(o == FP).alias("false_positives"),
         _n(o == TN).alias("true_negatives"),
         _n(o == FN).alias("false_negatives"),
         _n(o == INVALID).alias("invalid"),
+        _n(o == NO_OUTPUT).alias("no_output"),
     ]
 
 
@@ -43,10 +51,10 @@ def error_distribution(scored: DataFrame) -> DataFrame:
 
 
 def perf(scored: DataFrame) -> DataFrame:
-    """A3: mean latency = total / max(1, n); tokens per second =
-    tokens / (ms / 1000), 0 without latency."""
+    """A3: mean latency = total / max(1, n) over rows with an output; tokens
+    per second = tokens / (ms / 1000), 0 without latency."""
     agg = scored.agg(
-        F.count(F.lit(1)).alias("total_samples"),
+        _n(answered()).alias("total_samples"),
         F.sum("latency_ms").alias("total_latency_ms"),
         F.sum("generated_tokens").alias("total_generated_tokens"),
     )
@@ -83,3 +91,13 @@ def by_dimension(scored: DataFrame, dim: Column, name: str = "dim") -> DataFrame
         .rollup(name)
         .agg(*confusion_aggs(), F.grouping_id().alias("level"))
     )
+
+
+def by_dimensions(scored: DataFrame, dims: dict[str, Column]) -> DataFrame:
+    """A5 over several dimensions: the counts of every combination of the
+    dimensions and of every subtotal (``cube``), in one aggregate with one
+    exchange. ``level`` is the grouping id: bit i (from the last dimension)
+    is set where that dimension is summed over, so a NULL key of the data
+    and a subtotal stay apart."""
+    return (scored.select("outcome", *[c.alias(n) for n, c in dims.items()])
+            .cube(*dims).agg(*confusion_aggs(), F.grouping_id().alias("level")))

@@ -20,7 +20,7 @@ from callframe.operators import outputs as O
 from callframe.operators import quality as V
 from callframe.operators import score as S
 from callframe.operators import toolexec as C
-from callframe.session import configure, scratch_path
+from callframe.session import configure, drop_scratch, scratch_path
 from callframe.sources.fixtures import fixture
 from callframe.sources.tables import read_table
 from callframe.streaming import jobs as W
@@ -330,6 +330,8 @@ def q_stream_score(spark, sf_dir):
     stream = W.read_stream(spark, f"{base}/outputs", outputs.schema)
     scored = W.score_stream(stream, static, prepared=True)
     W.run_append(scored, f"{base}/trace", f"{base}/_checkpoint")
+    spark.sql(f"DROP TABLE {_table_name(base)}")
+    drop_scratch(spark, f"{base}/outputs", f"{base}/truth", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/trace")
 
 
@@ -341,36 +343,69 @@ def q_stream_divergence(spark, sf_dir):
     logs.write.mode("overwrite").parquet(f"{base}/logs")
     stream = W.read_stream(spark, f"{base}/logs", logs.schema)
     W.run_complete(W.divergence_stream(stream), f"{base}/result", f"{base}/_checkpoint")
+    drop_scratch(spark, f"{base}/logs", f"{base}/_checkpoint")
     return W.read_complete(spark, f"{base}/result")
 
 
+def q_stream_alerts(spark, sf_dir):
+    """W2 alerts: the log arrives twice, over two runs of the query (the second
+    is a restart); every diverged run still gives one alert in the span."""
+    spark = configure(spark)
+    logs = fixture(spark, sf_dir, "loss_log").withColumn("ts", F.col("ts").cast("timestamp"))
+    base = scratch_path(spark, "stream-alerts")
+    alerts = W.divergence_alerts(W.read_stream(spark, f"{base}/logs", logs.schema), span="60 days")
+    for _ in range(2):
+        logs.write.mode("append").parquet(f"{base}/logs")
+        W.run_append(alerts, f"{base}/alerts", f"{base}/_checkpoint")
+    drop_scratch(spark, f"{base}/logs", f"{base}/_checkpoint")
+    return spark.read.schema(alerts.schema).parquet(f"{base}/alerts").groupBy("run_id").agg(F.count("step").alias("alerts"))
+
+
 QUERIES.update({
     "transcripts": q_transcripts,
     "stream_score": q_stream_score,
     "stream_divergence": q_stream_divergence,
+    "stream_alerts": q_stream_alerts,
 })
 
 
+def _streamed_windows(spark, sf_dir, base):
+    """W1 over three arrivals of outputs, each a run of its own (so two
+    restarts from the checkpoint); the last one brings rows that are weeks
+    late. Returns (trace, windows)."""
+    outputs = fixture(spark, sf_dir, "arrivals").withColumn("event_time", F.col("event_time").cast("timestamp"))
+    schema = outputs.drop("arrival").schema
+    truth, _ = _truth_and_outputs(spark, sf_dir)
+    static = W.write_prepared_truth(truth, f"{base}/truth", table=_table_name(base))
+    trace = W.score_stream(W.read_stream(spark, f"{base}/outputs", schema), static, prepared=True, keep=("event_time",))
+    windows = W.outcome_windows(W.read_stream(spark, f"{base}/trace", trace.schema))
+    for arrival in range(3):
+        outputs.filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(f"{base}/outputs")
+        W.run_append(trace, f"{base}/trace", f"{base}/_trace_checkpoint")
+        W.run_append(windows, f"{base}/windows", f"{base}/_windows_checkpoint")
+    spark.sql(f"DROP TABLE {_table_name(base)}")
+    drop_scratch(spark, *[f"{base}/{x}" for x in ("outputs", "truth", "_trace_checkpoint", "_windows_checkpoint")])
+    return (spark.read.schema(trace.schema).parquet(f"{base}/trace"),
+            spark.read.schema(windows.schema).parquet(f"{base}/windows"))
+
+
 def q_stream_outcome_windows(spark, sf_dir):
-    """W1 windows: outcome counts per hour of the records' event time, from
-    the scored stream. Complete mode: state is one row per (window,
-    outcome)."""
+    """W1 windows: outcome counts per hour of the outputs' event time, under a
+    watermark, from the scored stream's own trace."""
     spark = configure(spark)
-    truth, outputs = _truth_and_outputs(spark, sf_dir)
-    events = read_table(spark, sf_dir, "events")
-    base = scratch_path(spark, "stream-windows")
-    stamped = truth.join(events.select(F.col("event_id").alias("record_id"),
-                                       F.col("ts").cast("timestamp").alias("event_time")), "record_id")
-    prepared = W.write_prepared_truth(stamped, f"{base}/truth", table=_table_name(base))
-    outputs.write.mode("overwrite").parquet(f"{base}/outputs")
-    stream = W.read_stream(spark, f"{base}/outputs", outputs.schema)
-    scored = S.decide(O.parse_outputs(stream).join(prepared, "record_id", "inner"))
-    W.run_complete(W.outcome_windows(scored, "event_time"), f"{base}/windows", f"{base}/_checkpoint")
-    return W.read_complete(spark, f"{base}/windows").select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "n")
+    _, windows = _streamed_windows(spark, sf_dir, scratch_path(spark, "stream-windows"))
+    return windows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "n")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """The rows that came after their window was closed."""
+    spark = configure(spark)
+    late = W.late_counts(*_streamed_windows(spark, sf_dir, scratch_path(spark, "stream-late")))
+    return late.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "n_late")
 
 
 QUERIES["stream_outcome_windows"] = q_stream_outcome_windows
+QUERIES["stream_late_rows"] = q_stream_late_rows
 
 
 def q_score_by_day(spark, sf_dir):
@@ -383,3 +418,15 @@ def q_score_by_day(spark, sf_dir):
 
 
 QUERIES["score_by_day"] = q_score_by_day
+
+
+def q_score_cube(spark, sf_dir):
+    """A5 over tool and event date: every combination and subtotal."""
+    s = scored(spark, sf_dir)
+    days = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("record_id"), F.date_format("ts", "yyyy-MM-dd").alias("_day"))
+    tool = F.when(F.col("truth_truthy"), F.col("g_name")).otherwise(F.lit("(none)"))
+    return M.by_dimensions(s.join(days, "record_id"), {"tool": tool, "day": F.col("_day")})
+
+
+QUERIES["score_cube"] = q_score_cube

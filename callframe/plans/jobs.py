@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callframe.operators import corpus as T
+from callframe.operators import metrics as M
 from callframe.operators import normalize as N
 from callframe.operators import quality as V
 from callframe.operators import score as S
@@ -130,10 +131,12 @@ _TRACE_SCHEMA = ("sample_id bigint, query string, available_tools string, answer
 
 def report_frame(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The report's shape: total, confusion matrix, error distribution,
-    performance, as one row of structs (one row per group with ``by``)."""
+    performance, as one row of structs (one row per group with ``by``). The
+    total and the mean count rows with an output; ``no_output`` the others."""
     o, c = F.col("outcome"), F.col("error_category")
     aggs = [
-        F.count(F.lit(1)).alias("total_samples"),
+        F.count_if(M.answered()).alias("total_samples"),
+        F.count_if(o == S.NO_OUTPUT).alias("no_output"),
         F.struct(*[F.count_if(o == v).alias(k) for k, v in (
             ("true_positives", S.TP), ("false_positives", S.FP),
             ("true_negatives", S.TN), ("false_negatives", S.FN), ("invalid", S.INVALID))]).alias("confusion_matrix"),

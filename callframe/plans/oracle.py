@@ -140,7 +140,7 @@ SELECT count(*) AS total_samples,
   count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
   count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives,
   count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
-  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid, CAST(0 AS BIGINT) AS no_output
 FROM scored""",
     "error_distribution": _error_distribution(False),
     "failure_table": _error_distribution(True),
@@ -162,7 +162,7 @@ SELECT tool,
   count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
   count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives,
   count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
-  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid,
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid, CAST(0 AS BIGINT) AS no_output,
   CAST(grouping(tool) AS BIGINT) AS level
 FROM (SELECT *, CASE WHEN truth_truthy THEN g_name ELSE '(none)' END AS tool FROM scored)
 GROUP BY ROLLUP (tool)""",
@@ -523,11 +523,31 @@ SELECT c.call_id,
   || coalesce(string_agg(t.turn_text, '' ORDER BY t.pos), '') || '<|im_start|>assistant' || chr(10) || 'Answer:' || chr(10) AS transcript
 FROM inventory_calls c LEFT JOIN turns t ON t.call_id = c.call_id GROUP BY c.call_id"""
 
-ORACLE["stream_outcome_windows"] = _with_scored() + """
-SELECT strftime(time_bucket(INTERVAL 1 HOUR, e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, s.outcome,
-  count(*) AS n
-FROM scored s JOIN events e ON e.event_id = s.record_id
-GROUP BY 1, 2"""
+_ARRIVED = fixture_cte("records", "arrivals") + _SCORED + """
+, arrived AS (
+  SELECT strftime(time_bucket(INTERVAL 1 HOUR, a.event_time), '%Y-%m-%d %H:%M:%S') AS window_start,
+    time_bucket(INTERVAL 1 HOUR, a.event_time) + INTERVAL 2 HOUR <= (SELECT max(event_time) FROM arrivals) AS closed,
+    a.arrival, coalesce(s.outcome, 'No Truth') AS outcome
+  FROM arrivals a LEFT JOIN scored s ON s.record_id = a.record_id)
+"""
+ORACLE["stream_outcome_windows"] = _ARRIVED + """
+SELECT window_start, outcome, count(*) AS n FROM arrived WHERE closed AND arrival < 2 GROUP BY 1, 2"""
+ORACLE["stream_late_rows"] = _ARRIVED + """
+SELECT window_start, outcome, count(*) AS n_late FROM arrived WHERE arrival = 2 GROUP BY 1, 2"""
+ORACLE["stream_alerts"] = fixture_cte("loss_log") + """
+SELECT run_id, CAST(1 AS BIGINT) AS alerts FROM loss_log WHERE isnan(loss) OR isinf(loss) GROUP BY run_id"""
+_COUNTS = """  count(*) AS total_samples,
+  count(*) FILTER (WHERE outcome = 'True Positive') AS true_positives,
+  count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
+  count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives,
+  count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid, CAST(0 AS BIGINT) AS no_output"""
+ORACLE["score_cube"] = _with_scored() + f"""
+SELECT tool, day,
+{_COUNTS}, CAST(grouping(tool, day) AS BIGINT) AS level
+FROM (SELECT s.outcome, CASE WHEN truth_truthy THEN g_name ELSE '(none)' END AS tool, strftime(e.ts, '%Y-%m-%d') AS day
+      FROM scored s JOIN events e ON e.event_id = s.record_id)
+GROUP BY CUBE (tool, day)"""
 
 ORACLE["score_by_day"] = _with_scored() + """
 SELECT day,
@@ -536,7 +556,7 @@ SELECT day,
   count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
   count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives,
   count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
-  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid,
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid, CAST(0 AS BIGINT) AS no_output,
   CAST(grouping(day) AS BIGINT) AS level
 FROM (SELECT s.outcome, strftime(e.ts, '%Y-%m-%d') AS day FROM scored s JOIN events e ON e.event_id = s.record_id)
 GROUP BY ROLLUP (day)"""

@@ -78,3 +78,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     import uuid
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate folders that no result reads any more."""
+    for path in paths:
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)

@@ -2,9 +2,9 @@
 
 Each fixture is one SQL statement over the driver's tables that runs
 unchanged in Spark and in DuckDB, so the Spark job and the DuckDB oracle
-start from identical rows. Table names are written ``@name``; Spark binds
-them to session-local temp views over the Parquet files, the oracle to its
-pre-registered views.
+start from identical rows. Tables and other fixtures are written ``@name``;
+Spark binds them to session-local temp views over the Parquet files, the oracle
+to its pre-registered views and common table expressions.
 """
 
 from __future__ import annotations
@@ -144,7 +144,18 @@ SELECT a.vec_id AS vec_id, a.embedding AS a,
 FROM @embeddings a JOIN @embeddings b ON b.vec_id = a.vec_id + 1
 """
 
+# Outputs with their event time, in order of arrival (0, 1, 2): the rows of
+# arrival 2 are weeks late. Some outputs belong to no record.
+ARRIVALS = """
+SELECT CASE WHEN e.event_id % 89 = 3 THEN -1 - e.event_id ELSE e.event_id END AS record_id,
+  r.raw_response, r.latency_ms, r.generated_tokens, e.ts AS event_time,
+  CASE WHEN e.event_id % 101 = 7 AND extract(DAY FROM e.ts) <= 10 THEN 2
+       WHEN extract(DAY FROM e.ts) <= 15 THEN 0 ELSE 1 END AS arrival
+FROM @records r JOIN @events e ON e.event_id = r.record_id
+"""
+
 FIXTURES = {
+    "arrivals": ARRIVALS,
     "records": RECORDS,
     "turns": TURNS,
     "items": ITEMS,
@@ -177,7 +188,8 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         table = m.group(1)
         view = f"cf_{table}_{tag}"
         if not spark.catalog.tableExists(view):
-            read_table(spark, sf_dir, table).createOrReplaceTempView(view)
+            rows = fixture(spark, sf_dir, table) if table in FIXTURES else read_table(spark, sf_dir, table)
+            rows.createOrReplaceTempView(view)
         return view
 
     return spark.sql(_REF.sub(bind, FIXTURES[name]))

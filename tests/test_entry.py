@@ -14,7 +14,7 @@ from tests.conftest import SF0001
 def test_entry_schema(spark):
     df = E.entry(spark)
     assert df.columns == ["total_samples", "true_positives", "false_positives", "true_negatives",
-                          "false_negatives", "invalid"]
+                          "false_negatives", "invalid", "no_output"]
 
 
 def test_every_query_has_oracle():

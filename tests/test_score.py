@@ -63,7 +63,7 @@ def test_fixture_counts_sf0001(spark):
     import __spark_entry__ as E
     got = rows(E.entry(spark))[0]
     assert got == {"total_samples": 1000, "true_positives": 334, "false_positives": 170,
-                   "true_negatives": 34, "false_negatives": 462, "invalid": 0}
+                   "true_negatives": 34, "false_negatives": 462, "invalid": 0, "no_output": 0}
 
 
 def test_error_distribution_sf0001(spark):
@@ -123,3 +123,29 @@ def test_json_equal_helper(spark):
     assert got[3] == (False, False)
     assert got[4] == (False, True)      # lists zip to the shorter
     assert got[5] == (True, True)       # bool counts as a number
+
+
+def test_rows_without_an_output_count_beside_the_samples(spark):
+    from callframe.operators import metrics as M
+    from callframe.plans.jobs import report_frame
+    call = '[{"name":"f","arguments":{"n":1}}]'
+    truth = spark.createDataFrame([(i, "q", '[{"name":"f"}]', call) for i in (1, 2)], "record_id long, query string, tools string, answers string")
+    outputs = spark.createDataFrame([(1, f"<tool_call>{call}</tool_call>", 100.0, 10)],
+                                    "record_id long, raw_response string, latency_ms double, generated_tokens long")
+    scored = S.score(truth, outputs)
+    c = M.confusion(scored).first()
+    assert (c.total_samples, c.true_positives, c.no_output) == (1, 1, 1)
+    assert M.perf(scored).first().avg_latency_ms == 100.0
+    r = report_frame(scored).first()
+    assert (r.total_samples, r.no_output, r.performance.avg_latency_ms) == (1, 1, 100.0)
+
+
+def test_cube_has_every_subtotal_in_one_exchange(spark):
+    from callframe.operators import metrics as M
+    from pyspark.sql import functions as F
+    scored = spark.createDataFrame([("a", 1, S.TP), ("a", 2, S.FN), ("b", 1, S.TP), (None, 1, S.NO_OUTPUT)], "tool string, day int, outcome string")
+    cube = M.by_dimensions(scored, {"tool": F.col("tool"), "day": F.col("day")})
+    got = {(r.level, r.tool, r.day): (r.total_samples, r.no_output) for r in cube.collect()}
+    assert got[3, None, None] == (3, 1) and got[1, "a", None] == (2, 0) and got[2, None, 1] == (2, 1)
+    assert got[1, None, None] == (0, 1) and got[0, "b", 1] == (1, 0) and len(got) == 4 + 3 + 2 + 1
+    assert cube._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
