@@ -51,10 +51,12 @@ def error_distribution(scored: DataFrame) -> DataFrame:
 
 
 def perf(scored: DataFrame) -> DataFrame:
-    """A3: mean latency = total / max(1, n) over rows with an output; tokens
-    per second = tokens / (ms / 1000), 0 without latency."""
+    """A3: mean latency = total / max(1, n) over rows with an output (all rows
+    of a frame without outcomes); tokens per second = tokens / (ms / 1000), 0
+    without latency."""
+    samples = _n(answered()) if "outcome" in scored.columns else F.count(F.lit(1))
     agg = scored.agg(
-        _n(answered()).alias("total_samples"),
+        samples.alias("total_samples"),
         F.sum("latency_ms").alias("total_latency_ms"),
         F.sum("generated_tokens").alias("total_generated_tokens"),
     )
