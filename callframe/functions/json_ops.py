@@ -50,6 +50,21 @@ def with_json(df: DataFrame, src: str | Column, out: str) -> DataFrame:
     return df.select(*keep, F.when(ok, F.try_variant_get(F.col(w), "$[0]", "variant")).alias(out))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, also inside a lambda of
+    a higher-order function (where no projection can name it)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def parsed(text: Column) -> Column:
+    """``with_json`` as one expression, for use inside lambdas."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + _SENTINEL + '"]')))
+    return let(wrapped, lambda w: F.when(
+        ~text.contains(_SENTINEL)
+        & (F.try_variant_get(w, "$[1]", "string") == F.lit(_SENTINEL))
+        & F.try_variant_get(w, "$[2]", "variant").isNull(), F.try_variant_get(w, "$[0]", "variant")))
+
+
 def parse_empty_list() -> Column:
     return F.parse_json(F.lit("[]"))
 

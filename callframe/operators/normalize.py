@@ -5,17 +5,20 @@ tools are taken as they came (flat rows) in their original key order.
 Rows that break the record contract get an ``error`` reason instead of
 failing the job; ``split`` separates them into a quarantine frame.
 
+Nested conversations (one row with an array of messages) are folded in the
+row: one ``aggregate`` over the messages whose state is the record so far. No
+row moves, and every other column of the row stays.
+
 Conversations in long form (one row per turn) are folded without an ordered
 loop and without collecting a conversation into one row (SURVEY §2.3.1):
 
-* stage 1, one aggregate per conversation with map-side partial
-  aggregation: last user turn, last call turn ``T``;
-* stage 2, candidate turns (normalised value not ``[]``) joined to ``T``,
-  lowest turn at or after ``T`` wins, again a partial aggregate.
-
-Both stages hash-partition on the conversation key; a huge conversation is
-pre-aggregated per map task in stage 1 and split by AQE's skew join in
-stage 2.
+* stage A, one aggregate per conversation and range of ``RANGE_TURNS`` turns:
+  last user turn, last call turn and the first answers at or after it. Only a
+  range's deciding turns are listed, so the list is bounded, and a huge
+  conversation is spread over its ranges;
+* stage B merges neighbouring ranges, ``RANGE_TURNS`` at a time: the last one
+  with a call, then the first from there on that has answers. No list holds
+  more than that, up to RANGE_TURNS ** (LEVELS + 2) turns (6.9e10).
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ CALL_ROLES = ("function_call", "tool_call", "tool")
 ASSISTANT_ROLES = ("assistant", "gpt", "model")
 
 EMPTY = "[]"
-#: turns of one conversation that one group of the first fold stage may hold
+#: turns of one conversation, or ranges of turns, that one group of a fold stage may hold
 RANGE_TURNS = 512
+#: merges of RANGE_TURNS neighbouring ranges before the last one
+LEVELS = 2
 
 
 def _c(col: Column | str) -> Column:
@@ -76,6 +81,30 @@ def with_normalized_answers(df: DataFrame, src: str, out: str) -> DataFrame:
     return df.drop(*[p + x for x in ("c", "f", "v1", "v2", "a1", "o1", "a2", "o2")])
 
 
+def normalized_answers(content: Column) -> Column:
+    """N4 as one expression. The text with swapped quotes is parsed only where
+    the text itself gives no calls."""
+    def calls(text: Column, other: Column) -> Column:
+        return J.let(J.parsed(text), lambda v: F.when(J.is_array(v), J.compact(text))
+                     .when(J.has_key(v, "name"), F.concat(F.lit("["), J.compact(text), F.lit("]"))).otherwise(other))
+
+    return F.when(content.isNull() | (content == ""), F.lit(EMPTY)).otherwise(J.let(X.py_strip(content), lambda c: calls(
+        c, J.let(F.replace(c, F.lit("'"), F.lit('"')), lambda f: calls(f, F.lit(EMPTY))))))
+
+
+def extracted_answers(text: Column) -> Column:
+    """N5 as one expression."""
+    def listed(t: Column) -> Column:
+        first, last = F.instr(t, "["), F.length(t) - F.instr(F.reverse(t), "]") + 1
+        g = F.when((first > 0) & (F.instr(t, "]") > 0) & (last > first), F.substring(t, first, last - first + 1))
+        return J.let(g, lambda g: F.when(F.coalesce(J.let(J.parsed(g), lambda v: J.has_key(J.at(v, 0), "name")), F.lit(False)),
+                                         J.compact(g)).otherwise(F.lit(EMPTY)))
+
+    return F.when(text.isNull() | (text == ""), F.lit(EMPTY)).otherwise(J.let(
+        X.tag_body(text, "tool_call", ignore_case=False),
+        lambda body: F.when(body.isNotNull(), normalized_answers(X.strip_fence(X.py_strip(body)))).otherwise(listed(text))))
+
+
 def with_extracted_answers(df: DataFrame, src: str, out: str) -> DataFrame:
     """Calls from free assistant text, as column ``out``.
 
@@ -125,7 +154,7 @@ def with_turn_answers(df: DataFrame, is_call: str, src: str, out: str) -> DataFr
                                       "g", "gv", "first", "garr")])
 
 
-# Lower-cased refusal phrases; they do not change the result.
+# Lower-cased refusal phrases; they do not change the result.
 REFUSAL_PHRASES = ("i'm sorry", "i cannot", "i don't have", "no matching tool", "[abort")
 
 
@@ -188,9 +217,9 @@ def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: st
 
     ``tools``: optional ``(id_col, tools)`` frame with JSON text per
     conversation; flattened (N7). Without it every record has ``[]``.
-    ``carry``: per-conversation columns repeated on every turn; one value
-    per conversation is kept by the first aggregate (no join)."""
-    carry = carry or []
+    ``carry``: further columns to keep; of a column that differs between a
+    conversation's turns, the last turn's value stays."""
+    carry = [c for c in carry or [] if c not in (id_col, turn_col, role_col, content_col)]
     role = F.lower(F.col(role_col))
     kind = (
         F.when(role.isin(*QUERY_ROLES), F.lit("query"))
@@ -217,39 +246,43 @@ def normalize_turns(turns: DataFrame, tools: DataFrame | None = None, id_col: st
         F.max(F.when(F.col("kind") == "query", F.struct("turn", "content"))).alias("user"),
         F.array_sort(F.collect_list(F.when(decides, F.struct("turn", "_is_call", "norm")))).alias("turns"),
         F.count_if(F.col("role_missing")).alias("missing"),
-        *[F.any_value(c).alias(c) for c in carry],
-    )
-    ranges = ranges.withColumn("call", F.array_max(F.transform(
-        F.filter("turns", lambda x: x["_is_call"]), lambda x: x["turn"])))
-    ranges = ranges.withColumn("first", F.get(F.filter("turns", lambda x: (
-        F.col("call").isNull() | (x["turn"] >= F.col("call"))) & (x["norm"] != EMPTY)), 0)["norm"])
-    # Stage B merges a conversation's ranges in order: only ranges from the one
-    # with the last call on count, and the first of them that has answers.
-    rec = ranges.groupBy("record_id").agg(
-        F.max("user").alias("user"),
-        F.array_sort(F.collect_list(F.struct("range", "call", "first"))).alias("parts"),
-        F.sum("missing").alias("missing"),
-        *[F.any_value(c).alias(c) for c in carry],
+        *[F.max(F.struct("turn", c)).alias(c) for c in carry],
     )
-    rec = rec.withColumn("last", F.array_max(F.transform(
-        F.filter("parts", lambda x: x["call"].isNotNull()), lambda x: x["range"])))
-    answers = F.get(F.filter("parts", lambda x: (
-        F.col("last").isNull() | (x["range"] >= F.col("last"))) & x["first"].isNotNull()), 0)["first"]
+    ranges = _first_answers(ranges, "turns", "turn", lambda x: x["_is_call"], lambda x: x["norm"] != EMPTY, "norm")
+    # Stage B merges neighbouring ranges in order, RANGE_TURNS at a time, then
+    # all that are left of a conversation. One exchange serves every level.
+    rec = ranges.repartition("record_id")
+    for level in range(LEVELS + 1):
+        keys = [F.floor(F.col("range") / RANGE_TURNS).alias("range")] if level < LEVELS else []
+        rec = rec.groupBy("record_id", *keys).agg(
+            F.max("user").alias("user"),
+            F.array_sort(F.collect_list(F.struct("range", "call", "first"))).alias("parts"),
+            F.sum("missing").alias("missing"),
+            *[F.max(c).alias(c) for c in carry],
+        )
+        rec = _first_answers(rec, "parts", "range", lambda x: x["call"].isNotNull(), lambda x: x["first"].isNotNull(), "first")
     query = F.when(F.col("user").isNull(), F.lit("")).otherwise(F.col("user.content"))
     out = rec.select(
         "record_id",
         query.alias("query"),
-        F.coalesce(answers, F.lit(EMPTY)).alias("answers"),
+        F.coalesce("first", F.lit(EMPTY)).alias("answers"),
         F.when(F.col("missing") > 0, F.lit("role_missing"))
         .when(query.isNull(), F.lit("query_not_string")).alias("error"),
-        *carry,
+        *[F.col(c)[c].alias(c) for c in carry],
     )
-    if carry:
-        return out.withColumn("tools", F.lit(EMPTY))
-    return _attach_tools(out, tools, id_col)
+    return _attach_tools(out, tools, id_col, carry)
+
 
+def _first_answers(rows: DataFrame, parts: str, place: str, is_call, has_answers, answers: str) -> DataFrame:
+    """Replaces the ordered list ``parts`` by ``call`` (the place of its last
+    call) and ``first`` (the first answers from there on)."""
+    call = F.array_max(F.transform(F.filter(parts, is_call), lambda x: x[place]))
+    rows = rows.withColumn("call", call)
+    since = F.filter(parts, lambda x: (F.col("call").isNull() | (x[place] >= F.col("call"))) & has_answers(x))
+    return rows.withColumn("first", F.get(since, 0)[answers]).drop(parts)
 
-def _attach_tools(records: DataFrame, tools: DataFrame | None, id_col: str) -> DataFrame:
+
+def _attach_tools(records: DataFrame, tools: DataFrame | None, id_col: str, carry: list[str]) -> DataFrame:
     if tools is None:
         rec = records.withColumn("tools", F.lit(EMPTY))
     else:
@@ -265,69 +298,91 @@ def _attach_tools(records: DataFrame, tools: DataFrame | None, id_col: str) -> D
             .withColumn("error", F.coalesce(F.col("_terr"), F.col("error")))
             .drop("_tools", "_terr")
         )
-    return rec.select("record_id", "query", "tools", "answers", "error")
+    return rec.select("record_id", "query", "tools", "answers", "error", *carry)
 
 
 MESSAGE_SCHEMA = "array<struct<role:string,from:string,content:string,value:string>>"
 
 
+#: either name of a message's two fields
+ROLE_FIELDS, TEXT_FIELDS = ("role", "from"), ("content", "value")
+
+
+def _message_fields(dtype) -> set[str]:
+    """Field names of an array of message structs."""
+    element = getattr(dtype, "elementType", None)
+    return set(element.fieldNames()) if hasattr(element, "fieldNames") else set()
+
+
+def folded(messages: Column, fields: set[str], call_roles: tuple[str, ...] = CALL_ROLES) -> Column:
+    """struct(query, answers) of an array of message structs that have
+    any of the ``fields``. The messages are read in order: a user turn sets the
+    query, a call turn sets the answers, an assistant turn sets them while
+    they are empty."""
+    def field(m: Column, names: tuple[str, ...]) -> Column:
+        return F.coalesce(*[m[n] for n in names if n in fields], F.lit(""))
+
+    def step(state: Column, m: Column) -> Column:
+        role, text = F.lower(field(m, ROLE_FIELDS)), field(m, TEXT_FIELDS)
+        answers = (F.when(role.isin(*call_roles), normalized_answers(text))
+                   .when(role.isin(*ASSISTANT_ROLES) & (state["answers"] == EMPTY), extracted_answers(text))
+                   .otherwise(state["answers"]))
+        return F.struct(F.when(role.isin(*QUERY_ROLES), text).otherwise(state["query"]).alias("query"),
+                        F.coalesce(answers, F.lit(EMPTY)).alias("answers"))
+
+    start = F.struct(F.lit("").alias("query"), F.lit(EMPTY).alias("answers"))
+    return F.aggregate(messages, start, step)
+
+
 def normalize_conversations(df: DataFrame, id_col: str = "record_id", messages: str = "conversations",
                             fallback: str | None = "messages", tools: str | None = "tools",
-                            call_roles: tuple[str, ...] = CALL_ROLES) -> DataFrame:
+                            call_roles: tuple[str, ...] = CALL_ROLES, keep: list[str] | None = None) -> DataFrame:
     """Nested form (one row per conversation, an array of messages).
 
-    Messages are exploded with their position (narrow) and folded by the
-    same set rule as the long form; the conversation's own columns (tools,
-    parse flag) ride along and are kept once per conversation by the first
-    aggregate, so nothing is joined back by id. A message list given as a string has every
-    ``'`` replaced by ``"`` and is parsed (N2); rows where that fails, or
-    whose tools are not JSON, are quarantined."""
-    cols = dict(df.dtypes)
+    The messages are folded in the row (``folded``); nothing moves and the
+    columns ``keep`` stay. Messages are structs with any of ``role``, ``from``,
+    ``content`` and ``value``. A message list given as a string has every ``'``
+    replaced by ``"`` and is parsed (N2); rows where that fails, or whose tools
+    are not JSON, are quarantined."""
+    cols, types = dict(df.dtypes), {f.name: f.dataType for f in df.schema}
+    keep = [c for c in keep or [] if c not in (id_col, "record_id", "query", "tools", "answers", "error")]
     work = df
 
-    def as_messages(name: str) -> tuple[Column, Column]:
+    def as_messages(name: str) -> tuple[Column, Column, Column]:
+        """(state after the fold, number of messages, not readable)"""
         nonlocal work
         c = F.col(name)
         if cols[name] == "string":
-            fixed, parsed = f"_{name}_fixed", f"_{name}_v"
+            fixed, value, msgs = f"_{name}_fixed", f"_{name}_v", f"_{name}_m"
             work = work.withColumn(fixed, F.replace(c, F.lit("'"), F.lit('"')))
-            work = J.with_json(work, fixed, parsed)
-            msgs = F.when(J.is_array(parsed), F.from_json(F.col(fixed), MESSAGE_SCHEMA))
-            return msgs, c.isNotNull() & msgs.isNull()
-        return c, F.lit(False)
+            work = J.with_json(work, fixed, value)
+            work = work.withColumn(msgs, F.when(J.is_array(value), F.from_json(F.col(fixed), MESSAGE_SCHEMA)))
+            found = F.col(msgs)
+            return folded(found, set(ROLE_FIELDS + TEXT_FIELDS), call_roles), F.size(found), c.isNotNull() & found.isNull()
+        return folded(c, _message_fields(types[name]), call_roles), F.size(c), F.lit(False)
 
-    msgs, bad = as_messages(messages)
+    state, n, bad = as_messages(messages)
     if fallback and fallback in cols:
-        fb, fb_bad = as_messages(fallback)
-        use_fb = msgs.isNull() | (F.size(msgs) == 0)
-        msgs = F.when(use_fb, fb).otherwise(msgs)
-        bad = F.when(use_fb, fb_bad).otherwise(bad)
+        other, _, other_bad = as_messages(fallback)
+        use = F.coalesce(n, F.lit(0)) <= 0
+        state, bad = F.when(use, other).otherwise(state), F.when(use, other_bad).otherwise(bad)
     has_tools = bool(tools and tools in cols)
-    base = work.select(F.col(id_col).alias("record_id"), msgs.alias("_msgs"), bad.alias("_bad"),
-                       *([F.col(tools).alias("_tools")] if has_tools else []))
-    carry = ["_bad"] + (["_tools"] if has_tools else [])
-    # posexplode_outer keeps conversations without messages (query "", []).
-    exploded = base.select("record_id", *carry, F.posexplode_outer("_msgs").alias("turn", "m")).select(
-        "record_id", "turn", *carry,
-        F.coalesce(F.col("m.role"), F.col("m.from"), F.lit("")).alias("role"),
-        F.coalesce(F.col("m.content"), F.col("m.value"), F.lit("")).alias("content"),
-    )
-    rec = normalize_turns(exploded, id_col="record_id", call_roles=call_roles, carry=carry)
+    rec = work.withColumns({"_state": state, "_bad": bad})
     if has_tools:
-        t = F.col("_tools") if cols[tools] == "string" else F.to_json(F.col("_tools"))
-        rec = J.with_json(rec.withColumn("_tnull", t.isNull()).withColumn("_traw", t), "_traw", "_tv")
+        t = F.col(tools) if cols[tools] == "string" else F.to_json(F.col(tools))
+        rec = J.with_json(rec.withColumn("_traw", t), "_traw", "_tv")
         rec = _stage(rec, _tools_text=F.to_json(flatten_tools(F.col("_tv"))),
-                     _terr=~F.col("_tnull") & F.col("_tv").isNull())
+                     _terr=F.col("_traw").isNotNull() & F.col("_tv").isNull())
     else:
         rec = _stage(rec, _tools_text=F.lit(EMPTY), _terr=F.lit(False))
     return rec.select(
-        "record_id",
-        F.coalesce(F.col("query"), F.lit("")).alias("query"),
+        F.col(id_col).alias("record_id"),
+        F.coalesce(F.col("_state.query"), F.lit("")).alias("query"),
         F.coalesce(F.col("_tools_text"), F.lit(EMPTY)).alias("tools"),
-        F.coalesce(F.col("answers"), F.lit(EMPTY)).alias("answers"),
+        F.coalesce(F.col("_state.answers"), F.lit(EMPTY)).alias("answers"),
         F.when(F.col("_bad"), F.lit("messages_not_json"))
-        .when(F.col("_terr"), F.lit("tools_not_json"))
-        .otherwise(F.col("error")).alias("error"),
+        .when(F.col("_terr"), F.lit("tools_not_json")).alias("error"),
+        *[F.col(f"`{c}`") for c in keep],
     )
 
 

@@ -129,3 +129,50 @@ def test_flat_quarantine_reasons(spark):
 def test_format_by_name():
     assert N.format_for("Org/xlam-function-calling-60k-ShareGPT") == "sharegpt"
     assert N.format_for("Salesforce/xlam-function-calling-60k") == "xlam"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+MESSAGES = [("user", "q1"), ("assistant", 'ok <tool_call>{"name":"g","arguments":{}}</tool_call>')]
+
+
+def test_messages_may_have_any_of_the_four_fields(spark):
+    for role, text in (("role", "content"), ("from", "value"), ("role", "value")):
+        df = spark.createDataFrame([(1, MESSAGES, "x"), (2, [], "y"), (3, None, "z")],
+                                   f"record_id long, messages array<struct<`{role}`:string,`{text}`:string>>, extra string")
+        out = N.normalize_conversations(df, messages="messages", fallback=None, keep=["messages", "extra"])
+        got = {r["record_id"]: (r["query"], r["answers"], r["extra"]) for r in rows(out)}
+        assert got == {1: ("q1", '[{"name":"g","arguments":{}}]', "x"), 2: ("", "[]", "y"), 3: ("", "[]", "z")}
+    only = spark.createDataFrame([(1, [("user",)])], "record_id long, messages array<struct<role:string>>")
+    assert rows(N.normalize_conversations(only, messages="messages"))[0]["query"] == ""
+
+
+def test_nested_fold_moves_no_row(spark):
+    df = spark.createDataFrame([(1, MESSAGES, "[]")], "record_id long, conversations array<struct<role:string,content:string>>, tools string")
+    plan = _plan(N.normalize_conversations(df))
+    assert "Exchange" not in plan and "Generate" not in plan and "Python" not in plan
+
+
+def test_nested_fold_by_table(spark):
+    data = [(cid, turns, None) for cid, (turns, _) in enumerate(FOLD_CASES)]
+    df = spark.createDataFrame(data, "record_id long, conversations array<struct<role:string,content:string>>, tools string")
+    got = {r["record_id"]: (r["query"], r["answers"]) for r in rows(N.normalize_conversations(df))}
+    for cid, (turns, expected) in enumerate(FOLD_CASES):
+        assert got[cid] == expected, turns
+
+
+def test_expression_forms_equal_the_staged_ones(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(TEXT_CASES + EXTRACT_CASES)], "i int, c string")
+    staged = N.with_extracted_answers(N.with_normalized_answers(df, "c", "n"), "c", "e")
+    for r in rows(staged.select("n", "e", N.normalized_answers(F.col("c")).alias("n2"), N.extracted_answers(F.col("c")).alias("e2"))):
+        assert (r["n"], r["e"]) == (r["n2"], r["e2"])
+
+
+def test_long_form_keeps_other_columns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "q", "a", 1), (1, 1, "assistant", "x", "b", 2), (2, 0, "user", "r", None, 3)],
+                               "conv_id long, turn long, role string, content string, source string, n int")
+    got = {r["record_id"]: (r["query"], r["source"], r["n"]) for r in rows(N.normalize_turns(df, carry=["source", "n"]))}
+    assert got == {1: ("q", "b", 2), 2: ("r", None, 3)}

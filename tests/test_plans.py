@@ -28,9 +28,9 @@ def test_scoring_udf_sees_only_residual_rows(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_conversation_fold_is_one_scan_without_joins(spark):
+def test_conversation_fold_holds_no_conversation(spark):
     """Turns are scanned once and never joined; a conversation is folded per
-    range of turns first, so its size never lands in one group."""
+    range of turns, then range by range, with one more exchange for all levels."""
     import __spark_entry__ as E
     plan = _plan(E.queries()["normalize_conversations"](spark, SF0001))
     assert plan.count("FileScan") == 1 and "Join" not in plan and "Window" not in plan
@@ -48,5 +48,19 @@ def test_giant_conversation_is_split_by_range(spark):
             F.lit('<tool_call>[{"name":"f'), F.col("id").cast("string"), F.lit('"}]</tool_call>')))
         .otherwise(F.col("id").cast("string")).alias("content"))
     got = N.normalize_turns(turns).collect()
+    assert _plan(N.normalize_turns(turns)).count("collect_list") >= N.LEVELS + 2
     # the unreadable call at 700 clears what came before; 1501 is the first text with calls after it
     assert len(got) == 1 and got[0]["query"] == str(n - 2) and got[0]["answers"] == '[{"name":"f1501"}]'
+
+
+def test_levels_of_the_fold_agree(spark, monkeypatch):
+    """Tiny ranges, so that every level merges: the result is the fold's."""
+    from callframe.operators import normalize as N
+    from tests.test_normalize import FOLD_CASES
+    monkeypatch.setattr(N, "RANGE_TURNS", 2)
+    data = [(cid, t, role, content) for cid, (turns, _) in enumerate(FOLD_CASES) for t, (role, content) in enumerate(turns)]
+    data += [(100 + k, 10 * t, *FOLD_CASES[-2][0][t]) for k in range(2) for t in range(len(FOLD_CASES[-2][0]))]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, content string")
+    got = {r.record_id: (r.query, r.answers) for r in N.normalize_turns(df).collect()}
+    assert [got[cid] for cid in range(len(FOLD_CASES))] == [want for _, want in FOLD_CASES]
+    assert got[100] == got[101] == FOLD_CASES[-2][1]
