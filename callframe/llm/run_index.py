@@ -54,7 +54,7 @@ LARGE = 4096
 STEPS = (19, 1)
 #: bytes whose anchors are sought at once, and bytes of one index
 CHUNK = 1 << 21
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 _POLY = 0x9E3779B97F4A7C15
 _POSITION = (1 << 31) - 1
 #: least keys in which one, two, ... of seven symbols differ
