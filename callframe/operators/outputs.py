@@ -53,15 +53,30 @@ def predicted_calls(parsed: Column) -> Column:
     )
 
 
+def separators_conform(text: Column) -> Column:
+    """Every comma between the elements of the outermost array is followed
+    by a newline. String literals are emptied first; of the rest only brackets
+    and commas stay (``;`` for a comma with its newline), which a fold reads
+    with the depth as its state (-1 once a bare comma was met at depth 1)."""
+    bare = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', '""')
+    marks = F.regexp_replace(F.replace(bare, F.lit(",\n"), F.lit(";")), r"[^\[\]{},;]", "")
+    depth = F.aggregate(F.split(marks, ""), F.lit(0), lambda d, c: (
+        F.when(d < 0, d).when(c.isin("[", "{"), d + 1).when(c.isin("]", "}"), d - 1)
+        .when((c == ",") & (d == 1), F.lit(-1)).otherwise(d)))
+    return (depth == 0) & ~bare.contains("\r")
+
+
 def conformance(outputs: DataFrame, text_col: str = "raw_response") -> DataFrame:
-    """O7 per row: the whole output is a JSON array in the notebook's
-    array grammar form: it opens with ``[`` and a newline, closes on the
-    final ``]`` with nothing after it, and parses as a JSON array."""
+    """O7 per row: the whole output is an array in the notebook's grammar:
+    it opens with ``[`` and a newline, its elements are separated by a comma
+    and a newline, it closes on the final ``]`` with nothing after it, holds
+    neither carriage returns between tokens nor the DEL character, and parses
+    as a JSON array."""
     text = F.col(text_col)
-    shaped = text.startswith("[\n") & text.endswith("]")
+    shaped = text.startswith("[\n") & text.endswith("]") & ~text.contains("\x7f")
     df = J.with_json(outputs, F.when(shaped, text), "_conf_v")
     ok = shaped & J.is_array("_conf_v")
-    return df.withColumn("is_conformant", F.coalesce(ok, F.lit(False))).drop("_conf_v")
+    return df.withColumn("is_conformant", F.coalesce(ok & separators_conform(text), F.lit(False))).drop("_conf_v")
 
 
 def conformance_rate(outputs: DataFrame, by: list[str], text_col: str = "raw_response") -> DataFrame:

@@ -3,8 +3,9 @@
 All checks run over the whole table in one pass (projection + partial /
 final aggregate); nothing is collected. Limits appear only where the
 limit is the feature (first N rows of a split, last N for evaluation,
-the head examples of a profile) and always with an explicit order column;
-only the counted range that holds the cut is sorted (``_cut``).
+the head examples of a profile) and always with an explicit order column of
+any orderable type; only the counted range that holds the cut is sorted
+(``_cut``).
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from callframe.functions import json_ops as J
 # -- P1-P3: selection --------------------------------------------------------
 
 
-#: ranges of the order column that are counted to find a limit's cut
-RANGES = 256
+#: keys sampled to find a limit's cut, and ranges between them that are counted
+SAMPLE, RANGES = 4096, 64
 
 
 def first_rows(df: DataFrame, limit: int | None, order_col: str = "record_id") -> DataFrame:
@@ -31,34 +32,50 @@ def last_rows(df: DataFrame, n: int, order_col: str = "record_id") -> DataFrame:
     return _cut(df, max(int(n), 0), order_col, ascending=False)
 
 
+def splitters(df: DataFrame, order_col: str, ranges: int = RANGES, sample: int = SAMPLE) -> list[str]:
+    """At most ``ranges - 1`` keys, as text and in their own order, that cut the
+    rows into ranges of about equal size: quantiles of the ``sample`` keys with
+    the smallest hashes, which is the same bounded sample on every run."""
+    key = F.col(order_col)
+    some = df.select(key.alias("k")).filter("k IS NOT NULL").orderBy(F.xxhash64("k", F.lit(1))).limit(sample)
+    found = some.orderBy("k").select(F.col("k").cast("string")).collect()  # at most ``sample`` keys
+    return list(dict.fromkeys(found[i * len(found) // ranges][0] for i in range(1, ranges) if found))
+
+
 def _cut(df: DataFrame, n: int, order_col: str, ascending: bool) -> DataFrame:
-    """The ``n`` rows at one end of a numeric order column (nulls are the
-    lowest values).
-
-    Quantiles of the column bound RANGES ranges whose rows are counted (one
-    small aggregate each, no row moves). All rows of the ranges inside the
-    cut are kept by a plain filter; only the range that holds the cut is
-    sorted, for what is still missing from it."""
-    key = F.coalesce(F.col(order_col).cast("double"), F.lit(float("-inf")))
+    """The ``n`` rows at one end of any orderable column (nulls are lowest).
+
+    Splitters from the key itself bound ranges whose rows are counted in one
+    pass over the key. The ranges inside the cut are kept by a plain comparison
+    of the raw column, which a Parquet scan can skip by; only the range that
+    holds the cut is sorted, for what is still missing from it."""
     if n == 0:
         return df.limit(0)
-    bounds = df.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 100 * RANGES)).first()[0]
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
-    place = F.size(F.filter(edges, lambda b: b < key))
-    counts = dict(df.groupBy(place.alias("place")).count().collect())
-    wanted, inside = n, []
-    for at in sorted(counts, reverse=not ascending):
-        if counts[at] > wanted:
-            order = F.col(order_col).asc_nulls_first() if ascending else F.col(order_col).desc_nulls_last()
-            rest = df.filter(place == at).orderBy(order).limit(wanted)
-            limit = sorted(set(bounds))
-            low = key <= limit[at - 1] if ascending and at else key > limit[at] if not ascending and at < len(limit) else None
-            return rest if low is None else df.filter(low).unionByName(rest)
-        wanted -= counts[at]
-        inside.append(at)
-        if not wanted:
-            return df.filter(place <= at if ascending else place >= at)
-    return df
+    key, kind = F.col(order_col), df.schema[order_col].dataType
+    bounds = splitters(df, order_col)
+    edges = [F.lit(b).cast(kind) for b in bounds]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count(order_col).alias("keys"),
+                 *[F.count_if(key < e).alias(f"below{i}") for i, e in enumerate(edges)]).first()
+    if n >= row["rows"]:
+        return df
+    nulls = row["rows"] - row["keys"]
+    # rows before each splitter; the first range starts with the nulls
+    before = [0, *[nulls + row[f"below{i}"] for i in range(len(bounds))], row["rows"]]
+    cut = n if ascending else row["rows"] - n          # rows before the cut
+    at = max(i for i in range(len(before) - 1) if before[i] <= cut)
+    low, high = (edges[at - 1] if at else None), (edges[at] if at < len(edges) else None)
+    inside = key.isNull() if low is None else key >= low
+    if low is None:
+        inside = F.lit(True) if high is None else key.isNull() | (key < high)
+    elif high is not None:
+        inside = inside & (key < high)
+    order = key.asc_nulls_first() if ascending else key.desc_nulls_last()
+    wanted = cut - before[at] if ascending else before[at + 1] - cut
+    whole = (None if low is None else key.isNull() | (key < low)) if ascending else (None if high is None else key >= high)
+    rest = df.filter(inside).orderBy(order).limit(wanted) if wanted else None
+    if rest is None:
+        return df.filter(whole)
+    return rest if whole is None else df.filter(whole).unionByName(rest)
 
 
 def head_examples(df: DataFrame, k: int = 3, order_col: str = "record_id", cut: int = 500) -> DataFrame:
@@ -181,6 +198,14 @@ def item_checks(items: DataFrame) -> DataFrame:
     return df.withColumn("valid", valid)
 
 
+def item_quarantine(items: DataFrame) -> DataFrame:
+    """V6: the items that break a rule, all columns kept, with the names of
+    the broken rules in rule order. Every other item is valid."""
+    broken = F.array_compact(F.array(*[F.when(~F.col(f"ok_{k}"), F.lit(k)) for k in ITEM_RULES]))
+    checked = item_checks(items)
+    return checked.filter(~F.col("valid")).select(*items.columns, F.array_join(broken, ",").alias("broken_rules"))
+
+
 def item_rules(items: DataFrame) -> DataFrame:
     """V6 summary, long form: violations per rule over all items."""
     checked = item_checks(items)
@@ -218,24 +243,63 @@ def divergence(logs: DataFrame, run_col: str = "run_id", step_col: str = "step",
 
 
 def overlap(train: DataFrame, evaluation: DataFrame, key: str = "query") -> DataFrame:
-    """Evaluation rows whose ``key`` also occurs in the training rows
-    (left semi join; only the key column of the training side moves)."""
-    return evaluation.join(train.select(key).distinct(), key, "left_semi")
-
-
-def tool_catalogue(records: DataFrame) -> DataFrame:
-    """Per tool name across all records: uses and distinct schemas (by
-    canonical text). Tools are exploded first, then each one is flattened
-    (a nested ``function`` object replaces its wrapper) as a plain
-    projection; partial aggregation keeps a hot name to one row per map
-    task and schema."""
+    """Evaluation rows whose ``key`` also occurs in the training rows.
+
+    Both sides first meet by a 64-bit digest of the key, numbers only; the
+    texts of the digests that both have are then compared. So no key text moves
+    for rows that match nothing, beyond a scan's runtime filter on the digest
+    (Bloom filter), and an equal digest alone is never a match."""
+    digest = F.xxhash64(key)
+    mine, other = (df.filter(F.col(key).isNotNull()).select(digest.alias("_digest")).distinct() for df in (evaluation, train))
+    both = mine.join(other, "_digest")
+    texts = train.select(key, digest.alias("_digest")).join(both, "_digest", "left_semi").select(key).distinct()
+    rows = evaluation.withColumn("_digest", digest).join(both, "_digest", "left_semi").drop("_digest")
+    return rows.join(texts, key, "left_semi")
+
+
+def _tool_schemas(records: DataFrame) -> DataFrame:
+    """(name, t): every tool of every record, flattened (a nested ``function``
+    object replaces its wrapper)."""
     df = J.with_json(records.select("tools"), "tools", "_tv")
     tools = df.select(F.explode(J.as_array("_tv")).alias("t"))
     tools = tools.withColumn("_fn", J.get("t", "function"))
     tools = tools.filter(J.is_object("t")).select(
         F.when(J.is_object("_fn"), F.col("_fn")).otherwise(F.col("t")).alias("t"))
-    tools = tools.select(J.as_string(J.get("t", "name")).alias("name"), J.canon("t").alias("schema"))
+    return tools.select(J.as_string(J.get("t", "name")).alias("name"), "t")
+
+
+def tool_catalogue(records: DataFrame) -> DataFrame:
+    """Per tool name across all records: uses and distinct schemas (by
+    128 bits of the canonical text's SHA-256, so no schema text moves);
+    partial aggregation keeps a hot name to one row per map task and schema."""
+    digest = F.substring(F.unhex(F.sha2(J.canon("t"), 256)), 1, 16)
+    tools = _tool_schemas(records).select("name", digest.alias("schema"))
     return tools.groupBy("name").agg(
         F.count(F.lit(1)).alias("uses"),
         F.count_distinct("schema").alias("n_schemas"),
     )
+
+
+def tool_conflicts(records: DataFrame) -> DataFrame:
+    """The names whose schemas differ, and where: per name and top-level
+    key of the schema (``parameters.x`` for the keys of an object under
+    ``parameters``), how many different values it has over the name's
+    schemas, absent counted as one. Keys on which all schemas of a name agree
+    are left out. Distinct schemas are few beside their uses, so they are
+    reduced before their keys are listed."""
+    tools = _tool_schemas(records)
+    tools = tools.select("name", J.canon("t").alias("schema")).filter("name IS NOT NULL").distinct()
+    parsed = J.with_json(tools, "schema", "_v")
+    top, inner = J.as_object("_v"), J.as_object(J.get("_v", "parameters"))
+    empty = F.create_map().cast("map<string,variant>")
+
+    def listed(m: Column, prefix: str) -> Column:
+        return F.transform(F.map_entries(F.coalesce(m, empty)), lambda e: F.struct(
+            F.concat(F.lit(prefix), e["key"]).alias("key"), F.xxhash64(J.canon(e["value"])).alias("value")))
+
+    keys = parsed.select("name", F.explode(F.concat(listed(top, ""), listed(inner, "parameters."))).alias("e"))
+    keys = keys.filter(F.col("e.key") != "name").groupBy("name", F.col("e.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("present"), F.count_distinct("e.value").alias("n_values"))
+    total = tools.groupBy("name").agg(F.count(F.lit(1)).alias("n_schemas")).filter("n_schemas > 1")
+    out = keys.join(total, "name").withColumn("n_values", F.col("n_values") + (F.col("present") < F.col("n_schemas")).cast("int"))
+    return out.filter("n_values > 1").select("name", "n_schemas", "key", "n_values")

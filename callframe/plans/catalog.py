@@ -20,9 +20,10 @@ from callframe.operators import outputs as O
 from callframe.operators import quality as V
 from callframe.operators import score as S
 from callframe.operators import toolexec as C
+from callframe.plans import jobs as P
 from callframe.session import configure, drop_scratch, scratch_path
 from callframe.sources.fixtures import fixture
-from callframe.sources.tables import read_table
+from callframe.sources.tables import BROKEN, read_json_lines, read_table
 from callframe.streaming import jobs as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +55,7 @@ def q_parse_outputs(spark, sf_dir):
 
 
 def q_conformance_rate(spark, sf_dir):
-    records = fixture(configure(spark), sf_dir, "records")
-    events_type = F.regexp_extract("query", r"^Log (\S+) for", 1)
-    return O.conformance_rate(records.withColumn("tool", events_type), ["tool"])
+    return O.conformance_rate(fixture(configure(spark), sf_dir, "array_outputs"), ["tool"])
 
 
 # -- E/A: scoring and metrics -----------------------------------------------
@@ -430,3 +429,131 @@ def q_score_cube(spark, sf_dir):
 
 
 QUERIES["score_cube"] = q_score_cube
+
+
+# -- faults off the beaten track --------------------------------------------------
+
+def _odd(spark, sf_dir):
+    """(truth, outputs) of the odd records; some have no output, some outputs
+    no record."""
+    rows = fixture(configure(spark), sf_dir, "odd_records")
+    truth = rows.select("record_id", "query", "tools", "answers")
+    outputs = rows.filter("raw_response IS NOT NULL").select(
+        F.when(F.col("record_id") % 59 == 4, -1 - F.col("record_id")).otherwise(F.col("record_id")).alias("record_id"),
+        "raw_response", "latency_ms", "generated_tokens")
+    return truth, outputs
+
+
+def q_score_odd(spark, sf_dir):
+    """E1-E6 on truth and outputs with every other fault."""
+    return S.score(*_odd(spark, sf_dir)).select("record_id", "ground_truth_parsing_error", "outcome", "error_category")
+
+
+def q_evaluation_report(spark, sf_dir):
+    """The evaluate job on stored truth and outputs; its report. The
+    truth also has the flat rows' broken ones, which are skipped."""
+    spark = configure(spark)
+    truth, outputs = _odd(spark, sf_dir)
+    base = scratch_path(spark, "evaluate")
+    broken = N.split(N.normalize_flat(fixture(spark, sf_dir, "flat_rows"), id_col="row_id"))[1]
+    truth.unionByName(broken.select((-F.col("record_id") - 10 ** 9).alias("record_id"), "query", F.lit("no list").alias("tools"),
+                                    "answers")).write.parquet(f"{base}/truth")
+    outputs.write.parquet(f"{base}/outputs")
+    P.evaluate(spark, f"{base}/truth", f"{base}/outputs", f"{base}/reports")
+    report = spark.read.json(f"{base}/reports/metrics")
+    return report.select(
+        *[F.col(c).cast("bigint").alias(c) for c in ("total_samples", "no_output", "skipped", "orphan_outputs")],
+        *[F.col(f"confusion_matrix.{c}").cast("bigint").alias(c) for c in (
+            "true_positives", "false_positives", "true_negatives", "false_negatives", "invalid")],
+        F.round("performance.avg_latency_ms", 6).alias("avg_latency_ms"))
+
+
+# -- S1, S3, P5, T1, T8: reading broken input, one routed write ----------------------
+
+LINE_SCHEMA = "record_id bigint, query string, tools string, answers string, source string"
+
+
+def _json_lines(spark, sf_dir):
+    spark = configure(spark)
+    path = scratch_path(spark, "json-lines")
+    fixture(spark, sf_dir, "json_lines").select("line").write.text(path)
+    return path
+
+
+def q_json_lines(spark, sf_dir):
+    """Every line with its fate: a record, or quarantined with a reason and
+    its text."""
+    rows = read_json_lines(spark, _json_lines(spark, sf_dir), LINE_SCHEMA)
+    out = P.normalized_rows(rows, fmt="xlam")
+    return out.select(F.when(F.col(BROKEN).isNull(), F.col("record_id")).alias("record_id"), "error", F.col(BROKEN).alias("line"))
+
+
+def q_routed_corpus(spark, sf_dir):
+    """The corpus job on JSON lines; rows read back from both
+    partitions, with the reason counts it returned."""
+    spark = configure(spark)
+    base = scratch_path(spark, "corpus")
+    told = P.build_corpus(spark, _json_lines(spark, sf_dir), base, fmt="xlam", input_format="json", schema=LINE_SCHEMA)
+    good, bad = P.read_corpus(spark, base), P.read_corpus(spark, base, valid=False)
+    counted = spark.createDataFrame(list({**told["reasons"], "": told["written"]}.items()), "error string, counted bigint")
+    rows = (good.select(F.lit("").alias("error"), "source", F.length("text").alias("chars"))
+            .unionByName(bad.select("error", "source", F.lit(0).alias("chars"))))
+    return (rows.groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.count("source").alias("with_source"),
+                                      F.sum("chars").cast("bigint").alias("chars"))
+            .join(F.broadcast(counted), "error", "left"))  # one row per reason
+
+
+def q_sft_messages(spark, sf_dir):
+    """The messages behind each text, one row per message. (The outer form
+    infers no filter on the list, which would be pushed below every step that
+    derives it.)"""
+    corpus = T.training_text(_unified_records(spark, sf_dir), messages=True)
+    said = corpus.select("record_id", F.posexplode_outer("chat_messages").alias("pos", "m"))
+    return said.select("record_id", "pos", "m.role", "m.content").filter("pos IS NOT NULL")
+
+
+def q_normalize_chat(spark, sf_dir):
+    """N1b on arrays of messages with the plain chat fields, folded in the row."""
+    turns = fixture(configure(spark), sf_dir, "turns")
+    nested = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("messages"))
+    nested = nested.withColumn("messages", F.transform("messages", lambda m: m.dropFields("turn")))
+    records, _ = N.split(N.normalize_conversations(nested, id_col="conv_id", messages="messages", fallback=None))
+    return records
+
+
+# -- P1, P2 on other keys, V6 quarantine, D2 conflicts ---------------------------------
+
+def q_train_limit_by_time(spark, sf_dir):
+    """P1 by a timestamp: the earliest log rows."""
+    return V.first_rows(fixture(configure(spark), sf_dir, "loss_log"), DATASET_LIMIT, "ts").select("run_id", "step")
+
+
+def q_eval_tail_by_name(spark, sf_dir):
+    """P2 by a string."""
+    truth, _ = _truth_and_outputs(spark, sf_dir)
+    named = truth.select("record_id", F.concat("query", F.lit(" "), F.col("record_id").cast("string")).alias("name"))
+    return V.last_rows(named, EVAL_SAMPLES, "name")
+
+
+def q_item_quarantine(spark, sf_dir):
+    return V.item_quarantine(fixture(configure(spark), sf_dir, "items"))
+
+
+def q_tool_conflicts(spark, sf_dir):
+    rows = fixture(configure(spark), sf_dir, "flat_rows")
+    records, _ = N.split(N.normalize_flat(rows, id_col="row_id"))
+    return V.tool_conflicts(records)
+
+
+QUERIES.update({
+    "score_odd": q_score_odd,
+    "evaluation_report": q_evaluation_report,
+    "json_lines": q_json_lines,
+    "routed_corpus": q_routed_corpus,
+    "sft_messages": q_sft_messages,
+    "normalize_chat": q_normalize_chat,
+    "train_limit_by_time": q_train_limit_by_time,
+    "eval_tail_by_name": q_eval_tail_by_name,
+    "item_quarantine": q_item_quarantine,
+    "tool_conflicts": q_tool_conflicts,
+})

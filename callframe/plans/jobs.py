@@ -1,13 +1,15 @@
 """End-to-end jobs: the reference's phases as Spark jobs with sinks.
 
-* ``build_corpus``  S1, P1, P4, N*, N10, N9, T*, S3: read a split, take the
-  first N rows, normalise, precheck the first row, quarantine bad rows,
-  build the text (all input columns kept) and write Parquet.
-* ``evaluate``      S2, P2, E*, S5, A*, S6: score outputs against truth,
+* ``build_corpus``  S1, P1, P4, P5, N*, N10, N9, T*, S3: read a split, take the
+  first N rows, precheck the first row, normalise and build the text, and
+  write rows and rejected rows in one routed pass: every input column is kept,
+  and both kinds are counted by reason while they are written.
+* ``evaluate``      S2, P2, P5, E*, S5, A*, S6: score outputs against truth,
   write the trace, then compute the report from the written trace (the
-  trace is the lineage cut: metrics never recompute the scoring).
+  trace is the lineage cut: metrics never recompute the scoring). Records that
+  are skipped and outputs without a record are counted.
 * ``smoke_check``   V1-V5, S7: profile, adapter check, text check and gate
-  over the whole split; the report is a one-row JSON table.
+  over the whole split, with the first rows' details; the report is JSON.
 * ``check_divergence`` V7: raise on a diverged run (the trainer's guard).
 
 Actions happen only here. Paths are on shared storage (the caller's).
@@ -25,71 +27,125 @@ from callframe.operators import quality as V
 from callframe.operators import score as S
 from callframe.plans.errors import DivergenceError, PipelineError, SchemaValidationError
 from callframe.session import configure
-from callframe.sources.tables import read_records, write_table
+from callframe.sources.tables import BROKEN, read_json_lines, read_records, write_table
 
 
-def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+#: partition column of a routed corpus: rows with a text, rows without
+VALID = "valid"
+
+
+def _read(spark: SparkSession, path: str, fmt: str, schema: str | None = None) -> DataFrame:
     try:
-        return read_records(spark, path, fmt)
+        return read_json_lines(spark, path, schema) if fmt == "json" and schema else read_records(spark, path, fmt, schema)
     except Exception as e:  # noqa: BLE001 - surfaced as the reference's error kind
         raise PipelineError(f"cannot read {path}: {e}") from e
 
 
 def normalized_rows(raw: DataFrame, dataset_name: str = "", fmt: str | None = None, order_col: str = "record_id",
                     **normalize_kw) -> DataFrame:
-    """The input's rows as records, by format or dataset name. The
-    columns of flat and nested inputs travel with the record."""
+    """The input's rows as records, by format or dataset name. All other
+    columns of the input travel with the record (for rows of turns, see
+    ``normalize_turns``). Lines that were no rows get the reason
+    ``line_not_json``."""
     fmt = fmt or N.format_for(dataset_name)
     if fmt in N.FORMATS:
-        return N.FORMATS[fmt](raw, id_col=order_col, **normalize_kw)
-    if fmt == "xlam":
-        return N.normalize_flat(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
-    if fmt == "sharegpt":
-        return N.normalize_conversations(raw, id_col=order_col, **normalize_kw)
-    return N.normalize_turns(raw, **normalize_kw)
-
-
-def precheck_first_row(raw: DataFrame, normalize, order_col: str = "record_id") -> None:
-    """The first row must form a record before the job runs. Only that
-    row is normalised."""
-    first = normalize(raw.orderBy(order_col).limit(1)).select("error").collect()
+        out = N.FORMATS[fmt](raw, id_col=order_col, **normalize_kw)
+    elif fmt == "xlam":
+        out = N.normalize_flat(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
+    elif fmt == "sharegpt":
+        out = N.normalize_conversations(raw, id_col=order_col, keep=raw.columns, **normalize_kw)
+    else:
+        out = N.normalize_turns(raw, carry=raw.columns, **normalize_kw)
+    if BROKEN in out.columns:
+        out = out.withColumn("error", F.when(F.col(BROKEN).isNotNull(), F.lit("line_not_json")).otherwise(F.col("error")))
+    return out
+
+
+def precheck_first_row(raw: DataFrame, normalize, order_col: str = "record_id", whole_key: bool = False) -> None:
+    """The first row (with ``whole_key``, all rows with the first key) must
+    form a record before the job runs. Only that row is normalised. Lines
+    that are no rows have no key and are left to the quarantine."""
+    rows = raw.filter(F.col(BROKEN).isNull()) if BROKEN in raw.columns else raw
+    rows = (rows.filter(F.col(order_col) == rows.agg(F.min(order_col)).scalar()) if whole_key
+            else rows.orderBy(order_col).limit(1))
+    first = normalize(rows).select("error").collect()
     if first and first[0]["error"] is not None:
         raise SchemaValidationError(f"first row is not a record: {first[0]['error']}")
 
 
-def _write_counted(df: DataFrame, path: str) -> int:
-    """Write and count in one pass."""
-    seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
-    return seen.get["n"]
+def corpus_rows(normalized: DataFrame, template: T.ChatTemplate = T.CHATML, style: str = "compact",
+                messages: bool = False) -> DataFrame:
+    """T1 over all normalised rows: ``error`` is the reason why a row has no
+    text (no record, or no text can be built), ``valid`` whether it has one."""
+    out = T.training_text(normalized, template, style, messages)
+    error = F.coalesce("error", "corpus_error")
+    return out.withColumns({"text": F.when(error.isNull(), F.col("text")), "error": error}).withColumn(
+        VALID, F.col("error").isNull()).drop("corpus_error")
+
+
+def read_corpus(spark: SparkSession, path: str, valid: bool = True) -> DataFrame:
+    """The rows of a routed corpus that have a text, or the rejected ones
+    with their reason. Only that partition is read."""
+    try:
+        return spark.read.parquet(path).filter(F.col(VALID) == valid).drop(VALID, *(["error"] if valid else []))
+    except Exception as e:  # noqa: BLE001
+        raise PipelineError(f"cannot read {path}: {e}") from e
+
 
+#: reasons why a row is rejected, as counted by ``build_corpus``
+REASONS = ("line_not_json", "tools_missing", "tools_not_json", "query_not_string", "tools_not_list", "tool_not_object",
+           "messages_not_json", "role_missing", "tool_name_not_string", "answer_call_malformed", "text_not_built")
 
-def build_corpus(spark: SparkSession, input_path: str, output_path: str, quarantine_path: str | None = None,
-                 dataset_name: str = "", fmt: str | None = None, input_format: str = "parquet",
-                 limit: int | None = None, order_col: str = "record_id", on_error: str = "quarantine",
-                 template: T.ChatTemplate = T.CHATML, style: str = "compact", **normalize_kw) -> dict:
-    """Process phase. Returns counts of written and quarantined rows. A row
-    that is no record, or whose text cannot be built, goes to the quarantine
-    with its reason and is never written to the corpus."""
+
+def build_corpus(spark: SparkSession, input_path: str, output_path: str, dataset_name: str = "", fmt: str | None = None,
+                 input_format: str = "parquet", schema: str | None = None, limit: int | None = None,
+                 order_col: str = "record_id", on_error: str = "quarantine", template: T.ChatTemplate = T.CHATML,
+                 style: str = "compact", messages: bool = False, **normalize_kw) -> dict:
+    """Process phase, in one pass: rows are written to ``output_path``
+    partitioned by ``valid`` (see ``read_corpus``), with all input columns.
+
+    Returns ``written``, ``dropped`` and ``reasons`` (rejected rows by reason),
+    counted while the rows are written, in every mode. ``on_error``:
+    ``quarantine`` writes rejected rows beside the corpus, ``skip`` only counts
+    them, ``fail`` raises at the first one and leaves nothing behind."""
     spark = configure(spark)
-    raw = V.first_rows(_read(spark, input_path, input_format), limit, order_col)
+    raw = _read(spark, input_path, input_format, schema)
+    turns = (fmt or N.format_for(dataset_name)) == "turns"
 
     def normalize(rows: DataFrame) -> DataFrame:
         return normalized_rows(rows, dataset_name, fmt, order_col, **normalize_kw)
 
-    if (fmt or N.format_for(dataset_name)) != "turns" and order_col in raw.columns:
+    # a limit counts records: rows of the input, or conversations of turns
+    if turns:
+        precheck_first_row(raw, normalize, normalize_kw.get("id_col", "conv_id"), whole_key=True)
+        normalized = V.first_rows(normalize(raw), limit, "record_id")
+    else:
+        raw = V.first_rows(raw, limit, order_col)
         precheck_first_row(raw, normalize, order_col)
-    records, quarantine = N.split(normalize(raw))
-    corpus = N.keep_filters_above(T.training_text(records, template, style))
-    good = corpus.filter(F.col("corpus_error").isNull() & (F.col("_pid") >= 0)).drop("_pid")
-    broken = corpus.filter(F.col("corpus_error").isNotNull() & (F.col("_pid") >= 0))
-    rejected = quarantine.select("record_id", "error").unionByName(
-        broken.select("record_id", F.col("corpus_error").alias("error")))
-    if on_error == "fail" and not rejected.isEmpty():
-        raise SchemaValidationError("rows that are not records: see the quarantine")
-    written = _write_counted(good, output_path)
-    bad = _write_counted(rejected, quarantine_path) if quarantine_path and on_error == "quarantine" else 0
-    return {"written": written, "quarantined": bad}
+        normalized = normalize(raw)
+    rows = N.keep_filters_above(corpus_rows(normalized, template, style, messages))
+    seen = Observation()
+    known = F.col("error").isin(*REASONS)
+    rows = rows.observe(seen, F.count_if(VALID).alias("written"), F.count_if(F.col("error").isNotNull()).alias("dropped"),
+                        *[F.count_if(F.col("error") == r).alias(r) for r in REASONS],
+                        F.count_if(F.col("error").isNotNull() & ~known).alias("other"))
+    if on_error == "fail":
+        rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(
+            F.concat(F.lit(f"{_REJECTED} "), F.coalesce(F.col("record_id").cast("string"), F.lit("null")), F.lit(": "), "error"))))
+    elif on_error == "skip":
+        rows = rows.filter(F.col("error").isNull() & (F.col("_pid") >= 0))
+    try:
+        write_table(rows.drop("_pid"), output_path, partition_by=[VALID])
+    except Exception as e:
+        if _REJECTED in str(e):
+            raise SchemaValidationError(str(e)[str(e).index(_REJECTED):].splitlines()[0]) from e
+        raise
+    counts = seen.get
+    return {"written": counts["written"], "dropped": counts["dropped"],
+            "reasons": {r: counts[r] for r in (*REASONS, "other") if counts[r]}}
+
+
+_REJECTED = "not a record: row"
 
 
 def evaluate(spark: SparkSession, truth_path: str, outputs_path: str, reports_dir: str,
@@ -99,13 +155,17 @@ def evaluate(spark: SparkSession, truth_path: str, outputs_path: str, reports_di
     """Evaluate phase: trace (JSON lines) and the metrics report (JSON).
     ``num_samples`` takes the first rows of a test split, else the last rows
     of the training split. With ``by`` the report has one row per group and
-    the number of groups is returned."""
+    the number of groups is returned. The report tells how many rows were no
+    records and were ``skipped`` (P5), and how many outputs no record asked
+    for (``orphan_outputs``, only without ``num_samples``)."""
     spark = configure(spark)
     truth = _read(spark, truth_path, fmt)
     if num_samples:
         truth = V.first_rows(truth, num_samples, order_col) if test_split else V.last_rows(truth, num_samples, order_col)
-    # rows that do not parse are skipped (P5)
-    records, _ = N.split(normalized_rows(truth, dataset_name, record_format, order_col))
+    seen = Observation()
+    rows = normalized_rows(truth, dataset_name, record_format, order_col).observe(
+        seen, F.count_if(F.col("error").isNotNull()).alias("skipped"))
+    records, _ = N.split(rows)
     records = records.select("record_id", "query", "tools", "answers")
     outputs = _read(spark, outputs_path, fmt).withColumnRenamed(order_col, "record_id")
     scored = S.score(records, outputs)
@@ -113,7 +173,10 @@ def evaluate(spark: SparkSession, truth_path: str, outputs_path: str, reports_di
     write_table(S.trace(scored), trace_path, fmt="json")             # S5
     trace = spark.read.schema(_TRACE_SCHEMA).json(trace_path)
     metrics_path = f"{reports_dir.rstrip('/')}/metrics"
-    report = report_frame(trace, by)
+    orphans = None if num_samples else S.orphan_outputs(trace.select(F.col("sample_id").alias("record_id")),
+                                                        outputs.select("record_id")).count()
+    report = report_frame(trace, by).withColumns({
+        "skipped": F.lit(seen.get["skipped"]).cast("bigint"), "orphan_outputs": F.lit(orphans).cast("bigint")})
     if by:
         write_table(report, metrics_path, fmt="json")
         return {"groups": spark.read.json(metrics_path).count()}
@@ -152,20 +215,30 @@ def report_frame(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def smoke_check(spark: SparkSession, input_path: str, report_path: str, input_format: str = "parquet",
-                order_col: str = "record_id", examples: int = 3, dataset_name: str = "xlam",
-                fmt: str | None = None, **normalize_kw) -> bool:
-    """Smoke phase over the whole split; returns the gate (V5)."""
+                order_col: str = "record_id", examples: int = 3, details: int = 5, dataset_name: str = "xlam",
+                fmt: str | None = None, training: dict | None = None, evaluation: dict | None = None,
+                **normalize_kw) -> bool:
+    """Smoke phase over the whole split; returns the gate (V5). The report has
+    the summaries over all rows, the first ``details`` rows of the adapter check
+    and the first ``examples`` texts, and the ``training`` and ``evaluation``
+    results that earlier phases handed over."""
     spark = configure(spark)
     raw = _read(spark, input_path, input_format)
     normalized = normalized_rows(raw, dataset_name, fmt, order_col, **normalize_kw)
-    checked = V.adapter_check(normalized)
-    summary = V.adapter_summary(checked).first().asDict()
-    records, _ = N.split(normalized)
-    corpus_summary = T.corpus_summary(T.corpus_check(T.training_text(records))).first().asDict()
+    summary = V.adapter_summary(V.adapter_check(normalized)).first().asDict()
+    checked = T.corpus_check(T.training_text(N.split(normalized)[0]))
+    corpus_summary = T.corpus_summary(checked).first().asDict()
     profile = [r.asDict() for r in V.dataset_profile(raw).collect()]          # one row per column
     head = [r.asDict() for r in V.head_examples(raw, examples, order_col).collect()]  # k rows
+    few = normalized_rows(raw.orderBy(order_col).limit(max(details, examples)), dataset_name, fmt, order_col, **normalize_kw)
+    entries = [r.asDict() for r in V.adapter_check(few).orderBy("record_id").limit(details).collect()]
+    samples = [r.asDict() for r in T.corpus_check(T.training_text(few.filter("error IS NULL"))).select(
+        "record_id", "status", "is_positive_case", "has_thought_tags", "has_tool_call_tags", "has_abort",
+        "has_unknown_token", "prompt_length_chars", "prompt_preview").orderBy("record_id").limit(examples).collect()]
     report = {"dataset_analysis": {"columns": profile, "raw_examples": [str(h) for h in head]},
-              "data_pipeline_validation": summary, "formatted_prompts": corpus_summary}
+              "data_pipeline_validation": {**summary, "details": entries, "formatted_prompt_samples": samples},
+              "formatted_prompts": corpus_summary, "training_summary": training,
+              "evaluation_summary": evaluation or {"status": "skipped_or_failed"}}
     import json
     spark.createDataFrame([(json.dumps(report, default=str),)], "report string").coalesce(1) \
         .write.mode("overwrite").text(report_path)                                 # S7

@@ -116,14 +116,16 @@ SELECT record_id, has_thought, has_tool_call, is_valid_json, is_abort,
   CAST(n_pred AS INTEGER) AS n_calls,
   CASE WHEN json_type(p, '$.name') = 'VARCHAR' THEN json_extract_string(p, '$.name') END AS first_call_name
 FROM scored""",
-    "conformance_rate": fixture_cte("records") + r"""
-SELECT regexp_extract(query, '^Log (\S+) for', 1) AS tool,
-  count(*) AS n,
-  count(*) FILTER (WHERE starts_with(raw_response, '[' || chr(10)) AND ends_with(raw_response, ']')
-                   AND CASE WHEN json_valid(raw_response) THEN json_type(raw_response) = 'ARRAY' ELSE false END) AS n_conformant,
-  round(avg(CASE WHEN starts_with(raw_response, '[' || chr(10)) AND ends_with(raw_response, ']')
-                   AND CASE WHEN json_valid(raw_response) THEN json_type(raw_response) = 'ARRAY' ELSE false END THEN 1.0 ELSE 0.0 END), 6) AS conformance_rate
-FROM records GROUP BY 1""",
+    # strings emptied, then inner containers away: only outermost commas are left
+    "conformance_rate": fixture_cte("array_outputs") + r"""
+, bare AS (SELECT *, starts_with(raw_response, '[' || chr(10)) AND ends_with(raw_response, ']')
+    AND CASE WHEN json_valid(raw_response) THEN json_type(raw_response) = 'ARRAY' ELSE false END AS shaped,
+    regexp_replace(raw_response[2:length(raw_response) - 1], '"([^"\\]|\\.)*"', 's', 'g') AS b0 FROM array_outputs),
+flat AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(b0, '[\[{][^\[\]{}]*[\]}]', 'v', 'g'),
+    '[\[{][^\[\]{}]*[\]}]', 'v', 'g'), '[\[{][^\[\]{}]*[\]}]', 'v', 'g') AS b3 FROM bare),
+told AS (SELECT tool, shaped AND NOT regexp_matches(b3, ',[^\n]') AS ok FROM flat)
+SELECT tool, count(*) AS n, count(*) FILTER (WHERE ok) AS n_conformant, round(avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END), 6) AS conformance_rate
+FROM told GROUP BY tool""",
     "score_trace": _with_scored() + """
 SELECT record_id AS sample_id, query,
   to_json(list_transform(json_extract(tools, '$[*]'), lambda t:
@@ -327,7 +329,7 @@ FROM checked"""
 ORACLE["corpus_summary"] = _CORPUS + """
 SELECT count(*) AS samples_checked,
   count(*) FILTER (WHERE NOT (has_abort AND NOT has_tool_call_tags)) AS positive_cases,
-  count(*) FILTER (WHERE has_unknown_token) AS warnings,
+  count(*) FILTER (WHERE has_unknown_token) AS warnings, count(*) FILTER (WHERE text IS NULL) AS errors,
   count(*) FILTER (WHERE NOT has_thought_tags) AS missing_thought_tags,
   min(prompt_length_chars) AS min_chars, max(prompt_length_chars) AS max_chars
 FROM checked"""
@@ -574,3 +576,76 @@ SELECT record_id, error,
 FROM n"""
 
 ORACLE["rejected_counts"] = f"SELECT error, count(*) AS n FROM ({ORACLE['quarantine_records']}) GROUP BY error"
+
+# What each fault of the odd records must give, written down by fault.
+_ODD = """
+WITH odd AS (SELECT event_id AS record_id, event_id % 13 AS v, event_id % 59 = 4 AS strayed, value FROM events),
+told AS (SELECT record_id, v = 0 AS ground_truth_parsing_error, strayed, value, v,
+  CASE WHEN v = 7 OR strayed THEN 'No Output'
+       WHEN v = 0 THEN 'False Positive' WHEN v IN (1, 2, 11) THEN 'Invalid'
+       WHEN v IN (3, 4, 9) THEN 'True Positive' ELSE 'False Negative' END AS outcome,
+  CASE WHEN v = 7 OR strayed THEN 'no_output'
+       WHEN v = 0 THEN 'error_hallucinated_tool' WHEN v = 1 THEN 'invalid_truth_not_a_list'
+       WHEN v = 2 THEN 'invalid_truth_call_not_object' WHEN v = 11 THEN 'invalid_arguments_not_object'
+       WHEN v = 5 THEN 'error_syntax' WHEN v = 6 THEN 'error_hallucinated_tool' WHEN v = 8 THEN 'error_missing_param'
+       WHEN v = 10 THEN 'error_type_mismatch' WHEN v = 12 THEN 'error_type_mismatch' END AS error_category
+  FROM odd)
+"""
+ORACLE["score_odd"] = _ODD + "SELECT record_id, ground_truth_parsing_error, outcome, error_category FROM told"
+ORACLE["evaluation_report"] = _ODD + f"""
+SELECT count(*) FILTER (WHERE outcome <> 'No Output') AS total_samples, count(*) FILTER (WHERE outcome = 'No Output') AS no_output,
+  (SELECT count(*) FROM ({ORACLE["quarantine_records"]})) AS skipped, count(*) FILTER (WHERE strayed AND v <> 7) AS orphan_outputs,
+  count(*) FILTER (WHERE outcome = 'True Positive') AS true_positives, count(*) FILTER (WHERE outcome = 'False Positive') AS false_positives,
+  count(*) FILTER (WHERE outcome = 'True Negative') AS true_negatives, count(*) FILTER (WHERE outcome = 'False Negative') AS false_negatives,
+  count(*) FILTER (WHERE outcome = 'Invalid') AS invalid,
+  round(sum(value) FILTER (WHERE outcome <> 'No Output') / count(*) FILTER (WHERE outcome <> 'No Output'), 6) AS avg_latency_ms
+FROM told"""
+
+_LINES = fixture_cte("json_lines") + """
+, told AS (SELECT line_no % 19 AS k, line_no, line,
+    CASE WHEN line_no % 19 IN (4, 5, 6) THEN 'line_not_json' WHEN line_no % 19 = 7 THEN 'tools_not_json' END AS error FROM json_lines)
+"""
+ORACLE["json_lines"] = _LINES + """
+SELECT CASE WHEN k NOT IN (4, 5, 6) THEN line_no END AS record_id, error, CASE WHEN k IN (4, 5, 6) THEN line END AS line FROM told"""
+ORACLE["routed_corpus"] = _LINES + f"""
+, texts AS (SELECT coalesce(error, '') AS error, json_exists(CASE WHEN error IS NULL THEN line END, '$.source') AS with_source,
+    CASE WHEN error IS NULL THEN length('<|im_start|>system' || chr(10) || {_lit(SYSTEM_PROMPT)} || '<|im_end|>' || chr(10)
+      || '<|im_start|>user' || chr(10) || 'Available tools:' || chr(10) || '[]' || chr(10) || chr(10) || 'User Query: ' || q
+      || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
+      || '<thought>' || chr(10) || '1. Tool Assessment: The available tools are: None.' || chr(10)
+      || '2. Intent Matching: The user''s query is ''' || q || '''. None of the available tools match this intent.' || chr(10)
+      || '3. Parameter Extraction: N/A' || chr(10) || '4. Validation: [ABORT: No matching tool]' || chr(10) || '</thought>' || chr(10)
+      || 'I''m sorry, but I don''t have the tools to help you with that request.' || '<|im_end|>' || chr(10)) ELSE 0 END AS chars
+  FROM (SELECT *, json_extract_string(CASE WHEN error IS NULL THEN line END, '$.query') AS q FROM told))
+SELECT error, count(*) AS n, count(*) FILTER (WHERE with_source) AS with_source, CAST(sum(chars) AS BIGINT) AS chars, count(*) AS counted
+FROM texts GROUP BY error"""
+
+ORACLE["sft_messages"] = _CORPUS + """
+, said AS (SELECT record_id, string_split(text, '<|im_start|>') AS parts FROM corpus),
+one AS (SELECT record_id, i, parts[i + 2] AS part, string_split(parts[i + 2], chr(10))[1] AS role FROM said, (SELECT unnest(range(3)) AS i))
+SELECT record_id, CAST(i AS INTEGER) AS pos, role,
+  substring(part, length(role) + 2, length(part) - length(role) - 2 - length('<|im_end|>')) AS content
+FROM one"""
+ORACLE["normalize_chat"] = ORACLE["normalize_conversations"]
+
+ORACLE["train_limit_by_time"] = fixture_cte("loss_log") + "\nSELECT run_id, step FROM loss_log ORDER BY ts LIMIT 2000"
+ORACLE["eval_tail_by_name"] = fixture_cte("records") + """
+SELECT record_id, query || ' ' || CAST(record_id AS VARCHAR) AS name FROM records ORDER BY name DESC LIMIT 100"""
+ORACLE["item_quarantine"] = fixture_cte("items") + """
+, told AS (SELECT *, concat_ws(',', CASE WHEN NOT coalesce(length(item_code) BETWEEN 3 AND 20, false) THEN 'item_code_length' END,
+    CASE WHEN NOT coalesce(length(name) BETWEEN 2 AND 50, false) THEN 'name_length' END,
+    CASE WHEN NOT coalesce(cost > 0, false) THEN 'cost_positive' END,
+    CASE WHEN NOT coalesce(quantity >= 0, false) THEN 'quantity_non_negative' END) AS broken_rules FROM items)
+SELECT item_code, name, CAST(cost AS DOUBLE) AS cost, quantity, item_order, broken_rules FROM told WHERE broken_rules <> ''"""
+ORACLE["tool_conflicts"] = fixture_cte("flat_rows") + f"""
+, ok AS (SELECT tools FROM flat_rows WHERE ({_FLAT_ERROR}) IS NULL),
+t AS (SELECT unnest(json_extract(tools, '$[*]')) AS t FROM ok),
+f AS (SELECT CASE WHEN json_type(t, '$.function') = 'OBJECT' THEN json_extract(t, '$.function') ELSE t END AS t FROM t WHERE json_type(t) = 'OBJECT'),
+d AS (SELECT DISTINCT json_extract_string(t, '$.name') AS name, CAST(t AS VARCHAR) AS t FROM f WHERE json_type(t, '$.name') = 'VARCHAR'),
+k AS (SELECT name, k AS key, json_extract(t, '$."' || k || '"')::VARCHAR AS val FROM (SELECT name, t, unnest(json_keys(t)) AS k FROM d)
+      UNION ALL SELECT name, 'parameters.' || k, json_extract(t, '$.parameters."' || k || '"')::VARCHAR
+      FROM (SELECT name, t, unnest(json_keys(t, '$.parameters')) AS k FROM d WHERE json_type(t, '$.parameters') = 'OBJECT')),
+total AS (SELECT name, count(*) AS n_schemas FROM d GROUP BY name)
+SELECT name, n_schemas, key, count(DISTINCT val) + CASE WHEN count(*) < n_schemas THEN 1 ELSE 0 END AS n_values
+FROM k JOIN total USING (name) WHERE key <> 'name' GROUP BY name, n_schemas, key
+HAVING count(DISTINCT val) + CASE WHEN count(*) < n_schemas THEN 1 ELSE 0 END > 1"""

@@ -103,25 +103,92 @@ FROM @events
 
 # Raw flat rows with broken ones mixed in, to exercise the record contract:
 # tools an object, tools not JSON, a non-object tool, a NULL query, NULL
-# answers, answers as a JSON object.
+# answers, answers as a JSON object, answers cut off. Some queries are in no
+# other table, some tools differ from others of their name.
 FLAT_ROWS = """
 SELECT event_id AS row_id,
-  CASE WHEN event_id % 17 = 3 THEN NULL ELSE 'Log '||event_type||' for user '||CAST(user_id AS STRING) END AS query,
+  CASE WHEN event_id % 17 = 3 THEN NULL
+       WHEN event_id % 5 = 1 THEN 'Show '||event_type||' of user '||CAST(user_id AS STRING)
+       ELSE 'Log '||event_type||' for user '||CAST(user_id AS STRING) END AS query,
   CASE
     WHEN event_id % 17 = 0 THEN '{"name":"click"}'
     WHEN event_id % 17 = 1 THEN 'not json'
     WHEN event_id % 17 = 2 THEN '[1,{"name":"'||event_type||'"}]'
+    WHEN event_id % 17 IN (6, 7, 8, 9) THEN '[{"name":"'||event_type||'","parameters":{"type":"object","required":["user_id"]}}]'
+    WHEN event_id % 17 = 10 THEN '[{"name":"'||event_type||'","description":"again","parameters":{"type":"object","required":["user_id","cents"]}}]'
+    WHEN event_id % 17 = 11 THEN '[{"name":"'||event_type||'","parameters":{"type":"array","required":["user_id"]}}]'
     ELSE '[{"name":"'||event_type||'","parameters":{"type":"object","required":["user_id"]}},{"type":"function","function":{"name":"lookup"}}]'
   END AS tools,
   CASE
     WHEN event_id % 17 = 4 THEN NULL
     WHEN event_id % 17 = 5 THEN '{"name":"'||event_type||'","arguments":{"user_id":'||CAST(user_id AS STRING)||'}}'
+    WHEN event_id % 17 = 12 THEN '[{"name":"'||event_type
     WHEN event_id % 3 = 0 THEN '[]'
     ELSE '[{"name":"'||event_type||'","arguments":{"user_id":'||CAST(user_id AS STRING)||'}}]'
   END AS answers
 FROM @events
 """
 
+# Records as JSON lines; some lines are cut off, are no objects, or hold a
+# value of another type.
+JSON_LINES = """
+SELECT event_id AS line_no,
+  CASE WHEN event_id % 19 = 4 THEN '{"record_id":'||CAST(event_id AS STRING)||',"query":"cut'
+       WHEN event_id % 19 = 5 THEN 'plain words'
+       WHEN event_id % 19 = 6 THEN '{"record_id":"no number","query":"q","tools":"[]","answers":"[]"}'
+       WHEN event_id % 19 = 7 THEN '{"record_id":'||CAST(event_id AS STRING)||',"query":"q","tools":"not json"}'
+       ELSE '{"record_id":'||CAST(event_id AS STRING)||',"query":"Log '||event_type||'","tools":"[]","answers":"[]","source":"s'||CAST(event_id % 3 AS STRING)||'"}'
+  END AS line
+FROM @events
+"""
+
+# Whole outputs that should be arrays in the grammar's layout, or are not.
+ARRAY_OUTPUTS = """
+SELECT event_id AS record_id, event_type AS tool,
+  CASE event_id % 10
+    WHEN 0 THEN '['||chr(10)||'{"name":"'||event_type||'","arguments":{"a":[1,2],"s":"x, [y]"}},'||chr(10)||' 7]'
+    WHEN 1 THEN '[{"name":"'||event_type||'"},{"name":"b"}]'
+    WHEN 2 THEN '['||chr(10)||'1, 2]'
+    WHEN 3 THEN '['||chr(10)||']'
+    WHEN 4 THEN '['||chr(10)||'{"a":1,"b":[1,2,{"c":3,"d":"}],"}]}]'
+    WHEN 5 THEN '['||chr(10)||'1]'||chr(10)
+    WHEN 6 THEN '{"a":'||CAST(user_id AS STRING)||'}'
+    WHEN 7 THEN '['||chr(10)||'1,'||chr(10)||'2,3]'
+    WHEN 8 THEN '['||chr(10)||'{"a":1]'
+    ELSE '['||chr(10)||'"a,b" ,'||chr(10)||'[1,2]]'
+  END AS raw_response
+FROM @events
+"""
+
+# Truth and outputs off the beaten track, one fault for each event_id % 13:
+# truth that is no JSON, no list or no object; arguments as JSON text, a code
+# fence, calls that are no objects, other key order, a missing output, ...
+ODD_RECORDS = """
+WITH b AS (
+  SELECT event_id, event_id % 13 AS v, CAST(user_id AS STRING) AS uid, value, user_id,
+    '{"user_id":'||CAST(user_id AS STRING)||',"props":'||props||'}' AS args, props
+  FROM @events)
+SELECT event_id AS record_id, 'Odd '||uid AS query, '[{"name":"do"},{"type":"function","function":{"name":"other"}},{"name":null}]' AS tools,
+  CASE v WHEN 0 THEN 'not json' WHEN 1 THEN '{"name":"do","arguments":{}}' WHEN 2 THEN '[5]'
+         WHEN 11 THEN '[{"name":"do","arguments":[1]}]'
+         ELSE '[{"name":"do","arguments":'||args||'}]' END AS answers,
+  CASE v
+    WHEN 3 THEN '<tool_call>[{"name":"do","arguments":"'||replace(args, '"', chr(92)||'"')||'"}]</tool_call>'
+    WHEN 4 THEN '<tool_call>```json'||chr(10)||'[{"name":"do","arguments":'||args||'}]'||chr(10)||'```</tool_call>'
+    WHEN 5 THEN '<tool_call>[3]</tool_call>'
+    WHEN 6 THEN '<tool_call>[{"name":"other","arguments":'||args||'}]</tool_call>'
+    WHEN 7 THEN NULL
+    WHEN 8 THEN '<tool_call>[{"name":"do","arguments":"no json"}]</tool_call>'
+    WHEN 9 THEN '<tool_call>{"arguments":{"props":'||props||',"user_id":'||uid||'.0},"name":" do "}</tool_call>'
+    WHEN 10 THEN '<tool_call>[{"name":"do","arguments":{"user_id":'||uid||',"props":[]}}]</tool_call>'
+    WHEN 11 THEN '<tool_call>[{"name":"do","arguments":[2]}]</tool_call>'
+    WHEN 12 THEN '<tool_call>[{"name":"do","arguments":{"user_id":true,"props":{"k":"x"}}}]</tool_call>'
+    ELSE '<tool_call>[{"name":"do","arguments":'||args||'}]</tool_call>'
+  END AS raw_response,
+  value AS latency_ms, user_id AS generated_tokens
+FROM b
+"""
+
 # Nested rows: messages as the string form of a list (backticks stand for
 # apostrophes here), tools nested and flat; some lists or tools are no JSON.
 NESTED_ROWS = """
@@ -156,6 +223,9 @@ FROM @records r JOIN @events e ON e.event_id = r.record_id
 
 FIXTURES = {
     "arrivals": ARRIVALS,
+    "json_lines": JSON_LINES,
+    "array_outputs": ARRAY_OUTPUTS,
+    "odd_records": ODD_RECORDS,
     "records": RECORDS,
     "turns": TURNS,
     "items": ITEMS,

@@ -9,29 +9,36 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-#: session setting: deal small tables out to this many partitions when read
-#: (for a bench whose tables are one Parquet row group each); unset by default
-READ_PARTITIONS = "spark.callframe.readPartitions"
+#: column that holds the text of a line that is not a row of the schema
+BROKEN = "_broken"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table. Columns are pruned and filters pushed into the
     Parquet scan by the optimizer, so readers never select early."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    wanted = spark.conf.get(READ_PARTITIONS, None)
-    return df.repartition(int(wanted)) if wanted else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: str | None = None) -> DataFrame:
     """Read a split or a processed corpus. JSON lines need a schema
-    (no inference pass over the data)."""
+    (no inference pass over the data); see ``read_json_lines`` for files that
+    may hold broken lines."""
     reader = spark.read
     if schema:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines read by a schema, in one pass. A line that is no JSON
+    object, or whose values do not fit the schema, becomes a row whose columns
+    are NULL (as far as they could not be read) and whose text is kept in
+    ``BROKEN``; on all other rows that column is NULL. Empty lines are skipped."""
+    return (spark.read.schema(f"{schema}, `{BROKEN}` string").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BROKEN).json(path))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Write rows (parquet or JSON lines), optionally partitioned."""

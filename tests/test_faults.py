@@ -49,9 +49,9 @@ def test_malformed_calls_are_quarantined(spark, tmp_path):
     checked = {r["record_id"]: r for r in rows(T.corpus_check(T.training_text(df)))}
     assert checked[2]["status"] == "ERROR" and not checked[2]["is_positive_case"]
     df.write.parquet(str(tmp_path / "in"))
-    counts = P.build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "bad"), fmt="xlam")
-    assert counts == {"written": 1, "quarantined": 1}
-    assert spark.read.parquet(str(tmp_path / "bad")).first()["error"] == "answer_call_malformed"
+    counts = P.build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), fmt="xlam")
+    assert counts == {"written": 1, "dropped": 1, "reasons": {"answer_call_malformed": 1}}
+    assert P.read_corpus(spark, str(tmp_path / "out"), valid=False).first()["error"] == "answer_call_malformed"
 
 
 def test_rates_keep_their_digits_and_must_be_there(spark):

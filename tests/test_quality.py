@@ -60,3 +60,72 @@ def test_adapter_check_sample(spark):
     checked = V.adapter_check(N.normalize_flat(rows_, id_col="row_id"), sample=5)
     assert sorted(r["record_id"] for r in rows(checked)) == [0, 1, 2, 3, 4]
     assert E.queries()["adapter_check"](spark, SF0001).count() == 1000
+
+
+def _pushed(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return " ".join(line for line in plan.splitlines() if "PushedFilters" in line)
+
+
+def test_limits_on_strings_timestamps_and_nulls(spark, tmp_path):
+    import datetime
+    from pyspark.sql import functions as F
+    n = 3000
+    data = spark.range(n).selectExpr(
+        "id", "concat('k', lpad(cast(pmod(id * 7919, 3000) as string), 5, '0')) AS name",
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, cast(pmod(id * 17, 3000) as int)) AS ts",
+        "CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS maybe").repartition(5)
+    data.write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    for k in (1, 700, 2999):
+        assert sorted(r.name for r in V.first_rows(df, k, "name").collect()) == [f"k{i:05d}" for i in range(k)]
+        assert sorted(r.name for r in V.last_rows(df, k, "name").collect()) == [f"k{i:05d}" for i in range(n - k, n)]
+    start = datetime.datetime(2024, 1, 1)
+    assert sorted(r.ts for r in V.first_rows(df, 500, "ts").collect()) == [start + datetime.timedelta(minutes=i) for i in range(500)]
+    # nulls are the lowest
+    first = [r.maybe for r in V.first_rows(df, 400, "maybe").collect()]
+    assert first.count(None) == 300 and sorted(x for x in first if x) == [i for i in range(n) if i % 10][:100]
+    assert sorted(r.maybe for r in V.last_rows(df, 5, "maybe").collect()) == [2995, 2996, 2997, 2998, 2999]
+    assert V.first_rows(df.limit(0), 5, "name").count() == 0
+    # the raw column is compared, so the scan can skip by it
+    assert "LessThan(name" in _pushed(V.first_rows(df, 2000, "name"))
+    assert V.first_rows(df.select(F.lit("same").alias("name"), "id"), 7, "name").count() == 7
+
+
+def test_overlap_compares_texts_not_only_digests(spark):
+    train = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "query string")
+    rows_ = spark.createDataFrame([(1, "a"), (2, "c"), (3, None), (4, "b"), (5, "a")], "id long, query string")
+    found = V.overlap(train, rows_)
+    assert sorted(r.id for r in found.collect()) == [1, 4, 5] and found.columns[0] == "query"
+
+
+def test_overlap_moves_digests_first(spark):
+    plan = V.overlap(spark.range(9).selectExpr("cast(id as string) AS query"), spark.range(5).selectExpr("id", "cast(id as string) AS query"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_digest" in text
+
+
+def test_conflicting_tool_schemas_name_their_keys(spark):
+    df = spark.createDataFrame([('[{"name":"a","parameters":{"type":"object","required":["x"]}},{"name":"b","x":1}]',),
+                                ('[{"name":"a","parameters":{"type":"object","required":["y"]},"description":"d"}]',),
+                                ('[{"type":"function","function":{"name":"b","x":1}},{"name":null}]',)], "tools string")
+    got = {(r.name, r.key): (r.n_schemas, r.n_values) for r in V.tool_conflicts(df).collect()}
+    assert got == {("a", "parameters"): (2, 2), ("a", "parameters.required"): (2, 2), ("a", "description"): (2, 2)}
+
+
+def test_broken_items_name_their_rules(spark):
+    items = spark.createDataFrame([("ABC", "nn", 1.0, 0), ("A", None, 0.0, 5), ("ABC", "nn", 1.0, -1)],
+                                  "item_code string, name string, cost double, quantity int")
+    assert sorted(r.broken_rules for r in V.item_quarantine(items).collect()) == [
+        "item_code_length,name_length,cost_positive", "quantity_non_negative"]
+
+
+CONFORMING = ["[\n]", "[\n1]", "[\n 1 ,\n[2,3]]", '[\n{"a":"x,y]"},\n"\\"],"]', '[\n{"a":{"b":[1,{"c":2,"d":3}]}},\n\n\nnull]']
+OTHERS = ["[]", "[1]", "[\n1, 2]", "[\n1,\n2,3]", "[\n1]\n", "[\n1\r]", '{"a":1}', "[\n1,\n]", '[\n"\x7f"]', "[\n{]}]", None, ""]
+
+
+def test_array_grammar(spark):
+    from callframe.operators import outputs as O
+    df = spark.createDataFrame([(t,) for t in CONFORMING + OTHERS], "raw_response string")
+    got = [r.is_conformant for r in O.conformance(df).collect()]
+    assert got == [True] * len(CONFORMING) + [False] * len(OTHERS)
