@@ -2,23 +2,21 @@
 
 Each task's documents, tokenised and closed by an end id, form one stream that
 is cut into sequences of ``LENGTH`` ids; the last one is filled up with the end
-id. A first pass counts the ids of every task, so each sequence has a global
-number below their total N. A keyed Feistel permutation over the smallest even
-number of bits that holds N, walked along its cycle until the value is below N,
-gives each sequence its global slot: a full shuffle of the corpus that needs no
-sort key, no table and no random state, and that any reader can compute again.
-
-Slots are cut into ranges of ``PER_SHARD``. A range is one shard file, written
-by one task after an exchange on the shard number (one shuffle of the ids, no
+id. The sequences are written with their task and their number in it, so every
+text is tokenised once and a repeated task gives the same rows. Counting the
+sequences of each task gives each one a global number below their total N. A
+keyed Feistel permutation over the smallest even number of bits that holds N,
+walked along its cycle until the value is below N, gives each sequence its
+global slot: a full shuffle of the corpus that needs no sort key, no table and
+no random state, and that any reader can compute again.
+
+Slots are cut into ranges of ``PER_SHARD``. A range is one shard file. Tasks get
+consecutive ranges of shards by their numbers (one shuffle of the ids, no
 sampling pass): sequence s lies at byte (s mod PER_SHARD) * stride of shard
 s div PER_SHARD. A reader resumes at any slot by one seek (``read_slots``).
 A shard is written under a temporary name and then renamed, so a repeated or
 lost task never leaves half a shard under the final name.
 
-Both passes must see the same rows in the same partitions, as scans of
-unchanged files do; write a shuffled input first. A task whose second count
-differs from its first raises an error.
-
 Defined results: null counts as the empty text (its end id only). Repeated
 rows are written one by one. An empty table writes no shard and gives no rows.
 Other columns are not read.
@@ -29,7 +27,8 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callframe.llm.bytebpe import shared_piece_table, vocabulary_path
@@ -38,6 +37,8 @@ from callframe.session import scratch_path
 
 LENGTH = 1024
 PER_SHARD = 8192
+#: most tasks that write shards, each a range of consecutive ones
+WRITERS = 1 << 14
 END_ID = 50256
 ROUNDS = 4
 KEY = 0x5EED
@@ -73,94 +74,96 @@ def shard_path(folder: str, shard: int) -> str:
     return f"{folder.rstrip('/')}/shard-{shard:010d}.bin"
 
 
-def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str | None = None,
-                length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, end_id: int = END_ID,
-                vocabulary: int = END_ID + 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the shards and return one row per sequence: slot, shard,
-    byte_offset, n_tokens (without filling), ids_crc32, first_doc (the document
-    of its first id), sequences (N). The shards are written when the result is
-    evaluated; ``folder`` defaults to one below the shared folder."""
-    spark = docs.sparkSession
+def cut_sequences(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH, end_id: int = END_ID,
+                  vocabulary: int = END_ID + 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(first_doc, part, number, ids, n_tokens): the sequences of every task.
+    ``first_doc`` is the document of the first id, ``n_tokens`` counts without
+    filling."""
     path = tokenizer_path or vocabulary_path("byte_bpe_50k.json")
-    folder = folder or scratch_path(spark, "shards")
-    rows = docs.select(F.col(id_col), text_of(text_col).alias("_text"))
     kind = _id_type(vocabulary)
-    stride = length * np.dtype(kind).itemsize
-
-    def counting():
-        from pyspark import TaskContext
-        table, total = shared_piece_table(path), 0
-
-        def batch(ids, _, texts):
-            nonlocal total
-            total += sum(int(offsets[-1]) for _, _, offsets in table.run(texts, with_ids=False)) + len(texts)
-            return ()
-
-        batch.finish = lambda: [[[None], [TaskContext.get().partitionId()], [total]]]
-        return batch
-
-    counts = written(map_texts(rows, counting, [("part", "int"), ("tokens", "bigint")]), "shard-counts")
-    # one row per task
-    totals = {r.part: r.tokens for r in counts.collect()}
-    first, n = {}, 0
-    for part in sorted(totals):
-        first[part] = n
-        n += -(-totals[part] // length)
-    size = n
 
     def cutting():
         from pyspark import TaskContext
         table = shared_piece_table(path)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
-        rest, heads, numbered, seen = np.zeros(0, np.uint32), [], first[part], 0
+        rest, heads, numbered = np.zeros(0, np.uint32), [], 0
 
-        def sequences(stream, owners, starts):
+        def sequences(stream, owners, starts, tokens):
             """Rows of whole sequences; owners and starts tell the documents."""
             nonlocal numbered
             count = len(stream) // length
-            slots = feistel(np.arange(numbered, numbered + count), size, key)
+            numbers = np.arange(numbered, numbered + count)
             numbered += count
             at = np.searchsorted(starts, np.arange(count) * length, "right") - 1
             data = stream.astype(kind)
-            blobs = [data[i * length:(i + 1) * length].tobytes() for i in range(count)]
-            return [[owners[i] for i in at], slots, slots // per_shard, blobs, [length] * count]
+            return [[owners[i] for i in at], [part] * count, numbers,
+                    [data[i * length:(i + 1) * length].tobytes() for i in range(count)], [tokens] * count]
 
         def batch(ids, _, texts):
-            nonlocal rest, heads, seen
+            nonlocal rest, heads
             ids = ids.to_pylist()
             for at, flat, offsets in table.run(texts):
-                pieces, owners, starts, size_ = [rest], list(heads), [0] * len(heads), len(rest)
+                pieces, owners, starts, size = [rest], list(heads), [0] * len(heads), len(rest)
                 for i in range(len(offsets) - 1):
                     own = flat[offsets[i]:offsets[i + 1]]
                     owners.append(ids[at + i])
-                    starts.append(size_)
+                    starts.append(size)
                     pieces += [own, end]
-                    size_ += len(own) + 1
+                    size += len(own) + 1
                 stream = np.concatenate(pieces)
-                seen += size_ - len(rest)
-                whole = size_ // length * length
+                whole = size // length * length
                 if whole:
-                    yield sequences(stream[:whole], owners, starts)
+                    yield sequences(stream[:whole], owners, starts, length)
                 # the owner of the next sequence's first id
                 rest = stream[whole:]
                 heads = [owners[int(np.searchsorted(starts, whole, "right")) - 1]] if len(rest) else []
 
         def finish():
-            if seen != totals[part]:
-                raise RuntimeError("the input's partitions changed between the two passes; write it first")
             if len(rest):
                 filled = np.concatenate([rest, np.full(length - len(rest), end_id, np.uint32)])
-                out = sequences(filled, heads, [0])
-                out[4] = [len(rest)]
-                yield out
+                yield sequences(filled, heads, [0], len(rest))
 
         batch.finish = finish
         return batch
 
-    cut = map_texts(rows, cutting, [("slot", "bigint"), ("shard", "bigint"), ("ids", "binary"), ("n_tokens", "bigint")])
+    cut = map_texts(docs.select(F.col(id_col), text_of(text_col).alias("_text")), cutting,
+                    [("part", "int"), ("number", "bigint"), ("ids", "binary"), ("n_tokens", "bigint")])
+    return cut.withColumnRenamed(id_col, "first_doc")
+
+
+def with_slots(cut: DataFrame, key: int = KEY) -> tuple[DataFrame, int]:
+    """(the sequences with their global ``slot``, their total N)."""
+    counts = cut.groupBy("part").agg(F.count("number").alias("n"))
+    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # one row per task of the pass, which bounds what is broadcast
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = counts.select("part", before.alias("first"))
+
+    @F.pandas_udf("bigint")
+    def slot_of(number: pd.Series) -> pd.Series:
+        return pd.Series(feistel(number.to_numpy(), size, key))
+
+    return cut.join(F.broadcast(first), "part").withColumn("slot", slot_of(F.col("first") + F.col("number"))), size
+
+
+def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str | None = None,
+                length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, end_id: int = END_ID,
+                vocabulary: int = END_ID + 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the shards and return one row per sequence: slot, shard,
+    byte_offset, n_tokens (without filling), ids_crc32, first_doc (the document
+    of its first id), sequences (N). The shards are written when the result is
+    evaluated; ``folder`` defaults to one below the shared folder."""
+    folder = folder or scratch_path(docs.sparkSession, "shards")
+    stride = length * np.dtype(_id_type(vocabulary)).itemsize
+    cut = written(cut_sequences(docs, tokenizer_path, length, end_id, vocabulary, id_col, text_col), "shard-sequences",
+                  compression="zstd")
+    placed, size = with_slots(cut, key)
     shards = max(1, -(-size // per_shard))
-    ordered = cut.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    tasks = min(shards, WRITERS)
+    placed = placed.select("first_doc", "slot", F.expr(f"slot div {per_shard}").alias("shard"), "ids", "n_tokens")
+    ordered = (placed.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {shards} as int)"))
+               .sortWithinPartitions("slot"))
 
     def writing(batches):
         import uuid
@@ -188,11 +191,11 @@ def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column("slot"), batch.column("shard"), pa.array(slots % per_shard * stride, pa.int64()),
                  batch.column("n_tokens"), pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
-                 batch.column(0), pa.array([size] * len(blobs), pa.int64())],
+                 batch.column("first_doc"), pa.array([size] * len(blobs), pa.int64())],
                 ["slot", "shard", "byte_offset", "n_tokens", "ids_crc32", "first_doc", "sequences"])
         close()
 
-    kind_of_id = rows.schema[id_col].dataType.simpleString()
+    kind_of_id = docs.schema[id_col].dataType.simpleString()
     return ordered.mapInArrow(writing, "slot bigint, shard bigint, byte_offset bigint, n_tokens bigint, "
                                        f"ids_crc32 bigint, first_doc {kind_of_id}, sequences bigint")
 

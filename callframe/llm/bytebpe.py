@@ -8,11 +8,11 @@ Pieces repeat, so a batch is handled by distinct pieces:
   looks one code point back and up to two ahead, so borders are comparisons of
   shifted arrays.
 * ``PieceTable`` numbers the distinct pieces of a batch and asks the tokenizer
-  only for pieces not met before. A 64-bit hash sorts a batch's pieces; every
-  piece is then compared with the one it is taken for, code point by code point,
-  and pieces known from earlier batches are looked up by their text. It is a
-  cache: when it holds ``max_pieces`` pieces or ``max_ids`` ids it starts again,
-  so a task's memory does not grow with its input.
+  only for pieces not met before. Pieces are found by a 64-bit hash, and every
+  piece is then compared with the one it is taken for, of its batch or of the
+  table, code point by code point. It is a cache: when it holds ``max_pieces``
+  pieces or ``max_ids`` ids it starts again, so a task's memory does not grow
+  with its input.
 
 Code points that Python's Unicode tables do not know yet may have another
 class in the tokenizer's own tables: segments holding one go to the tokenizer
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import os
 import re
 import sys
@@ -186,27 +187,56 @@ class PieceTable:
         self._reset()
 
     def _reset(self):
-        self.number: dict[str | tuple[str], int] = {}
-        self.size = np.zeros(1 << 12, np.int64)
-        self.begin = np.zeros(1 << 12, np.int64)
-        self.flat = np.zeros(1 << 12, np.uint32)
-        self.used = 0
-
-    def _add(self, keys: list, results: list) -> None:
-        n = len(self.number)
-        sizes = np.fromiter(results if self.counts_only else map(len, results), np.int64, len(results))
-        while len(self.size) < n + len(results):
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-        self.size[n:n + len(results)] = sizes
+        #: number of a piece by its hash, and of pieces whose hash is taken by another
+        self.number: dict[int, int] = {}
+        self.collided: dict[tuple[bytes, bool], int] = {}
+        self.pieces = self.used = self.held = 0
+        self.size, self.begin, self.piece_begin, self.piece_size = (np.zeros(1 << 12, np.int64) for _ in range(4))
+        self.whole = np.zeros(1 << 12, bool)
+        self.flat, self.points = np.zeros(1 << 12, np.uint32), np.zeros(1 << 14, np.uint32)
+
+    @staticmethod
+    def _room(x: np.ndarray, n: int) -> np.ndarray:
+        return x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
+
+    def _add(self, texts: list[str], results: list, whole: bool) -> int:
+        """Number new pieces; the first number."""
+        n, k = self.pieces, len(texts)
+        self.pieces = n + k
+        for name in ("size", "begin", "piece_begin", "piece_size", "whole"):
+            setattr(self, name, self._room(getattr(self, name), n + k))
+        sizes = np.fromiter(results if self.counts_only else map(len, results), np.int64, k)
+        self.size[n:n + k] = sizes
+        self.whole[n:n + k] = whole
         if not self.counts_only:
             total = int(sizes.sum())
-            while len(self.flat) < self.used + total:
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.begin[n:n + len(results)] = self.used + np.cumsum(sizes) - sizes
+            self.flat = self._room(self.flat, self.used + total)
+            self.begin[n:n + k] = self.used + np.cumsum(sizes) - sizes
             self.flat[self.used:self.used + total] = np.fromiter((x for r in results for x in r), np.uint32, total)
             self.used += total
-        self.number.update(zip(keys, range(n, n + len(keys))))
+        points, lengths = code_points("".join(texts)), np.fromiter(map(len, texts), np.int64, k)
+        self.points = self._room(self.points, self.held + len(points))
+        self.points[self.held:self.held + len(points)] = points
+        self.piece_begin[n:n + k] = self.held + np.cumsum(lengths) - lengths
+        self.piece_size[n:n + k] = lengths
+        self.held += len(points)
+        return n
+
+    def _known(self, points, begin, size, whole, hashes: list[int]) -> np.ndarray:
+        """The table's number of each piece, -1 where it is not in it."""
+        numbers = np.fromiter(map(self.number.get, hashes, itertools.repeat(-1)), np.int64, len(hashes))
+        same = (numbers >= 0) & (self.piece_size[numbers] == size) & (self.whole[numbers] == whole)
+        at = np.flatnonzero(same)
+        ramp = np.arange(int(size[at].sum())) - np.repeat(np.cumsum(size[at]) - size[at], size[at])
+        differ = np.flatnonzero(points[np.repeat(begin[at], size[at]) + ramp]
+                                != self.points[np.repeat(self.piece_begin[numbers[at]], size[at]) + ramp])
+        if len(differ):
+            same[at[np.searchsorted(np.cumsum(size[at]), differ, "right")]] = False
+        if self.collided:
+            for i in np.flatnonzero(~same & (numbers >= 0)).tolist():
+                numbers[i] = self.collided.get((points[begin[i]:begin[i] + size[i]].tobytes(), bool(whole[i])), -1)
+                same[i] = numbers[i] >= 0
+        return np.where(same, numbers, -1)
 
     def _step(self, parts: list[str]):
         """Numbers of all pieces of some segments, and each segment's first piece."""
@@ -233,20 +263,21 @@ class PieceTable:
             whole = np.isin(begin, first[odd])
             hashes[whole] ^= np.uint64(_POLY)
         codes, at = distinct_pieces(points, begin, end, hashes, whole)
-        text = "".join(parts)
-        # a piece that goes to the tokenizer whole is another key than its text
-        keys = [(text[a:b],) if w else text[a:b]
-                for a, b, w in zip(begin[at].tolist(), end[at].tolist(), whole[at].tolist())]
-        if len(self.number) + len(keys) > self.max_pieces or self.used > self.max_ids:
+        if self.pieces + len(at) > self.max_pieces or self.used > self.max_ids:
             self._reset()
-        known = self.number
-        missing = [k for k in keys if k not in known]
-        plain, strange = [k for k in missing if type(k) is str], [k for k in missing if type(k) is tuple]
-        if plain:
-            self._add(plain, self.encode(plain))
-        if strange:
-            self._add(strange, self.encode_whole([k[0] for k in strange]))
-        numbers = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[codes]
+        b, size, as_whole, keys = begin[at], (end - begin)[at], whole[at], hashes[at].tolist()
+        numbers = self._known(points, b, size, as_whole, keys)
+        for is_whole, encode in ((False, self.encode), (True, self.encode_whole)):
+            new = np.flatnonzero((numbers < 0) & (as_whole == is_whole))
+            if not len(new):
+                continue
+            texts = [points[x:x + n].tobytes().decode("utf-32-le", "surrogatepass") for x, n in zip(b[new].tolist(), size[new].tolist())]
+            n = self._add(texts, encode(texts), is_whole)
+            numbers[new] = np.arange(n, n + len(new))
+            for i, number in zip(new.tolist(), range(n, n + len(new))):
+                if self.number.setdefault(keys[i], number) != number:
+                    self.collided[points[b[i]:b[i] + size[i]].tobytes(), is_whole] = number
+        numbers = numbers[codes]
         return numbers, np.searchsorted(begin, np.append(begins, len(points)))
 
     def run(self, texts: list[str], with_ids: bool = True):
@@ -375,6 +406,6 @@ def json_piece_table(path: str, **kw) -> PieceTable:
 
 @functools.lru_cache(maxsize=1)
 def shared_piece_table(path: str) -> PieceTable:
-    """One table for all tasks of a Python worker, so that a second pass over
-    the texts finds most pieces known."""
+    """One table for all tasks of a Python worker, so that a task finds the
+    pieces known that an earlier one met. It is bounded like any other."""
     return json_piece_table(path)

@@ -34,12 +34,12 @@ def whole_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
                        text_of(text_col).alias("_text"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Cut the lineage: write ``df`` to a fresh folder below the shared
     checkpoint folder and read it back. Every executor can read it again
-    after another one is lost."""
+    after another one is lost. ``options`` are the Parquet writer's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,12 @@ probability treats the evidence as that of at most ``EVIDENCE_WORDS`` words, so
 long texts do not all saturate.
 
 The tables are fitted on at most about ``MAX_TRAIN`` labelled documents, chosen
-by a hash of the id, and hold at most ``MAX_WORDS`` words and ``MAX_GRAMS``
-n-grams of each length, shared evenly among the languages: that bounds what is
+by a hash of the id, the same number of every language (all of a language that
+has fewer), so a rare one is learned at every size of the corpus. Words and
+n-grams are counted in Spark. The tables hold at most ``MAX_WORDS`` words and
+``MAX_GRAMS`` n-grams of each length, shared evenly among the languages: of each
+language those from a count on, which is found from how many have each count, so
+no task ranks a whole language. That bounds what is collected (by Arrow) and
 broadcast. Prediction covers every document and whole texts in one pass
 without a shuffle. Only text and the learned tables enter a prediction.
 
@@ -22,13 +26,14 @@ Ties go to the language first in order. Repeated rows give repeated rows.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callframe.llm.common import bucket_of, map_texts, text_of
+from callframe.llm.common import bucket_of, map_texts, text_of, written
 
 FOLDS = 5
 MAX_TRAIN = 20_000
@@ -72,31 +77,35 @@ def sampled(df: DataFrame, id_col: str, limit: int) -> DataFrame:
 
 
 class LanguageModel:
-    """Log frequencies per language of words and n-grams (rows of matrices)."""
+    """Log frequencies per language of words and n-grams (rows of matrices).
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
-        self.languages = sorted({lang for lang, _, _ in counts})
+    ``words`` are (language, word, count); ``gram_counts`` (language, length,
+    n-gram, count), by default those of the words."""
+
+    def __init__(self, words, gram_counts=None):
+        words = list(words)
+        if gram_counts is None:
+            gram_counts = [(lang, n, g, c) for lang, w, c in words for n in range(1, MAX_N + 1) for g in grams(w, n)]
+        self.languages = sorted({lang for lang, _, _ in words})
         column = {lang: i for i, lang in enumerate(self.languages)}
-        totals: dict[str, list[int]] = defaultdict(lambda: [0] * len(column))
-        per_gram: list[dict[str, list[int]]] = [defaultdict(lambda: [0] * len(column)) for _ in range(MAX_N + 1)]
-        for lang, word, n in counts:
-            totals[word][column[lang]] += n
-            for size in range(1, MAX_N + 1):
-                table = per_gram[size]
-                for g in grams(word, size):
-                    table[g][column[lang]] += n
-        self.words = self._logs(totals)
-        self.prior = np.array([sum(c) for c in zip(*totals.values())], float)
-        self.grams = [self._logs(dict(sorted(t.items(), key=lambda x: (-sum(x[1]), x[0]))[:MAX_GRAMS]))
-                      for t in per_gram]
-
-    @staticmethod
-    def _logs(table: dict[str, list[int]]):
-        if not table:
-            return {}, np.zeros((0, 0), np.float32)
-        m = np.array(list(table.values()), float)
+        self.words, totals = self._logs([(column[lang], w, c) for lang, w, c in words])
+        self.prior = totals
+        held: list[list] = [[] for _ in range(MAX_N + 1)]
+        for lang, n, gram, c in gram_counts:
+            if lang in column:
+                held[n].append((column[lang], gram, c))
+        self.grams = [self._logs(h)[0] for h in held]
+
+    def _logs(self, entries: list[tuple[int, str, int]]):
+        """((row of each key, log frequencies), total of each language)"""
+        if not entries:
+            return ({}, np.zeros((0, len(self.languages)), np.float32)), np.zeros(len(self.languages))
+        lang, key, n = zip(*entries)
+        rows, keys = pd.factorize(np.array(key, object))
+        m = np.zeros((len(keys), len(self.languages)))
+        np.add.at(m, (rows, np.array(lang)), np.array(n, float))
         logs = np.log((m + SMOOTHING) / (m.sum(0) + SMOOTHING * (len(m) + 1)))
-        return {k: i for i, k in enumerate(table)}, logs.astype(np.float32)
+        return ({k: i for i, k in enumerate(keys.tolist())}, logs.astype(np.float32)), m.sum(0)
 
     def backoff(self, word: str) -> np.ndarray:
         for n in range(MAX_N, 0, -1):
@@ -150,13 +159,61 @@ class Predictor:
         return languages[best], float(1.0 / odds.sum())
 
 
+def spread_sample(rows: DataFrame, by: str, id_col: str, limit: int) -> tuple[DataFrame, int]:
+    """(about ``limit`` rows, as many of every value of ``by`` or all that it
+    has, by a hash of the id; the number of values). One small row per value
+    is collected."""
+    counts = {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
+    if not counts:
+        return rows, 0
+    share = {k: int(sample_fraction(n, max(1, limit // len(counts))) * (1 << 20)) for k, n in counts.items()}
+    bound = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col(by)]
+    return rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < bound), len(counts)
+
+
+def most_frequent(counted: DataFrame, groups: list[str], key: str, limit: int) -> DataFrame:
+    """The rows (groups, key, n) of every key that is among the most frequent of
+    some group: in each group the keys from a count on, at most ``limit``."""
+    group = F.concat_ws("|", *groups)
+    # how many keys have each count: few rows, whatever the number of keys
+    steps = counted.groupBy(group.alias("g"), "n").agg(F.count(key).alias("keys")).toArrow().to_pydict()
+    least: dict[str, int] = {}
+    held: dict[str, int] = {}
+    for g, n, keys in sorted(zip(steps["g"], steps["n"], steps["keys"]), key=lambda x: (x[0], -x[1])):
+        held[g] = held.get(g, 0) + keys
+        if held[g] <= limit:
+            least[g] = n
+    if not least:
+        return counted.limit(0)
+    bound = F.create_map(*[F.lit(x) for kv in least.items() for x in kv])[group]
+    # the first group column is the language: a kept key counts in all languages
+    chosen = counted.filter(F.col("n") >= bound).select(*groups[1:], key).distinct()
+    return counted.join(chosen.hint("merge"), [*groups[1:], key], "left_semi")
+
+
+def _grams_of(word: Column) -> Column:
+    """array<(length, n-gram)>: the n-grams of ``grams`` in Spark."""
+    marked = F.concat(F.lit("<"), word, F.lit(">"))
+
+    def pair(n: int, gram: Column) -> Column:
+        return F.struct(F.lit(n).alias("size"), gram.alias("gram"))
+
+    def of(n: int) -> Column:
+        last = F.char_length(marked) - n + 1
+        some = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: pair(n, F.substring(marked, i, F.lit(n))))
+        return F.when(last >= 1, some).otherwise(F.array().cast("array<struct<size:int,gram:string>>"))
+
+    return F.concat(F.transform(F.split(word, ""), lambda c: pair(1, c)), *[of(n) for n in range(2, MAX_N + 1)])
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_train: int = MAX_TRAIN) -> LanguageModel:
-    """Learn from (text, lang) rows; null texts and labels teach nothing.
-    Words are counted in Spark; the driver gets at most MAX_WORDS counts."""
+        max_train: int = MAX_TRAIN, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
+    """Learn from (text, lang) rows; null texts and labels teach nothing."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
-    rows = sampled(rows, "id", max_train)
+    rows, languages = spread_sample(rows, "lang", "id", max_train)
+    if not languages:
+        return LanguageModel([])
 
     def task():
         def batch(ids, rest, texts):
@@ -170,12 +227,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     counted = map_texts(rows.select(F.lit(None).cast("bigint").alias("id"), "lang", "text"), task,
                         [("word", "string"), ("n", "bigint")], carry=["lang"])
-    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    languages = max(1, rows.select("lang").distinct().count())
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    kept = counted.withColumn("r", F.row_number().over(best)).filter(
-        F.col("r") <= max(1, MAX_WORDS // languages)).drop("r")
-    return LanguageModel(sorted((r.lang, r.word, r.n) for r in kept.collect()))
+    words = written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    grams_ = (words.select("lang", "n", F.explode(_grams_of(F.col("word"))).alias("g"))
+              .groupBy("lang", F.col("g.size").alias("size"), F.col("g.gram").alias("gram")).agg(F.sum("n").alias("n")))
+    grams_ = written(grams_, "language-grams")
+    kept = most_frequent(words, ["lang"], "word", max(1, max_words // languages)).toArrow()
+    kept_grams = most_frequent(grams_, ["lang", "size"], "gram", max(1, max_grams // languages)).toArrow()
+    return LanguageModel(zip(*(kept.column(c).to_pylist() for c in ("lang", "word", "n"))),
+                         zip(*(kept_grams.column(c).to_pylist() for c in ("lang", "size", "gram", "n"))))
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",

@@ -27,12 +27,13 @@ the shared folder.
 Defined results: null counts as the empty text. A text of fewer than five words
 is one shingle, all its words; a text without words is like no other. Repeated
 rows and copies share their class. A class is named by its smallest id (null
-only if it has none). Other columns are not read.
+only if it has none), and by the smallest key of the texts with that id. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -49,6 +50,8 @@ PART = 64
 STEP = 1 << 20
 #: slots in which shingles are counted to find an order, rarest first
 SLOTS = 1 << 20
+#: bytes of a word beyond which a polynomial does not tell it apart
+LONG_WORD = 24
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _POLY = 0xD1342543DE82EF95
 
@@ -71,16 +74,26 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hash of every word (between white space)."""
+    """64-bit hash of every word (between white space); that of a word of more
+    than ``LONG_WORD`` bytes is a cut of its BLAKE2 digest."""
     words = text.split()
     if len(words) < 64:
-        return np.array([mix(np.array([_poly(w.encode())], np.uint64))[0] for w in words], np.uint64)
+        return np.array([_word_hash(w.encode()) for w in words], np.uint64)
     data = np.frombuffer((" ".join(words) + " ").encode(), np.uint8)
     up, down = _powers(1 << max(16, int(len(data)).bit_length()))
     ends = np.flatnonzero(data == 32)
     starts = np.concatenate([[0], ends[:-1] + 1])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)])])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    out = mix((sums[ends] - sums[starts]) * down[starts])
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[i] = _word_hash(data[starts[i]:ends[i]].tobytes())
+    return out
+
+
+def _word_hash(data: bytes) -> int:
+    if len(data) > LONG_WORD:
+        return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+    return int(mix(np.array([_poly(data)], np.uint64))[0])
 
 
 def _poly(data: bytes) -> int:
@@ -315,31 +328,41 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
     return links, labels
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-               sweeps: int = SWEEPS) -> DataFrame:
-    """One row per input row: id, class_id, class_size (distinct texts), links
-    (verified links of its text), kept (it names its class)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, sweeps: int) -> tuple[DataFrame, DataFrame]:
+    """(id, key of every row; key, class_id, class_size, links, names of every
+    node): ``names`` marks the one node of a class that holds its smallest id."""
     rows = keyed(docs, id_col, text_col)
     every = written(signatures(rows), "near-signatures")
     nodes = written(every.groupBy("key").agg(F.min("id").alias("first"), F.first("bands").alias("bands")), "near-nodes")
     links, labels = near_links(rows, nodes.filter(F.size("bands") > 0), sweeps, similarity)
     named = nodes.select("key", "first").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    classes = named.groupBy("label").agg(F.min("first").alias("class_id"), F.count("key").alias("class_size"))
+    # null ids last, equal ids by key
+    best = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "key"))
+    classes = named.groupBy("label").agg(best.alias("best"), F.count("key").alias("class_size"))
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("key").alias("links"))
     of_key = written(named.join(classes, "label").join(degree, "key", "left")
-                     .select("key", "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("bigint").alias("links")),
-                     "near-classes")
-    return (every.select("id", "key").join(of_key, "key")
+                     .select("key", F.col("best.first").alias("class_id"), "class_size",
+                             F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
+                             (F.col("key") == F.col("best.key")).alias("names")), "near-classes")
+    return every.select("id", "key"), of_key
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+               sweeps: int = SWEEPS) -> DataFrame:
+    """One row per input row: id, class_id, class_size (distinct texts), links
+    (verified links of its text), kept (it names its class)."""
+    every, of_key = _classes(docs, id_col, text_col, similarity, sweeps)
+    return (every.join(of_key, "key")
             .select(F.col("id").alias(id_col), "class_id", "class_size", "links",
                     F.col("id").eqNullSafe(F.col("class_id")).alias("kept")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their class, with all their columns; of rows
-    that repeat an id, one stays."""
-    keep = written(near_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept")).distinct(),
-                   "near-kept").hint("merge")
-    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(columns.alias("row"), F.col(id_col).alias("_id")).join(
-        keep, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.select("row.*")
+    """The documents that name their class, with all their columns: exactly one
+    row per class, also where ids repeat or are null."""
+    _, of_key = _classes(docs, id_col, text_col, SIMILARITY, SWEEPS)
+    keep = of_key.filter("names").select(F.col("key").alias("_kept"), F.col("class_id").alias("_first")).hint("merge")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"),
+                       F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("_key"))
+    same = (F.col("_key") == F.col("_kept")) & F.col("_id").eqNullSafe(F.col("_first"))
+    return rows.join(keep, same, "left_semi").dropDuplicates(["_key"]).select("row.*")

@@ -161,6 +161,30 @@ def test_language_of_held_out_documents(corpus):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_a_rare_language_is_learned_beside_a_large_one(spark):
+    """One language has 99 % of the rows and more n-grams than the tables hold."""
+    rng = random.Random(11)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))
+
+    rows = [(i, text("abcdefghij", 40), "big") for i in range(990)] + [(10_000 + i, text("fghijklmno", 12), "rare") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, max_train=200, max_words=400, max_grams=400)
+    assert model.languages == ["big", "rare"] and len(model.words[0]) <= 400 and all(len(g[0]) <= 400 for g in model.grams)
+    new = [(i, text(letters, 10), lang) for i in range(40) for letters, lang in (("abcdefghij", "big"), ("fghijklmno", "rare"))]
+    got = language_id.predict(spark.createDataFrame(new, "doc_id long, text string, lang string"), model, carry=["lang"]).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.95 * len(got)
+
+
+def test_grams_counted_in_spark_are_those_of_the_words(spark):
+    words = ["a", "ab", "straße", "éß", "😀x"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", language_id._grams_of(F.col("w")).alias("g")).collect()
+    for r in got:
+        want = [(n, g) for n in range(1, language_id.MAX_N + 1) for g in language_id.grams(r.w, n)]
+        assert [(x.size, x.gram) for x in r.g] == want
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     model = language_id.LanguageModel([("de", "schule", 5), ("en", "school", 5), ("en", "thing", 3)])
     p = language_id.Predictor(model)
@@ -265,3 +289,27 @@ def test_scores_use_every_gram(spark, corpus, monkeypatch):
     for r in rows:
         want = tree.log10(lm_scoring.gram_keys([r.text.encode().lower()])[0]).sum()
         assert abs(got[r.doc_id] - want) < 1e-6 * abs(want)
+
+
+# ---- near duplicates: identity ----------------------------------------------
+
+def test_long_words_of_equal_hash_are_not_near_copies(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    assert near_dedup._poly(a.encode()) == near_dedup._poly(b.encode()) and a != b
+    filler = [f"w{i}" for i in range(80)]
+    texts = [a, b, " ".join([a] * 5 + filler[:3]), " ".join([b] * 5 + filler[:3])]
+    assert near_dedup.word_hashes(a)[0] != near_dedup.word_hashes(b)[0]
+    assert near_dedup.word_hashes(" ".join([a, *filler]))[0] == near_dedup.word_hashes(a)[0]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_dedup(documents(spark, texts)).collect()}
+    assert got == {i: i for i in range(4)}
+
+
+def test_one_row_of_a_class_stays_whatever_the_ids(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    near = words.replace("w59", "x")
+    rows = [(5, words), (5, near), (None, "lone text here now ok"), (3, "lone text here now ok"), (None, "other words that are alone"), (7, words), (5, words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = near_dedup.drop_near_copies(docs).collect()
+    assert sorted((str(r.doc_id), len({words, near} & {r.text})) for r in kept) == [("3", 0), ("5", 1), ("None", 0)]

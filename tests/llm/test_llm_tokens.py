@@ -185,3 +185,28 @@ def test_words_of_equal_hash_keep_their_own_ids(spark):
     pieces = sorted(packing.pack(docs, with_ids=True).collect(), key=lambda r: (r.doc_id, r.start))
     for i, want in enumerate(ids):
         assert np.frombuffer(b"".join(r.ids for r in pieces if r.doc_id == i), "<u4").tolist() == [*want, 0]
+
+
+def test_shards_hold_the_librarys_ids(spark, tmp_path, library):
+    """Every task's stream, read back from the shards, is the library's ids of
+    its texts in order, each closed by the end id."""
+    texts = fuzz(120, 9) + [None, "", "same text", "same text"]
+    docs = documents(spark, texts).repartition(4)
+    folder = str(tmp_path / "shards")
+    cut = binary_output.cut_sequences(docs, length=32).collect()
+    rows = binary_output.materialise(docs, folder, length=32, per_shard=16).collect()
+    read = list(binary_output.read_slots(folder, 0, len(rows), length=32, per_shard=16))
+    assert sorted(bytes(r.ids) for r in cut) == sorted(x.tobytes() for x in read)
+    want = sorted(tuple([*library.encode(t or "", add_special_tokens=False).ids, binary_output.END_ID]) for t in texts)
+    got = []
+    for part in {r.part for r in cut}:
+        stream = np.concatenate([np.frombuffer(r.ids, "<u2")[:r.n_tokens] for r in sorted((r for r in cut if r.part == part), key=lambda r: r.number)])
+        ends = np.flatnonzero(stream == binary_output.END_ID)
+        got += [tuple(x.tolist()) for x in np.split(stream, ends + 1)[:-1]]
+    # a text may hold the end id itself: then both sides are cut there
+    assert sorted(x for t in want for x in _cut(t)) == sorted(got)
+
+
+def _cut(ids):
+    at = [i + 1 for i, x in enumerate(ids) if x == binary_output.END_ID]
+    return [tuple(ids[a:b]) for a, b in zip([0, *at], at)]
