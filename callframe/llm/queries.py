@@ -46,7 +46,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "labels"))
+    return detect(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "labels"), with_evidence=True)
 
 
 def op8_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,59 +1,70 @@
 """Toxicity by the nearest labelled examples.
 
 Terms are words and the first four and five letters of longer words (stems).
-From the labelled training rows the terms that speak for the toxic class are
-chosen by a likelihood-ratio test. Copies and near copies count as one witness:
-a row's weight is one over the number of rows that share one of its shingle
-sketches. Every text is a TF-IDF vector over the chosen terms, and its score is
-the vote of its ``NEIGHBOURS`` nearest examples by exact cosine, each weighted
-by its similarity and shrunk towards the base rate of texts without such terms.
-The neighbours' ids and the matched terms are the evidence.
-
-Examples are found through an inverted index in blocks: each term has, for each
-block of ``BLOCK`` examples, its largest weight there. The sum of query weight
-times block maximum bounds every score in a block, so blocks are evaluated in
-descending bounds until no bound exceeds the worst neighbour held. The result
-is exact.
-
-At most about ``MAX_EXAMPLES`` labelled rows (by a hash of the id) and
-``MAX_TERMS`` terms form the model, which bounds what is collected and
-broadcast. Scoring covers all documents and whole texts in one pass without a
-shuffle; labels, language, source and id never enter a score.
-
-Defined results: a null or empty text, and one without a chosen term, gets the
-base rate (the toxic share of training texts without chosen terms). With no
-training rows every score is 0. Repeated rows give repeated rows. Several
-labels of one id count as toxic if any is. Equal similarities prefer the
-example with the smaller id.
+Every text is a TF-IDF vector over all its terms, also those that no example
+has. Terms that speak for the toxic class weigh more: a likelihood-ratio test
+on the examples gives each term a factor between 1 and ``1 + BOOST``; it never
+removes a term or an example. In this test copies and near copies count as one
+witness: a row's weight is one over the number of rows that share one of its
+shingle sketches.
+
+A text's score is the vote of its ``NEIGHBOURS`` nearest examples by exact
+cosine. A vote counts by the cube of the similarity and by how many labelled
+rows of its class the example stands for; all votes are shrunk towards the base
+rate, the toxic share of examples without a term that clearly speaks for the
+class, which a text that is like no example gets. The neighbours' ids and the strongest terms shared with the nearest are the evidence.
+
+Examples are found through an inverted index in blocks of ``BLOCK`` examples.
+The terms that most examples have are kept as a dense matrix per block, the
+others as postings. Each term has, for each block, its largest weight there; the
+sum of query weight times block maximum bounds every score in a block, so blocks
+are evaluated in descending bounds (a matrix product for all texts of a step
+that still need the block, then the postings) until no bound exceeds the worst
+neighbour held. The best are then summed again in double precision, with all
+that are close to the last one, so the neighbours are exact.
+
+About ``MAX_EXAMPLES`` labelled rows (by a hash of the id, the same number of
+each label, or all that a label has) are the examples; that bounds what is
+collected (by Arrow) and broadcast. Scoring covers all documents and whole texts
+in one pass without a shuffle; labels, language, source and id never enter a
+score.
+
+Defined results: a null or empty text has no terms and gets the base rate.
+With no training rows every score is 0. Repeated rows give repeated rows.
+Several labels of one id count as toxic if any is. Ids are integers. Equal
+similarities prefer the example with the smaller id.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callframe.llm.common import bucket_of, map_texts, text_of, written
-from callframe.llm.language_id import sampled, words_of
+from callframe.llm.language_id import spread_sample, words_of
 
 FOLDS, HELD_OUT = 4, 2
-MAX_EXAMPLES = 20_000
-MAX_TERMS = 2048
+MAX_EXAMPLES = 8192
 STEMS = (4, 5)
 SKETCHES = 3
 SHINGLE = 3
-#: a term needs so many witnesses, and this share of the toxic ones
-MIN_WITNESSES, MIN_SHARE = 3.0, 0.01
-MIN_RATIO_TEST = 20.0
-#: a term is at least so many times as often toxic as a training text is
-MIN_LIFT = 3.0
+#: largest extra weight of a term, and the values of the test where it begins and is reached
+BOOST, LEAST_TEST, FULL_TEST = 30.0, 4.0, 20.0
+#: a term with a factor has so many witnesses, and is at least so many times as often toxic as a training text is
+MIN_WITNESSES, MIN_LIFT = 2.0, 3.0
 NEIGHBOURS = 15
-SHRINKAGE = 1.0
-BLOCK = 64
+POWER = 3
+SHRINKAGE = 0.25
+BLOCK = 512
+#: terms kept as a dense matrix, and texts scored together
+DENSE = 2048
+STEP = 128
 THRESHOLD = 0.3
 CACHE = 1 << 18
 
@@ -62,6 +73,14 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
 
 
+def term_counts(text: str) -> dict[str, int]:
+    out: Counter = Counter()
+    for word, n in Counter(words_of(text)).items():
+        for t in terms_of(word):
+            out[t] += n
+    return out
+
+
 def sketches(words: list[str]) -> list[int]:
     """SKETCHES minimum hashes over the word shingles."""
     best = [1 << 32] * SKETCHES
@@ -72,176 +91,245 @@ def sketches(words: list[str]) -> list[int]:
     return best
 
 
-class ExampleIndex:
-    """Labelled examples over the chosen terms, in blocks with maxima."""
-
-    def __init__(self, terms: list[str], examples: list[tuple[int, int, dict[int, int]]], base_rate: float, rows: int):
-        self.terms = {t: i for i, t in enumerate(terms)}
-        self.base_rate = base_rate
-        # examples with a common strongest term share blocks
-        df = Counter(t for _, _, v in examples for t in v)
-        self.idf = np.array([math.log((rows + 1) / (df[i] + 1)) + 1 for i in range(len(terms))])
-        examples = sorted(examples, key=lambda e: (max(e[2], key=lambda t: (self.idf[t], t)), e[0]))
-        self.ids = np.array([e[0] for e in examples], np.int64)
-        self.labels = np.array([e[1] for e in examples], np.float64)
-        blocks = -(-len(examples) // BLOCK)
-        self.maxima = np.zeros((len(terms), blocks), np.float32)
-        postings: list[dict[int, list[tuple[int, float]]]] = [defaultdict(list) for _ in range(blocks)]
-        for i, (_, _, counts) in enumerate(examples):
-            for t, w in self.vector(counts):
-                postings[i // BLOCK][t].append((i % BLOCK, w))
-                self.maxima[t, i // BLOCK] = max(self.maxima[t, i // BLOCK], np.nextafter(np.float32(w), np.float32(2)))
-        self.postings = [{t: (np.array([i for i, _ in p]), np.array([w for _, w in p])) for t, p in b.items()}
-                         for b in postings]
-
-    def vector(self, counts: dict[int, int]) -> list[tuple[int, float]]:
-        raw = [(t, (1 + math.log(n)) * self.idf[t]) for t, n in sorted(counts.items())]
-        norm = math.sqrt(sum(w * w for _, w in raw))
-        return [(t, w / norm) for t, w in raw]
-
-    def nearest(self, counts: dict[int, int], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k examples of highest cosine above 0: (cosine, example)."""
-        query = self.vector(counts)
-        bounds = sum(w * self.maxima[t].astype(np.float64) for t, w in query)
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            worst = best[-1][0] if len(best) == k else 0.0
-            if bounds[b] <= 0 or bounds[b] < worst - 1e-9:
-                break
-            sums = np.zeros(BLOCK)
-            for t, w in query:
-                if t in self.postings[b]:
-                    at, weights = self.postings[b][t]
-                    sums[at] += w * weights
-            found = [(float(sums[i]), b * BLOCK + i) for i in np.flatnonzero(sums > max(worst - 1e-9, 0)).tolist()]
-            if found:
-                best = sorted([*best, *((s, int(self.ids[e]), e) for s, e in found)],
-                              key=lambda x: (-round(x[0], 9), x[1]))[:k]
-        return [(s, e) for s, _, e in best]
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
-        if not counts:
-            return self.base_rate, []
-        near = self.nearest(counts)
-        weight = sum(s for s, _ in near)
-        vote = sum(s * self.labels[e] for s, e in near)
-        return (vote + SHRINKAGE * self.base_rate) / (weight + SHRINKAGE), [int(self.ids[e]) for _, e in near]
+def ratio_test(pos: np.ndarray, neg: np.ndarray, positives: float, negatives: float) -> np.ndarray:
+    """Likelihood-ratio statistic (G squared) of terms against the class."""
+    total = max(positives + negatives, 1e-9)
+    seen = pos + neg
 
+    def part(observed, expected):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(observed > 1e-9, observed * np.log(observed / np.maximum(expected, 1e-9)), 0.0)
 
-class Scorer:
-    """Scores texts; remembers the terms of words and the votes of vectors."""
+    return 2 * sum(part(o, e) for o, e in (
+        (pos, seen / total * positives), (neg, seen / total * negatives),
+        (positives - pos, (1 - seen / total) * positives), (negatives - neg, (1 - seen / total) * negatives)))
 
-    def __init__(self, index: ExampleIndex):
-        self.index, self.hits, self.votes = index, {}, {}
 
-    def counts(self, text: str) -> dict[int, int]:
-        words = words_of(text)
-        hits, terms = self.hits, self.index.terms
-        if len(hits) > CACHE:
-            hits.clear()
-        for w in [w for w in set(words) if w not in hits]:
-            hits[w] = tuple(i for t in terms_of(w) if (i := terms.get(t)) is not None)
-        return dict(sorted(Counter(i for found in map(hits.__getitem__, words) if found for i in found).items()))
+class ExampleIndex:
+    """Labelled examples as sparse counts over all their terms, compact enough
+    to be sent out. ``stands_for`` tells how many labelled rows of its class an
+    example stands for, ``witness`` its weight in the test."""
+
+    def __init__(self, ids, labels, terms, counts, stands_for=None, witness=None):
+        """``terms`` and ``counts`` are Arrow lists, one per example, ids ascending."""
+        self.ids, self.labels = np.array(ids, np.int64), np.array(labels, float)
+        n = len(self.ids)
+        self.stands_for = np.ones(n) if stands_for is None else np.array(stands_for, float)
+        witness = np.ones(n) if witness is None else np.array(witness, float)
+        sizes = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(sizes)])
+        coded = terms.flatten().dictionary_encode()
+        self.terms = coded.dictionary
+        self.term = coded.indices.to_numpy().astype(np.int32)
+        self.count = counts.flatten().to_numpy().astype(np.int32)
+        owner = np.repeat(np.arange(n), sizes)
+        width = len(self.terms)
+        df = np.bincount(self.term, minlength=width)
+        self.rows = n
+        pos = np.bincount(self.term, witness[owner] * self.labels[owner], minlength=width)
+        neg = np.bincount(self.term, witness[owner] * (1 - self.labels[owner]), minlength=width)
+        toxic, clean = float((witness * self.labels).sum()), float((witness * (1 - self.labels)).sum())
+        share = toxic / max(toxic + clean, 1e-9)
+        speaks = (pos >= MIN_WITNESSES) & (pos >= min(MIN_LIFT * share, (1 + share) / 2) * (pos + neg))
+        test = ratio_test(pos, neg, toxic, clean)
+        factor = 1 + BOOST * np.where(speaks, np.clip((test - LEAST_TEST) / (FULL_TEST - LEAST_TEST), 0.0, 1.0), 0.0)
+        # the toxic share of examples without a term that clearly speaks for the class
+        plain = np.bincount(owner[factor[self.term] >= 1 + BOOST / 2], minlength=n) == 0
+        plain = self.stands_for * (plain if plain.any() else 1)
+        self.base_rate = float((plain * self.labels).sum() / max(plain.sum(), 1e-9))
+        #: weight of one occurrence of each term
+        self.unit = (np.log((n + 1) / (df + 1)) + 1) * factor
+
+    @classmethod
+    def of_counts(cls, ids, labels, vectors: list[dict[str, int]], **weights) -> ExampleIndex:
+        """From one dict of term counts per example."""
+        import pyarrow as pa
+        order = np.argsort(np.array(ids, np.int64), kind="stable").tolist()
+        return cls([ids[i] for i in order], [labels[i] for i in order],
+                   pa.array([list(vectors[i]) for i in order], pa.list_(pa.string())),
+                   pa.array([list(vectors[i].values()) for i in order], pa.list_(pa.int32())),
+                   **{k: [v[i] for i in order] for k, v in weights.items()})
 
-    def score(self, text: str) -> tuple[float, list[int], dict[int, int]]:
-        counts = self.counts(text)
-        key = tuple(counts.items())
-        if key not in self.votes:
-            if len(self.votes) > CACHE // 8:
-                self.votes.clear()
-            self.votes[key] = self.index.score(counts)
-        return (*self.votes[key], counts)
+
+class Scorer:
+    """Scores texts against an index. Built once per task."""
+
+    def __init__(self, index: ExampleIndex, block: int = BLOCK, dense: int = DENSE):
+        self.index, self.block = index, block
+        self.numbers = {t: i for i, t in enumerate(index.terms.to_pylist())}
+        self.unseen = math.log(index.rows + 1) + 1
+        self.hits: dict[str, tuple[int, ...]] = {}
+        self.others: dict[str, int] = {}
+        n, width = index.rows, len(index.terms)
+        weight = (1 + np.log(np.maximum(index.count, 1))) * index.unit[index.term] if len(index.term) else np.zeros(0)
+        owner = np.repeat(np.arange(n), np.diff(index.start))
+        norm = np.sqrt(np.bincount(owner, weight * weight, minlength=n))
+        self.weight = weight / np.maximum(norm[owner], 1e-300) if len(weight) else weight
+        df = np.bincount(index.term, minlength=width)
+        frequent = np.argsort(-df, kind="stable")[:dense]
+        self.column = np.full(width, -1, np.int64)
+        self.column[frequent] = np.arange(len(frequent))
+        blocks = -(-n // block)
+        where = self.column[index.term]
+        often = where >= 0
+        self.dense = np.zeros((n, len(frequent)), np.float32)
+        self.dense[owner[often], where[often]] = self.weight[often]
+        # rare terms: postings in the order of term and example, and their maxima by block
+        rare = np.flatnonzero(~often)
+        rare = rare[np.lexsort((owner[rare], index.term[rare]))]
+        self.posting, self.posting_weight = owner[rare].astype(np.int32), self.weight[rare].astype(np.float32)
+        self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(index.term[rare], minlength=width))])
+        self.maxima = np.zeros((blocks, len(frequent)), np.float32)
+        for b in range(blocks):
+            self.maxima[b] = self.dense[b * block:(b + 1) * block].max(0) if len(frequent) else 0
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(terms that some example has, weights) of a text; the weights are
+        parts of the whole text's unit vector."""
+        words = Counter(words_of(text))
+        hits = self.hits
+        if len(hits) > CACHE:
+            self._forget()
+            hits = self.hits
+        for w in [w for w in words if w not in hits]:
+            hits[w] = tuple(self._number(t) for t in terms_of(w))
+        found = [hits[w] for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
+        terms, place = np.unique(ids, return_inverse=True)
+        n = np.bincount(place, np.repeat(np.fromiter(words.values(), float, len(found)), size), minlength=len(terms))
+        known = int(np.searchsorted(terms, len(self.index.unit)))
+        weight = (1 + np.log(n)) * np.concatenate([self.index.unit[terms[:known]], np.full(len(terms) - known, self.unseen)])
+        norm = math.sqrt(float((weight * weight).sum()))
+        return terms[:known], (weight / norm if norm else weight)[:known]
+
+    def _forget(self) -> None:
+        self.hits, self.others = {}, {}
+
+    def _number(self, term: str) -> int:
+        """An example's term, or a number above them for another one."""
+        found = self.numbers.get(term)
+        return found if found is not None else self.others.setdefault(term, len(self.index.unit) + len(self.others))
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
+        """For each text the k examples of highest cosine above 0, equal ones by
+        id: (cosine, example)."""
+        n, rows = self.index.rows, len(vectors)
+        if not n or not rows:
+            return [[] for _ in vectors]
+        queries = np.zeros((rows, self.dense.shape[1]), np.float32)
+        sparse = np.zeros((rows, n), np.float32)  # the rare terms' part of every cosine
+        for i, (terms, weight) in enumerate(vectors):
+            at = self.column[terms]
+            queries[i, at[at >= 0]] = weight[at >= 0]
+            few, w = terms[at < 0], weight[at < 0]
+            begin, size = self.posting_start[few], self.posting_start[few + 1] - self.posting_start[few]
+            place = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+            if len(place):
+                sparse[i] = np.bincount(self.posting[place], np.repeat(w, size) * self.posting_weight[place], minlength=n)
+        blocks = len(self.maxima)
+        pad = np.zeros((rows, blocks * self.block), np.float32)
+        pad[:, :n] = sparse
+        # no score of a block is above its bound
+        bounds = queries @ self.maxima.T + pad.reshape(rows, blocks, self.block).max(2) + 1e-5
+        scores = np.full((rows, n), -1.0, np.float32)
+        best = np.zeros((rows, k), np.float32)
+        for b in np.argsort(-bounds.max(0), kind="stable").tolist():
+            need = np.flatnonzero(bounds[:, b] >= best.min(1))
+            if not len(need):
+                continue
+            cut = slice(b * self.block, min(n, (b + 1) * self.block))
+            found = queries[need] @ self.dense[cut].T + sparse[need, cut]
+            scores[need, cut] = found
+            best[need] = np.partition(np.concatenate([best[need], found], axis=1), found.shape[1], axis=1)[:, -k:]
+        least = best.min(1) - 2e-5
+        return [self._exact(scores[i], least[i], *vectors[i], k) for i in range(rows)]
+
+    def _exact(self, scores, least, terms, weight, k):
+        whole = np.zeros(len(self.index.terms))
+        whole[terms] = weight
+        found = []
+        for e in np.flatnonzero(scores > max(float(least), 0.0)).tolist():
+            part = slice(self.index.start[e], self.index.start[e + 1])
+            found.append((float(whole[self.index.term[part]] @ self.weight[part]), e))
+        return sorted(found, key=lambda x: (-round(x[0], 9), x[1]))[:k]
+
+    def score(self, near: list[tuple[float, int]]) -> float:
+        if not self.index.rows:
+            return 0.0
+        index, base = self.index, self.index.base_rate
+        votes = np.array([s ** POWER * index.stands_for[e] for s, e in near])
+        toxic = sum(v * index.labels[e] for v, (_, e) in zip(votes, near))
+        return float((toxic + SHRINKAGE * base) / (votes.sum() + SHRINKAGE))
+
+    def evidence(self, vector, near, most: int = 5) -> list[str]:
+        """The strongest terms that a text shares with its nearest example."""
+        if not near:
+            return []
+        terms, weight = vector
+        part = slice(self.index.start[near[0][1]], self.index.start[near[0][1] + 1])
+        whole = np.zeros(len(self.index.terms))
+        whole[terms] = weight
+        both = whole[self.index.term[part]] * self.weight[part]
+        best = [i for i in np.argsort(-both, kind="stable")[:most] if both[i] > 0]
+        return [self.index.terms[int(self.index.term[part][i])].as_py() for i in best]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
-    """Choose terms and build the index from labelled documents."""
+    """The index of the labelled documents."""
     marked = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
-        F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    marked = sampled(marked, "id", max_examples)
+        F.col(id_col).alias("id")).agg((F.max(F.col(label_col).cast("int")) == 1).cast("int").alias("label"))
+    all_of = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+    chosen, _ = spread_sample(marked, "label", "id", max_examples)
     # at most about max_examples rows of two numbers
-    rows = written(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-                   .join(F.broadcast(marked), "id").select("id", "label", "text"), "toxicity-examples")
-
-    def sketching():
-        def batch(ids, rest, texts):
-            yield [ids, rest[0], [sketches(words_of(t)) for t in texts]]
-
-        return batch
-
-    known = map_texts(rows, sketching, [("sketches", "array<bigint>")], carry=["label"]).collect()
-    shared_by = Counter(s for r in known for s in enumerate(r.sketches))
-    weights = {r.id: 1.0 / max(shared_by[s] for s in enumerate(r.sketches)) for r in known}
-    toxic = sum(weights[r.id] for r in known if r.label == 1)
-    total = sum(weights[r.id] for r in known)
-    of_row = docs.sparkSession.sparkContext.broadcast(weights)
-
-    def counting():
-        def batch(ids, rest, texts):
-            sums: dict[str, list[float]] = {}
-            for i, label, text in zip(ids.to_pylist(), rest[0].to_pylist(), texts):
-                w = of_row.value[i]
-                for t in {t for word in set(words_of(text)) for t in terms_of(word)}:
-                    s = sums.setdefault(t, [0.0, 0.0])
-                    s[label == 1] += w
-            yield [[None] * len(sums), [None] * len(sums), list(sums), [s[1] for s in sums.values()], [s[0] for s in sums.values()]]
-
-        return batch
-
-    counted = map_texts(rows, counting, [("term", "string"), ("pos", "double"), ("neg", "double")], carry=["label"])
-    counted = counted.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    chosen = [r.term for r in counted.filter(
-        (F.col("pos") >= max(MIN_WITNESSES, MIN_SHARE * toxic))
-        & (F.col("pos") * total >= min(MIN_LIFT * toxic, (total + toxic) / 2) * (F.col("pos") + F.col("neg"))))
-        .withColumn("g2", ratio_test(F.col("pos"), F.col("neg"), toxic, total - toxic))
-        .filter(F.col("g2") >= MIN_RATIO_TEST).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()]
-    index = ExampleIndex(sorted(chosen), [], 0.0, len(known))
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    rows = written(docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
+                   .join(F.broadcast(chosen), "id").select("id", "label", "text"), "toxicity-examples")
 
     def vectors():
-        scorer = Scorer(shared.value)
-
         def batch(ids, rest, texts):
-            found = [scorer.counts(t) for t in texts]
-            yield [ids, rest[0], [list(f) for f in found], [list(f.values()) for f in found]]
+            for i in range(0, len(texts), 256):
+                found = [term_counts(t) for t in texts[i:i + 256]]
+                yield [ids.slice(i, len(found)), rest[0].slice(i, len(found)), [sketches(words_of(t)) for t in texts[i:i + 256]],
+                       [list(f) for f in found], [list(f.values()) for f in found]]
 
         return batch
 
-    seen = map_texts(rows, vectors, [("terms", "array<int>"), ("counts", "array<int>")], carry=["label"]).collect()
-    plain = [(weights[r.id], r.label) for r in seen if not r.terms]
-    base = sum(w for w, label in plain if label == 1) / max(sum(w for w, _ in plain), 1.0)
-    return ExampleIndex(sorted(chosen), [(r.id, int(r.label == 1), dict(zip(r.terms, r.counts)))
-                                         for r in seen if r.terms], base, len(known))
-
-
-def ratio_test(pos, neg, positives: float, negatives: float):
-    """Likelihood-ratio statistic (G squared) of a term against the class."""
-    n = max(positives + negatives, 1e-9)
-
-    def part(observed, margin):
-        expected = (pos + neg) / n * margin, (F.lit(n) - pos - neg) / n * margin
-        rest = F.lit(margin) - observed
-        return (F.when(observed > 0, observed * F.log(observed / expected[0])).otherwise(0.0)
-                + F.when(rest > 1e-9, rest * F.log(rest / F.greatest(expected[1], F.lit(1e-9)))).otherwise(0.0))
-
-    return 2 * (part(pos, positives) + part(neg, negatives))
+    seen = map_texts(rows, vectors, [("sketches", "array<bigint>"), ("terms", "array<string>"), ("counts", "array<int>")],
+                     carry=["label"]).toArrow()
+    seen = seen.sort_by("id").combine_chunks()
+    if not seen.num_rows:
+        return ExampleIndex.of_counts([], [], [])
+    column = {c: seen.column(c).chunk(0) for c in seen.column_names}
+    labels_ = column["label"].to_numpy(zero_copy_only=False)
+    # rows that share a sketch at its place: mark k of a row is shared by so many rows
+    marks = column["sketches"].flatten().to_numpy().reshape(-1, SKETCHES)
+    shared_by = np.stack([np.unique(m, return_inverse=True, return_counts=True)[2][np.unique(m, return_inverse=True)[1]]
+                          for m in marks.T], axis=1).max(1)
+    held = Counter(labels_.tolist())
+    return ExampleIndex(column["id"].to_numpy(), labels_, column["terms"], column["counts"],
+                        stands_for=[max(1.0, all_of[x] / held[x]) for x in labels_.tolist()], witness=1.0 / shared_by)
 
 
 def score(docs: DataFrame, index: ExampleIndex, id_col: str = "doc_id", text_col: str = "text",
           carry: list[str] = (), with_evidence: bool = False) -> DataFrame:
     """One row per document: id, carried columns, score; on request the
-    matched terms and the neighbours' ids."""
+    evidence: ``matched`` terms and the ``neighbours``' ids."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
     columns = [("score", "double")] + [("matched", "array<string>"), ("neighbours", "array<bigint>")] * with_evidence
 
     def task():
         scorer = Scorer(shared.value)
-        names = list(shared.value.terms)
 
         def batch(ids, rest, texts):
-            found = [scorer.score(t) for t in texts]
-            out = [ids, *rest, [f[0] for f in found]]
-            yield out + [[[names[t] for t in f[2]] for f in found], [f[1] for f in found]] * with_evidence
+            for i in range(0, len(texts), STEP):
+                vectors = [scorer.vector(t) for t in texts[i:i + STEP]]
+                near = scorer.nearest(vectors)
+                out = [ids.slice(i, len(near)), *[c.slice(i, len(near)) for c in rest], [scorer.score(x) for x in near]]
+                if with_evidence:
+                    out += [[scorer.evidence(v, x) for v, x in zip(vectors, near)],
+                            [[int(scorer.index.ids[e]) for _, e in x] for x in near]]
+                yield out
 
         return batch
 
@@ -250,10 +338,10 @@ def score(docs: DataFrame, index: ExampleIndex, id_col: str = "doc_id", text_col
 
 
 def detect(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+           label_col: str = "toxic", threshold: float = THRESHOLD, with_evidence: bool = False) -> DataFrame:
     """Learn from the labelled rows outside the held-out fold; score all rows."""
     index = fit(docs, labels.filter(bucket_of(id_col, FOLDS) != HELD_OUT), id_col, text_col, label_col)
     rows = docs.select(F.col(id_col), text_of(text_col).alias("text"),
                        (bucket_of(id_col, FOLDS) == HELD_OUT).alias("held_out"))
-    return score(rows, index, id_col, "text", carry=["held_out"]).withColumn(
+    return score(rows, index, id_col, "text", carry=["held_out"], with_evidence=with_evidence).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))

@@ -195,20 +195,38 @@ def test_unseen_words_fall_back_to_shorter_grams():
 
 # ---- toxicity ---------------------------------------------------------------
 
-def test_block_maxima_give_the_exact_neighbours():
+def plain_cosines(examples, query, index):
+    """Cosines with all examples, term by term in plain Python."""
+    unit = dict(zip(index.terms.to_pylist(), index.unit.tolist()))
+    unseen = math.log(len(examples) + 1) + 1
+
+    def weights(counts):
+        raw = {t: (1 + math.log(n)) * unit.get(t, unseen) for t, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / norm for t, w in raw.items()}
+
+    q = weights(query)
+    return [sum(w * q.get(t, 0.0) for t, w in weights(e).items()) for e in examples]
+
+
+@pytest.mark.parametrize("block,dense", [(16, 8), (64, 0), (512, 2048), (7, 25)])
+def test_block_maxima_give_the_exact_neighbours(block, dense):
     rng = random.Random(6)
-    terms = [f"t{i}" for i in range(30)]
-    examples = [(i, rng.randint(0, 1), {t: rng.randint(1, 4) for t in sorted(rng.sample(range(30), rng.randint(1, 5)))})
-                for i in range(400)]
-    index = toxicity.ExampleIndex(terms, examples, 0.1, 400)
-    vectors = {i: dict(index.vector(c)) for i, _, c in examples}
-    for _ in range(60):
-        counts = {t: rng.randint(1, 3) for t in sorted(rng.sample(range(30), rng.randint(1, 4)))}
-        query = dict(index.vector(counts))
-        sims = sorted(((sum(w * v.get(t, 0) for t, w in query.items()), i) for i, v in vectors.items()),
-                      key=lambda x: (-round(x[0], 9), x[1]))
-        want = [(round(s, 6), i) for s, i in sims if s > 0][:toxicity.NEIGHBOURS]
-        assert [(round(s, 6), int(index.ids[e])) for s, e in index.nearest(counts)] == want
+    words = [f"{a}{b}{c}" for a in "abcde" for b in "xyz" for c in "klm"]
+
+    def text(n):
+        return " ".join(rng.choices(words[:40], k=n))
+
+    texts = [text(rng.randint(1, 9)) for _ in range(400)]
+    ids = rng.sample(range(10_000), 400)
+    index = toxicity.ExampleIndex.of_counts(ids, [rng.randint(0, 1) for _ in texts], [toxicity.term_counts(t) for t in texts])
+    by_id = [t for _, t in sorted(zip(ids, texts))]
+    scorer = toxicity.Scorer(index, block, dense)
+    queries = [" ".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(60)] + ["", "unseen words", texts[0]]
+    for q, near in zip(queries, scorer.nearest([scorer.vector(q) for q in queries])):
+        sims = plain_cosines([toxicity.term_counts(t) for t in by_id], toxicity.term_counts(q), index) if q else [0.0] * 400
+        want = sorted(((-round(s, 9), i) for i, s in enumerate(sims) if s > 1e-9))[:toxicity.NEIGHBOURS]
+        assert [(round(s, 6), e) for s, e in near] == [(round(-s, 6), i) for s, i in want]
 
 
 def test_toxic_words_are_learned_and_clean_texts_kept(spark):
@@ -218,12 +236,33 @@ def test_toxic_words_are_learned_and_clean_texts_kept(spark):
     texts = [t if i % 3 else t + " you grumpfel " + rng.choice(["moofel", "moofeling"]) for i, t in enumerate(clean)]
     docs = documents(spark, texts)
     labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int")
-    got = toxicity.detect(docs, labels).collect()
+    got = toxicity.detect(docs, labels, with_evidence=True).collect()
     assert all(r.predicted == int(r.doc_id % 3 == 0) for r in got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
-    index = toxicity.fit(docs, labels)
-    evidence = toxicity.score(docs, index, with_evidence=True).filter("doc_id = 3").first()
-    assert "grumpfel" in evidence.matched and len(evidence.neighbours) == toxicity.NEIGHBOURS
+    evidence = next(r for r in got if r.doc_id == 3)
+    assert {"grumpfel", "moofel"} & set(evidence.matched) and len(evidence.neighbours) == toxicity.NEIGHBOURS
+
+
+def test_near_copies_of_toxic_examples_are_caught(spark):
+    """Toxic texts without a word in common: only their own copies are like them."""
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(40)) for _ in range(200)]
+    labels = spark.createDataFrame([(i, 0, int(i % 5 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    held = {i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2}
+    copies = [(1000 + i, t.replace(t.split()[20], "changed"), i) for i, t in enumerate(texts) if i not in held]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(i, t) for i, t, _ in copies], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.detect(docs, labels).collect()}
+    assert all(got[i].predicted == int(origin % 5 == 0) for i, _, origin in copies)
+
+
+def test_examples_are_sampled_evenly_and_counted_for_their_class(spark):
+    docs = documents(spark, [f"text number {i}" for i in range(400)])
+    labels = spark.createDataFrame([(i, 0, int(i % 20 == 0)) for i in range(400)] + [(20, 0, 0), (None, 0, 1), (999, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    index = toxicity.fit(docs, labels, max_examples=60)
+    toxic = index.labels == 1
+    assert toxic.sum() == 20 and 15 <= (~toxic).sum() <= 45
+    assert abs(index.stands_for[~toxic].sum() - 380) < 1e-6 and index.base_rate < 0.06
 
 
 # ---- language model ---------------------------------------------------------
