@@ -178,3 +178,74 @@ def py_str(v: Column | str, k: Column | str, missing: str = "") -> Column:
 def is_variant_null(v: Column | str) -> Column:
     """The value is JSON ``null`` (not SQL NULL)."""
     return F.coalesce(F.is_variant_null(_c(v)), F.lit(False))
+
+
+# -- comparing as Python does -----------------------------------------------------
+
+_STRING = r'"(?:[^"\\]|\\.)*"'
+
+
+def tokens(canonical: Column | str) -> Column:
+    """The tokens of canonical JSON text: strings with their quotes, brackets,
+    commas, colons, and numbers or words."""
+    return F.regexp_extract_all(_c(canonical), F.lit(_STRING + r'|[\[\]{}:,]|[^\[\]{}:,"]+'), F.lit(0))
+
+
+def _number_text(t: Column) -> Column:
+    """One text for numbers that Python calls equal: integers as digits, also
+    where they are written as decimals or with an exponent (beyond 2^53 by
+    their shortest decimal text); booleans count as 0 and 1."""
+    d = t.try_cast("double")
+    whole = (d == F.floor(d)) & (F.abs(d) < F.lit(1e38))
+    return (F.when(t == "true", F.lit("1")).when(t == "false", F.lit("0")).when(t == "null", t)
+            .when(t.rlike("^-?[0-9]+$"), t)
+            .when(whole, d.try_cast("decimal(38,0)").cast("string")).otherwise(d.cast("string")))
+
+
+def python_text(toks: Column) -> Column:
+    """Text that is equal for two values exactly if Python's ``==`` holds on
+    what they parse to (keys are sorted already)."""
+    return F.array_join(F.transform(toks, lambda t: F.when(t.rlike(r'^["\[\]{}:,]'), t).otherwise(_number_text(t))), "")
+
+
+def value_kinds(toks: Column) -> Column:
+    """MAP<path, kind> of a value and everything inside it: o, a, s, n (numbers
+    and booleans, one kind to Python's arithmetic) or z (null).
+
+    A fold over the tokens; its state is the stack of open containers (prefix
+    of their paths, list or not, place in it), the last key, whether a key
+    comes next, and the paths found. A step of a path is ``/place`` in a list
+    and ``.key`` (with its quotes) in an object."""
+    frame = "struct<prefix:string,list:boolean,place:int>"
+    start = F.struct(F.array().cast(f"array<{frame}>").alias("stack"), F.lit("").alias("key"), F.lit(False).alias("key_next"),
+                     F.array().cast("array<struct<path:string,kind:string>>").alias("found"))
+
+    def step(s: Column, t: Column) -> Column:
+        top = F.try_element_at(s["stack"], F.lit(-1))
+        below = F.slice(s["stack"], F.lit(1), F.greatest(F.size(s["stack"]) - 1, F.lit(0)))
+        path = (F.when(top.isNull(), F.lit("")).when(top["list"], F.concat(top["prefix"], F.lit("/"), top["place"].cast("string")))
+                .otherwise(F.concat(top["prefix"], F.lit("."), s["key"])))
+        opens, closes = t.isin("{", "["), t.isin("}", "]")
+        is_key = s["key_next"] & t.startswith('"')
+        value = ~is_key & ~closes & ~t.isin(",", ":")
+        kind = (F.when(t == "{", F.lit("o")).when(t == "[", F.lit("a")).when(t.startswith('"'), F.lit("s"))
+                .when(t == "null", F.lit("z")).otherwise(F.lit("n")))
+
+        def framed(prefix: Column, is_list: Column, place: Column) -> Column:
+            return F.array(F.struct(prefix.alias("prefix"), is_list.alias("list"), place.alias("place")))
+
+        stack = (F.when(opens, F.concat(s["stack"], framed(path, t == "[", F.lit(0))))
+                 .when(closes, below)
+                 .when((t == ",") & top["list"], F.concat(below, framed(top["prefix"], top["list"], top["place"] + 1)))
+                 .otherwise(s["stack"]))
+        found = F.when(value, F.concat(s["found"], F.array(F.struct(path.alias("path"), kind.alias("kind"))))).otherwise(s["found"])
+        key_next = F.when((t == "{") | ((t == ",") & ~F.coalesce(top["list"], F.lit(True))), F.lit(True)).otherwise(F.lit(False))
+        return F.struct(stack.alias("stack"), F.when(is_key, t).otherwise(s["key"]).alias("key"),
+                        key_next.alias("key_next"), found.alias("found"))
+
+    return F.aggregate(toks, start, step, lambda s: F.map_from_entries(s["found"]))
+
+
+def same_kinds(a: Column, b: Column) -> Column:
+    """No path that both values (``value_kinds``) have holds different kinds."""
+    return ~F.exists(F.map_entries(a), lambda e: F.coalesce(F.try_element_at(b, e["key"]) != e["value"], F.lit(False)))

@@ -30,10 +30,13 @@ def test_records_without_an_output_are_listed(spark):
     assert [r["record_id"] for r in rows(S.orphan_outputs(t, o))] == [9]
 
 
-def test_kinds_are_compared_on_common_paths():
-    assert S._same_kinds({"a": 1, "b": [1, "x"]}, {"a": True, "b": [2.5, "y", None], "c": 3})
-    assert not S._same_kinds({"a": {"b": 1}}, {"a": {"b": "1"}})
-    assert not S._same_kinds({"a": []}, {"a": {}})
+def test_kinds_are_compared_on_common_paths(spark):
+    cases = [('{"a":1,"b":[1,"x"]}', '{"a":true,"b":[2.5,"y",null],"c":3}', True), ('{"a":{"b":1}}', '{"a":{"b":"1"}}', False),
+             ('{"a":[]}', '{"a":{}}', False), ('{"a":null}', '{"a":0}', False), ('[[1],[2,"x"]]', '[["1"]]', False),
+             ('{"a.b":1,"c":{"d":"}"}}', '{"a":{"b":"1"},"c":{"d":"{,"}}', True), ('{"a":{"x":[{"k":1}]}}', '{"a":{"x":[{"k":{}}]}}', False)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    got = {r.i: r.json_equal_same_type for r in S.with_json_equal(df, "a", "b").collect()}
+    assert [got[i] for i in range(len(cases))] == [want for *_, want in cases]
 
 
 def test_a_tool_with_an_empty_name_is_not_none(spark):

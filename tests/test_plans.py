@@ -22,10 +22,11 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in plan  # ts, event_type, props pruned
 
 
-def test_scoring_udf_sees_only_residual_rows(spark):
+def test_scoring_has_no_python(spark):
     import __spark_entry__ as E
-    plan = _plan(E.queries()["confusion"](spark, SF0001))
-    assert plan.count("ArrowEvalPython") == 1
+    for name in ("confusion", "score_trace", "score_odd"):
+        plan = _plan(E.queries()[name](spark, SF0001))
+        assert "Python" not in plan and "Arrow" not in plan, name
 
 
 def test_conversation_fold_holds_no_conversation(spark):

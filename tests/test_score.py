@@ -145,7 +145,30 @@ def test_cube_has_every_subtotal_in_one_exchange(spark):
     from pyspark.sql import functions as F
     scored = spark.createDataFrame([("a", 1, S.TP), ("a", 2, S.FN), ("b", 1, S.TP), (None, 1, S.NO_OUTPUT)], "tool string, day int, outcome string")
     cube = M.by_dimensions(scored, {"tool": F.col("tool"), "day": F.col("day")})
+    assert cube._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     got = {(r.level, r.tool, r.day): (r.total_samples, r.no_output) for r in cube.collect()}
     assert got[3, None, None] == (3, 1) and got[1, "a", None] == (2, 0) and got[2, None, 1] == (2, 1)
     assert got[1, None, None] == (0, 1) and got[0, "b", 1] == (1, 0) and len(got) == 4 + 3 + 2 + 1
-    assert cube._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def _python_kinds(p, g) -> bool:
+    number = (bool, int, float)
+    if isinstance(p, number) and isinstance(g, number):
+        return True
+    if type(p) is not type(g):
+        return False
+    if isinstance(p, dict):
+        return all(_python_kinds(p[k], g[k]) for k in p.keys() & g.keys())
+    return all(map(_python_kinds, p, g)) if isinstance(p, list) else True
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(_VALUES, _VALUES), min_size=20, max_size=60))
+def test_equality_and_kinds_are_pythons(spark, pairs):
+    import json
+    pairs = pairs + [(p, p) for p, _ in pairs[:5]] + [(1e16, 10 ** 16), (True, 1.0), (0.1, 0.1), (2 ** 53 + 1, 2 ** 53), (1e300, 1e300),
+                                                      ([1, 2], [1.0, True]), ({"a": "\\\"{"}, {"a": "\\\"{"}), (-5, -5.0), (1e2, 100)]
+    df = spark.createDataFrame([(i, json.dumps(a), json.dumps(b)) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    for r in S.with_json_equal(df, "a", "b").collect():
+        a, b = pairs[r.i]
+        assert (r.json_equal, r.json_equal_same_type) == (a == b, a == b or _python_kinds(a, b)), (a, b)
