@@ -95,32 +95,28 @@ def as_array_of_objects(v: Column | str) -> Column:
     return _c(v).try_cast("array<map<string,variant>>")
 
 
-def _type_word(v: Column | str) -> Column:
-    # OBJECT<...> / ARRAY<...> / VOID / BOOLEAN / STRING / BIGINT / DECIMAL(p,s) / DOUBLE ...
-    return F.substring_index(F.schema_of_variant(_c(v)), "<", 1)
-
-
 def is_array(v: Column | str) -> Column:
-    return F.coalesce(F.schema_of_variant(_c(v)).startswith("ARRAY"), F.lit(False))
+    """The value is a JSON array. (A cast reads one level; the value's schema
+    would read all of it.)"""
+    return as_array(v).isNotNull()
 
 
 def is_object(v: Column | str) -> Column:
-    return F.coalesce(F.schema_of_variant(_c(v)).startswith("OBJECT"), F.lit(False))
-
-
-def _kinds_map() -> Column:
-    return F.create_map(
-        F.lit("OBJECT"), F.lit("object"), F.lit("ARRAY"), F.lit("array"), F.lit("VOID"), F.lit("null"),
-        F.lit("BOOLEAN"), F.lit("boolean"), F.lit("STRING"), F.lit("string"),
-    )
+    """The value is a JSON object."""
+    return as_object(v).isNotNull()
 
 
 def kind(v: Column | str) -> Column:
     """Python-level kind of a JSON value: array, object, null, boolean,
-    number or string; NULL for SQL NULL (absent). One schema probe, one
-    map lookup (no branch re-evaluates the value)."""
-    return F.coalesce(F.element_at(_kinds_map(), _type_word(v)),
-                      F.when(_c(v).isNotNull(), F.lit("number")))
+    number or string; NULL for SQL NULL (absent). Containers are told by a
+    cast of one level, so only scalars are asked for their type."""
+    v = _c(v)
+    word = F.schema_of_variant(v)
+    return (F.when(v.isNull(), F.lit(None).cast("string"))
+            .when(is_object(v), F.lit("object")).when(is_array(v), F.lit("array"))
+            .when(F.is_variant_null(v), F.lit("null"))
+            .when(word == "STRING", F.lit("string")).when(word == "BOOLEAN", F.lit("boolean"))
+            .otherwise(F.lit("number")))
 
 
 def get(v: Column | str, key: str) -> Column:
