@@ -158,6 +158,11 @@ def q_sft_corpus(spark, sf_dir):
     return _corpus(spark, sf_dir).select("record_id", "text")
 
 
+def q_sft_corpus_indent2(spark, sf_dir):
+    """T1 in the layout of Python's printer (no SQL can print it)."""
+    return T.training_text(_unified_records(spark, sf_dir), style="indent2").select("record_id", "text")
+
+
 def q_corpus_profile(spark, sf_dir):
     checked = T.corpus_check(_corpus(spark, sf_dir))
     return checked.select("record_id", "is_positive_case", "has_thought_tags", "has_tool_call_tags",
@@ -176,6 +181,7 @@ def q_rejected_counts(spark, sf_dir):
 QUERIES.update({
     "rejected_counts": q_rejected_counts,
     "sft_corpus": q_sft_corpus,
+    "sft_corpus_indent2": q_sft_corpus_indent2,
     "corpus_profile": q_corpus_profile,
     "corpus_summary": q_corpus_summary,
 })

@@ -19,7 +19,8 @@ def test_entry_schema(spark):
 
 def test_every_query_has_oracle():
     from callframe.plans.catalog import QUERIES
-    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
+    rows_only = {"sft_corpus_indent2"}
+    assert set(QUERIES) - rows_only <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
