@@ -85,17 +85,16 @@ def inventory_value(calls: DataFrame, items: DataFrame, keep: list[str] | None =
                          | ~F.coalesce(F.col("_rate_k") == "number", F.lit(False)), F.lit("bad_arguments")).otherwise(F.lit("ok")),
     })
     inv = inv.withColumn("all_items", (F.col("_codes_k") == "null") | (F.size("_codes_arr") == 0))
-    codes = (
-        inv.filter(~F.col("all_items") & (F.col("status") == "ok"))
-        .select("call_id", "pos", F.explode(F.array_distinct(F.transform("_codes_arr", J.as_string))).alias("item_code"))
-    )
-    by_code = value_by_code(items)
-    listed = (
-        codes.join(by_code, "item_code")
-        .groupBy("call_id", "pos").agg(F.sum("value").alias("listed_value"))
-    )
+    listed = ~F.col("all_items") & (F.col("status") == "ok")
+    codes = F.when(listed, F.array_distinct(F.transform("_codes_arr", J.as_string)))
+    # one row per listed code; calls without one stay, each under a key of its own
+    rows = inv.select("call_id", "pos", "status", "all_items", "rate", *(keep or []), F.explode_outer(codes).alias("_code"))
+    rows = rows.withColumn("item_code", _own_key("_code"))
+    # the group is one call: its columns are the same on all rows
+    same = ["status", "all_items", "rate", *(keep or [])]
+    out = (rows.join(value_by_code(items), "item_code", "left").groupBy("call_id", "pos")
+           .agg(F.sum("value").alias("listed_value"), *[F.any_value(c).alias(c) for c in same]))
     total = items.agg(F.sum(_item_value(items))).scalar()
-    out = inv.join(listed, ["call_id", "pos"], "left")
     value = F.when(F.col("all_items"), total).otherwise(F.coalesce(F.col("listed_value"), F.lit(0)))
     return out.select(
         "call_id", "pos", "status", "all_items",
@@ -104,6 +103,12 @@ def inventory_value(calls: DataFrame, items: DataFrame, keep: list[str] | None =
     )
 
 
+def _own_key(key: str) -> Column:
+    """The join key, or for rows without one a key that nothing else has, so
+    that such rows are spread instead of meeting under NULL."""
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.col("call_id").cast("string"), F.lit(":"), F.col("pos").cast("string")))
+
+
 def item_by_name(calls: DataFrame, items: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """C3 on exploded calls named ``fetch_item_by_name``: the first item
     with that name, or none (``status = not_found``)."""
@@ -202,14 +207,15 @@ def executed_calls(calls: DataFrame, items: DataFrame, id_col: str = "call_id",
     (2 decimals), ``fetch_item_by_name`` the item code or ``null``."""
     ex = explode_calls(calls, id_col, calls_col)
     keep = ["name", "args_text"]
-    cols = ["call_id", "pos", "name", "args_text", "result"]
-    # each tool's results carry the call's own columns: a union, no join back
+    cols = ["call_id", "pos", *keep]
+    # each tool's results carry the call's own columns: a union of two branches, no join back
     checks = inventory_value(ex, items, keep).select(
-        *cols[:-1], F.when(F.col("value").isNotNull(), F.format_string("%.2f", F.col("value"))).alias("result"))
-    fetches = item_by_name(ex, items, keep).select(*cols[:-1], F.col("item_code").alias("result"))
-    others = ex.filter(~F.coalesce(F.col("name").isin("inventory_check", "fetch_item_by_name"), F.lit(False))) \
-        .select(*cols[:-1], F.lit(None).cast("string").alias("result"))
-    return checks.unionByName(fetches).unionByName(others)
+        *cols, F.when(F.col("value").isNotNull(), F.format_string("%.2f", F.col("value"))).alias("result"))
+    rest = ex.filter(~F.coalesce(F.col("name") == "inventory_check", F.lit(False))).select(
+        *cols, F.when(F.col("name") == "fetch_item_by_name", J.as_string(J.get("args", "item_name"))).alias("_wanted"))
+    rest = rest.withColumn("item_name", _own_key("_wanted")).join(
+        first_item_by_name(items).select("item_name", F.col("item_code").alias("result")), "item_name", "left")
+    return checks.unionByName(rest.select(*cols, "result"))
 
 
 def transcripts(executed: DataFrame, questions: DataFrame) -> DataFrame:

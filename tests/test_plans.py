@@ -65,3 +65,15 @@ def test_levels_of_the_fold_agree(spark, monkeypatch):
     got = {r.record_id: (r.query, r.answers) for r in N.normalize_turns(df).collect()}
     assert [got[cid] for cid in range(len(FOLD_CASES))] == [want for _, want in FOLD_CASES]
     assert got[100] == got[101] == FOLD_CASES[-2][1]
+
+
+def test_tool_calls_are_parsed_once_per_branch(spark):
+    """C2 reads the calls once; C7 twice (checks, and all other calls)."""
+    import __spark_entry__ as E
+
+    def scans(name):
+        return _plan(E.queries()[name](spark, SF0001)).count("events.parquet") or _plan(
+            E.queries()[name](spark, SF0001)).count("ReadSchema: struct<event_id:bigint,user_id:bigint")
+
+    # transcripts also read the ids of all records for the questions
+    assert scans("inventory_value") == 1 and scans("transcripts") <= 3
