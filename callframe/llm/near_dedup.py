@@ -150,7 +150,8 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(key, id, bands) of each row; a text without words has no bands."""
+    """(key, id, bands, size) of each row: size counts its distinct shingles; a
+    text without words has no bands."""
     def task():
         def batch(keys, rest, texts):
             held, size, first = [], 0, 0
@@ -164,12 +165,12 @@ def signatures(rows: DataFrame) -> DataFrame:
                         key = mix(key * _A + sig[:, :, r])
                     key = mix(key + np.arange(1, BANDS + 1, dtype=np.uint64) * _A).view(np.int64)
                     yield [keys.slice(first, len(held)), rest[0].slice(first, len(held)),
-                           [k.tolist() if len(s[0]) else [] for k, s in zip(key, held)]]
+                           [k.tolist() if len(s[0]) else [] for k, s in zip(key, held)], [len(s[0]) for s in held]]
                     held, size, first = [], 0, i + 1
 
         return batch
 
-    return map_texts(rows.select("key", "id", "text"), task, [("bands", "array<bigint>")], carry=["id"])
+    return map_texts(rows.select("key", "id", "text"), task, [("bands", "array<bigint>"), ("size", "int")], carry=["id"])
 
 
 def shingle_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -188,6 +189,12 @@ def shingle_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return map_texts(texts.join(keys.hint("merge"), "key", "left_semi"), task, [("s", "array<int>")])
 
 
+def sizes_allow(a: str, b: str, similarity: float):
+    """Sets of these sizes can share ``similarity`` of their union; pairs of other
+    sizes are left out before any set moves."""
+    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose shingle sets share at least ``similarity`` of
     their union."""
@@ -286,12 +293,14 @@ def open_pairs(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similarity: float = SIMILARITY):
     """(links, labels): verified links between nodes and the classes' labels."""
-    member = written(bands.select("key", F.explode("bands").alias("bucket")), "near-members")
-    leaders = written(member.groupBy("bucket").agg(F.min("key").alias("a"), F.count("key").alias("n"))
-                      .filter("n > 1"), "near-leaders")
+    member = written(bands.select("key", "size", F.explode("bands").alias("bucket")), "near-members")
+    leaders = written(member.groupBy("bucket").agg(F.min(F.struct("key", "size")).alias("lead"), F.count("key").alias("n"))
+                      .filter("n > 1").select("bucket", F.col("lead.key").alias("a"), F.col("lead.size").alias("a_size"), "n"),
+                      "near-leaders")
     shared = member.join(leaders, "bucket")
     sets = written(shingle_sets(rows, shared.select("key").distinct()), "near-sets")
-    pairs = shared.select("a", F.col("key").alias("b")).filter("a <> b").distinct()
+    pairs = (shared.filter((F.col("a") != F.col("key")) & sizes_allow("a_size", "size", similarity))
+             .select("a", F.col("key").alias("b")).distinct())
     links = written(verified(pairs, sets, similarity), "near-verified")
     labels = components(links)
     # a power of two: the parts of a group's buckets nest, whatever their sizes,
@@ -299,14 +308,15 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
     parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.ceil(F.col("n") / PART)))).cast("bigint")
     for sweep in range(sweeps):
         placed = (member.join(leaders.select("bucket", "n"), "bucket").join(labels, "key", "left")
-                  .select("bucket", "key", F.coalesce("label", "key").alias("label"),
+                  .select("bucket", "key", "size", F.coalesce("label", "key").alias("label"),
                           F.pmod(F.xxhash64("key", F.lit(sweep)), parts).alias("part"),
                           F.xxhash64(F.lit(sweep), "key").alias("turn")))
         placed = written(placed, "near-placed")
         head = written(placed.groupBy("bucket", "part").agg(
-            F.min(F.struct("turn", "key", "label")).alias("h"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-            .filter("l0 <> l1").select("bucket", "part", F.col("h.key").alias("a"), F.col("h.label").alias("la")), "near-heads")
-        cross = (placed.join(head, ["bucket", "part"]).filter("label <> la")
+            F.min(F.struct("turn", "key", "label", "size")).alias("h"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+            .filter("l0 <> l1").select("bucket", "part", F.col("h.key").alias("a"), F.col("h.label").alias("la"),
+                                       F.col("h.size").alias("a_size")), "near-heads")
+        cross = (placed.join(head, ["bucket", "part"]).filter((F.col("label") != F.col("la")) & sizes_allow("a_size", "size", similarity))
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct())
         more = written(verified(cross, sets, similarity), "near-verified")
         if more.isEmpty():
@@ -333,7 +343,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, swe
     node): ``names`` marks the one node of a class that holds its smallest id."""
     rows = keyed(docs, id_col, text_col)
     every = written(signatures(rows), "near-signatures")
-    nodes = written(every.groupBy("key").agg(F.min("id").alias("first"), F.first("bands").alias("bands")), "near-nodes")
+    nodes = written(every.groupBy("key").agg(F.min("id").alias("first"), F.first("bands").alias("bands"),
+                                             F.first("size").alias("size")), "near-nodes")
     links, labels = near_links(rows, nodes.filter(F.size("bands") > 0), sweeps, similarity)
     named = nodes.select("key", "first").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     # null ids last, equal ids by key
