@@ -21,21 +21,31 @@ from callframe.llm.packing import pack
 
 TOXIC = toxicity.THRESHOLD
 LANGUAGE = 0.5
+#: broadcast models of the stage before, which is written when the next begins
+_MODELS: list = []
+
+
+def _release() -> None:
+    while _MODELS:
+        _MODELS.pop().destroy()
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _release()
     index = toxicity.fit(docs, read_docs(spark, sf_dir, "labels"))
-    scored = toxicity.score(whole_rows(docs), index, "_row", "_text")
+    scored = toxicity.score(whole_rows(docs), index, "_row", "_text", models=_MODELS)
     return scored.filter(F.col("score") < TOXIC).select("_row.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _release()
     model = language_id.fit(docs)
-    found = language_id.predict(whole_rows(docs), model, "_row", "_text")
+    found = language_id.predict(whole_rows(docs), model, "_row", "_text", models=_MODELS)
     return found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LANGUAGE)).select("_row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _release()
     return drop_copies(docs, keep="largest")
 
 
