@@ -27,7 +27,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,18 +132,28 @@ def cut_sequences(docs: DataFrame, tokenizer_path: str | None = None, length: in
 
 
 def with_slots(cut: DataFrame, key: int = KEY) -> tuple[DataFrame, int]:
-    """(the sequences with their global ``slot``, their total N)."""
+    """((first_doc, slot, packed, n_tokens) of the sequences, their total N).
+    ``packed`` is a sequence's ids, compressed for the way to its shard."""
     counts = cut.groupBy("part").agg(F.count("number").alias("n"))
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # one row per task of the pass, which bounds what is broadcast
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = counts.select("part", before.alias("first"))
 
-    @F.pandas_udf("bigint")
-    def slot_of(number: pd.Series) -> pd.Series:
-        return pd.Series(feistel(number.to_numpy(), size, key))
+    def placing(batches):
+        import pyarrow as pa
+        import zstandard
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [packer.compress(x) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("first_doc"), pa.array(feistel(batch.column("number").to_numpy(), size, key)),
+                 pa.array(packed, pa.binary()), batch.column("n_tokens")], ["first_doc", "slot", "packed", "n_tokens"])
 
-    return cut.join(F.broadcast(first), "part").withColumn("slot", slot_of(F.col("first") + F.col("number"))), size
+    numbered = cut.join(F.broadcast(first), "part").select(
+        "first_doc", (F.col("first") + F.col("number")).alias("number"), "ids", "n_tokens")
+    kind_of_id = cut.schema["first_doc"].dataType.simpleString()
+    return numbered.mapInArrow(placing, f"first_doc {kind_of_id}, slot bigint, packed binary, n_tokens bigint"), size
 
 
 def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str | None = None,
@@ -157,12 +166,11 @@ def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str
     folder = folder or scratch_path(docs.sparkSession, "shards")
     stride = length * np.dtype(_id_type(vocabulary)).itemsize
     cut = written(cut_sequences(docs, tokenizer_path, length, end_id, vocabulary, id_col, text_col), "shard-sequences",
-                  compression="zstd")
+                  **{"compression": "zstd", "parquet.compression.codec.zstd.level": "9"})
     placed, size = with_slots(cut, key)
     shards = max(1, -(-size // per_shard))
     tasks = min(shards, WRITERS)
-    placed = placed.select("first_doc", "slot", F.expr(f"slot div {per_shard}").alias("shard"), "ids", "n_tokens")
-    ordered = (placed.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {shards} as int)"))
+    ordered = (placed.repartitionById(tasks, F.expr(f"cast(slot div {per_shard} * {tasks} div {shards} as int)"))
                .sortWithinPartitions("slot"))
 
     def writing(batches):
@@ -170,7 +178,9 @@ def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str
 
         import pyarrow as pa
         from pyarrow import fs
+        import zstandard
         system, base = fs.FileSystem.from_uri(folder)
+        unpacker = zstandard.ZstdDecompressor()
         open_shard, temporary, out = None, None, None
 
         def close():
@@ -179,17 +189,17 @@ def materialise(docs: DataFrame, folder: str | None = None, tokenizer_path: str
                 system.move(temporary, shard_path(base, open_shard))
 
         for batch in batches:
-            shard_of, blobs = batch.column("shard").to_pylist(), batch.column("ids").to_pylist()
-            for shard, blob in zip(shard_of, blobs):
+            slots = batch.column("slot").to_numpy()
+            blobs = [unpacker.decompress(x, stride) for x in batch.column("packed").to_pylist()]
+            for shard, blob in zip((slots // per_shard).tolist(), blobs):
                 if shard != open_shard:
                     close()
                     system.create_dir(base, recursive=True)
                     open_shard, temporary = shard, f"{shard_path(base, shard)}.{uuid.uuid4().hex}.tmp"
                     out = system.open_output_stream(temporary)
                 out.write(blob)
-            slots = batch.column("slot").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("slot"), batch.column("shard"), pa.array(slots % per_shard * stride, pa.int64()),
+                [batch.column("slot"), pa.array(slots // per_shard), pa.array(slots % per_shard * stride, pa.int64()),
                  batch.column("n_tokens"), pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
                  batch.column("first_doc"), pa.array([size] * len(blobs), pa.int64())],
                 ["slot", "shard", "byte_offset", "n_tokens", "ids_crc32", "first_doc", "sequences"])

@@ -43,6 +43,18 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: texts of one Arrow batch: whole texts can be long, and a batch is held several times
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold at most ``BATCH_ROWS`` rows (a smaller
+    setting stays). Results do not depend on it."""
+    if not 0 < int(spark.conf.get(_BATCH_CONF, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
               carry: list[str] = ()) -> DataFrame:
     """Run a text function over Arrow batches.
@@ -52,6 +64,7 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
     carried columns, texts) of a batch and yields lists of output columns: the
     id, the carried ones and ``columns``. Its attribute ``finish``, if any, is
     called after the last batch and yields more."""
+    bound_batches(rows.sparkSession)
     first, text = rows.columns[0], rows.columns[-1]
     schema = StructType([rows.schema[c] for c in [first, *carry]]
                         + [StructField(n, _parse_datatype_string(t)) for n, t in columns])

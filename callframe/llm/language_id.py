@@ -238,9 +238,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-            carry: list[str] = ()) -> DataFrame:
-    """One row per document: id, carried columns, lang_pred, score."""
+            carry: list[str] = (), models: list | None = None) -> DataFrame:
+    """One row per document: id, carried columns, lang_pred, score. The
+    broadcast is added to ``models``, for callers that destroy it once the rows
+    are written."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    if models is not None:
+        models.append(shared)
 
     def task():
         predictor = Predictor(shared.value)

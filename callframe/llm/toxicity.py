@@ -37,6 +37,7 @@ similarities prefer the example with the smaller id.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import math
 import zlib
@@ -50,7 +51,7 @@ from callframe.llm.common import bucket_of, map_texts, text_of, written
 from callframe.llm.language_id import spread_sample, words_of
 
 FOLDS, HELD_OUT = 4, 2
-MAX_EXAMPLES = 8192
+MAX_EXAMPLES = 6144
 STEMS = (4, 5)
 SKETCHES = 3
 SHINGLE = 3
@@ -66,7 +67,7 @@ BLOCK = 512
 DENSE = 2048
 STEP = 128
 THRESHOLD = 0.3
-CACHE = 1 << 18
+CACHE = 1 << 17
 
 
 def terms_of(word: str) -> list[str]:
@@ -157,31 +158,37 @@ class Scorer:
     def __init__(self, index: ExampleIndex, block: int = BLOCK, dense: int = DENSE):
         self.index, self.block = index, block
         self.numbers = {t: i for i, t in enumerate(index.terms.to_pylist())}
+        self.whole = np.zeros(len(self.numbers))
         self.unseen = math.log(index.rows + 1) + 1
-        self.hits: dict[str, tuple[int, ...]] = {}
-        self.others: dict[str, int] = {}
-        n, width = index.rows, len(index.terms)
-        weight = (1 + np.log(np.maximum(index.count, 1))) * index.unit[index.term] if len(index.term) else np.zeros(0)
-        owner = np.repeat(np.arange(n), np.diff(index.start))
-        norm = np.sqrt(np.bincount(owner, weight * weight, minlength=n))
-        self.weight = weight / np.maximum(norm[owner], 1e-300) if len(weight) else weight
-        df = np.bincount(index.term, minlength=width)
-        frequent = np.argsort(-df, kind="stable")[:dense]
-        self.column = np.full(width, -1, np.int64)
-        self.column[frequent] = np.arange(len(frequent))
-        blocks = -(-n // block)
+        self._forget()
+        n, width = index.rows, len(self.numbers)
+        # arrays over all terms of all examples are made one after another, to need little at once
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(index.start))
+        self.weight = np.log(index.count)
+        self.weight += 1
+        self.weight *= index.unit[index.term]
+        norm = np.sqrt(np.bincount(owner, self.weight * self.weight, minlength=n))
+        self.weight /= np.maximum(norm[owner], 1e-300)
+        weight = self.weight.astype(np.float32)
+        frequent = np.argsort(-np.bincount(index.term, minlength=width), kind="stable")[:dense]
+        self.column = np.full(width, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent), dtype=np.int32)
         where = self.column[index.term]
         often = where >= 0
         self.dense = np.zeros((n, len(frequent)), np.float32)
-        self.dense[owner[often], where[often]] = self.weight[often]
-        # rare terms: postings in the order of term and example, and their maxima by block
-        rare = np.flatnonzero(~often)
-        rare = rare[np.lexsort((owner[rare], index.term[rare]))]
-        self.posting, self.posting_weight = owner[rare].astype(np.int32), self.weight[rare].astype(np.float32)
-        self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(index.term[rare], minlength=width))])
+        self.dense[owner[often], where[often]] = weight[often]
+        del where
+        # rare terms: postings by term, the examples of a term ascending
+        rare, owner, weight = index.term[~often], owner[~often], weight[~often]
+        order = np.argsort(rare, kind="stable")
+        self.posting, self.posting_weight = owner[order], weight[order]
+        self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(rare, minlength=width))])
+        # largest weight of each frequent term in each block
+        blocks = -(-n // block)
         self.maxima = np.zeros((blocks, len(frequent)), np.float32)
-        for b in range(blocks):
-            self.maxima[b] = self.dense[b * block:(b + 1) * block].max(0) if len(frequent) else 0
+        if len(frequent):
+            for b in range(blocks):
+                self.maxima[b] = self.dense[b * block:(b + 1) * block].max(0)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(terms that some example has, weights) of a text; the weights are
@@ -191,9 +198,11 @@ class Scorer:
         if len(hits) > CACHE:
             self._forget()
             hits = self.hits
-        for w in [w for w in words if w not in hits]:
-            hits[w] = tuple(self._number(t) for t in terms_of(w))
-        found = [hits[w] for w in words]
+        found = list(map(hits.get, words))
+        if None in found:
+            for i, w in enumerate(words):
+                if found[i] is None:
+                    found[i] = hits[w] = tuple(map(self._number, terms_of(w)))
         size = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
         terms, place = np.unique(ids, return_inverse=True)
@@ -246,14 +255,20 @@ class Scorer:
         return [self._exact(scores[i], least[i], *vectors[i], k) for i in range(rows)]
 
     def _exact(self, scores, least, terms, weight, k):
-        whole = np.zeros(len(self.index.terms))
-        whole[terms] = weight
         found = []
-        for e in np.flatnonzero(scores > max(float(least), 0.0)).tolist():
-            part = slice(self.index.start[e], self.index.start[e + 1])
-            found.append((float(whole[self.index.term[part]] @ self.weight[part]), e))
+        with self._spread(terms, weight) as whole:
+            for e in np.flatnonzero(scores > max(float(least), 0.0)).tolist():
+                part = slice(self.index.start[e], self.index.start[e + 1])
+                found.append((float(whole[self.index.term[part]] @ self.weight[part]), e))
         return sorted(found, key=lambda x: (-round(x[0], 9), x[1]))[:k]
 
+    @contextlib.contextmanager
+    def _spread(self, terms, weight):
+        """A vector over all terms, in one array that every text uses in turn."""
+        self.whole[terms] = weight
+        yield self.whole
+        self.whole[terms] = 0.0
+
     def score(self, near: list[tuple[float, int]]) -> float:
         if not self.index.rows:
             return 0.0
@@ -266,18 +281,17 @@ class Scorer:
         """The strongest terms that a text shares with its nearest example."""
         if not near:
             return []
-        terms, weight = vector
         part = slice(self.index.start[near[0][1]], self.index.start[near[0][1] + 1])
-        whole = np.zeros(len(self.index.terms))
-        whole[terms] = weight
-        both = whole[self.index.term[part]] * self.weight[part]
-        best = [i for i in np.argsort(-both, kind="stable")[:most] if both[i] > 0]
-        return [self.index.terms[int(self.index.term[part][i])].as_py() for i in best]
+        with self._spread(*vector) as whole:
+            both = whole[self.index.term[part]] * self.weight[part]
+        best = np.argsort(-both, kind="stable")[:most]
+        return [self.index.terms[t].as_py() for t in self.index.term[part][best[both[best] > 0]].tolist()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
     """The index of the labelled documents."""
+    import pyarrow as pa
     marked = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")).agg((F.max(F.col(label_col).cast("int")) == 1).cast("int").alias("label"))
     all_of = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
@@ -307,19 +321,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     shared_by = np.stack([np.unique(m, return_inverse=True, return_counts=True)[2][np.unique(m, return_inverse=True)[1]]
                           for m in marks.T], axis=1).max(1)
     held = Counter(labels_.tolist())
-    return ExampleIndex(column["id"].to_numpy(), labels_, column["terms"], column["counts"],
-                        stands_for=[max(1.0, all_of[x] / held[x]) for x in labels_.tolist()], witness=1.0 / shared_by)
+    index = ExampleIndex(column["id"].to_numpy(), labels_, column["terms"], column["counts"],
+                         stands_for=[max(1.0, all_of[x] / held[x]) for x in labels_.tolist()], witness=1.0 / shared_by)
+    del seen, column
+    pa.default_memory_pool().release_unused()
+    return index
 
 
 def score(docs: DataFrame, index: ExampleIndex, id_col: str = "doc_id", text_col: str = "text",
-          carry: list[str] = (), with_evidence: bool = False) -> DataFrame:
+          carry: list[str] = (), with_evidence: bool = False, models: list | None = None) -> DataFrame:
     """One row per document: id, carried columns, score; on request the
-    evidence: ``matched`` terms and the ``neighbours``' ids."""
+    evidence: ``matched`` terms and the ``neighbours``' ids. The broadcast is
+    added to ``models``, for callers that destroy it once the rows are written."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
+    if models is not None:
+        models.append(shared)
     columns = [("score", "double")] + [("matched", "array<string>"), ("neighbours", "array<bigint>")] * with_evidence
 
     def task():
-        scorer = Scorer(shared.value)
+        # a worker's tasks share one scorer, as they share the broadcast value
+        index = shared.value
+        scorer = index.__dict__.setdefault("_scorer", None) or Scorer(index)
+        index._scorer = scorer
 
         def batch(ids, rest, texts):
             for i in range(0, len(texts), STEP):

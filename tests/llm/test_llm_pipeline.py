@@ -8,24 +8,18 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from callframe.llm import language_id, near_dedup, toxicity
 from callframe.llm.bytebpe import vocabulary_path
-from test_llm_models import brute_classes
+from test_llm_models import brute_classes, plain_cosines
 
 SF = "/root/testdata/sf0.001"
 
 
-def naive_toxicity(index, counts):
-    if not counts:
-        return index.base_rate
-    query = dict(index.vector(counts))
-    sims = []
-    for b, block in enumerate(index.postings):
-        sums = {}
-        for t, w in query.items():
-            for i, v in zip(*block.get(t, ((), ()))):
-                sums[int(i)] = sums.get(int(i), 0.0) + w * v
-        sims += [(s, int(index.ids[b * toxicity.BLOCK + i]), index.labels[b * toxicity.BLOCK + i]) for i, s in sums.items()]
-    near = sorted(sims, key=lambda x: (-round(x[0], 9), x[1]))[:toxicity.NEIGHBOURS]
-    return (sum(s * y for s, _, y in near) + toxicity.SHRINKAGE * index.base_rate) / (sum(s for s, _, _ in near) + toxicity.SHRINKAGE)
+def naive_toxicity(index, examples, text):
+    """The vote of the nearest labelled texts, by plain cosines over all of them."""
+    sims = plain_cosines(examples, toxicity.term_counts(text), index) if text else []
+    near = sorted(((-round(s, 9), e) for e, s in enumerate(sims) if s > 0))[:toxicity.NEIGHBOURS]
+    votes = [((-s) ** toxicity.POWER * index.stands_for[e], index.labels[e]) for s, e in near]
+    return ((sum(v * y for v, y in votes) + toxicity.SHRINKAGE * index.base_rate)
+            / (sum(v for v, _ in votes) + toxicity.SHRINKAGE))
 
 
 def naive_language(model, text):
@@ -54,11 +48,11 @@ def test_stages_by_brute_force(spark, tmp_path):
         return {r.doc_id: r.text for r in df.collect()}
 
     index = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    scorer = toxicity.Scorer(index)
     clean = run("toxicity", docs)
     assert clean.columns == columns
     before = texts(docs)
-    assert texts(clean) == {i: t for i, t in before.items() if naive_toxicity(index, scorer.counts(t)) < P.TOXIC}
+    examples = [toxicity.term_counts(before[i]) for i in index.ids.tolist()]
+    assert texts(clean) == {i: t for i, t in before.items() if naive_toxicity(index, examples, t) < P.TOXIC}
 
     known = run("language", clean)
     model = language_id.fit(clean)
@@ -89,7 +83,7 @@ def test_stages_by_brute_force(spark, tmp_path):
 def test_toxicity_stage_drops_what_the_operator_predicts(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)], "doc_id long, text string")
     scores = {f"text {i}": s for i, s in enumerate((0.29, 0.3, 0.4, 0.6))}
-    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: toxicity.ExampleIndex([], [], 0.0, 0))
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: toxicity.ExampleIndex.of_counts([], [], []))
     monkeypatch.setattr(toxicity, "score", lambda rows, index, *a, **k: rows.withColumn("score", F.coalesce(
         *[F.when(F.col("_text" if "_text" in rows.columns else "text") == t, s) for t, s in scores.items()])))
     predicted = {r.doc_id for r in toxicity.detect(docs, docs.withColumn("toxic", F.lit(0))).collect() if r.predicted}
@@ -99,3 +93,32 @@ def test_toxicity_stage_drops_what_the_operator_predicts(spark, monkeypatch):
 
 def test_run_gives_the_last_stage(spark):
     assert P.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+EDGE = ("doc_id long, text string, lang string, score double, _row int, _text string, held_out boolean, lang_pred string, "
+        "label int, id string, key binary")
+
+
+def edge_rows(spark, rows):
+    return spark.createDataFrame([(i, t, "en", 0.9, 1, "t", True, "xx", 1, "i", b"k") for i, t in rows], EDGE)
+
+
+def test_first_stages_on_edge_rows(spark):
+    """Nulls, repeats, very long texts and columns with clashing names; and an
+    empty table."""
+    rows = [(0, "the cat and the dog"), (0, "the cat and the dog"), (None, "the dog"), (1, None), (2, ""), (3, "the word " * 30_000), (4, "12 ! ?")]
+    docs = edge_rows(spark, rows)
+    clean = P.drop_toxic(spark, docs, SF)
+    assert clean.columns == docs.columns and sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))
+    known = P.keep_known_languages(spark, docs, SF)
+    # texts without letters have no language
+    assert known.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in known.collect()) == ["0", "0", "3", "None"]
+    for stage in (P.drop_toxic, P.keep_known_languages, P.drop_exact_copies, P.drop_near, P.pack_sequences):
+        assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    for table in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert P.run(spark, str(tmp_path)).collect() == []
