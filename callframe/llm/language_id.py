@@ -69,13 +69,6 @@ def sample_fraction(rows: int, limit: int) -> float:
     return min(1.0, limit / max(rows, 1))
 
 
-def sampled(df: DataFrame, id_col: str, limit: int) -> DataFrame:
-    """Rows whose id hashes below the share that keeps about ``limit`` rows."""
-    share = sample_fraction(df.count(), limit)
-    return df if share >= 1 else df.filter(
-        F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20)))
-
-
 class LanguageModel:
     """Log frequencies per language of words and n-grams (rows of matrices).
 
