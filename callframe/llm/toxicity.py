@@ -67,7 +67,7 @@ BLOCK = 512
 DENSE = 2048
 STEP = 128
 THRESHOLD = 0.3
-CACHE = 1 << 17
+CACHE = 1 << 16
 
 
 def terms_of(word: str) -> list[str]:
@@ -107,7 +107,7 @@ def ratio_test(pos: np.ndarray, neg: np.ndarray, positives: float, negatives: fl
 
 
 class ExampleIndex:
-    """Labelled examples as sparse counts over all their terms, compact enough
+    """Labelled examples as sparse unit vectors over all their terms, compact enough
     to be sent out. ``stands_for`` tells how many labelled rows of its class an
     example stands for, ``witness`` its weight in the test."""
 
@@ -122,7 +122,7 @@ class ExampleIndex:
         coded = terms.flatten().dictionary_encode()
         self.terms = coded.dictionary
         self.term = coded.indices.to_numpy().astype(np.int32)
-        self.count = counts.flatten().to_numpy().astype(np.int32)
+        count = counts.flatten().to_numpy()
         owner = np.repeat(np.arange(n), sizes)
         width = len(self.terms)
         df = np.bincount(self.term, minlength=width)
@@ -140,6 +140,9 @@ class ExampleIndex:
         self.base_rate = float((plain * self.labels).sum() / max(plain.sum(), 1e-9))
         #: weight of one occurrence of each term
         self.unit = (np.log((n + 1) / (df + 1)) + 1) * factor
+        #: the examples' entries, parts of unit vectors
+        self.weight = (1 + np.log(count)) * self.unit[self.term]
+        self.weight /= np.sqrt(np.bincount(owner, self.weight * self.weight, minlength=n))[owner]
 
     @classmethod
     def of_counts(cls, ids, labels, vectors: list[dict[str, int]], **weights) -> ExampleIndex:
@@ -164,12 +167,8 @@ class Scorer:
         n, width = index.rows, len(self.numbers)
         # arrays over all terms of all examples are made one after another, to need little at once
         owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(index.start))
-        self.weight = np.log(index.count)
-        self.weight += 1
-        self.weight *= index.unit[index.term]
-        norm = np.sqrt(np.bincount(owner, self.weight * self.weight, minlength=n))
-        self.weight /= np.maximum(norm[owner], 1e-300)
-        weight = self.weight.astype(np.float32)
+        self.weight = index.weight
+        weight = index.weight.astype(np.float32)
         frequent = np.argsort(-np.bincount(index.term, minlength=width), kind="stable")[:dense]
         self.column = np.full(width, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent), dtype=np.int32)
@@ -339,10 +338,7 @@ def score(docs: DataFrame, index: ExampleIndex, id_col: str = "doc_id", text_col
     columns = [("score", "double")] + [("matched", "array<string>"), ("neighbours", "array<bigint>")] * with_evidence
 
     def task():
-        # a worker's tasks share one scorer, as they share the broadcast value
-        index = shared.value
-        scorer = index.__dict__.setdefault("_scorer", None) or Scorer(index)
-        index._scorer = scorer
+        scorer = Scorer(shared.value)
 
         def batch(ids, rest, texts):
             for i in range(0, len(texts), STEP):
