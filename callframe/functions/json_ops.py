@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 # A string no real payload contains; text holding it is rejected.
 _SENTINEL = "␞__callframe_end__"
+# A type that an object casts to and that takes none of its values: a cast to it
+# (to a list or a map of it) tells the shape of a value and copies nothing.
+_SHAPE = "struct<>"
 
 
 def _c(col: Column | str) -> Column:
@@ -29,7 +32,7 @@ def with_json(df: DataFrame, src: str | Column, out: str) -> DataFrame:
     when invalid).
 
     ``try_parse_json`` alone accepts a valid prefix and drops the rest
-    (``[1] x``). Parsing ``[text,"<sentinel>"]`` and requiring the sentinel
+    (``[1] x``). Parsing ``[text,{"<sentinel>":{}}]`` and requiring the sentinel
     at index 1 and nothing at index 2 rejects any tail, any extra element
     and any early close. The text is parsed once, in its own projection;
     later checks read that column. ``NaN``/``Infinity`` are rejected (Python
@@ -40,14 +43,20 @@ def with_json(df: DataFrame, src: str | Column, out: str) -> DataFrame:
     keep = [c for c in df.columns if c != out]
     df = df.withColumns({
         t: text,
-        w: F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + _SENTINEL + '"]'))),
+        w: F.try_parse_json(_wrapped(text)),
     })
-    ok = (
-        ~F.col(t).contains(_SENTINEL)
-        & (F.try_variant_get(F.col(w), "$[1]", "string") == F.lit(_SENTINEL))
-        & F.try_variant_get(F.col(w), "$[2]", "variant").isNull()
-    )
-    return df.select(*keep, F.when(ok, F.try_variant_get(F.col(w), "$[0]", "variant")).alias(out))
+    return df.select(*keep, F.when(_ended(F.col(t), F.col(w)), F.try_variant_get(F.col(w), "$[0]", "variant")).alias(out))
+
+
+def _wrapped(text: Column) -> Column:
+    return F.concat(F.lit("["), text, F.lit(',{"' + _SENTINEL + '":{}}]'))
+
+
+def _ended(text: Column, wrapped: Column) -> Column:
+    """The wrapped text is one value and the sentinel."""
+    return (~text.contains(_SENTINEL)
+            & F.try_variant_get(wrapped, f"$[1]['{_SENTINEL}']", _SHAPE).isNotNull()
+            & F.try_variant_get(wrapped, "$[2]", "variant").isNull())
 
 
 def let(value: Column, body) -> Column:
@@ -58,11 +67,7 @@ def let(value: Column, body) -> Column:
 
 def parsed(text: Column) -> Column:
     """``with_json`` as one expression, for use inside lambdas."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + _SENTINEL + '"]')))
-    return let(wrapped, lambda w: F.when(
-        ~text.contains(_SENTINEL)
-        & (F.try_variant_get(w, "$[1]", "string") == F.lit(_SENTINEL))
-        & F.try_variant_get(w, "$[2]", "variant").isNull(), F.try_variant_get(w, "$[0]", "variant")))
+    return let(F.try_parse_json(_wrapped(text)), lambda w: F.when(_ended(text, w), F.try_variant_get(w, "$[0]", "variant")))
 
 
 def parse_empty_list() -> Column:
@@ -98,12 +103,22 @@ def as_array_of_objects(v: Column | str) -> Column:
 def is_array(v: Column | str) -> Column:
     """The value is a JSON array. (A cast reads one level; the value's schema
     would read all of it.)"""
-    return as_array(v).isNotNull()
+    return _c(v).try_cast(f"array<{_SHAPE}>").isNotNull()
 
 
 def is_object(v: Column | str) -> Column:
     """The value is a JSON object."""
-    return as_object(v).isNotNull()
+    return _c(v).try_cast(_SHAPE).isNotNull()
+
+
+def length(v: Column | str) -> Column:
+    """How many elements a JSON array has, else NULL."""
+    return F.array_size(_c(v).try_cast(f"array<{_SHAPE}>"))
+
+
+def keys(v: Column | str) -> Column:
+    """The keys of a JSON object, else NULL."""
+    return F.map_keys(_c(v).try_cast(f"map<string,{_SHAPE}>"))
 
 
 def kind(v: Column | str) -> Column:
@@ -140,14 +155,19 @@ def as_string(v: Column | str) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
 
 
+def string_of(v: Column | str) -> Column:
+    """``as_string`` by one cast: of all JSON values only a string casts to bytes."""
+    return _c(v).try_cast("binary").cast("string")
+
+
 def truthy(v: Column | str, k: Column | str) -> Column:
     """Python truthiness of a parsed JSON value ``v`` of kind ``k`` (a
     column from ``kind``; NULL counts as None)."""
     v, k = _c(v), _c(k)
     return (
         F.when(k.isNull() | (k == "null"), F.lit(False))
-        .when(k == "array", F.size(as_array(v)) > 0)
-        .when(k == "object", F.size(as_object(v)) > 0)
+        .when(k == "array", length(v) > 0)
+        .when(k == "object", F.size(keys(v)) > 0)
         .when(k == "boolean", v.try_cast("boolean"))
         .when(k == "string", F.length(v.try_cast("string")) > 0)
         .otherwise(v.try_cast("double") != 0)
@@ -244,4 +264,6 @@ def value_kinds(toks: Column) -> Column:
 
 def same_kinds(a: Column, b: Column) -> Column:
     """No path that both values (``value_kinds``) have holds different kinds."""
-    return ~F.exists(F.map_entries(a), lambda e: F.coalesce(F.try_element_at(b, e["key"]) != e["value"], F.lit(False)))
+    # each map is worked out once; inside a lambda over the one the other would be, for every entry, again
+    differ = F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x != y, F.lit(False)))
+    return ~F.array_contains(F.map_values(differ), F.lit(True))

@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Python's str.isspace() set: Unicode White_Space plus the four ASCII
-# separators \x1c-\x1f. (?U) makes Java's \s Unicode-aware.
-_WS = r"[\s\x{1c}-\x{1f}]"
+# separators \x1c-\x1f.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _c(col: Column | str) -> Column:
@@ -15,8 +16,21 @@ def _c(col: Column | str) -> Column:
 
 
 def py_strip(text: Column | str) -> Column:
-    """``str.strip()`` with no arguments."""
-    return F.regexp_replace(_c(text), r"(?U)^" + _WS + r"+|" + _WS + r"+$", "")
+    """``str.strip()`` with no arguments; reads the ends only."""
+    return F.btrim(_c(text), F.lit(WHITE_SPACE))
+
+
+def whole_tag(text: Column | str, tag: str, ignore_case: bool) -> Column:
+    """The first tag match with its tags, found in one pass; NULL when there is
+    no match."""
+    flags = "(?sU" + ("i" if ignore_case else "") + ")"
+    return F.nullif(F.regexp_extract(_c(text), flags + f"<{tag}>.*?</{tag}>", 0), F.lit(""))
+
+
+def tag_inner(whole: Column | str, tag: str) -> Column:
+    """What a ``whole_tag`` has between its tags, white space included."""
+    whole = _c(whole)
+    return F.substring(whole, F.lit(len(tag) + 3), F.length(whole) - (2 * len(tag) + 5))
 
 
 def tag_pattern(tag: str, ignore_case: bool) -> str:

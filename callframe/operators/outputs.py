@@ -1,7 +1,7 @@
 """Parse a table of model outputs into flags and calls.
 
-All narrow: one projection, no shuffle, no Python. The tag regex runs only
-on rows that match (``when(rlike)``), and the JSON payload is parsed once.
+All narrow: one projection, no shuffle, no Python. The call's tag is searched
+once, and the JSON payload is parsed once.
 """
 
 from __future__ import annotations
@@ -28,17 +28,17 @@ def parse_outputs(outputs: DataFrame, text_col: str = "raw_response") -> DataFra
     df = outputs.select(
         "*",
         X.has_tag(text, "thought", ignore_case=True).alias("has_thought"),
-        X.tag_body(text, "tool_call", ignore_case=True).alias("_body"),
+        X.whole_tag(text, "tool_call", ignore_case=True).alias("_whole"),
         F.coalesce(F.upper(text).contains("[ABORT:"), F.lit(False)).alias("is_abort"),
     )
-    df = df.withColumn("_b1", X.py_strip("_body"))
+    df = df.withColumn("_b1", X.py_strip(X.tag_inner("_whole", "tool_call")))
     df = df.withColumn("tool_call_body", X.strip_fence("_b1"))
     df = J.with_json(df, "tool_call_body", "parsed_json")
     return df.withColumns({
-        "has_tool_call": F.col("_body").isNotNull(),
+        "has_tool_call": F.col("_whole").isNotNull(),
         "is_valid_json": F.col("parsed_json").isNotNull(),
         "predicted_calls": predicted_calls(F.col("parsed_json")),
-    }).drop("_body", "_b1")
+    }).drop("_whole", "_b1")
 
 
 def predicted_calls(parsed: Column) -> Column:

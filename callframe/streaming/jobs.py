@@ -33,7 +33,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callframe.operators import quality as V
 from callframe.operators import score as S
-from callframe.operators.outputs import parse_outputs
 from callframe.session import make_folder
 
 
@@ -45,7 +44,7 @@ def score_stream(outputs_stream: DataFrame, truth: DataFrame, on: str = "record_
     (e.g. written once with ``write_prepared_truth``) so micro-batches do not
     re-parse it."""
     truth = truth if prepared else S.prepare_truth(truth)
-    parsed = parse_outputs(outputs_stream)
+    parsed = S.prepare_outputs(outputs_stream)
     return S.trace(S.decide(parsed.join(truth.withColumn("_has_truth", F.lit(True)), on, "left")), keep)
 
 

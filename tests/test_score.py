@@ -3,6 +3,8 @@ fixture's expected counts."""
 
 import pytest
 
+import __spark_entry__ as E
+from callframe.functions import json_ops as J
 from callframe.operators import metrics as M
 from callframe.operators import score as S
 from tests.conftest import SF0001, rows
@@ -172,3 +174,35 @@ def test_equality_and_kinds_are_pythons(spark, pairs):
     for r in S.with_json_equal(df, "a", "b").collect():
         a, b = pairs[r.i]
         assert (r.json_equal, r.json_equal_same_type) == (a == b, a == b or _python_kinds(a, b)), (a, b)
+
+
+def test_the_jvm_compiles_every_stage_of_scoring(spark):
+    # a method of 8,000 bytes or more is interpreted, row for row
+    df = E.queries()["confusion"](spark, SF0001)
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) >= 4 and max(sizes) < 8000
+
+
+def test_kinds_of_both_sides_are_worked_out_once(spark):
+    plan = S.with_json_equal(spark.createDataFrame([("{}", "{}")], "a string, b string"), "a", "b")._jdf \
+        .queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2
+    assert "exists(" not in plan  # its lambda held the other side's fold
+
+
+def test_shapes_and_strings_of_json_values(spark):
+    texts = ['{}', '{"a":{"b":1}}', '[]', '[1,[2]]', 'null', '"x"', '"12"', '""', '12', '1.5', '1e300', 'true', '1],[2', '{} x', None]
+    df = J.with_json(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t", "v")
+    got = {r["i"]: tuple(r)[1:] for r in df.select(
+        "i", J.is_object("v"), J.is_array("v"), J.length("v"), J.keys("v"), J.string_of("v"), J.as_string("v")).collect()}
+    want = [(True, False, None, [], None), (True, False, None, ["a"], None), (False, True, 0, None, None),
+            (False, True, 2, None, None), *[(False, False, None, None, s) for s in (
+                None, "x", "12", "", None, None, None, None, None, None, None)]]
+    assert [got[i][:5] for i in range(len(texts))] == want
+    assert all(g[4] == g[5] for g in got.values())
