@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callframe.sources.tables import read_table
+from callframe.sources.tables import dealt, read_table
 
 # Flat-format rows with one model output each (FIXTURES.md "records").
 RECORDS = """
@@ -236,6 +236,9 @@ FIXTURES = {
     "vector_pairs": VECTOR_PAIRS,
 }
 
+#: fixtures whose rows are wide texts: the table and the key it is dealt by first
+DEALT = {"records": ("events", "event_id")}
+
 _REF = re.compile(r"@([a-z_]+)")
 
 
@@ -256,9 +259,11 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     def bind(m: re.Match) -> str:
         table = m.group(1)
-        view = f"cf_{table}_{tag}"
+        spread = DEALT.get(name) if DEALT.get(name, ("",))[0] == table else None
+        view = f"cf_{table}_dealt_{tag}" if spread else f"cf_{table}_{tag}"
         if not spark.catalog.tableExists(view):
             rows = fixture(spark, sf_dir, table) if table in FIXTURES else read_table(spark, sf_dir, table)
+            rows = dealt(rows, spread[1]) if spread else rows
             rows.createOrReplaceTempView(view)
         return view
 

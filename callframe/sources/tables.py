@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -19,6 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The same rows over all tasks by a hash of ``key``. One task reads a whole
+    Parquet row group; work on wide texts made of its rows should not wait for it."""
+    return df.repartition(F.xxhash64(key))
+
+
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: str | None = None) -> DataFrame:
     """Read a split or a processed corpus. JSON lines need a schema

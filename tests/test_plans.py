@@ -77,3 +77,33 @@ def test_tool_calls_are_parsed_once_per_branch(spark):
 
     # transcripts also read the ids of all records for the questions
     assert scans("inventory_value") == 1 and scans("transcripts") <= 3
+
+
+def test_scoring_parses_after_its_rows_are_dealt(spark, tmp_path):
+    """Tables of one row group each: one task reads them, but parsing them is
+    the work of all."""
+    from callframe.operators import score as S
+    spark.range(8, numPartitions=1).selectExpr(
+        "id as record_id", "'q' as query", """'[{"name":"f"}]' as tools""", """'[{"name":"f","arguments":{}}]' as answers""",
+        """'<tool_call>[{"name":"f","arguments":{}}]</tool_call>' as raw_response""").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.debug.maxToStringFields")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        scored = S.score(rows.select("record_id", "query", "tools", "answers"), rows.select("record_id", "raw_response"))
+        plan = _plan(scored.select("outcome"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    sides = plan.split("Exchange hashpartitioning(record_id")
+    # before the first and between the two: the join's and the sides' work; after an exchange, up to the file, no parsing
+    assert len(sides) == 3 and "FileScan" in sides[1] and "FileScan" in sides[2]
+    assert "parseJson" in sides[0] and "parseJson" not in sides[2] and "parseJson" not in sides[1][:sides[1].index("FileScan")]
+    assert {r.outcome for r in scored.collect()} == {S.TP}
+
+
+def test_records_are_built_by_all_tasks(spark):
+    from callframe.sources.fixtures import fixture
+    plan = _plan(fixture(spark, SF0001, "records"))
+    assert plan.index("Project") < plan.index("Exchange hashpartitioning(xxhash64(event_id") < plan.index("FileScan")
