@@ -41,6 +41,7 @@ import contextlib
 import itertools
 import math
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -155,6 +156,17 @@ class ExampleIndex:
                    **{k: [v[i] for i in order] for k, v in weights.items()})
 
 
+class _Filled(dict):
+    """A dict that works out and keeps the value of a key it does not have."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def __missing__(self, key):
+        found = self[key] = self.value(key)
+        return found
+
+
 class Scorer:
     """Scores texts against an index. Built once per task."""
 
@@ -163,6 +175,7 @@ class Scorer:
         self.numbers = {t: i for i, t in enumerate(index.terms.to_pylist())}
         self.whole = np.zeros(len(self.numbers))
         self.unseen = math.log(index.rows + 1) + 1
+        self.known = self._known()
         self._forget()
         n, width = index.rows, len(self.numbers)
         # arrays over all terms of all examples are made one after another, to need little at once
@@ -193,31 +206,54 @@ class Scorer:
         """(terms that some example has, weights) of a text; the weights are
         parts of the whole text's unit vector."""
         words = Counter(words_of(text))
-        hits = self.hits
-        if len(hits) > CACHE:
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0)
+        if len(self.hits) - len(self.known[0]) > CACHE:
             self._forget()
-            hits = self.hits
-        found = list(map(hits.get, words))
-        if None in found:
-            for i, w in enumerate(words):
-                if found[i] is None:
-                    found[i] = hits[w] = tuple(map(self._number, terms_of(w)))
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
+        rows = np.fromiter(map(self.hits.__getitem__, words), np.int64, len(words))
+        ids = np.frombuffer(self.rows, np.int64).reshape(-1, 1 + len(STEMS))[rows].ravel()
+        held = ids >= 0
+        ids = ids[held]
         terms, place = np.unique(ids, return_inverse=True)
-        n = np.bincount(place, np.repeat(np.fromiter(words.values(), float, len(found)), size), minlength=len(terms))
+        n = np.fromiter(words.values(), float, len(words))
+        n = np.bincount(place, np.repeat(n, 1 + len(STEMS))[held], minlength=len(terms))
         known = int(np.searchsorted(terms, len(self.index.unit)))
         weight = (1 + np.log(n)) * np.concatenate([self.index.unit[terms[:known]], np.full(len(terms) - known, self.unseen)])
         norm = math.sqrt(float((weight * weight).sum()))
         return terms[:known], (weight / norm if norm else weight)[:known]
 
+    def _known(self) -> tuple[dict[str, int], array]:
+        """The examples' words, each with its row, and the rows: the numbers of a
+        word's terms, -1 for a stem that the word is too short for."""
+        numbers, rows, known = self.numbers, array("q"), {}
+        for term, number in numbers.items():
+            if not term.endswith("*"):
+                row = [number, *(numbers.get(term[:n] + "*") if len(term) > n else -1 for n in STEMS)]
+                if None not in row:
+                    known[term] = len(known)
+                    rows.extend(row)
+        return known, rows
+
     def _forget(self) -> None:
-        self.hits, self.others = {}, {}
+        """Words and stems that no example has are numbered anew, from the number
+        after the examples' terms."""
+        numbers, rows = self.numbers, array("q", self.known[1])
+        unseen = itertools.count(len(self.index.unit))
+
+        def stem(start: str) -> int:
+            found = numbers.get(start + "*")
+            return next(unseen) if found is None else found
+
+        stems = _Filled(stem)
+
+        def row(word: str) -> int:
+            found, size = numbers.get(word), len(word)
+            rows.append(next(unseen) if found is None else found)
+            rows.extend([stems[word[:n]] if size > n else -1 for n in STEMS])
+            return len(rows) // (1 + len(STEMS)) - 1
 
-    def _number(self, term: str) -> int:
-        """An example's term, or a number above them for another one."""
-        found = self.numbers.get(term)
-        return found if found is not None else self.others.setdefault(term, len(self.index.unit) + len(self.others))
+        self.hits, self.rows = _Filled(row), rows
+        self.hits.update(self.known[0])
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
         """For each text the k examples of highest cosine above 0, equal ones by

@@ -229,6 +229,25 @@ def test_block_maxima_give_the_exact_neighbours(block, dense):
         assert [(round(s, 6), e) for s, e in near] == [(round(-s, 6), i) for s, i in want]
 
 
+def test_the_examples_words_are_numbered_once(monkeypatch):
+    """Words that no example has are forgotten when they are many, the examples' words never."""
+    texts = ["grumpfel moofel of a wonderful day", "a plain text", ""]
+    index = toxicity.ExampleIndex.of_counts([0, 1, 2], [1, 0, 0], [toxicity.term_counts(t) for t in texts])
+    monkeypatch.setattr(toxicity, "CACHE", 2)
+    scorer = toxicity.Scorer(index)
+    queries = ["grumpfel unheard unheardof unhealthy words", "", "moofel wonderland wonders xyzzyx grumpfel", "a day", "zzz"]
+    for q in queries * 2:
+        terms, weight = scorer.vector(q)
+        assert {"grumpfel", "moofel", "wonderful", "plain"} <= set(scorer.hits)
+        counts = toxicity.term_counts(q)
+        number = {t: i for i, t in enumerate(index.terms.to_pylist())}
+        plain = {t: (1 + math.log(n)) * (index.unit[number[t]] if t in number else scorer.unseen) for t, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in plain.values()))
+        want = sorted((number[t], w / norm) for t, w in plain.items() if t in number)
+        assert terms.tolist() == [t for t, _ in want] and weight.tolist() == pytest.approx([w for _, w in want])
+    assert len(scorer.hits) <= len(set(w for t in texts for w in t.split())) + 2 + 4
+
+
 def test_toxic_words_are_learned_and_clean_texts_kept(spark):
     rng = random.Random(7)
     pool = ["".join(rng.choice("abcdeiou") for _ in range(6)) for _ in range(400)]
