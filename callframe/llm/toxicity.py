@@ -225,14 +225,13 @@ class Scorer:
     def _known(self) -> tuple[dict[str, int], array]:
         """The examples' words, each with its row, and the rows: the numbers of a
         word's terms, -1 for a stem that the word is too short for."""
-        numbers, rows, known = self.numbers, array("q"), {}
-        for term, number in numbers.items():
-            if not term.endswith("*"):
-                row = [number, *(numbers.get(term[:n] + "*") if len(term) > n else -1 for n in STEMS)]
-                if None not in row:
-                    known[term] = len(known)
-                    rows.extend(row)
-        return known, rows
+        numbers = self.numbers
+        words = [t for t in numbers if not t.endswith("*")]
+        rows = np.array([[numbers[t] for t in words], *([-1 if len(t) <= n else numbers.get(t[:n] + "*", -2) for t in words]
+                                                        for n in STEMS)], np.int64)
+        whole = (rows != -2).all(0)
+        known = dict(zip(itertools.compress(words, whole), itertools.count()))
+        return known, array("q", rows.T[whole].tobytes())
 
     def _forget(self) -> None:
         """Words and stems that no example has are numbered anew, from the number
@@ -262,39 +261,48 @@ class Scorer:
         if not n or not rows:
             return [[] for _ in vectors]
         queries = np.zeros((rows, self.dense.shape[1]), np.float32)
-        sparse = np.zeros((rows, n), np.float32)  # the rare terms' part of every cosine
-        for i, (terms, weight) in enumerate(vectors):
-            at = self.column[terms]
-            queries[i, at[at >= 0]] = weight[at >= 0]
-            few, w = terms[at < 0], weight[at < 0]
-            begin, size = self.posting_start[few], self.posting_start[few + 1] - self.posting_start[few]
-            place = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-            if len(place):
-                sparse[i] = np.bincount(self.posting[place], np.repeat(w, size) * self.posting_weight[place], minlength=n)
         blocks = len(self.maxima)
-        pad = np.zeros((rows, blocks * self.block), np.float32)
-        pad[:, :n] = sparse
+        scores = np.zeros((rows, blocks * self.block), np.float32)  # at first the rare terms' part of every cosine
+        for i, (terms, weight) in enumerate(vectors):
+            at = self.column.take(terms)
+            often = at >= 0
+            queries[i, at[often]] = weight[often]
+            few, w = terms[~often], weight[~often]
+            begin = self.posting_start.take(few)
+            size = self.posting_start.take(few + 1) - begin
+            ends = size.cumsum()
+            if len(few) and ends[-1]:
+                place = np.repeat(begin - ends + size, size)
+                place += np.arange(len(place))
+                parts = np.repeat(w, size)
+                parts *= self.posting_weight.take(place)
+                scores[i, :n] = np.bincount(self.posting.take(place), parts, minlength=n)
         # no score of a block is above its bound
-        bounds = queries @ self.maxima.T + pad.reshape(rows, blocks, self.block).max(2) + 1e-5
-        scores = np.full((rows, n), -1.0, np.float32)
+        bounds = queries @ self.maxima.T + scores.reshape(rows, blocks, self.block).max(2) + 1e-5
         best = np.zeros((rows, k), np.float32)
         for b in np.argsort(-bounds.max(0), kind="stable").tolist():
-            need = np.flatnonzero(bounds[:, b] >= best.min(1))
-            if not len(need):
+            part = scores[:, b * self.block:min(n, (b + 1) * self.block)]
+            need = bounds[:, b] >= best.min(1)
+            if need.all():
+                part += queries @ self.dense[b * self.block:(b + 1) * self.block].T
+                best = np.partition(np.concatenate([best, part], axis=1), part.shape[1], axis=1)[:, -k:]
                 continue
-            cut = slice(b * self.block, min(n, (b + 1) * self.block))
-            found = queries[need] @ self.dense[cut].T + sparse[need, cut]
-            scores[need, cut] = found
-            best[need] = np.partition(np.concatenate([best[need], found], axis=1), found.shape[1], axis=1)[:, -k:]
+            part[~need] = -1.0
+            if need.any():
+                found = part[need] + queries[need] @ self.dense[b * self.block:(b + 1) * self.block].T
+                part[need] = found
+                best[need] = np.partition(np.concatenate([best[need], found], axis=1), found.shape[1], axis=1)[:, -k:]
+        scores = scores[:, :n]
         least = best.min(1) - 2e-5
         return [self._exact(scores[i], least[i], *vectors[i], k) for i in range(rows)]
 
     def _exact(self, scores, least, terms, weight, k):
         found = []
         with self._spread(terms, weight) as whole:
-            for e in np.flatnonzero(scores > max(float(least), 0.0)).tolist():
-                part = slice(self.index.start[e], self.index.start[e + 1])
-                found.append((float(whole[self.index.term[part]] @ self.weight[part]), e))
+            chosen = np.flatnonzero(scores > max(float(least), 0.0))
+            start, end = self.index.start[chosen].tolist(), self.index.start[chosen + 1].tolist()
+            for e, a, b in zip(chosen.tolist(), start, end):
+                found.append((float(whole.take(self.index.term[a:b]) @ self.weight[a:b]), e))
         return sorted(found, key=lambda x: (-round(x[0], 9), x[1]))[:k]
 
     @contextlib.contextmanager
