@@ -50,6 +50,8 @@ PART = 64
 STEP = 1 << 20
 #: slots in which shingles are counted to find an order, rarest first
 SLOTS = 1 << 20
+#: bits of the bitmap of keys that texts are held against before they move (4 MB)
+BITS = 1 << 25
 #: bytes of a word beyond which a polynomial does not tell it apart
 LONG_WORD = 24
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -173,11 +175,24 @@ def signatures(rows: DataFrame) -> DataFrame:
     return map_texts(rows.select("key", "id", "text"), task, [("bands", "array<bigint>"), ("size", "int")], carry=["id"])
 
 
+def possible(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key can be one of ``keys``, told by a bitmap of the keys'
+    hashes that every task gets (``BITS`` bits, whatever the corpus): it may let
+    others pass and loses none."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(BITS))
+    bits = (keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")))
+    at = rows.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot).cast("int")})
+    byte = F.expr("cast(conv(hex(substring(_bits, _bit div 8 + 1, 1)), 16, 10) as int)")
+    return (at.join(F.broadcast(bits), "_bucket").withColumn("_byte", byte)
+            .filter("shiftright(_byte, _bit % 8) % 2 = 1").select(*rows.columns))
+
+
 def shingle_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, s) of the texts named by ``keys``: their shingles' 32-bit hashes.
 
-    Copies are reduced to one text per task before anything moves, and each
-    remaining text is moved once. The keys grow with the corpus, so they are
+    Most texts that are not named, and all but one copy per task, are left out
+    before anything moves, and each remaining text is moved once. The keys grow with the corpus, so they are
     merged, never broadcast."""
     def task():
         def batch(keys, _, texts):
@@ -185,7 +200,7 @@ def shingle_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
         return batch
 
-    texts = rows.groupBy("key").agg(F.first("text").alias("text"))
+    texts = possible(rows, keys).groupBy("key").agg(F.first("text").alias("text"))
     return map_texts(texts.join(keys.hint("merge"), "key", "left_semi"), task, [("s", "array<int>")])
 
 
@@ -298,7 +313,7 @@ def near_links(rows: DataFrame, bands: DataFrame, sweeps: int = SWEEPS, similari
                       .filter("n > 1").select("bucket", F.col("lead.key").alias("a"), F.col("lead.size").alias("a_size"), "n"),
                       "near-leaders")
     shared = member.join(leaders, "bucket")
-    sets = written(shingle_sets(rows, shared.select("key").distinct()), "near-sets")
+    sets = written(shingle_sets(rows, written(shared.select("key").distinct(), "near-shared")), "near-sets")
     pairs = (shared.filter((F.col("a") != F.col("key")) & sizes_allow("a_size", "size", similarity))
              .select("a", F.col("key").alias("b")).distinct())
     links = written(verified(pairs, sets, similarity), "near-verified")

@@ -193,6 +193,19 @@ def test_unseen_words_fall_back_to_shorter_grams():
     assert p.predict("中文") == ("en", 0.5)  # no evidence: the most frequent language
 
 
+def test_texts_without_a_shared_bucket_do_not_move(spark):
+    rows = near_dedup.keyed(documents(spark, [f"text number {i}" for i in range(2000)] + ["text number 0", None]))
+    wanted = [hashlib.md5(f"text number {i}".encode()).digest() for i in range(0, 2000, 100)]
+    keys = spark.createDataFrame([(bytearray(k),) for k in wanted], "key binary")
+    passed = [bytes(r.key) for r in near_dedup.possible(rows, keys).collect()]
+    assert set(wanted) <= set(passed) and passed.count(wanted[0]) == 2 and len(passed) < 30
+    got = {bytes(r.key): r.s for r in near_dedup.shingle_sets(rows, keys).collect()}
+    assert set(got) == set(wanted) and all(len(s) == 1 for s in got.values())
+    plan = near_dedup.shingle_sets(rows, keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan.lower() or "bitmapconstructagg" in plan.lower()
+    assert near_dedup.possible(rows, keys.limit(0)).count() == 0
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 def plain_cosines(examples, query, index):
