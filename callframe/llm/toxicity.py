@@ -65,7 +65,7 @@ POWER = 3
 SHRINKAGE = 0.25
 BLOCK = 512
 #: terms kept as a dense matrix, and texts scored together
-DENSE = 2048
+DENSE = 1024
 STEP = 128
 THRESHOLD = 0.3
 CACHE = 1 << 16
@@ -114,6 +114,7 @@ class ExampleIndex:
 
     def __init__(self, ids, labels, terms, counts, stands_for=None, witness=None):
         """``terms`` and ``counts`` are Arrow lists, one per example, ids ascending."""
+        import pyarrow.compute as pc
         self.ids, self.labels = np.array(ids, np.int64), np.array(labels, float)
         n = len(self.ids)
         self.stands_for = np.ones(n) if stands_for is None else np.array(stands_for, float)
@@ -126,6 +127,18 @@ class ExampleIndex:
         count = counts.flatten().to_numpy()
         owner = np.repeat(np.arange(n), sizes)
         width = len(self.terms)
+        #: the examples' words, and for each the numbers of its terms: -1 for a
+        #: stem that the word is too short for, -2 for one that no example has
+        is_word = pc.invert(pc.ends_with(self.terms, "*"))
+        self.word = np.flatnonzero(is_word.to_numpy(zero_copy_only=False)).astype(np.int32)
+        words = self.terms.filter(is_word)
+        size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        self.word_terms = np.empty((len(words), 1 + len(STEMS)), np.int32)
+        self.word_terms[:, 0] = self.word
+        for i, k in enumerate(STEMS):
+            stem = pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, k), "*", "")
+            found = pc.fill_null(pc.index_in(stem, self.terms), -2).to_numpy(zero_copy_only=False)
+            self.word_terms[:, 1 + i] = np.where(size > k, found, -1)
         df = np.bincount(self.term, minlength=width)
         self.rows = n
         pos = np.bincount(self.term, witness[owner] * self.labels[owner], minlength=width)
@@ -172,35 +185,44 @@ class Scorer:
 
     def __init__(self, index: ExampleIndex, block: int = BLOCK, dense: int = DENSE):
         self.index, self.block = index, block
-        self.numbers = {t: i for i, t in enumerate(index.terms.to_pylist())}
-        self.whole = np.zeros(len(self.numbers))
+        self.whole = np.zeros(len(index.terms))
         self.unseen = math.log(index.rows + 1) + 1
-        self.known = self._known()
-        self._forget()
-        n, width = index.rows, len(self.numbers)
-        # arrays over all terms of all examples are made one after another, to need little at once
-        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(index.start))
+        self._number()
+        n, width = index.rows, len(index.terms)
         self.weight = index.weight
-        weight = index.weight.astype(np.float32)
-        frequent = np.argsort(-np.bincount(index.term, minlength=width), kind="stable")[:dense]
+        df = np.bincount(index.term, minlength=width)
+        frequent = np.argsort(-df, kind="stable")[:dense]
         self.column = np.full(width, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent), dtype=np.int32)
-        where = self.column[index.term]
-        often = where >= 0
         self.dense = np.zeros((n, len(frequent)), np.float32)
-        self.dense[owner[often], where[often]] = weight[often]
-        del where
-        # rare terms: postings by term, the examples of a term ascending
-        rare, owner, weight = index.term[~often], owner[~often], weight[~often]
-        order = np.argsort(rare, kind="stable")
-        self.posting, self.posting_weight = owner[order], weight[order]
-        self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(rare, minlength=width))])
         # largest weight of each frequent term in each block
         blocks = -(-n // block)
         self.maxima = np.zeros((blocks, len(frequent)), np.float32)
-        if len(frequent):
-            for b in range(blocks):
-                self.maxima[b] = self.dense[b * block:(b + 1) * block].max(0)
+        # rare terms: postings by term, the examples of a term ascending
+        df[frequent] = 0
+        self.posting_start = np.concatenate([[0], np.cumsum(df)])
+        free = self.posting_start[:-1].copy()
+        self.posting = np.empty(self.posting_start[-1], np.min_scalar_type(n))
+        self.posting_weight = np.empty(len(self.posting), np.float32)
+        # one block after another, to need little at once
+        for b in range(blocks):
+            first, last = b * block, min(n, (b + 1) * block)
+            part = slice(index.start[first], index.start[last])
+            owner = np.repeat(np.arange(first, last), np.diff(index.start[first:last + 1]))
+            term, weight = index.term[part], index.weight[part].astype(np.float32)
+            where = self.column.take(term)
+            often, rare = np.flatnonzero(where >= 0), np.flatnonzero(where < 0)
+            self.dense[owner[often], where[often]] = weight[often]
+            if len(frequent):
+                self.maxima[b] = self.dense[first:last].max(0)
+            bits = len(rare).bit_length()
+            order = np.sort(term[rare].astype(np.int64) << bits | np.arange(len(rare)))
+            term, rare = order >> bits, rare[order & (1 << bits) - 1]
+            start = np.flatnonzero(np.diff(term, prepend=-1))
+            size = np.diff(start, append=len(term))
+            place = np.repeat(free[term[start]] - start, size) + np.arange(len(term))
+            self.posting[place], self.posting_weight[place] = owner[rare], weight[rare]
+            free[term[start]] += size
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(terms that some example has, weights) of a text; the weights are
@@ -208,10 +230,10 @@ class Scorer:
         words = Counter(words_of(text))
         if not words:
             return np.zeros(0, np.int64), np.zeros(0)
-        if len(self.hits) - len(self.known[0]) > CACHE:
+        if len(self.hits) - self.known[0] > CACHE:
             self._forget()
         rows = np.fromiter(map(self.hits.__getitem__, words), np.int64, len(words))
-        ids = np.frombuffer(self.rows, np.int64).reshape(-1, 1 + len(STEMS))[rows].ravel()
+        ids = np.frombuffer(self.rows, np.int32).reshape(-1, 1 + len(STEMS))[rows].ravel()
         held = ids >= 0
         ids = ids[held]
         terms, place = np.unique(ids, return_inverse=True)
@@ -222,37 +244,42 @@ class Scorer:
         norm = math.sqrt(float((weight * weight).sum()))
         return terms[:known], (weight / norm if norm else weight)[:known]
 
-    def _known(self) -> tuple[dict[str, int], array]:
-        """The examples' words, each with its row, and the rows: the numbers of a
-        word's terms, -1 for a stem that the word is too short for."""
-        numbers = self.numbers
-        words = [t for t in numbers if not t.endswith("*")]
-        rows = np.array([[numbers[t] for t in words], *([-1 if len(t) <= n else numbers.get(t[:n] + "*", -2) for t in words]
-                                                        for n in STEMS)], np.int64)
-        whole = (rows != -2).all(0)
-        known = dict(zip(itertools.compress(words, whole), itertools.count()))
-        return known, array("q", rows.T[whole].tobytes())
-
-    def _forget(self) -> None:
-        """Words and stems that no example has are numbered anew, from the number
-        after the examples' terms."""
-        numbers, rows = self.numbers, array("q", self.known[1])
-        unseen = itertools.count(len(self.index.unit))
-
-        def stem(start: str) -> int:
-            found = numbers.get(start + "*")
-            return next(unseen) if found is None else found
-
-        stems = _Filled(stem)
+    def _number(self) -> None:
+        """Each word's row, and the rows: the numbers of a word's terms, -1 for a
+        stem that the word is too short for. The examples' words and stems come
+        first; words and stems that no example has are numbered after them."""
+        index, rows = self.index, array("i")
+        whole, stem = (index.word_terms != -2).all(1), np.ones(len(index.terms), bool)
+        stem[index.word] = False
+        stem = np.flatnonzero(stem)
+        # words of which no example has a stem, as a hand-made index can hold
+        partly = dict(zip(index.terms.take(index.word[~whole]).to_pylist(), index.word[~whole].tolist()))
+        rows.frombytes(index.word_terms[whole].tobytes())
+
+        def unseen(_) -> int:
+            self.numbered += 1
+            return self.numbered - 1
+
+        stems = _Filled(unseen)
+        stems.update(zip([t[:-1] for t in index.terms.take(stem).to_pylist()], stem.tolist()))
 
         def row(word: str) -> int:
-            found, size = numbers.get(word), len(word)
-            rows.append(next(unseen) if found is None else found)
+            size = len(word)
+            rows.append(partly[word] if word in partly else unseen(word))
             rows.extend([stems[word[:n]] if size > n else -1 for n in STEMS])
             return len(rows) // (1 + len(STEMS)) - 1
 
-        self.hits, self.rows = _Filled(row), rows
-        self.hits.update(self.known[0])
+        self.hits, self.stems, self.rows = _Filled(row), stems, rows
+        self.hits.update(zip(index.terms.take(index.word[whole]).to_pylist(), itertools.count()))
+        self.known, self.numbered = (len(self.hits), len(stems)), len(index.terms)
+
+    def _forget(self) -> None:
+        """Words and stems that no example has are numbered anew."""
+        for held, known in zip((self.hits, self.stems), self.known):
+            while len(held) > known:
+                held.popitem()
+        del self.rows[self.known[0] * (1 + len(STEMS)):]
+        self.numbered = len(self.index.terms)
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
         """For each text the k examples of highest cosine above 0, equal ones by
