@@ -64,6 +64,24 @@ def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     return F.when(F.octet_length(text) > 0, full).otherwise(F.array().cast("array<bigint>"))
 
 
+def continued_fingerprint(entries: Column, kept_bytes: Column, text: Column, k: int = K, w: int = W) -> Column:
+    """The fingerprint of ``text``, which begins with the first ``kept_bytes``
+    bytes of a text whose fingerprint is ``entries``.
+
+    Every window inside those bytes has the entry that it has there, and entries
+    ascend by position with their windows. So only the windows from the last of
+    these on are hashed, and the entries before its entry are taken over."""
+    start = kept_bytes - (w + k - 2)
+    begin = F.greatest(start, F.lit(1))
+    tail = fingerprint(F.substring(text.cast("binary"), begin, F.octet_length(text)), k, w)
+
+    def joined(found):
+        first = entry_position(found[0])
+        return F.when(start >= 1, F.concat(F.filter(entries, lambda e: entry_position(e) < first), found)).otherwise(found)
+
+    return _let(F.transform(tail, lambda e: e - (begin - 1)), joined)
+
+
 def entry_hash(entry: Column) -> Column:
     return F.shiftright(entry + (_SPAN - 1), 31)
 
@@ -156,10 +174,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = with_next(rows, id_col, {"entries": fingerprint(F.col("text"), k, w)})
     rows = rows.withColumn("n_chars", F.char_length("text").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
-    rows = rows.withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
-        F.substring("next_text", F.lit(1), cut)))
-    rows = rows.withColumn("edited_entries", fingerprint(F.col("edited"), k, w))
+    rows = rows.withColumn("kept", F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")))
+    rows = rows.withColumns({"edited": F.concat("kept", F.substring("next_text", F.lit(1), cut)),
+                             "kept_bytes": F.octet_length("kept")})
+    rows = rows.withColumn("edited_entries", continued_fingerprint(F.col("entries"), F.col("kept_bytes"), F.col("edited"), k, w))
     return rows.select(
         id_col, "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint_string(F.col("entries")).alias("fingerprint"),

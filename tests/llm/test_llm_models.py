@@ -70,6 +70,22 @@ def winnowing_hash(entry):
     return (entry + (1 << 31) - 1) >> 31
 
 
+def test_an_edited_text_keeps_the_entries_of_what_it_kept(spark):
+    """Only what follows the kept bytes is hashed again; the fingerprint is that of the whole text."""
+    rng = random.Random(8)
+    rows = []
+    for n in [0, 1, 5, 10, 11, 12, 13, 20, 60, 200] * 12:
+        text = "".join(rng.choices("ab\u00e9\U0001d11e", k=n))
+        kept = text[:n - n // 4]
+        rows.append((text, kept + "".join(rng.choices("ab\u00e9", k=rng.choice([0, n // 4, 30]))), len(kept.encode())))
+    df = spark.createDataFrame(rows, "text string, edited string, kept int")
+    found = df.select(
+        winnowing.fingerprint(F.col("edited"), 4, 8).alias("want"),
+        winnowing.continued_fingerprint(winnowing.fingerprint(F.col("text"), 4, 8), F.col("kept"), F.col("edited"), 4, 8).alias("got"))
+    assert found.filter("want <> got").count() == 0
+    assert found.filter("want = got").count() == len(rows)
+
+
 def test_edited_text_takes_the_next_document(spark, corpus):
     rows = sorted(corpus.select("doc_id", "text").collect())
     got = {r.doc_id: r for r in winnowing.edited_fingerprints(corpus).collect()}
@@ -261,6 +277,24 @@ def test_the_examples_words_are_numbered_once(monkeypatch):
     assert len(scorer.hits) <= len(set(w for t in texts for w in t.split())) + 2 + 4
 
 
+def test_a_scorer_is_built_without_copies_of_the_examples():
+    """Beside what it keeps, building needs little more than one block of examples."""
+    import tracemalloc
+    rng = random.Random(9)
+    words = [a + b + c + d for a in "abcdefgh" for b in "aeiou" for c in "klmnprst" for d in ("al", "en", "ig", "or", "ux")]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(800)]
+    index = toxicity.ExampleIndex.of_counts(list(range(800)), [i % 2 for i in range(800)], [toxicity.term_counts(t) for t in texts])
+    number = {t: i for i, t in enumerate(index.terms.to_pylist())}
+    for w, terms in zip(index.word.tolist(), index.word_terms.tolist()):
+        assert terms == [number[t] for t in toxicity.terms_of(index.terms[w].as_py())] + [-1] * (len(terms) - len(
+            toxicity.terms_of(index.terms[w].as_py())))
+    tracemalloc.start()
+    scorer = toxicity.Scorer(index, 50, 16)
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(scorer.posting) > 100_000 and most - kept < 8 * len(scorer.posting)
+
+
 def test_toxic_words_are_learned_and_clean_texts_kept(spark):
     rng = random.Random(7)
     pool = ["".join(rng.choice("abcdeiou") for _ in range(6)) for _ in range(400)]
