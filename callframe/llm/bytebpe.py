@@ -34,6 +34,8 @@ import unicodedata
 import numpy as np
 import pandas as pd
 
+from callframe.llm.common import left_in_stage
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
@@ -404,8 +406,7 @@ def json_piece_table(path: str, **kw) -> PieceTable:
                       special_id=special["id"], special=special["content"], **kw)
 
 
-@functools.lru_cache(maxsize=1)
 def shared_piece_table(path: str) -> PieceTable:
-    """One table for all tasks of a Python worker, so that a task finds the
-    pieces known that an earlier one met. It is bounded like any other."""
-    return json_piece_table(path)
+    """One table for all tasks of a stage in a Python worker, so that a task finds
+    the pieces known that an earlier one met. It holds half as many as any other."""
+    return left_in_stage(path, lambda: json_piece_table(path, max_pieces=1 << 19))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -55,6 +57,33 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
 
+#: what the tasks of one stage leave to each other in a Python worker, by stage
+_LEFT: dict = {}
+
+
+def left_in_stage(key, make):
+    """``make()``, or what an earlier task of this stage made in the same Python
+    worker; the next stage's tasks do not find it any more."""
+    from pyspark import TaskContext
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    for old in [k for k in _LEFT if k[0] != stage]:
+        del _LEFT[old]
+    if (stage, key) not in _LEFT:
+        _LEFT[stage, key] = make()
+    return _LEFT[stage, key]
+
+
+def give_back() -> None:
+    """A worker outlives its tasks, and all workers of an executor share its
+    memory: what a task freed goes back to the machine."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
               carry: list[str] = ()) -> DataFrame:
     """Run a text function over Arrow batches.
@@ -73,7 +102,7 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
 
     def run(batches):
         import pyarrow as pa
-        function = None
+        function = left_in_stage("", lambda: None)  # forgets what other stages left
 
         def out(cols):
             return pa.RecordBatch.from_arrays(
@@ -88,5 +117,7 @@ def map_texts(rows: DataFrame, task, columns: list[tuple[str, str]],
         if hasattr(function, "finish"):
             for cols in function.finish():
                 yield out(cols)
+        del function
+        give_back()
 
     return rows.select(first, *carry, text).mapInArrow(run, schema)

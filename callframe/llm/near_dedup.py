@@ -47,7 +47,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 SWEEPS = 2
 PART = 64
-STEP = 1 << 20
+STEP = 1 << 18
 #: slots in which shingles are counted to find an order, rarest first
 SLOTS = 1 << 20
 #: bits of the bitmap of keys that texts are held against before they move (4 MB)

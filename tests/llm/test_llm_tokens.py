@@ -210,3 +210,31 @@ def test_shards_hold_the_librarys_ids(spark, tmp_path, library):
 def _cut(ids):
     at = [i + 1 for i, x in enumerate(ids) if x == binary_output.END_ID]
     return [tuple(ids[a:b]) for a, b in zip([0, *at], at)]
+
+
+def test_a_table_does_not_outlive_its_stage(spark):
+    """Python workers stay for the next stage; the pieces of one stage do not."""
+    from callframe.llm.bytebpe import shared_piece_table, vocabulary_path
+    from callframe.llm.common import map_texts
+    path = vocabulary_path("byte_bpe_50k.json")
+
+    def tokenise():
+        table = shared_piece_table(path)
+        met = table.pieces
+
+        def batch(ids, _, texts):
+            for _run in table.run(texts):
+                pass
+            yield [ids, [met] * len(ids)]
+
+        return batch
+
+    def left(with_table):
+        def task():
+            from callframe.llm import common
+            held = len(common._LEFT) if not with_table else 0
+            return tokenise() if with_table else lambda ids, _, texts: [[ids, [held] * len(ids)]]
+        docs = spark.createDataFrame([(i, f"some words {i}") for i in range(8)], "doc_id long, text string").coalesce(1)
+        return {r.met for r in map_texts(docs, task, [("met", "bigint")]).collect()}
+
+    assert left(True) == {0} and left(True) == {0} and left(False) <= {0, 1}
