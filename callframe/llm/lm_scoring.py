@@ -33,11 +33,11 @@ every bit costs one bit and the base is 0. Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +49,7 @@ MAX_GRAMS = 1 << 19
 MAX_FREQUENT = 1 << 17
 END = b"\xff"
 STEP = 1 << 20
-FLUSH = 1 << 18
+FLUSH = 1 << 20
 CUT = 3
 FOREST = 1 << 17
 
@@ -62,14 +62,14 @@ def gram_keys(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.nd
     """Key of (depth bytes before, byte) at every byte and the end of each
     text; offsets of the texts' first keys and the end."""
     pad = END * depth
-    data = np.frombuffer(b"".join(pad + t + END for t in texts), np.uint8)
+    data = b"".join(pad + t + END for t in texts)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    n = len(data)
-    keys = np.zeros(max(n - depth, 0), np.int64)
-    for i in range(depth + 1):
-        keys <<= 8
-        keys |= data[i:n - depth + i]
+    # the eight bytes from every place on, of which the first are the key
+    n = max(len(data) - depth, 0)
+    keys = np.ndarray(n, ">u8", data + bytes(8), strides=(1,)).astype(np.uint64)
+    keys >>= np.uint64(56 - 8 * depth)
+    keys = keys.view(np.int64)
     # drop the positions inside the padding of the texts after the first
     skip = np.zeros(len(keys) + depth, bool)
     starts = offsets[:-1] + depth * np.arange(len(texts))
@@ -78,6 +78,22 @@ def gram_keys(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.nd
     return keys[~skip[:len(keys)]], offsets
 
 
+def grams_by_text(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text, times) of the distinct keys of each text, keys ascending; for
+    at most ``texts_of_step(depth)`` texts."""
+    keys, offsets = gram_keys(texts, depth)
+    bits = np.uint64(max(len(texts) - 1, 0).bit_length())
+    both = keys.view(np.uint64) << bits
+    both |= np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(offsets))
+    both, times = np.unique(both, return_counts=True)
+    return (both >> bits).view(np.int64), (both & (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64), times
+
+
+def texts_of_step(depth: int) -> int:
+    """How many texts can be numbered beside a key in 64 bits."""
+    return 1 << min(16, 56 - 8 * depth)
+
+
 def tokens_of(data: bytes) -> list[bytes]:
     """Words between blanks, tabs and line ends of the lowered bytes."""
     return data.split()
@@ -323,46 +339,55 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     id, train and text. The number of training documents is the count of the
     row whose keys are both null."""
     def task():
-        def emit(words, grams):
-            keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if grams:
-                keys, at = np.unique(np.concatenate([g[0] for g in grams]), return_inverse=True)
-                sums = np.bincount(at, np.concatenate([g[1] for g in grams])).astype(np.int64)
-            n = len(words) + len(keys)
-            return [[None] * n, [None] * n, [*words, *[None] * len(keys)], [*[None] * len(words), *keys.tolist()],
-                    [*words.values(), *sums.tolist()]]
+        import pyarrow as pa
+        words, grams, held, documents, blank = Counter(), [], 0, 0, []
+
+        def emit():
+            nonlocal held
+            keys, at = np.unique(np.concatenate([np.zeros(0, np.int64), *(g[0] for g in grams)]), return_inverse=True)
+            sums = np.bincount(at, np.concatenate([np.zeros(0, np.int64), *(g[1] for g in grams)])).astype(np.int64)
+            for word, gram, n in ((list(words), pa.nulls(len(words), pa.int64()), list(words.values())),
+                                  (pa.nulls(len(keys), pa.binary()), pa.array(keys), pa.array(sums))):
+                if len(n):
+                    yield [*(pa.nulls(len(n), kind) for kind in blank), word, gram, n]
+            words.clear()
+            grams.clear()
+            held = 0
 
         def batch(ids, rest, texts):
-            words, grams, held = Counter(), [], 0
-            chosen = rest[0].to_pylist()
+            nonlocal held, documents
+            chosen, blank[:] = rest[0].to_pylist(), (ids.type, rest[0].type)
+            documents += sum(map(bool, chosen))
             for train in (True, False):
                 for part in steps(t.encode().lower() for t, c in zip(texts, chosen) if bool(c) == train):
                     if train:
                         for t in part:
                             words.update(tokens_of(t))
-                    keys = gram_keys(part, depth)[0]
-                    codes, distinct = pd.factorize(keys)
-                    grams.append((distinct, np.bincount(codes) * train))
+                    distinct, times = np.unique(gram_keys(part, depth)[0], return_counts=True)
+                    grams.append((distinct, times * train))
                     held += len(distinct)
                     if held + len(words) > FLUSH:
-                        yield emit(words, grams)
-                        words, grams, held = Counter(), [], 0
-            yield emit(words, grams)
-            yield [[None], [None], [None], [None], [sum(map(bool, chosen))]]
+                        yield from emit()
+
+        def finish():
+            yield from emit()
+            yield [[None], [None], [None], [None], [documents]]
 
+        batch.finish = finish
         return batch
 
     found = map_texts(docs, task, [("word", "binary"), ("gram", "bigint"), ("n", "bigint")], carry=["_train"])
-    return found.groupBy("word", "gram").agg(F.sum("n").alias("n"))
+    # a task's keys are distinct but for few: they are dealt as they come and summed where they meet
+    return found.repartition("word", "gram").groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def steps(texts):
-    """Runs of texts of about STEP bytes."""
+def steps(texts, most: int = 1 << 16):
+    """Runs of texts of about STEP bytes, and at most ``most`` texts."""
     run, size = [], 0
     for t in texts:
         run.append(t)
         size += len(t) + DEPTH
-        if size >= STEP:
+        if size >= STEP or len(run) >= most:
             yield run
             run, size = [], 0
     if run:
@@ -411,38 +436,39 @@ def score(docs: DataFrame, train_filter, id_col: str = "doc_id", text_col: str =
     end_known, end_log = int(documents > 0), math.log10(documents + 1)
 
     def task():
+        import pyarrow as pa
         known_words, known_grams, known_logs = shared.value
 
+        def lists(owner, values, n, kind):
+            """A list per text of values whose owners ascend."""
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+
         def batch(ids, rest, texts):
             first = 0
-            for part in steps(t.encode().lower() for t in texts):
-                out = [[] for _ in range(9)]
-                keys, offsets = gram_keys(part, depth)
-                codes, distinct = pd.factorize(keys)
-                at = ContextTree._find(known_grams, distinct)
-                logs_of = np.zeros(len(distinct))
-                logs_of[at >= 0] = known_logs[at[at >= 0]]
-                out[5].extend(np.add.reduceat(logs_of[codes], offsets[:-1]).tolist())
-                left = np.flatnonzero((at < 0)[codes])
-                for own in np.split(keys[left], np.searchsorted(left, offsets[1:-1])):
-                    for c, v in zip(out[7:], np.unique(own, return_counts=True)):
-                        c.append(v)
-                for data in part:
-                    words = tokens_of(data)
-                    n_known, logs, rare, times = end_known, end_log, [], []
-                    for w, n in Counter(words).items():
-                        found = known_words.get(w)
-                        if found is None:
-                            rare.append(w)
-                            times.append(n)
-                        else:
-                            n_known += n
-                            logs += n * found
-                    for c, v in zip(out, (len(words) + 1, n_known, logs, rare, times)):
-                        c.append(v)
-                    out[6].append(len(data) + 1)
-                yield [c.slice(first, len(part)) for c in (ids, *rest)] + out
-                first += len(part)
+            for part in steps((t.encode().lower() for t in texts), texts_of_step(depth)):
+                n = len(part)
+                keys, owner, times = grams_by_text(part, depth)
+                at = ContextTree._find(known_grams, keys)
+                found = np.flatnonzero(at >= 0)
+                logs_of_grams = np.bincount(owner[found], times[found] * known_logs[at[found]], n)
+                left = np.flatnonzero(at < 0)
+                left = left[np.argsort(owner[left], kind="stable")]
+                words = [tokens_of(data) for data in part]
+                sizes = np.fromiter(map(len, words), np.int64, n)
+                words = list(itertools.chain.from_iterable(words))
+                logs = np.fromiter(map(known_words.get, words, itertools.repeat(-1.0)), float, len(words))
+                of = np.repeat(np.arange(n), sizes)
+                known = logs >= 0
+                rare = Counter(zip(of[~known].tolist(), itertools.compress(words, (~known).tolist())))
+                of_rare = np.fromiter((k[0] for k in rare), np.int64, len(rare))
+                yield [c.slice(first, n) for c in (ids, *rest)] + [
+                    sizes + 1, np.bincount(of, known, n).astype(np.int64) + end_known,
+                    np.bincount(of, np.where(known, logs, 0.0), n) + end_log,
+                    lists(of_rare, [k[1] for k in rare], n, pa.binary()), lists(of_rare, list(rare.values()), n, pa.int64()),
+                    logs_of_grams, np.fromiter(map(len, part), np.int64, n) + 1,
+                    lists(owner[left], keys[left], n, pa.int64()), lists(owner[left], times[left], n, pa.int64())]
+                first += n
 
         return batch
 

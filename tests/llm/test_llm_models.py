@@ -396,6 +396,39 @@ def test_scores_use_every_gram(spark, corpus, monkeypatch):
         assert abs(got[r.doc_id] - want) < 1e-6 * abs(want)
 
 
+def test_grams_by_text_are_those_of_each_text():
+    rng = np.random.default_rng(9)
+    texts = [b"", b"a", *(bytes(rng.choice(list(b"ab \xc3\xa9"), n).tolist()) for n in (3, 40, 200)), b"", b"abab" * 9]
+    for depth in (0, 2, lm_scoring.DEPTH):
+        assert lm_scoring.texts_of_step(depth) >= len(texts)
+        got = sorted(zip(*(x.tolist() for x in lm_scoring.grams_by_text(texts, depth))))
+        want = Counter()
+        for i, t in enumerate(texts):
+            padded = lm_scoring.END * depth + t + lm_scoring.END
+            want.update((int.from_bytes(padded[j:j + depth + 1], "big"), i) for j in range(len(t) + 1))
+        assert got == sorted((key, i, n) for (key, i), n in want.items())
+
+
+def test_counts_over_many_batches_and_tasks(spark):
+    """Grams and words come once a task, not once a batch; ids need not be numbers."""
+    rows = [(f"d{i}", i % 3 > 0, f"same words here x{i % 5}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "id string, train boolean, text string").toDF("doc_id", "_train", "_text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = lm_scoring.corpus_counts(docs.repartition(3)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    words = Counter(w.encode() for _, train, t in rows if train for w in t.split())
+    grams: Counter = Counter()
+    for _, train, t in rows:
+        for key in lm_scoring.gram_keys([t.encode()])[0].tolist():
+            grams[key] += train
+    assert {bytes(r.word): r.n for r in got if r.word is not None} == words
+    assert {r.gram: r.n for r in got if r.gram is not None} == dict(grams)
+    assert [r.n for r in got if r.word is None and r.gram is None] == [60] and len(got) == len(words) + len(grams) + 1
+
+
 # ---- near duplicates: identity ----------------------------------------------
 
 def test_long_words_of_equal_hash_are_not_near_copies(spark):
