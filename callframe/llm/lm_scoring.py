@@ -377,7 +377,7 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         return batch
 
     found = map_texts(docs, task, [("word", "binary"), ("gram", "bigint"), ("n", "bigint")], carry=["_train"])
-    # a task's keys are distinct but for few: they are dealt as they come and summed where they meet
+    # one emission's keys are distinct: they are dealt as they come and summed where they meet
     return found.repartition("word", "gram").groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 

@@ -410,7 +410,7 @@ def test_grams_by_text_are_those_of_each_text():
 
 
 def test_counts_over_many_batches_and_tasks(spark):
-    """Grams and words come once a task, not once a batch; ids need not be numbers."""
+    """Counts do not depend on how rows are dealt; ids need not be numbers."""
     rows = [(f"d{i}", i % 3 > 0, f"same words here x{i % 5}") for i in range(90)]
     docs = spark.createDataFrame(rows, "id string, train boolean, text string").toDF("doc_id", "_train", "_text")
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
